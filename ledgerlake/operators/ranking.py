@@ -18,6 +18,8 @@ could not be split across partitions and a hot value would land in one task.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -83,30 +85,42 @@ def global_rank(df: DataFrame, order: list[Column], out: str = "rank",
     return keyed.join(first, "_key").drop("_key", "_rn")
 
 
-def exact_percentile(df: DataFrame, value: Column, fraction: float, tiebreak: list[Column],
-                     out: str = "percentile", num_partitions: int | None = None) -> DataFrame:
-    """Exact ``percentile_cont(fraction)`` over ``value`` as a one-row DataFrame.
+def exact_percentiles(df: DataFrame, value: Column, fractions: dict[str, float],
+                      tiebreak: list[Column], num_partitions: int | None = None) -> DataFrame:
+    """Exact ``percentile_cont`` for several fractions from one global numbering.
 
     Spark's exact ``percentile`` aggregate buffers every value in one task; this
-    instead numbers the values globally (see :func:`numbered`), keeps the one
-    or two rows at the interpolation positions and interpolates
+    numbers the values across the cluster (see :func:`numbered`), keeps only the
+    rows at the interpolation positions and interpolates
     ``lo + (pos - floor(pos)) * (hi - lo)``.  NULLs are ignored; no rows -> NULL.
+    Returns one row with one column per entry of ``fractions``.
     """
     vals = df.select(value.cast("double").alias("_v"), *tiebreak).filter(F.col("_v").isNotNull())
     rows, total = numbered(vals, [F.col("_v")] + list(tiebreak), "_rn", num_partitions)
-    pos = (F.col("_total") - 1) * F.lit(fraction)
-    bounds = total.select(
-        "_total",
-        pos.alias("_pos"),
-        (F.floor(pos) + 1).cast("long").alias("_lo"),
-        (F.ceil(pos) + 1).cast("long").alias("_hi"))
-    # one-row table: broadcast is bounded
-    picked = rows.join(F.broadcast(bounds), (F.col("_rn") == F.col("_lo")) | (F.col("_rn") == F.col("_hi")))
-    agg = picked.agg(
-        F.max(F.when(F.col("_rn") == F.col("_lo"), F.col("_v"))).alias("_lv"),
-        F.max(F.when(F.col("_rn") == F.col("_hi"), F.col("_v"))).alias("_hv"),
-        F.max("_pos").alias("_pos"))
-    frac = F.col("_pos") - F.floor(F.col("_pos"))
-    return agg.select(
-        F.when(frac == 0, F.col("_lv"))
-         .otherwise(F.col("_lv") + frac * (F.col("_hv") - F.col("_lv"))).alias(out))
+    cols = []
+    for i, frac in enumerate(fractions.values()):
+        pos = (F.col("_total") - 1) * F.lit(frac)
+        cols += [pos.alias(f"_pos{i}"), (F.floor(pos) + 1).cast("long").alias(f"_lo{i}"),
+                 (F.ceil(pos) + 1).cast("long").alias(f"_hi{i}")]
+    bounds = total.select(*cols)  # one row: broadcast is bounded
+    hit = reduce(lambda a, b: a | b, [(F.col("_rn") == F.col(f"_lo{i}")) | (F.col("_rn") == F.col(f"_hi{i}"))
+                                      for i in range(len(fractions))])
+    picked = rows.join(F.broadcast(bounds), hit)
+    aggs = []
+    for i in range(len(fractions)):
+        aggs += [F.max(F.when(F.col("_rn") == F.col(f"_lo{i}"), F.col("_v"))).alias(f"_lv{i}"),
+                 F.max(F.when(F.col("_rn") == F.col(f"_hi{i}"), F.col("_v"))).alias(f"_hv{i}"),
+                 F.max(f"_pos{i}").alias(f"_pos{i}")]
+    agg = picked.agg(*aggs)
+    out = []
+    for i, name in enumerate(fractions):
+        frac = F.col(f"_pos{i}") - F.floor(F.col(f"_pos{i}"))
+        out.append(F.when(frac == 0, F.col(f"_lv{i}"))
+                   .otherwise(F.col(f"_lv{i}") + frac * (F.col(f"_hv{i}") - F.col(f"_lv{i}"))).alias(name))
+    return agg.select(*out)
+
+
+def exact_percentile(df: DataFrame, value: Column, fraction: float, tiebreak: list[Column],
+                     out: str = "percentile", num_partitions: int | None = None) -> DataFrame:
+    """One exact ``percentile_cont`` as a one-row DataFrame (see :func:`exact_percentiles`)."""
+    return exact_percentiles(df, value, {out: fraction}, tiebreak, num_partitions)

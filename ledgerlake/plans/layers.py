@@ -116,4 +116,9 @@ class Lakehouse:
             return self.link(rest)
         if layer == "sat":
             return self.sat(rest)
+        if name == "dim_account_history":
+            from ledgerlake.plans.incremental import account_history
+            return account_history(self).dim
+        if name in self.sources:
+            return self.sources[name]
         return getattr(self, name)

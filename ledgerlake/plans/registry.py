@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import charts as ch
-from ledgerlake.operators import gold, reports
+from ledgerlake.operators import checks as chk
+from ledgerlake.operators import gold, profile, reports
 from ledgerlake.params import RunParams
-from ledgerlake.plans import oracle
+from ledgerlake.plans import oracle, oracle_checks
 from ledgerlake.plans.entities import ENTITIES, LINKS
 from ledgerlake.plans.incremental import account_history
 from ledgerlake.plans.layers import Lakehouse
+from ledgerlake.sources.schemas import SOURCE_SCHEMAS
 
 Builder = Callable[[Lakehouse], DataFrame]
 
@@ -123,9 +125,69 @@ def _registry() -> tuple[dict[str, Builder], dict[str, str]]:
     for cid, spec in ch.CHARTS.items():
         q[f"chart_{cid}"] = (lambda s: lambda lh: ch.chart(REPORTS[s.report](lh), s))(spec)
         sql[f"chart_{cid}"] = oracle.build(chart_sql(spec))
+
+    # data-quality assertions, by layer (166 with the three cross-entity ones)
+    for layer, checks in chk.catalogue().items():
+        q[f"checks_{layer}"] = (lambda cs: lambda lh: chk.run_checks(cs, LakeTables(lh), lh.params.load_ts_col))(checks)
+        sql[f"checks_{layer}"] = oracle_checks.run_checks_sql(checks)
+    cross = list(chk.CROSS_ENTITY)
+    q["checks_cross_entity"] = lambda lh: chk.run_checks([], LakeTables(lh), lh.params.load_ts_col, cross)
+    sql["checks_cross_entity"] = oracle_checks.run_checks_sql([], cross)
+    for name, (fn, inputs) in chk.CROSS_ENTITY.items():
+        q[f"check_{name}"] = (lambda f, i: lambda lh: f(*[lh.table(t) for t in i]))(fn, inputs)
+        sql[f"check_{name}"] = oracle.build(oracle_checks.CROSS_SQL[name])
+    for check in FAILING_ROW_CHECKS:
+        q[f"check_rows_{check.kind}_{check.column}"] = (
+            lambda c: lambda lh: chk.failing_rows(c, LakeTables(lh), lh.params.load_ts_col))(check)
+        sql[f"check_rows_{check.kind}_{check.column}"] = oracle.build(oracle_checks.failing_sql(check))
+
+    # profiling of the sources
+    src_cols = {t: [(f.name, f.dataType.simpleString()) for f in SOURCE_SCHEMAS[t].fields]
+                for t in profile.PROFILED_TABLES}
+    q["profile_shape"] = lambda lh: profile.shape(lh.sources)
+    sql["profile_shape"] = oracle_checks.profile_shape_sql({t: len(c) for t, c in src_cols.items()})
+    for t, key in profile.PROFILED_TABLES.items():
+        q[f"profile_head_{t}"] = (lambda t_, k_: lambda lh: profile.head(lh.sources[t_], k_))(t, key)
+        sql[f"profile_head_{t}"] = oracle.build(f"SELECT * FROM {t} ORDER BY {key} LIMIT 3")
+    q["profile_column_summary"] = lambda lh: profile.column_summaries(lh.sources)
+    sql["profile_column_summary"] = oracle_checks.column_summary_sql(src_cols)
+    for name, fn in [("value_counts", profile.value_counts), ("numeric_describe", profile.numeric_describe),
+                     ("relationships", profile.relationship_summary), ("multiplicity", profile.multiplicity),
+                     ("quality_counters", profile.quality_counters), ("date_ranges", profile.date_ranges),
+                     ("coverage", profile.coverage)]:
+        q[f"profile_{name}"] = (lambda f: lambda lh: f(lh.sources))(fn)
+        sql[f"profile_{name}"] = oracle.build(oracle_checks.PROFILE_SQL[name])
+    q["profile_constraints"] = lambda lh: profile.constraint_report(lh.sources, lh.params.load_ts_col)
+    sql["profile_constraints"] = oracle_checks.run_checks_sql(profile.suggested_constraints())
     return q, sql
 
 
+class LakeTables(dict):
+    """Mapping from model name to the Lakehouse table, built on first use."""
+
+    def __init__(self, lh: Lakehouse):
+        super().__init__()
+        self.lh = lh
+
+    def __missing__(self, name: str) -> DataFrame:
+        df = self.lh.table(name)
+        self[name] = df
+        return df
+
+
+# Failing-row queries registered one by one (one per rule kind on its satellite).
+FAILING_ROW_CHECKS = [
+    chk.Check("valid_email", "sat_customer", "email"),
+    chk.Check("in_range", "sat_customer", "credit_score", (300, 850)),
+    chk.Check("in_range", "sat_account", "balance_usd", (0,)),
+    chk.Check("accepted_values", "sat_card", "card_type", ("Credit", "Debit"), where="card_type is not null"),
+    chk.Check("not_empty_string", "sat_merchant", "merchant_name"),
+    chk.Check("not_in_future", "sat_transaction", "transaction_date"),
+    chk.Check("positive_value", "sat_loan", "loan_amount"),
+    chk.Check("single_current_version", "dim_account_history", "account_hub_key"),
+]
+
+
 def chart_sql(spec: ch.Chart) -> str:
     def m(x: ch.Metric) -> str:
         if x.agg == "sum":
