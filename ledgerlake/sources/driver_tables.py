@@ -33,8 +33,14 @@ URGENT_PRIORITY = "1-URGENT"
 
 
 def driver_reader(spark: SparkSession, sf_dir: str):
+    """Reader of the driver tables; each file is opened (listed, footer read)
+    once per reader, however many sources use it."""
+    opened: dict[str, DataFrame] = {}
+
     def read(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        if name not in opened:
+            opened[name] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        return opened[name]
     return read
 
 
@@ -177,10 +183,43 @@ BUILDERS = {
 }
 
 
+class LazySources(dict):
+    """The seven sources, each built on first access (a query touching two
+    sources opens only their files)."""
+
+    def __init__(self, read):
+        super().__init__()
+        self._read = read
+
+    def __missing__(self, name: str) -> DataFrame:
+        if name not in BUILDERS:
+            raise KeyError(name)
+        df = BUILDERS[name](self._read)
+        self[name] = df
+        return df
+
+    def __contains__(self, name) -> bool:
+        return name in BUILDERS
+
+    def __iter__(self):
+        return iter(BUILDERS)
+
+    def __len__(self) -> int:
+        return len(BUILDERS)
+
+    def keys(self):
+        return list(BUILDERS)
+
+    def items(self):
+        return [(n, self[n]) for n in BUILDERS]
+
+    def values(self):
+        return [self[n] for n in BUILDERS]
+
+
 def banking_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All seven sources as lazy DataFrames over the driver parquet files."""
-    read = driver_reader(spark, sf_dir)
-    return {name: build(read) for name, build in BUILDERS.items()}
+    return LazySources(driver_reader(spark, sf_dir))
 
 
 def account_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
