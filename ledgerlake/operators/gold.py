@@ -25,9 +25,17 @@ SCD2_COLUMNS = ["effective_start_date", "effective_end_date", "is_current", "rec
 
 
 def versioned(sat: DataFrame, hub: DataFrame, entity: str, attrs: list[str],
-              link: DataFrame | None = None, link_other: str | None = None) -> DataFrame:
-    """Satellite versions with ``next_load_dts`` (NULL for the current one)."""
+              link: DataFrame | None = None, link_other: str | None = None,
+              valid_only: bool = False) -> DataFrame:
+    """Satellite versions with ``next_load_dts`` (NULL for the current one).
+
+    ``valid_only`` keeps only versions that passed their rules (the reading
+    of "latest valid row" in the reference's prose; its SQL reads all rows,
+    which is the default).
+    """
     e = ENTITIES[entity]
+    if valid_only:
+        sat = sat.filter(F.col("_is_valid"))
     v = (sat.select(e.hk, *attrs, "hash_diff", "load_dts", "rec_src")
          .join(hub.select(e.hk, e.key), on=e.hk, how="inner"))
     order = [F.col("load_dts"), F.col("hash_diff")]
@@ -45,9 +53,9 @@ def _scd2_tail() -> list[Column]:
             F.col("rec_src").alias("record_source")]
 
 
-def dim_customer(sat: DataFrame, hub: DataFrame) -> DataFrame:
+def dim_customer(sat: DataFrame, hub: DataFrame, valid_only: bool = False) -> DataFrame:
     attrs = ["first_name", "last_name", "email", "city", "credit_score", "created_at"]
-    v = versioned(sat, hub, "customer", attrs)
+    v = versioned(sat, hub, "customer", attrs, valid_only=valid_only)
     return v.select(
         surrogate_key("hk_customer", "load_dts").alias("customer_key"),
         F.col("hk_customer").alias("customer_hub_key"),
@@ -58,9 +66,10 @@ def dim_customer(sat: DataFrame, hub: DataFrame) -> DataFrame:
         *_scd2_tail())
 
 
-def dim_account(sat: DataFrame, hub: DataFrame, link_customer_account: DataFrame) -> DataFrame:
+def dim_account(sat: DataFrame, hub: DataFrame, link_customer_account: DataFrame,
+                valid_only: bool = False) -> DataFrame:
     v = versioned(sat, hub, "account", ["account_type", "open_date"],
-                  link_customer_account, "hk_customer")
+                  link_customer_account, "hk_customer", valid_only)
     return v.select(
         surrogate_key("hk_account", "load_dts").alias("account_key"),
         F.col("hk_account").alias("account_hub_key"),
@@ -69,9 +78,10 @@ def dim_account(sat: DataFrame, hub: DataFrame, link_customer_account: DataFrame
         "account_type", "open_date", *_scd2_tail())
 
 
-def dim_card(sat: DataFrame, hub: DataFrame, link_account_card: DataFrame) -> DataFrame:
+def dim_card(sat: DataFrame, hub: DataFrame, link_account_card: DataFrame,
+             valid_only: bool = False) -> DataFrame:
     v = versioned(sat, hub, "card", ["card_type", "expiration_date"],
-                  link_account_card, "hk_account")
+                  link_account_card, "hk_account", valid_only)
     return v.select(
         surrogate_key("hk_card", "load_dts").alias("card_key"),
         F.col("hk_card").alias("card_hub_key"),
@@ -80,16 +90,16 @@ def dim_card(sat: DataFrame, hub: DataFrame, link_account_card: DataFrame) -> Da
         "card_type", "expiration_date", *_scd2_tail())
 
 
-def dim_merchant(sat: DataFrame, hub: DataFrame) -> DataFrame:
-    v = versioned(sat, hub, "merchant", ["merchant_name", "city"])
+def dim_merchant(sat: DataFrame, hub: DataFrame, valid_only: bool = False) -> DataFrame:
+    v = versioned(sat, hub, "merchant", ["merchant_name", "city"], valid_only=valid_only)
     return v.select(
         surrogate_key("hk_merchant", "load_dts").alias("merchant_key"),
         F.col("hk_merchant").alias("merchant_hub_key"),
         "merchant_id", "merchant_name", "city", *_scd2_tail())
 
 
-def dim_branch(sat: DataFrame, hub: DataFrame) -> DataFrame:
-    v = versioned(sat, hub, "branch", ["branch_name", "manager_name", "city", "country"])
+def dim_branch(sat: DataFrame, hub: DataFrame, valid_only: bool = False) -> DataFrame:
+    v = versioned(sat, hub, "branch", ["branch_name", "manager_name", "city", "country"], valid_only=valid_only)
     return v.select(
         surrogate_key("hk_branch", "load_dts").alias("branch_key"),
         F.col("hk_branch").alias("branch_hub_key"),
@@ -123,13 +133,16 @@ def dim_date(spark: SparkSession, start: dt.date = CALENDAR_START,
 
 def fact_transactions(sat: DataFrame, link_account_transaction: DataFrame,
                       link_merchant_transaction: DataFrame,
-                      link_customer_account: DataFrame) -> DataFrame:
-    """All transaction versions with account, merchant and customer keys.
+                      link_customer_account: DataFrame, latest_only: bool = False) -> DataFrame:
+    """All transaction versions with account, merchant and customer keys
+    (``latest_only``: one row per transaction, its latest version).
 
     The two links on ``hk_transaction`` join on the same partitioning as the
     satellite; the customer lookup re-keys on ``hk_account``, where a hot
     account is split by AQE's skew-join handling.
     """
+    if latest_only:
+        sat = latest_versions(sat, "hk_transaction")
     s = sat.select("hk_transaction", "amount_usd", "transaction_date", "load_dts", "rec_src")
     lat = link_account_transaction.select("hk_transaction", "hk_account")
     lmt = link_merchant_transaction.select("hk_transaction", "hk_merchant")
@@ -146,7 +159,10 @@ def fact_transactions(sat: DataFrame, link_account_transaction: DataFrame,
         F.col("load_dts").alias("load_date"))
 
 
-def fact_loans(sat: DataFrame, link_customer_loan: DataFrame) -> DataFrame:
+def fact_loans(sat: DataFrame, link_customer_loan: DataFrame, latest_only: bool = False) -> DataFrame:
+    """All loan versions (``latest_only``: the latest version per loan)."""
+    if latest_only:
+        sat = latest_versions(sat, "hk_loan")
     s = sat.select("hk_loan", "loan_amount", "interest_rate", "start_date", "load_dts", "rec_src")
     j = s.join(link_customer_loan.select("hk_loan", "hk_customer"), "hk_loan")
     return j.select(

@@ -112,3 +112,32 @@ def test_distributed_rank_and_percentile_match_single_task(spark):
     for q in [0.25, 0.5, 0.75, 0.9]:
         got = exact_percentile(df, F.col("v"), q, [F.col("k")], out="p", num_partitions=5).first().p
         assert abs(got - np.quantile(vals, q)) < 1e-9
+
+
+def test_valid_only_and_latest_only_options(spark):
+    e = ENTITIES["transaction"]
+    rows = [("T1", "A1", "M1", D("5.00"), dt.datetime(2020, 1, 1)),
+            ("T2", "A1", "M1", D("-1.00"), dt.datetime(2020, 1, 1))]
+    stored = None
+    links = {}
+    for amt, p in [("5.00", T1), ("6.00", T2)]:
+        df = spark.createDataFrame([(r[0], r[1], r[2], D(amt) if r[0] == "T1" else r[3], r[4]) for r in rows],
+                                   SOURCE_SCHEMAS["transactions"])
+        b = bronze(df, "transactions", p)
+        new = load_sat(b, e, p, stored)
+        stored = new if stored is None else stored.unionByName(new)
+        for n in ["account_transaction", "merchant_transaction"]:
+            links[n] = links.get(n) or load_link(b, LINKS[n], p)
+    lca = spark.createDataFrame([], "hk_account string, hk_customer string")
+    acc = spark.createDataFrame([("A1", "C1", "Checking", D("1.00"), dt.date(2019, 1, 1))],
+                                SOURCE_SCHEMAS["accounts"])
+    lca = load_link(bronze(acc, "accounts", T1), LINKS["customer_account"], T1)
+    all_versions = gold.fact_transactions(stored, links["account_transaction"],
+                                          links["merchant_transaction"], lca)
+    latest = gold.fact_transactions(stored, links["account_transaction"],
+                                    links["merchant_transaction"], lca, latest_only=True)
+    assert all_versions.count() == 3 and latest.count() == 2
+    assert sorted(str(r.amount_usd) for r in latest.collect()) == ["-1.00", "6.00"]
+    hub = load_hub(bronze(spark.createDataFrame(rows, SOURCE_SCHEMAS["transactions"]), "transactions", T1), e, T1)
+    v = gold.versioned(stored, hub, "transaction", ["amount_usd"], valid_only=True)
+    assert v.count() == 2     # T2 (negative amount) dropped
