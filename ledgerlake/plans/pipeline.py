@@ -11,6 +11,8 @@ earlier batches.  One run at a time writes a given output folder.
 
 from __future__ import annotations
 
+import time
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +36,13 @@ class CheckFailure(RuntimeError):
 class RunResult:
     tables: dict[str, str] = field(default_factory=dict)       # model -> path
     check_results: list = field(default_factory=list)           # rows of the check runner
+    seconds: dict[str, float] = field(default_factory=dict)     # wall time per step
+
+    @contextmanager
+    def timed(self, step: str):
+        t0 = time.perf_counter()
+        yield
+        self.seconds[step] = round(time.perf_counter() - t0, 3)
 
 
 REPORT_BUILDERS = {
@@ -91,7 +100,8 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], out: str,
     # bronze: full refresh
     for table, df in sources.items():
         path = table_path(out, "bronze", table)
-        write_full(bronze(df, table, params), path)
+        with result.timed(f"bronze_{table}"):
+            write_full(bronze(df, table, params), path)
         tables[f"bronze_{table}"] = read(path)
         result.tables[f"bronze_{table}"] = path
 
@@ -99,7 +109,8 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], out: str,
     def append(name, builder):
         path = table_path(out, "silver", name)
         existing = read_batches(spark, path, before=params.load_ts)
-        write_batch(builder(existing), path, params.load_ts)
+        with result.timed(name):
+            write_batch(builder(existing), path, params.load_ts)
         tables[name] = read_batches(spark, path)
         result.tables[name] = path
 
@@ -111,14 +122,16 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], out: str,
         b = tables[f"bronze_{l.source}"]
         append(f"link_{l.name}", lambda ex, b=b, l=l: load_link(b, l, params, ex))
     q_path = table_path(out, "silver", "quarantine")
-    write_full(quarantine({n: tables[f"sat_{n}"] for n in ENTITIES},
-                          {n: tables[f"hub_{n}"] for n in ENTITIES}), q_path)
+    with result.timed("quarantine"):
+        write_full(quarantine({n: tables[f"sat_{n}"] for n in ENTITIES},
+                              {n: tables[f"hub_{n}"] for n in ENTITIES}), q_path)
     result.tables["quarantine"] = q_path
 
     cat = chk.catalogue()
     if run_checks:
-        _evaluate(spark, cat["bronze"] + cat["hubs"] + cat["links"] + cat["satellites"], tables, params,
-                  list(chk.CROSS_ENTITY), fail_on_error, result)
+        with result.timed("checks_silver"):
+            _evaluate(spark, cat["bronze"] + cat["hubs"] + cat["links"] + cat["satellites"], tables,
+                      params, list(chk.CROSS_ENTITY), fail_on_error, result)
 
     # gold: full refresh
     gold_builders = {
@@ -138,15 +151,18 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], out: str,
     }
     for name, build in gold_builders.items():
         path = table_path(out, "gold", name)
-        write_full(build(), path)
+        with result.timed(name):
+            write_full(build(), path)
         tables[name] = read(path)
         result.tables[name] = path
     if run_checks:
-        _evaluate(spark, cat["dimensions"] + cat["facts"], tables, params, [], fail_on_error, result)
+        with result.timed("checks_gold"):
+            _evaluate(spark, cat["dimensions"] + cat["facts"], tables, params, [], fail_on_error, result)
 
     # reporting: full refresh
     for name, build in REPORT_BUILDERS.items():
         path = table_path(out, "reporting", name)
-        write_full(build(tables, params), path)
+        with result.timed(name):
+            write_full(build(tables, params), path)
         result.tables[name] = path
     return result
