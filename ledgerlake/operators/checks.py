@@ -144,34 +144,68 @@ def _label(check_id: str, kind: str, table: str, column: str | None, severity: s
             F.lit(severity).alias("severity"), failures.cast("long").alias("failures")]
 
 
-def run_checks(checks: list[Check], tables: dict[str, DataFrame], now: Column,
-               cross_entity: list[str] | None = None) -> DataFrame:
-    """Evaluate a catalogue; one result row per assertion with its failure
-    count and status (pass / fail / warn; ``error`` severity fails)."""
+def check_parts(checks: list[Check], tables: dict[str, DataFrame], now: Column,
+                cross_entity: list[str] | None = None) -> list[DataFrame]:
+    """The runner's independent jobs, each a small DataFrame of result rows
+    (without ``status``).
+
+    * all row-level assertions of a table: one aggregate (one scan);
+    * all ``unique`` assertions of a table: one aggregate over exploded
+      (column, value) pairs (one scan, one shuffle);
+    * every other set-level assertion: one aggregate or anti-join.
+    """
     parts: list[DataFrame] = []
-    by_table: dict[str, list[Check]] = {}
+    row_level: dict[str, list[Check]] = {}
+    uniques: dict[str, list[Check]] = {}
     for ch in checks:
         if ch.kind in ROW_LEVEL and ch.where is None:
-            by_table.setdefault(ch.table, []).append(ch)
+            row_level.setdefault(ch.table, []).append(ch)
+        elif ch.kind == "unique" and ch.where is None:
+            uniques.setdefault(ch.table, []).append(ch)
         else:
             rows = failing_rows(ch, tables, now)
             parts.append(rows.agg(*_label(ch.id, ch.kind, ch.table, ch.column, ch.severity,
                                           F.count(F.lit(1)))))
-    for table, group in by_table.items():
-        # one scan of the table for all its row-level assertions, then one row each
+    for table, group in row_level.items():
         counts = tables[table].agg(*[
             F.count_if(failing_predicate(ch, now)).alias(f"_f{i}") for i, ch in enumerate(group)])
         rows = F.array(*[F.struct(*_label(ch.id, ch.kind, ch.table, ch.column, ch.severity,
                                           F.col(f"_f{i}"))) for i, ch in enumerate(group)])
         parts.append(counts.select(F.explode(rows).alias("_r")).select("_r.*"))
+    for table, group in uniques.items():
+        pairs = F.array(*[F.struct(F.lit(i).alias("_i"), F.col(ch.column).cast("string").alias("_v"))
+                          for i, ch in enumerate(group)])
+        dup_values = (tables[table].select(F.explode(pairs).alias("_p")).select("_p._i", "_p._v")
+                      .filter(F.col("_v").isNotNull())
+                      .groupBy("_i", "_v").agg(F.count(F.lit(1)).alias("_n"))
+                      .filter("_n > 1")
+                      .groupBy("_i").agg(F.count(F.lit(1)).alias("_dups")))
+        labels = F.array(*[F.struct(F.lit(i).alias("_i"), *_label(ch.id, ch.kind, ch.table, ch.column,
+                                                                   ch.severity, F.lit(0)))
+                           for i, ch in enumerate(group)])
+        # a bounded literal table (one row per assertion) joined to the counts
+        lab = (tables[table].sparkSession.range(1).select(F.explode(labels).alias("_l")).select("_l.*")
+               .drop("failures"))
+        parts.append(lab.join(F.broadcast(dup_values), "_i", "left")
+                     .select("test_id", "kind", "table_name", "column_name", "severity",
+                             F.coalesce(F.col("_dups"), F.lit(0)).cast("long").alias("failures")))
     for name in cross_entity or []:
         fn, inputs = CROSS_ENTITY[name]
         rows = fn(*[tables[t] for t in inputs])
         parts.append(rows.agg(*_label(name, "singular", inputs[0], None, "warn", F.count(F.lit(1)))))
-    out = reduce(DataFrame.unionByName, parts)
-    status = (F.when(F.col("failures") == 0, "pass")
-              .when(F.col("severity") == "warn", "warn").otherwise("fail"))
-    return out.withColumn("status", status)
+    return parts
+
+
+def status_of(failures: Column, severity: Column) -> Column:
+    return F.when(failures == 0, "pass").when(severity == "warn", "warn").otherwise("fail")
+
+
+def run_checks(checks: list[Check], tables: dict[str, DataFrame], now: Column,
+               cross_entity: list[str] | None = None) -> DataFrame:
+    """Evaluate a catalogue; one result row per assertion with its failure
+    count and status (pass / fail / warn; ``error`` severity fails)."""
+    out = reduce(DataFrame.unionByName, check_parts(checks, tables, now, cross_entity))
+    return out.withColumn("status", status_of(F.col("failures"), F.col("severity")))
 
 
 # ---- the catalogue (166 assertions, as declared by the reference) -------------

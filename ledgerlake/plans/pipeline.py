@@ -1,6 +1,10 @@
 """Pipeline runner: source check -> bronze -> silver (+ checks) -> gold (+ checks)
 -> reporting, each table written and read back.
 
+Independent models of one layer (and the independent jobs of the assertion
+runner) are submitted concurrently from driver threads, so small tables do
+not leave the cluster idle while a large one finishes its last tasks.
+
 Writing every model cuts the lineage between layers: a downstream job starts
 from files, a lost executor re-reads a file instead of recomputing upstream
 joins, and no layer is computed twice.  Silver tables are append-only: each
@@ -12,6 +16,7 @@ earlier batches.  One run at a time writes a given output folder.
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
@@ -74,22 +79,40 @@ REPORT_BUILDERS = {
 }
 
 
-def _evaluate(spark, checks, tables, params, cross, fail_on_error: bool, result: RunResult):
-    out = chk.run_checks(checks, tables, params.load_ts_col, cross)
-    rows = out.collect()      # one row per assertion: bounded by the catalogue, not the data
-    result.check_results.extend(rows)
-    failed = [r.test_id for r in rows if r.status == "fail"]
+def _parallel(jobs: list, workers: int) -> list:
+    """Run ``(name, fn)`` jobs from driver threads; results in input order."""
+    if workers <= 1:
+        return [fn() for _, fn in jobs]
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        futures = [pool.submit(fn) for _, fn in jobs]
+        return [f.result() for f in futures]
+
+
+def _evaluate(spark, checks, tables, params, cross, fail_on_error: bool, result: RunResult,
+              workers: int):
+    parts = chk.check_parts(checks, tables, params.load_ts_col, cross)
+    # each part holds one row per assertion: bounded by the catalogue, not the data
+    rows = [r for part in _parallel([(str(i), p.collect) for i, p in enumerate(parts)], workers)
+            for r in part]
+    batch = []
+    for r in rows:
+        d = r.asDict()
+        d["status"] = "pass" if d["failures"] == 0 else ("warn" if d["severity"] == "warn" else "fail")
+        batch.append(d)
+    result.check_results.extend(batch)
+    failed = [d["test_id"] for d in batch if d["status"] == "fail"]
     if failed and fail_on_error:
         raise CheckFailure(f"{len(failed)} assertion(s) failed: {failed[:10]}")
 
 
 def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], out: str,
                  params: RunParams | None = None, run_checks: bool = True,
-                 fail_on_error: bool = False) -> RunResult:
+                 fail_on_error: bool = False, workers: int = 8) -> RunResult:
     """One scheduled run (the reference's daily DAG, without the scheduler).
 
     ``fail_on_error`` stops the run at the first layer whose error-severity
-    assertions fail (warn-severity ones only report).
+    assertions fail (warn-severity ones only report).  ``workers`` is the
+    number of models of one layer submitted at the same time.
     """
     params = params or RunParams()
     result = RunResult()
@@ -98,12 +121,16 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], out: str,
     tables: dict[str, DataFrame] = {}
 
     # bronze: full refresh
-    for table, df in sources.items():
+    def write_bronze(table, df):
         path = table_path(out, "bronze", table)
         with result.timed(f"bronze_{table}"):
             write_full(bronze(df, table, params), path)
-        tables[f"bronze_{table}"] = read(path)
-        result.tables[f"bronze_{table}"] = path
+        return f"bronze_{table}", path
+
+    for name, path in _parallel([(t, lambda t=t, d=d: write_bronze(t, d)) for t, d in sources.items()],
+                                workers):
+        tables[name] = read(path)
+        result.tables[name] = path
 
     # silver: append-only batches
     def append(name, builder):
@@ -111,16 +138,22 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], out: str,
         existing = read_batches(spark, path, before=params.load_ts)
         with result.timed(name):
             write_batch(builder(existing), path, params.load_ts)
-        tables[name] = read_batches(spark, path)
-        result.tables[name] = path
+        return name, path
 
+    jobs = []
     for e in ENTITIES.values():
         b = tables[f"bronze_{e.source}"]
-        append(f"hub_{e.name}", lambda ex, b=b, e=e: load_hub(b, e, params, ex))
-        append(f"sat_{e.name}", lambda ex, b=b, e=e: load_sat(b, e, params, ex))
+        jobs.append((f"hub_{e.name}", lambda b=b, e=e: append(
+            f"hub_{e.name}", lambda ex: load_hub(b, e, params, ex))))
+        jobs.append((f"sat_{e.name}", lambda b=b, e=e: append(
+            f"sat_{e.name}", lambda ex: load_sat(b, e, params, ex))))
     for l in LINKS.values():
         b = tables[f"bronze_{l.source}"]
-        append(f"link_{l.name}", lambda ex, b=b, l=l: load_link(b, l, params, ex))
+        jobs.append((f"link_{l.name}", lambda b=b, l=l: append(
+            f"link_{l.name}", lambda ex: load_link(b, l, params, ex))))
+    for name, path in _parallel(jobs, workers):
+        tables[name] = read_batches(spark, path)
+        result.tables[name] = path
     q_path = table_path(out, "silver", "quarantine")
     with result.timed("quarantine"):
         write_full(quarantine({n: tables[f"sat_{n}"] for n in ENTITIES},
@@ -131,7 +164,7 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], out: str,
     if run_checks:
         with result.timed("checks_silver"):
             _evaluate(spark, cat["bronze"] + cat["hubs"] + cat["links"] + cat["satellites"], tables,
-                      params, list(chk.CROSS_ENTITY), fail_on_error, result)
+                      params, list(chk.CROSS_ENTITY), fail_on_error, result, workers)
 
     # gold: full refresh
     gold_builders = {
@@ -149,20 +182,29 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], out: str,
         "fact_account_balance": lambda: gold.fact_account_balance(tables["sat_account"],
                                                                   tables["link_customer_account"]),
     }
-    for name, build in gold_builders.items():
+    def write_gold(name, build):
         path = table_path(out, "gold", name)
         with result.timed(name):
             write_full(build(), path)
+        return name, path
+
+    for name, path in _parallel([(n, lambda n=n, b=b: write_gold(n, b)) for n, b in gold_builders.items()],
+                                workers):
         tables[name] = read(path)
         result.tables[name] = path
     if run_checks:
         with result.timed("checks_gold"):
-            _evaluate(spark, cat["dimensions"] + cat["facts"], tables, params, [], fail_on_error, result)
+            _evaluate(spark, cat["dimensions"] + cat["facts"], tables, params, [], fail_on_error, result,
+                      workers)
 
     # reporting: full refresh
-    for name, build in REPORT_BUILDERS.items():
+    def write_report(name, build):
         path = table_path(out, "reporting", name)
         with result.timed(name):
             write_full(build(tables, params), path)
+        return name, path
+
+    for name, path in _parallel([(n, lambda n=n, b=b: write_report(n, b))
+                                 for n, b in REPORT_BUILDERS.items()], workers):
         result.tables[name] = path
     return result

@@ -19,7 +19,7 @@ def test_pipeline_full_then_incremental_and_retry(spark, scratch):
     src = banking_sources(spark, SF_SMALL)
     first = run_pipeline(spark, src, out, RunParams())
     assert len(first.check_results) == 166
-    status = {r.test_id: r.status for r in first.check_results}
+    status = {r["test_id"]: r["status"] for r in first.check_results}
     # the planted bad rows make the satellite rule tests fail, as in the reference's data
     assert status["valid_email__sat_customer__email"] == "fail"
     assert status["unique__hub_customer__hk_customer"] == "pass"
