@@ -146,15 +146,22 @@ def _label(check_id: str, kind: str, table: str, column: str | None, severity: s
 
 def check_parts(checks: list[Check], tables: dict[str, DataFrame], now: Column,
                 cross_entity: list[str] | None = None) -> list[DataFrame]:
-    """The runner's independent jobs, each a small DataFrame of result rows
-    (without ``status``).
+    """The runner's independent jobs as DataFrames (see :func:`check_jobs`)."""
+    return [job() for job in check_jobs(checks, tables, now, cross_entity)]
+
+
+def check_jobs(checks: list[Check], tables: dict[str, DataFrame], now: Column,
+               cross_entity: list[str] | None = None) -> list:
+    """The runner's independent jobs, each a function building a small
+    DataFrame of result rows (without ``status``), so callers can build and
+    run them from several driver threads.
 
     * all row-level assertions of a table: one aggregate (one scan);
     * all ``unique`` assertions of a table: one aggregate over exploded
       (column, value) pairs (one scan, one shuffle);
     * every other set-level assertion: one aggregate or anti-join.
     """
-    parts: list[DataFrame] = []
+    jobs: list = []
     row_level: dict[str, list[Check]] = {}
     uniques: dict[str, list[Check]] = {}
     for ch in checks:
@@ -163,37 +170,45 @@ def check_parts(checks: list[Check], tables: dict[str, DataFrame], now: Column,
         elif ch.kind == "unique" and ch.where is None:
             uniques.setdefault(ch.table, []).append(ch)
         else:
-            rows = failing_rows(ch, tables, now)
-            parts.append(rows.agg(*_label(ch.id, ch.kind, ch.table, ch.column, ch.severity,
-                                          F.count(F.lit(1)))))
+            jobs.append(lambda ch=ch: failing_rows(ch, tables, now).agg(
+                *_label(ch.id, ch.kind, ch.table, ch.column, ch.severity, F.count(F.lit(1)))))
     for table, group in row_level.items():
-        counts = tables[table].agg(*[
-            F.count_if(failing_predicate(ch, now)).alias(f"_f{i}") for i, ch in enumerate(group)])
-        rows = F.array(*[F.struct(*_label(ch.id, ch.kind, ch.table, ch.column, ch.severity,
-                                          F.col(f"_f{i}"))) for i, ch in enumerate(group)])
-        parts.append(counts.select(F.explode(rows).alias("_r")).select("_r.*"))
+        jobs.append(lambda table=table, group=group: _row_level_counts(tables[table], group, now))
     for table, group in uniques.items():
-        pairs = F.array(*[F.struct(F.lit(i).alias("_i"), F.col(ch.column).cast("string").alias("_v"))
-                          for i, ch in enumerate(group)])
-        dup_values = (tables[table].select(F.explode(pairs).alias("_p")).select("_p._i", "_p._v")
-                      .filter(F.col("_v").isNotNull())
-                      .groupBy("_i", "_v").agg(F.count(F.lit(1)).alias("_n"))
-                      .filter("_n > 1")
-                      .groupBy("_i").agg(F.count(F.lit(1)).alias("_dups")))
-        labels = F.array(*[F.struct(F.lit(i).alias("_i"), *_label(ch.id, ch.kind, ch.table, ch.column,
-                                                                   ch.severity, F.lit(0)))
-                           for i, ch in enumerate(group)])
-        # a bounded literal table (one row per assertion) joined to the counts
-        lab = (tables[table].sparkSession.range(1).select(F.explode(labels).alias("_l")).select("_l.*")
-               .drop("failures"))
-        parts.append(lab.join(F.broadcast(dup_values), "_i", "left")
-                     .select("test_id", "kind", "table_name", "column_name", "severity",
-                             F.coalesce(F.col("_dups"), F.lit(0)).cast("long").alias("failures")))
+        jobs.append(lambda table=table, group=group: _unique_counts(tables[table], group))
     for name in cross_entity or []:
         fn, inputs = CROSS_ENTITY[name]
-        rows = fn(*[tables[t] for t in inputs])
-        parts.append(rows.agg(*_label(name, "singular", inputs[0], None, "warn", F.count(F.lit(1)))))
-    return parts
+        jobs.append(lambda name=name, fn=fn, inputs=inputs: fn(*[tables[t] for t in inputs]).agg(
+            *_label(name, "singular", inputs[0], None, "warn", F.count(F.lit(1)))))
+    return jobs
+
+
+def _row_level_counts(df: DataFrame, group: list[Check], now: Column) -> DataFrame:
+    """All row-level assertions of one table: one aggregate, one row each."""
+    counts = df.agg(*[F.count_if(failing_predicate(ch, now)).alias(f"_f{i}") for i, ch in enumerate(group)])
+    rows = F.array(*[F.struct(*_label(ch.id, ch.kind, ch.table, ch.column, ch.severity, F.col(f"_f{i}")))
+                     for i, ch in enumerate(group)])
+    return counts.select(F.explode(rows).alias("_r")).select("_r.*")
+
+
+def _unique_counts(df: DataFrame, group: list[Check]) -> DataFrame:
+    """All ``unique`` assertions of one table: one aggregate over exploded
+    (column, value) pairs; failures = number of repeated values."""
+    pairs = F.array(*[F.struct(F.lit(i).alias("_i"), F.col(ch.column).cast("string").alias("_v"))
+                      for i, ch in enumerate(group)])
+    dup_values = (df.select(F.explode(pairs).alias("_p")).select("_p._i", "_p._v")
+                  .filter(F.col("_v").isNotNull())
+                  .groupBy("_i", "_v").agg(F.count(F.lit(1)).alias("_n"))
+                  .filter("_n > 1")
+                  .groupBy("_i").agg(F.count(F.lit(1)).alias("_dups")))
+    labels = F.array(*[F.struct(F.lit(i).alias("_i"), *_label(ch.id, ch.kind, ch.table, ch.column,
+                                                               ch.severity, F.lit(0)))
+                       for i, ch in enumerate(group)])
+    # a literal table with one row per assertion; the counts have at most as many rows
+    lab = df.sparkSession.range(1).select(F.explode(labels).alias("_l")).select("_l.*").drop("failures")
+    return (lab.join(F.broadcast(dup_values), "_i", "left")
+            .select("test_id", "kind", "table_name", "column_name", "severity",
+                    F.coalesce(F.col("_dups"), F.lit(0)).cast("long").alias("failures")))
 
 
 def status_of(failures: Column, severity: Column) -> Column:

@@ -90,9 +90,10 @@ def _parallel(jobs: list, workers: int) -> list:
 
 def _evaluate(spark, checks, tables, params, cross, fail_on_error: bool, result: RunResult,
               workers: int):
-    parts = chk.check_parts(checks, tables, params.load_ts_col, cross)
-    # each part holds one row per assertion: bounded by the catalogue, not the data
-    rows = [r for part in _parallel([(str(i), p.collect) for i, p in enumerate(parts)], workers)
+    jobs = chk.check_jobs(checks, tables, params.load_ts_col, cross)
+    # each job returns one row per assertion: bounded by the catalogue, not the data
+    rows = [r for part in _parallel([(str(i), lambda j=j: j().collect()) for i, j in enumerate(jobs)],
+                                    workers)
             for r in part]
     batch = []
     for r in rows:

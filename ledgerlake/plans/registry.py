@@ -16,6 +16,7 @@ from ledgerlake.plans import oracle, oracle_checks
 from ledgerlake.plans.entities import ENTITIES, LINKS
 from ledgerlake.plans.incremental import account_history
 from ledgerlake.plans.layers import Lakehouse
+from ledgerlake.session import ensure_checkpoint_dir
 from ledgerlake.sources.schemas import SOURCE_SCHEMAS
 
 Builder = Callable[[Lakehouse], DataFrame]
@@ -128,10 +129,10 @@ def _registry() -> tuple[dict[str, Builder], dict[str, str]]:
 
     # data-quality assertions, by layer (166 with the three cross-entity ones)
     for layer, checks in chk.catalogue().items():
-        q[f"checks_{layer}"] = (lambda cs: lambda lh: chk.run_checks(cs, LakeTables(lh), lh.params.load_ts_col))(checks)
+        q[f"checks_{layer}"] = checks_query(checks)
         sql[f"checks_{layer}"] = oracle_checks.run_checks_sql(checks)
     cross = list(chk.CROSS_ENTITY)
-    q["checks_cross_entity"] = lambda lh: chk.run_checks([], LakeTables(lh), lh.params.load_ts_col, cross)
+    q["checks_cross_entity"] = checks_query([], cross)
     sql["checks_cross_entity"] = oracle_checks.run_checks_sql([], cross)
     for name, (fn, inputs) in chk.CROSS_ENTITY.items():
         q[f"check_{name}"] = (lambda f, i: lambda lh: f(*[lh.table(t) for t in i]))(fn, inputs)
@@ -163,17 +164,50 @@ def _registry() -> tuple[dict[str, Builder], dict[str, str]]:
 
 
 class LakeTables(dict):
-    """Mapping from model name to the Lakehouse table, built on first use."""
+    """Mapping from model name to the Lakehouse table, built on first use.
 
-    def __init__(self, lh: Lakehouse):
+    With ``materialize`` each table is checkpointed (reliably, into the
+    session's checkpoint folder) the first time it is needed, so the many
+    assertions over one table read it instead of re-deriving it, as the
+    pipeline does with its written tables.
+    """
+
+    def __init__(self, lh: Lakehouse, materialize: bool = False):
         super().__init__()
         self.lh = lh
+        self.materialize = materialize
 
     def __missing__(self, name: str) -> DataFrame:
         df = self.lh.table(name)
+        if self.materialize:
+            ensure_checkpoint_dir(df.sparkSession)
+            df = df.checkpoint(eager=True)
         self[name] = df
         return df
 
+    def prefetch(self, names: list[str], workers: int = 8) -> "LakeTables":
+        """Build (and with ``materialize``, checkpoint) several tables at
+        once from driver threads."""
+        from concurrent.futures import ThreadPoolExecutor
+        todo = [n for n in dict.fromkeys(names) if n not in self]
+        with ThreadPoolExecutor(max_workers=max(1, min(workers, len(todo) or 1))) as pool:
+            for n, df in zip(todo, pool.map(self.__missing__, todo)):
+                self[n] = df
+        return self
+
+
+def checks_query(checks: list, cross: list[str] | None = None) -> Builder:
+    """A layer's assertions over its tables: the tables are checkpointed once
+    (concurrently) and every assertion reads the checkpoint, as the pipeline's
+    assertions read the written tables."""
+    def run(lh: Lakehouse) -> DataFrame:
+        names = [c.table for c in checks] + [c.args[0] for c in checks if c.kind == "relationships"]
+        for name in cross or []:
+            names += list(chk.CROSS_ENTITY[name][1])
+        tables = LakeTables(lh, materialize=True).prefetch(names)
+        return chk.run_checks(checks, tables, lh.params.load_ts_col, cross)
+    return run
+
 
 # Failing-row queries registered one by one (one per rule kind on its satellite).
 FAILING_ROW_CHECKS = [

@@ -33,6 +33,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     if master:
         builder = builder.master(master)
     conf = dict(SESSION_DEFAULTS)
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the whole cluster; only effective at JVM start
+        conf["spark.driver.memory"] = "4g"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
