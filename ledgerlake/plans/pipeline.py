@@ -30,7 +30,19 @@ from ledgerlake.operators.vault import load_hub, load_link, load_sat, quarantine
 from ledgerlake.params import RunParams
 from ledgerlake.plans.entities import ENTITIES, LINKS
 from ledgerlake.sources.readers import check_sources
-from ledgerlake.sources.sinks import read_batches, table_path, write_batch, write_full
+from ledgerlake.sources.sinks import TableStore
+
+# Bucket key of each silver table in catalog mode: the key its consumers join
+# on (links are joined on the hub they describe, not on their own key).
+SILVER_BUCKET_KEYS = {
+    **{f"hub_{e}": f"hk_{e}" for e in ENTITIES},
+    **{f"sat_{e}": f"hk_{e}" for e in ENTITIES},
+    "link_customer_account": "hk_account",
+    "link_account_card": "hk_card",
+    "link_customer_loan": "hk_loan",
+    "link_account_transaction": "hk_transaction",
+    "link_merchant_transaction": "hk_transaction",
+}
 
 
 class CheckFailure(RuntimeError):
@@ -108,38 +120,38 @@ def _evaluate(spark, checks, tables, params, cross, fail_on_error: bool, result:
 
 def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], out: str,
                  params: RunParams | None = None, run_checks: bool = True,
-                 fail_on_error: bool = False, workers: int = 8) -> RunResult:
+                 fail_on_error: bool = False, workers: int = 8,
+                 database: str | None = None, buckets: int = 0) -> RunResult:
     """One scheduled run (the reference's daily DAG, without the scheduler).
 
     ``fail_on_error`` stops the run at the first layer whose error-severity
     assertions fail (warn-severity ones only report).  ``workers`` is the
-    number of models of one layer submitted at the same time.
+    number of models of one layer submitted at the same time.  With
+    ``database`` the models are catalog tables and silver is bucketed by join
+    key (``buckets``, default the shuffle partition count), see
+    :class:`~ledgerlake.sources.sinks.TableStore`.
     """
     params = params or RunParams()
     result = RunResult()
     check_sources(sources)
-    read = spark.read.parquet
+    store = TableStore(spark, out, database, buckets)
     tables: dict[str, DataFrame] = {}
 
     # bronze: full refresh
     def write_bronze(table, df):
-        path = table_path(out, "bronze", table)
         with result.timed(f"bronze_{table}"):
-            write_full(bronze(df, table, params), path)
-        return f"bronze_{table}", path
+            return f"bronze_{table}", store.write_full(bronze(df, table, params), "bronze", table)
 
-    for name, path in _parallel([(t, lambda t=t, d=d: write_bronze(t, d)) for t, d in sources.items()],
-                                workers):
-        tables[name] = read(path)
-        result.tables[name] = path
+    for name, df in _parallel([(t, lambda t=t, d=d: write_bronze(t, d)) for t, d in sources.items()],
+                              workers):
+        tables[name] = df
 
     # silver: append-only batches
     def append(name, builder):
-        path = table_path(out, "silver", name)
-        existing = read_batches(spark, path, before=params.load_ts)
+        existing = store.existing("silver", name, params.load_ts, SILVER_BUCKET_KEYS.get(name))
         with result.timed(name):
-            write_batch(builder(existing), path, params.load_ts)
-        return name, path
+            return name, store.append_batch(builder(existing), "silver", name, params.load_ts,
+                                            SILVER_BUCKET_KEYS.get(name))
 
     jobs = []
     for e in ENTITIES.values():
@@ -152,14 +164,11 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], out: str,
         b = tables[f"bronze_{l.source}"]
         jobs.append((f"link_{l.name}", lambda b=b, l=l: append(
             f"link_{l.name}", lambda ex: load_link(b, l, params, ex))))
-    for name, path in _parallel(jobs, workers):
-        tables[name] = read_batches(spark, path)
-        result.tables[name] = path
-    q_path = table_path(out, "silver", "quarantine")
+    for name, df in _parallel(jobs, workers):
+        tables[name] = df
     with result.timed("quarantine"):
-        write_full(quarantine({n: tables[f"sat_{n}"] for n in ENTITIES},
-                              {n: tables[f"hub_{n}"] for n in ENTITIES}), q_path)
-    result.tables["quarantine"] = q_path
+        store.write_full(quarantine({n: tables[f"sat_{n}"] for n in ENTITIES},
+                                    {n: tables[f"hub_{n}"] for n in ENTITIES}), "silver", "quarantine")
 
     cat = chk.catalogue()
     if run_checks:
@@ -184,15 +193,12 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], out: str,
                                                                   tables["link_customer_account"]),
     }
     def write_gold(name, build):
-        path = table_path(out, "gold", name)
         with result.timed(name):
-            write_full(build(), path)
-        return name, path
+            return name, store.write_full(build(), "gold", name)
 
-    for name, path in _parallel([(n, lambda n=n, b=b: write_gold(n, b)) for n, b in gold_builders.items()],
-                                workers):
-        tables[name] = read(path)
-        result.tables[name] = path
+    for name, df in _parallel([(n, lambda n=n, b=b: write_gold(n, b)) for n, b in gold_builders.items()],
+                              workers):
+        tables[name] = df
     if run_checks:
         with result.timed("checks_gold"):
             _evaluate(spark, cat["dimensions"] + cat["facts"], tables, params, [], fail_on_error, result,
@@ -200,12 +206,11 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], out: str,
 
     # reporting: full refresh
     def write_report(name, build):
-        path = table_path(out, "reporting", name)
         with result.timed(name):
-            write_full(build(tables, params), path)
-        return name, path
+            store.write_full(build(tables, params), "reporting", name)
+        return name
 
-    for name, path in _parallel([(n, lambda n=n, b=b: write_report(n, b))
-                                 for n, b in REPORT_BUILDERS.items()], workers):
-        result.tables[name] = path
+    _parallel([(n, lambda n=n, b=b: write_report(n, b)) for n, b in REPORT_BUILDERS.items()], workers)
+    result.tables = {name: store.table_path(name) for name in
+                     list(tables) + ["quarantine"] + list(REPORT_BUILDERS)}
     return result

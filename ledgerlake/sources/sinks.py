@@ -12,6 +12,7 @@ import datetime as dt
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 LAYERS = ("bronze", "silver", "gold", "reporting")
 
@@ -68,3 +69,110 @@ def exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
+class TableStore:
+    """Where a pipeline run keeps its models.
+
+    * path mode (``database=None``): plain parquet folders; silver batches are
+      ``batch=<load_ts>`` sub-folders (see the functions above).
+    * catalog mode: tables registered in ``database`` (external, at the same
+      paths), silver tables **bucketed by their join key** and partitioned by
+      ``_batch``.  Readers then know how the data is partitioned: joins and
+      windows on the hash key between hubs, links and satellites, and the
+      incremental anti-joins against stored rows, need no exchange on the
+      stored side.  A batch first drops its own partition (left by a failed
+      earlier attempt) and then appends, so a retry replaces exactly it.
+    """
+
+    def __init__(self, spark: SparkSession, base: str, database: str | None = None,
+                 buckets: int = 0):
+        self.spark, self.base, self.database = spark, base.rstrip("/"), database
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        if database:
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{self.base}/_catalog'")
+
+    def table_path(self, model: str) -> str:
+        """Storage folder of a model name (``bronze_<t>``, ``hub_x``, ``dim_x`` ...)."""
+        if model.startswith("bronze_"):
+            return table_path(self.base, "bronze", model[len("bronze_"):])
+        if model.split("_", 1)[0] in ("hub", "link", "sat") or model == "quarantine":
+            return table_path(self.base, "silver", model)
+        if model.split("_", 1)[0] in ("dim", "fact"):
+            return table_path(self.base, "gold", model)
+        return table_path(self.base, "reporting", model)
+
+    def _fq(self, layer: str, name: str) -> str:
+        return f"{self.database}.{layer}__{name}"
+
+    def _exists(self, layer: str, name: str) -> bool:
+        return self.spark.catalog.tableExists(f"{self.database}.{layer}__{name}")
+
+    def write_full(self, df: DataFrame, layer: str, name: str, key: str | None = None) -> DataFrame:
+        path = table_path(self.base, layer, name)
+        if not self.database:
+            write_full(df, path)
+            return self.spark.read.parquet(path)
+        w = df.write.format("parquet").option("path", path).mode("overwrite")
+        if key:
+            w = w.bucketBy(self.buckets, key).sortBy(key)
+        w.saveAsTable(self._fq(layer, name))
+        return self.spark.table(self._fq(layer, name))
+
+    def existing(self, layer: str, name: str, load_ts: dt.datetime,
+                 key: str | None = None) -> DataFrame | None:
+        """Rows stored by earlier batches (None on the first run)."""
+        path = table_path(self.base, layer, name)
+        if not self.database:
+            return read_batches(self.spark, path, before=load_ts)
+        if not self._exists(layer, name):
+            if not exists(self.spark, path):
+                return None
+            self._attach(layer, name, path, key)
+        return (self.spark.table(self._fq(layer, name))
+                .filter(F.col("_batch") < batch_tag(load_ts)).drop("_batch"))
+
+    def append_batch(self, df: DataFrame, layer: str, name: str, load_ts: dt.datetime,
+                     key: str | None = None) -> DataFrame:
+        path = table_path(self.base, layer, name)
+        if not self.database:
+            write_batch(df, path, load_ts)
+            return read_batches(self.spark, path)
+        tagged = df.withColumn("_batch", F.lit(batch_tag(load_ts)))
+        if not self._exists(layer, name) and exists(self.spark, path):
+            self._attach(layer, name, path, key)
+        if self._exists(layer, name):
+            # a retried batch first removes what its earlier attempt stored, then
+            # appends (an overwrite may not read its own target; the loaders read
+            # the earlier batches of this table)
+            tag = batch_tag(load_ts)
+            self.spark.sql(f"ALTER TABLE {self._fq(layer, name)} DROP IF EXISTS PARTITION (_batch='{tag}')")
+            _delete(self.spark, f"{path}/_batch={tag}")
+            cols = [f.name for f in self.spark.table(self._fq(layer, name)).schema.fields]
+            tagged.select(*cols).write.insertInto(self._fq(layer, name), overwrite=False)
+        else:
+            w = (tagged.write.format("parquet").option("path", path).mode("errorifexists")
+                 .partitionBy("_batch"))
+            if key:
+                w = w.bucketBy(self.buckets, key).sortBy(key)
+            w.saveAsTable(self._fq(layer, name))
+        return self.spark.table(self._fq(layer, name)).drop("_batch")
+
+    def _attach(self, layer: str, name: str, path: str, key: str | None) -> None:
+        """Register batches already stored at ``path`` (a catalog that forgot
+        the table) instead of overwriting them.  The schema comes from the
+        stored files; the bucket spec from the caller."""
+        schema = self.spark.read.parquet(path).schema
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        clustered = f"CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {self.buckets} BUCKETS" if key else ""
+        self.spark.sql(f"CREATE TABLE {self._fq(layer, name)} ({cols}) USING parquet PARTITIONED BY (_batch) "
+                       f"{clustered} LOCATION '{path}'")
+        self.spark.sql(f"ALTER TABLE {self._fq(layer, name)} RECOVER PARTITIONS")
