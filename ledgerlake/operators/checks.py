@@ -169,6 +169,8 @@ def check_jobs(checks: list[Check], tables: dict[str, DataFrame], now: Column,
             row_level.setdefault(ch.table, []).append(ch)
         elif ch.kind == "unique" and ch.where is None:
             uniques.setdefault(ch.table, []).append(ch)
+        elif ch.kind == "relationships" and ch.where is None:
+            jobs.append(lambda ch=ch: _orphan_count(ch, tables))
         else:
             jobs.append(lambda ch=ch: failing_rows(ch, tables, now).agg(
                 *_label(ch.id, ch.kind, ch.table, ch.column, ch.severity, F.count(F.lit(1)))))
@@ -183,6 +185,19 @@ def check_jobs(checks: list[Check], tables: dict[str, DataFrame], now: Column,
     return jobs
 
 
+def _orphan_count(ch: Check, tables: dict[str, DataFrame]) -> DataFrame:
+    """Child rows whose key is missing in the parent.  Child keys are counted
+    first (a partial aggregate: a key holding a third of the rows becomes one
+    row per map task), so the anti-join shuffles distinct keys, not rows."""
+    parent_table, parent_field = ch.args
+    c = ch.column
+    keys = (tables[ch.table].filter(F.col(c).isNotNull()).groupBy(c)
+            .agg(F.count(F.lit(1)).alias("_n")))
+    parent = tables[parent_table].select(F.col(parent_field).alias(c))
+    return keys.join(parent, c, "left_anti").agg(
+        *_label(ch.id, ch.kind, ch.table, ch.column, ch.severity, F.coalesce(F.sum("_n"), F.lit(0))))
+
+
 def _row_level_counts(df: DataFrame, group: list[Check], now: Column) -> DataFrame:
     """All row-level assertions of one table: one aggregate, one row each."""
     counts = df.agg(*[F.count_if(failing_predicate(ch, now)).alias(f"_f{i}") for i, ch in enumerate(group)])
