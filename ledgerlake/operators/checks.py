@@ -21,7 +21,8 @@ from ledgerlake.functions.banking import EMAIL_PATTERN
 
 ROW_LEVEL = {"not_null", "valid_email", "not_in_future", "positive_value", "in_range",
              "not_empty_string"}
-SET_LEVEL = {"unique", "relationships", "accepted_values", "single_current_version"}
+SET_LEVEL = {"unique", "relationships", "accepted_values", "single_current_version",
+             "at_least_one_current"}
 
 
 @dataclass(frozen=True)
@@ -85,6 +86,12 @@ def failing_rows(check: Check, tables: dict[str, DataFrame], now: Column) -> Dat
     if check.kind == "single_current_version":
         return (df.filter(F.col("is_current")).groupBy(c).agg(F.count(F.lit(1)).alias("n"))
                 .filter("n > 1").select(c))
+    if check.kind == "at_least_one_current":
+        # optional, not in the reference's catalogue: the prose's "exactly one
+        # current row" needs this together with single_current_version
+        return (df.filter(F.col(c).isNotNull()).groupBy(c)
+                .agg(F.max(F.col("is_current").cast("int")).alias("_any"))
+                .filter("_any = 0").select(c))
     raise ValueError(check.kind)
 
 

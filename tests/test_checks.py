@@ -38,9 +38,17 @@ CASES = [
     (Check("in_range", "child", "v", (0,)), 1),
     (Check("not_empty_string", "child", "t"), 2),          # NULL and ' '
     (Check("single_current_version", "dim", "hub"), 1),    # h1
+    (Check("at_least_one_current", "dim", "hub"), 0),
 ]
 
 
+def test_at_least_one_current(spark):
+    dim = spark.createDataFrame([("h1", False), ("h1", False), ("h2", True), ("h2", False)],
+                                "hub string, is_current boolean")
+    rows = failing_rows(Check("at_least_one_current", "dim", "hub"), {"dim": dim}, PARAMS.load_ts_col)
+    assert [r.hub for r in rows.collect()] == ["h1"]
+
+
 def test_failing_rows_counts(spark):
     tables = _tables(spark)
     for check, want in CASES:
@@ -54,7 +62,7 @@ def test_runner_matches_failing_rows_and_sets_status(spark):
                                       Check("unique", "parent", "pk", severity="warn")]
     got = {r.test_id: (r.failures, r.status) for r in run_checks(checks, tables, PARAMS.load_ts_col).collect()}
     for check, want in cases:
-        assert got[check.id] == (want, "fail"), check.id
+        assert got[check.id] == (want, "fail" if want else "pass"), check.id
     assert got["not_null__child__email"] == (1, "warn")
     assert got["unique__parent__pk"] == (1, "warn")
 

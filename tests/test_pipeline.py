@@ -85,6 +85,21 @@ def test_pipeline_catalog_mode_buckets_silver(spark, scratch):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "Exchange hashpartitioning(hk_account" not in plan, plan
+    # incremental satellite load: the stored history is aggregated and joined in
+    # its buckets; only the new batch is shuffled
+    from ledgerlake.operators.bronze import bronze as to_bronze
+    from ledgerlake.operators.vault import load_sat
+    from ledgerlake.plans.entities import ENTITIES
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        new = load_sat(to_bronze(src["accounts"], "accounts", RunParams(load_ts=SECOND_LOAD_TS)),
+                       ENTITIES["account"], RunParams(load_ts=SECOND_LOAD_TS), existing=sat)
+        plan = new._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    stored_side = [line for line in plan.splitlines() if "silver__sat_account" in line]
+    assert stored_side and all("Bucketed: true" in line for line in stored_side), plan
+    assert plan.count("Exchange hashpartitioning") <= 2, plan   # new batch: dedupe + re-key only
     # second batch, then its retry: idempotent, and a forgotten table is re-attached
     later = RunParams(load_ts=SECOND_LOAD_TS)
     run_pipeline(spark, src, out, later, run_checks=False, database=db, buckets=4)
