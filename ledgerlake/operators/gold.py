@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions.banking import credit_tier, date_key, month_start, open_end_ts
 from ledgerlake.functions.keys import surrogate_key
+from ledgerlake.operators.skew import salted_join
 from ledgerlake.plans.entities import ENTITIES, LINKS
 
 CALENDAR_START = dt.date(2015, 1, 1)
@@ -133,13 +134,15 @@ def dim_date(spark: SparkSession, start: dt.date = CALENDAR_START,
 
 def fact_transactions(sat: DataFrame, link_account_transaction: DataFrame,
                       link_merchant_transaction: DataFrame,
-                      link_customer_account: DataFrame, latest_only: bool = False) -> DataFrame:
+                      link_customer_account: DataFrame, latest_only: bool = False,
+                      hot_account_rows: int | None = None) -> DataFrame:
     """All transaction versions with account, merchant and customer keys
     (``latest_only``: one row per transaction, its latest version).
 
     The two links on ``hk_transaction`` join on the same partitioning as the
     satellite; the customer lookup re-keys on ``hk_account``, where a hot
-    account is split by AQE's skew-join handling.
+    account is split by AQE's skew-join handling, or explicitly by salting
+    accounts with more than ``hot_account_rows`` transactions.
     """
     if latest_only:
         sat = latest_versions(sat, "hk_transaction")
@@ -147,7 +150,11 @@ def fact_transactions(sat: DataFrame, link_account_transaction: DataFrame,
     lat = link_account_transaction.select("hk_transaction", "hk_account")
     lmt = link_merchant_transaction.select("hk_transaction", "hk_merchant")
     lca = link_customer_account.select("hk_account", "hk_customer")
-    j = (s.join(lat, "hk_transaction").join(lmt, "hk_transaction").join(lca, "hk_account"))
+    j = s.join(lat, "hk_transaction").join(lmt, "hk_transaction")
+    if hot_account_rows:
+        j = salted_join(j, lca, "hk_account", hot_account_rows)
+    else:
+        j = j.join(lca, "hk_account")
     return j.select(
         F.col("hk_transaction").alias("transaction_hub_key"),
         F.col("hk_account").alias("account_hub_key"),

@@ -121,7 +121,8 @@ def _evaluate(spark, checks, tables, params, cross, fail_on_error: bool, result:
 def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], out: str,
                  params: RunParams | None = None, run_checks: bool = True,
                  fail_on_error: bool = False, workers: int = 8,
-                 database: str | None = None, buckets: int = 0) -> RunResult:
+                 database: str | None = None, buckets: int = 0,
+                 hot_key_rows: int | None = None) -> RunResult:
     """One scheduled run (the reference's daily DAG, without the scheduler).
 
     ``fail_on_error`` stops the run at the first layer whose error-severity
@@ -129,7 +130,9 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], out: str,
     number of models of one layer submitted at the same time.  With
     ``database`` the models are catalog tables and silver is bucketed by join
     key (``buckets``, default the shuffle partition count), see
-    :class:`~ledgerlake.sources.sinks.TableStore`.
+    :class:`~ledgerlake.sources.sinks.TableStore`.  ``hot_key_rows`` splits
+    accounts with more transactions than that in the fact build explicitly
+    (see :mod:`ledgerlake.operators.skew`); by default AQE splits them.
     """
     params = params or RunParams()
     result = RunResult()
@@ -187,7 +190,8 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], out: str,
         "dim_date": lambda: gold.dim_date(spark),
         "fact_transactions": lambda: gold.fact_transactions(
             tables["sat_transaction"], tables["link_account_transaction"],
-            tables["link_merchant_transaction"], tables["link_customer_account"]),
+            tables["link_merchant_transaction"], tables["link_customer_account"],
+            hot_account_rows=hot_key_rows),
         "fact_loans": lambda: gold.fact_loans(tables["sat_loan"], tables["link_customer_loan"]),
         "fact_account_balance": lambda: gold.fact_account_balance(tables["sat_account"],
                                                                   tables["link_customer_account"]),

@@ -83,6 +83,13 @@ def _registry() -> tuple[dict[str, Builder], dict[str, str]]:
         q[name] = (lambda n: lambda lh: getattr(lh, n))(name)
         sql[name] = oracle.table(name)
 
+    # the same fact with hot accounts split explicitly (threshold low enough that
+    # the driver data has hot keys, so the salted path is exercised)
+    q["fact_transactions_salted"] = lambda lh: gold.fact_transactions(
+        lh.sat("transaction"), lh.link("account_transaction"), lh.link("merchant_transaction"),
+        lh.link("customer_account"), hot_account_rows=4)
+    sql["fact_transactions_salted"] = oracle.table("fact_transactions")
+
     # documented joins
     q["join_current_customer"] = lambda lh: gold.join_current(
         lh.fact_transactions.select("transaction_hub_key", "customer_hub_key", "amount_usd"),

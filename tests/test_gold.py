@@ -141,3 +141,17 @@ def test_valid_only_and_latest_only_options(spark):
     hub = load_hub(bronze(spark.createDataFrame(rows, SOURCE_SCHEMAS["transactions"]), "transactions", T1), e, T1)
     v = gold.versioned(stored, hub, "transaction", ["amount_usd"], valid_only=True)
     assert v.count() == 2     # T2 (negative amount) dropped
+
+
+def test_salted_join_equals_plain_join_with_a_hot_key(spark):
+    from ledgerlake.operators.skew import hot_keys, salted_join
+    big = spark.createDataFrame([(f"t{i}", "hot" if i % 3 else f"k{i}", i) for i in range(3000)] +
+                                [("tn", None, 0)], "t string, k string, v int")
+    small = spark.createDataFrame([("hot", "c1"), ("hot", "c2")] +
+                                  [(f"k{i}", f"c{i}") for i in range(0, 3000, 3)], "k string, c string")
+    assert [r.k for r in hot_keys(big, "k", 100).collect()] == ["hot"]
+    for how in ["inner", "left"]:
+        want = big.join(small, "k", how)
+        got = salted_join(big, small, "k", threshold=100, salts=8, how=how)
+        assert got.count() == want.count()
+        assert got.exceptAll(want.select(*got.columns)).count() == 0
