@@ -23,7 +23,8 @@ from ledgerlake.operators.bronze import bronze
 from ledgerlake.operators.vault import load_hub, load_link, load_sat
 from ledgerlake.params import RunParams
 from ledgerlake.plans.entities import ENTITIES, LINKS
-from ledgerlake.sources.sinks import exists, read_batches, table_path, write_batch
+from ledgerlake.plans.pipeline import SILVER_BUCKET_KEYS
+from ledgerlake.sources.sinks import TableStore, exists
 
 
 def _epoch_load_ts(spark: SparkSession, out: str, source: str, epoch_id: int,
@@ -37,9 +38,12 @@ def _epoch_load_ts(spark: SparkSession, out: str, source: str, epoch_id: int,
 
 
 def vault_batch_writer(out: str, source: str, base: RunParams | None = None,
-                       clock: Callable[[], dt.datetime] | None = None):
+                       clock: Callable[[], dt.datetime] | None = None,
+                       database: str | None = None, buckets: int = 0):
     """A ``foreachBatch`` function loading micro-batches of one source table
-    (e.g. ``accounts``) into every hub, link and satellite fed by it."""
+    (e.g. ``accounts``) into every hub, link and satellite fed by it, stored
+    like the pipeline stores them (folders, or bucketed catalog tables with
+    ``database``)."""
     base = base or RunParams()
     clock = clock or (lambda: dt.datetime.utcnow().replace(microsecond=0))
     entities = [e for e in ENTITIES.values() if e.source == source]
@@ -47,6 +51,7 @@ def vault_batch_writer(out: str, source: str, base: RunParams | None = None,
 
     def write(batch_df: DataFrame, epoch_id: int) -> None:
         spark = batch_df.sparkSession
+        store = TableStore(spark, out, database, buckets)
         load_ts = _epoch_load_ts(spark, out, source, epoch_id, clock)
         params = base.with_load_ts(load_ts)
         b = bronze(batch_df, source, params)
@@ -54,8 +59,8 @@ def vault_batch_writer(out: str, source: str, base: RunParams | None = None,
         jobs += [(f"sat_{e.name}", lambda ex, e=e: load_sat(b, e, params, ex)) for e in entities]
         jobs += [(f"link_{l.name}", lambda ex, l=l: load_link(b, l, params, ex)) for l in links]
         for name, build in jobs:
-            path = table_path(out, "silver", name)
-            existing = read_batches(spark, path, before=load_ts)
-            write_batch(build(existing), path, load_ts)
+            key = SILVER_BUCKET_KEYS.get(name)
+            existing = store.existing("silver", name, load_ts, key)
+            store.append_batch(build(existing), "silver", name, load_ts, key)
 
     return write
