@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 
+from ledgerlake.plans.entities import ENTITIES
 from ledgerlake.params import DEFAULT_AS_OF, DEFAULT_LOAD_TS, DEFAULT_SOURCE, SECOND_LOAD_TS, sql_date, sql_ts
 
 LOAD = sql_ts(DEFAULT_LOAD_TS)
@@ -216,15 +217,8 @@ def _staged_sat_sql(entity: str, bronze: str, load: str = LOAD) -> str:
 for _e, _s in SOURCE_OF.items():
     CTES[f"sat_{_e}"] = _staged_sat_sql(_e, f"bronze_{_s}")
 
-QUARANTINE_PARTS = {
-    "customer": "failed customer validation: email format, credit_score range (300-850), or created_at in the future",
-    "account": "failed account validation: balance_usd negative or account_type not recognized",
-    "card": "failed card validation: card_type not recognized",
-    "merchant": "failed merchant validation: merchant_name is null or empty",
-    "branch": "failed branch validation: branch_name is null or empty",
-    "loan": "failed loan validation: loan_amount not positive or interest_rate outside 0-100",
-    "transaction": "failed transaction validation: amount_usd not positive or transaction_date in the future",
-}
+# the reason texts are fixed values, kept once in the entity catalogue
+QUARANTINE_PARTS = {e: ENTITIES[e].reason for e in SOURCE_OF}
 
 CTES["quarantine"] = "\n    UNION ALL\n".join(
     f"""    SELECT '{e}' AS source_table, h.{KEY_OF[e]} AS source_business_key, s.hk_{e} AS hash_key,

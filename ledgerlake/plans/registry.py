@@ -145,9 +145,9 @@ def _registry() -> tuple[dict[str, Builder], dict[str, str]]:
         q[f"check_{name}"] = (lambda f, i: lambda lh: f(*[lh.table(t) for t in i]))(fn, inputs)
         sql[f"check_{name}"] = oracle.build(oracle_checks.CROSS_SQL[name])
     for check in FAILING_ROW_CHECKS:
-        q[f"check_rows_{check.kind}_{check.column}"] = (
-            lambda c: lambda lh: chk.failing_rows(c, LakeTables(lh), lh.params.load_ts_col))(check)
-        sql[f"check_rows_{check.kind}_{check.column}"] = oracle.build(oracle_checks.failing_sql(check))
+        name = f"check_rows_{check.kind}_{check.table}_{check.column}"
+        q[name] = (lambda c: lambda lh: chk.failing_rows(c, LakeTables(lh), lh.params.load_ts_col))(check)
+        sql[name] = oracle.build(oracle_checks.failing_sql(check))
 
     # profiling of the sources
     src_cols = {t: [(f.name, f.dataType.simpleString()) for f in SOURCE_SCHEMAS[t].fields]
@@ -226,6 +226,14 @@ FAILING_ROW_CHECKS = [
     chk.Check("not_in_future", "sat_transaction", "transaction_date"),
     chk.Check("positive_value", "sat_loan", "loan_amount"),
     chk.Check("single_current_version", "dim_account_history", "account_hub_key"),
+    chk.Check("unique", "bronze_transactions", "transaction_id"),
+    chk.Check("not_null", "fact_transactions", "customer_hub_key"),
+    chk.Check("relationships", "fact_transactions", "date_key", ("dim_date", "date_key")),
+    chk.Check("not_empty_string", "sat_branch", "branch_name"),
+    chk.Check("positive_value", "fact_transactions", "amount_usd"),
+    chk.Check("accepted_values", "dim_customer", "credit_tier",
+              ("super_prime", "prime", "near_prime", "subprime", "deep_subprime"),
+              where="credit_tier is not null"),
 ]
 
 
