@@ -152,7 +152,8 @@ def fact_transactions(sat: DataFrame, link_account_transaction: DataFrame,
     lca = link_customer_account.select("hk_account", "hk_customer")
     j = s.join(lat, "hk_transaction").join(lmt, "hk_transaction")
     if hot_account_rows:
-        j = salted_join(j, lca, "hk_account", hot_account_rows)
+        # one transaction per link row: the link has the fact's account distribution
+        j = salted_join(j, lca, "hk_account", hot_account_rows, hot_from=lat)
     else:
         j = j.join(lca, "hk_account")
     return j.select(

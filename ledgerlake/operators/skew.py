@@ -27,15 +27,18 @@ def hot_keys(df: DataFrame, key: str, threshold: int) -> DataFrame:
 
 
 def salted_join(big: DataFrame, small: DataFrame, key: str, threshold: int,
-                salts: int = 32, how: str = "inner") -> DataFrame:
+                salts: int = 32, how: str = "inner", hot_from: DataFrame | None = None) -> DataFrame:
     """``big.join(small, key, how)`` with hot keys of ``big`` split ``salts`` ways.
 
     ``how`` is ``inner`` or ``left`` (big side preserved); the result equals the
-    plain join.
+    plain join.  ``hot_from`` is a cheaper table with the same key
+    distribution to find hot keys in (e.g. the link that carries the key),
+    instead of a second pass over ``big``'s whole lineage.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
-    hot = F.broadcast(hot_keys(big, key, threshold).withColumn("_hot", F.lit(True)))
+    source = big if hot_from is None else hot_from
+    hot = F.broadcast(hot_keys(source, key, threshold).withColumn("_hot", F.lit(True)))
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(salts))
     b = (big.join(hot, key, "left")
          .withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0)).cast("int"))
