@@ -43,6 +43,8 @@ SILVER_BUCKET_KEYS = {
     "link_account_transaction": "hk_transaction",
     "link_merchant_transaction": "hk_transaction",
 }
+# Gold dimensions are joined by reports on their durable hub key.
+GOLD_BUCKET_KEYS = {f"dim_{e}": f"{e}_hub_key" for e in ["customer", "account", "card", "merchant", "branch"]}
 
 
 class CheckFailure(RuntimeError):
@@ -198,7 +200,7 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], out: str,
     }
     def write_gold(name, build):
         with result.timed(name):
-            return name, store.write_full(build(), "gold", name)
+            return name, store.write_full(build(), "gold", name, GOLD_BUCKET_KEYS.get(name))
 
     for name, df in _parallel([(n, lambda n=n, b=b: write_gold(n, b)) for n, b in gold_builders.items()],
                               workers):

@@ -108,3 +108,18 @@ def test_pipeline_catalog_mode_buckets_silver(spark, scratch):
     assert spark.table(f"{db}.silver__hub_account").count() == n
     assert spark.table(f"{db}.silver__sat_transaction").count() == src["transactions"].count()
     assert spark.table(f"{db}.gold__dim_account").filter("is_current").count() == n
+
+
+def test_cli_with_parquet_sources(spark, scratch, capsys):
+    import json
+
+    from ledgerlake.__main__ import main
+
+    raw = os.path.join(scratch, "raw")
+    for name, df in banking_sources(spark, SF_SMALL).items():
+        df.write.parquet(os.path.join(raw, f"{name}.parquet"))
+    rc = main(["--sources", f"parquet:{raw}", "--out", os.path.join(scratch, "lake"), "--no-checks"])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert rc == 0 and out["status"] == "ok"
+    kpis = spark.read.parquet(out["tables"]["customer_kpis"]).first()
+    assert kpis.total_customers == spark.read.parquet(os.path.join(raw, "customers.parquet")).count()
