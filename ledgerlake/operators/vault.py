@@ -82,6 +82,19 @@ def stage_sat(bronze_df: DataFrame, entity: Entity, params: RunParams) -> DataFr
         F.col("_source").alias("rec_src"))
 
 
+def dedupe_versions(staged: DataFrame, entity: Entity) -> DataFrame:
+    """One row per (hk, hash_diff).  Rows sharing both normally carry the same
+    attributes; when they do not (the undelimited hash makes ('ab','c') and
+    ('a','bc') collide) the smallest attribute tuple is kept, so a retried
+    task keeps the same row.  Partial + final aggregate: copies of one row are
+    combined map-side."""
+    rest = [*entity.attr_names, "_is_valid", "load_dts", "rec_src"]
+    return (staged.groupBy(entity.hk, "hash_diff")
+            .agg(F.min(F.struct(*rest)).alias("_v"))
+            .select(entity.hk, *[F.col("_v")[c].alias(c) for c in entity.attr_names], "hash_diff",
+                    *[F.col("_v")[c].alias(c) for c in ["_is_valid", "load_dts", "rec_src"]]))
+
+
 def latest_hash(existing: DataFrame, hk: str) -> DataFrame:
     """Latest stored ``hash_diff`` per hub key; ties on ``load_dts`` (two
     versions of one batch) are broken by ``hash_diff``."""
@@ -97,7 +110,7 @@ def load_sat(bronze_df: DataFrame, entity: Entity, params: RunParams,
     versions.  Invalid rows are stored too (soft fail, ``_is_valid = false``).
     """
     hk = entity.hk
-    staged = stage_sat(bronze_df, entity, params).dropDuplicates([hk, "hash_diff"])
+    staged = dedupe_versions(stage_sat(bronze_df, entity, params), entity)
     if existing is None:
         return staged.select(*sat_columns(entity))
     latest = latest_hash(existing, hk)

@@ -112,3 +112,16 @@ def test_merchant_name_rule(spark):
     hub = load_hub(b, ENTITIES["merchant"], T1)
     got = {r.merchant_id: r._is_valid for r in sat.join(hub, "hk_merchant").collect()}
     assert got == {"M1": False, "M2": False, "M3": False, "M4": True}
+
+
+def test_dedupe_versions_is_deterministic_on_hash_collisions(spark):
+    from ledgerlake.operators.vault import dedupe_versions
+    rows = [("h", "Savings", D("1.00"), dt.date(2020, 1, 1), "x", True, T1.load_ts, "s"),
+            ("h", "Checking", D("2.00"), dt.date(2020, 1, 1), "x", True, T1.load_ts, "s"),
+            ("h", "Checking", D("2.00"), dt.date(2020, 1, 1), "x", True, T1.load_ts, "s")]
+    staged = spark.createDataFrame(rows, "hk_account string, account_type string, balance_usd decimal(14,2), "
+                                         "open_date date, hash_diff string, _is_valid boolean, "
+                                         "load_dts timestamp_ntz, rec_src string")
+    for df in [staged, staged.repartition(3), staged.orderBy(F.desc("account_type"))]:
+        out = dedupe_versions(df, ENTITIES["account"]).collect()
+        assert len(out) == 1 and out[0].account_type == "Checking" and str(out[0].balance_usd) == "2.00"
