@@ -43,6 +43,8 @@ def versioned(sat: DataFrame, hub: DataFrame, entity: str, attrs: list[str],
     if link is not None:
         v = v.join(link.select(e.hk, link_other), on=e.hk, how="inner")
         order.append(F.col(link_other).asc_nulls_last())
+    # attributes last: a total order even for colliding hash_diffs
+    order += [F.col(a).asc_nulls_last() for a in attrs]
     w = Window.partitionBy(e.hk).orderBy(*order)
     return v.withColumn("next_load_dts", F.lead("load_dts").over(w))
 

@@ -83,16 +83,13 @@ def stage_sat(bronze_df: DataFrame, entity: Entity, params: RunParams) -> DataFr
 
 
 def dedupe_versions(staged: DataFrame, entity: Entity) -> DataFrame:
-    """One row per (hk, hash_diff).  Rows sharing both normally carry the same
-    attributes; when they do not (the undelimited hash makes ('ab','c') and
-    ('a','bc') collide) the smallest attribute tuple is kept, so a retried
-    task keeps the same row.  Partial + final aggregate: copies of one row are
-    combined map-side."""
-    rest = [*entity.attr_names, "_is_valid", "load_dts", "rec_src"]
-    return (staged.groupBy(entity.hk, "hash_diff")
-            .agg(F.min(F.struct(*rest)).alias("_v"))
-            .select(entity.hk, *[F.col("_v")[c].alias(c) for c in entity.attr_names], "hash_diff",
-                    *[F.col("_v")[c].alias(c) for c in ["_is_valid", "load_dts", "rec_src"]]))
+    """Distinct versions of one batch (one row per (hk, hash_diff) for any
+    real data).  ``distinct`` over all columns is a grouping-only hash
+    aggregate (copies of a row combine map-side) and deterministic under
+    task retries.  If two different attribute tuples ever share a hash_diff
+    (the undelimited hash makes ('ab','c') and ('a','bc') collide), both are
+    kept rather than one dropped at random."""
+    return staged.select(*sat_columns(entity)).distinct()
 
 
 def latest_hash(existing: DataFrame, hk: str) -> DataFrame:
