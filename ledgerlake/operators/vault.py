@@ -118,6 +118,20 @@ def load_sat(bronze_df: DataFrame, entity: Entity, params: RunParams,
             .select(*sat_columns(entity)))
 
 
+def current_hashes(previous: DataFrame | None, new_versions: DataFrame, hk: str) -> DataFrame:
+    """One row per hub key with its latest ``hash_diff`` and ``load_dts``,
+    after applying a batch's new versions to the previous snapshot.  Feeding
+    this snapshot (instead of the whole history) to :func:`load_sat` makes the
+    change detection of a batch proportional to the number of keys, not to
+    the length of the history."""
+    cols = [hk, "hash_diff", "load_dts"]
+    both = new_versions.select(*cols)
+    if previous is not None:
+        both = previous.select(*cols).unionByName(both)
+    return (both.groupBy(hk).agg(F.max(F.struct("load_dts", "hash_diff")).alias("_l"))
+            .select(hk, F.col("_l")["hash_diff"].alias("hash_diff"), F.col("_l")["load_dts"].alias("load_dts")))
+
+
 QUARANTINE_COLUMNS = ["source_table", "source_business_key", "hash_key", "rejection_reason", "load_dts"]
 
 

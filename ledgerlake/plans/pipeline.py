@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from ledgerlake.operators import checks as chk
 from ledgerlake.operators import gold, reports
 from ledgerlake.operators.bronze import bronze
-from ledgerlake.operators.vault import load_hub, load_link, load_sat, quarantine
+from ledgerlake.operators.vault import current_hashes, load_hub, load_link, load_sat, quarantine
 from ledgerlake.params import RunParams
 from ledgerlake.plans.entities import ENTITIES, LINKS
 from ledgerlake.sources.readers import check_sources
@@ -158,13 +158,28 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], out: str,
             return name, store.append_batch(builder(existing), "silver", name, params.load_ts,
                                             SILVER_BUCKET_KEYS.get(name))
 
+    def append_sat(e):
+        """Satellite batch plus the snapshot of current hashes it leaves behind;
+        the previous snapshot (not the history) drives change detection."""
+        name, snap = f"sat_{e.name}", f"sat_{e.name}__current"
+        previous = store.latest_batch("silver", snap, params.load_ts, e.hk)
+        if previous is None:       # first run, or history written without snapshots
+            previous = store.existing("silver", name, params.load_ts, e.hk)
+            previous = None if previous is None else current_hashes(None, previous, e.hk)
+        with result.timed(name):
+            new = load_sat(tables[f"bronze_{e.source}"], e, params, previous)
+            stored = store.append_batch(new, "silver", name, params.load_ts, e.hk)
+            new_rows = store.batch("silver", name, params.load_ts)
+            store.append_batch(current_hashes(previous, new_rows, e.hk), "silver", snap,
+                               params.load_ts, e.hk)
+        return name, stored
+
     jobs = []
     for e in ENTITIES.values():
         b = tables[f"bronze_{e.source}"]
         jobs.append((f"hub_{e.name}", lambda b=b, e=e: append(
             f"hub_{e.name}", lambda ex: load_hub(b, e, params, ex))))
-        jobs.append((f"sat_{e.name}", lambda b=b, e=e: append(
-            f"sat_{e.name}", lambda ex: load_sat(b, e, params, ex))))
+        jobs.append((f"sat_{e.name}", lambda e=e: append_sat(e)))
     for l in LINKS.values():
         b = tables[f"bronze_{l.source}"]
         jobs.append((f"link_{l.name}", lambda b=b, l=l: append(

@@ -166,6 +166,36 @@ class TableStore:
             w.saveAsTable(self._fq(layer, name))
         return self.spark.table(self._fq(layer, name)).drop("_batch")
 
+    def batch(self, layer: str, name: str, load_ts: dt.datetime) -> DataFrame:
+        """The rows of one stored batch (one folder / one pruned partition)."""
+        path = table_path(self.base, layer, name)
+        if not self.database:
+            return self.spark.read.parquet(f"{path}/batch={batch_tag(load_ts)}")
+        return (self.spark.table(self._fq(layer, name))
+                .filter(F.col("_batch") == batch_tag(load_ts)).drop("_batch"))
+
+    def latest_batch(self, layer: str, name: str, before: dt.datetime,
+                     key: str | None = None) -> DataFrame | None:
+        """Only the newest batch stored before ``before`` (for tables whose
+        every batch is a complete snapshot)."""
+        path = table_path(self.base, layer, name)
+        limit = batch_tag(before)
+        if not self.database:
+            tags = [b.split("=", 1)[1] for b in _list_batches(self.spark, path)]
+            tags = [t for t in tags if t < limit]
+            return self.spark.read.parquet(f"{path}/batch={max(tags)}") if tags else None
+        if not self._exists(layer, name):
+            if not exists(self.spark, path):
+                return None
+            self._attach(layer, name, path, key)
+        parts = [r[0].split("=", 1)[1] for r in
+                 self.spark.sql(f"SHOW PARTITIONS {self._fq(layer, name)}").collect()]
+        tags = [t for t in parts if t < limit]          # one row per stored batch: bounded
+        if not tags:
+            return None
+        return (self.spark.table(self._fq(layer, name))
+                .filter(F.col("_batch") == max(tags)).drop("_batch"))
+
     def _attach(self, layer: str, name: str, path: str, key: str | None) -> None:
         """Register batches already stored at ``path`` (a catalog that forgot
         the table) instead of overwriting them.  The schema comes from the
