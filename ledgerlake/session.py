@@ -19,6 +19,9 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     "spark.sql.files.maxPartitionBytes": "128MB",
     "spark.ui.enabled": "false",
+    # checkpoint files of the distributed ranking are removed by Spark once
+    # the checkpointed data is no longer referenced (long-running drivers)
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
