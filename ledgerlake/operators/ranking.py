@@ -66,23 +66,24 @@ def numbered(df: DataFrame, order: list[Column], out: str = "row_number",
 
 def global_rank(df: DataFrame, order: list[Column], out: str = "rank",
                 unique: bool = True, tiebreak: list[Column] | None = None,
-                num_partitions: int | None = None) -> DataFrame:
+                keys: list[str] | None = None, num_partitions: int | None = None) -> DataFrame:
     """``rank() over (order by order)`` computed in parallel.
 
     With ``unique=True`` the order is a total order and rank equals the row
-    number.  Otherwise rows are numbered with ``tiebreak`` appended and the
-    rank of a row is the smallest number among rows with an equal key.
+    number.  Otherwise rows are numbered with ``tiebreak`` appended (to split
+    equal keys across partitions) and the rank of a row is the smallest number
+    among rows with equal ``keys`` (the columns ``order`` sorts by).
     """
     if unique:
         rows, _ = numbered(df, order, out, num_partitions)
         return rows
-    if not tiebreak:
-        raise ValueError("non-unique order needs tiebreak columns to split equal keys")
+    if not tiebreak or not keys:
+        raise ValueError("a non-unique order needs tiebreak columns and the key column names")
     rows, _ = numbered(df, order + tiebreak, "_rn", num_partitions)
-    key_exprs = [c for c in order]
-    keyed = rows.withColumn("_key", F.struct(*key_exprs))
-    first = keyed.groupBy("_key").agg(F.min("_rn").alias(out))
-    return keyed.join(first, "_key").drop("_key", "_rn")
+    first = (rows.groupBy(*keys).agg(F.min("_rn").alias(out))
+             .select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], out))
+    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)])
+    return rows.join(first, cond, "inner").drop("_rn", *[f"_key{i}" for i in range(len(keys))])
 
 
 def exact_percentiles(df: DataFrame, value: Column, fractions: dict[str, float],

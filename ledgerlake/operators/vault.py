@@ -132,9 +132,6 @@ def current_hashes(previous: DataFrame | None, new_versions: DataFrame, hk: str)
             .select(hk, F.col("_l")["hash_diff"].alias("hash_diff"), F.col("_l")["load_dts"].alias("load_dts")))
 
 
-QUARANTINE_COLUMNS = ["source_table", "source_business_key", "hash_key", "rejection_reason", "load_dts"]
-
-
 def quarantine(sats: dict[str, DataFrame], hubs: dict[str, DataFrame]) -> DataFrame:
     """Invalid satellite versions with their business key, all entities.
 

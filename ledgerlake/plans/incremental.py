@@ -17,7 +17,7 @@ from ledgerlake.operators.bronze import bronze
 from ledgerlake.operators.vault import load_hub, load_link, load_sat
 from ledgerlake.params import SECOND_LOAD_TS
 from ledgerlake.plans.entities import ENTITIES, LINKS
-from ledgerlake.sources.driver_tables import account_batches, driver_reader
+from ledgerlake.sources.driver_tables import account_batches
 
 
 @dataclass

@@ -21,7 +21,6 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ledgerlake.operators import checks as chk
 from ledgerlake.operators import gold, reports

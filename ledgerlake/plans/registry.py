@@ -6,7 +6,6 @@ from __future__ import annotations
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ledgerlake.operators import charts as ch
 from ledgerlake.operators import checks as chk

@@ -22,8 +22,6 @@ from pyspark.sql import functions as F
 
 from ledgerlake.sources.schemas import MONEY, RATE, SOURCE_SCHEMAS
 
-DRIVER_TABLES = ["region", "nation", "customer", "supplier", "orders", "lineitem"]
-
 # Fixed values of the mapping.
 YEAR_SHIFT_MONTHS = 240
 CREATED_AT_EPOCH = dt.date(2015, 1, 1)

@@ -17,7 +17,6 @@ import datetime as dt
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ledgerlake.operators.bronze import bronze
 from ledgerlake.operators.vault import load_hub, load_link, load_sat

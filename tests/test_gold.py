@@ -155,3 +155,14 @@ def test_salted_join_equals_plain_join_with_a_hot_key(spark):
         got = salted_join(big, small, "k", threshold=100, salts=8, how=how)
         assert got.count() == want.count()
         assert got.exceptAll(want.select(*got.columns)).count() == 0
+
+
+def test_distributed_rank_with_ties(spark):
+    from pyspark.sql import Window
+    rows = [(None if v is None else float(v), f"k{i}") for i, v in enumerate([3, 1, 3, None, 2, 3, 1, None, 5])]
+    df = spark.createDataFrame(rows, "v double, k string")
+    got = global_rank(df, [F.col("v").desc_nulls_last()], out="r", unique=False,
+                      tiebreak=[F.col("k")], keys=["v"], num_partitions=3)
+    want = df.withColumn("w", F.rank().over(Window.orderBy(F.col("v").desc_nulls_last())))
+    assert got.count() == len(rows)
+    assert got.join(want, "k").filter("r != w").count() == 0
