@@ -166,3 +166,21 @@ def test_distributed_rank_with_ties(spark):
     want = df.withColumn("w", F.rank().over(Window.orderBy(F.col("v").desc_nulls_last())))
     assert got.count() == len(rows)
     assert got.join(want, "k").filter("r != w").count() == 0
+
+
+def test_point_in_time_join_boundaries(spark):
+    dim = spark.createDataFrame(
+        [("h1", "v1", dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)),
+         ("h1", "v2", dt.datetime(2024, 2, 1), dt.datetime(9999, 12, 31))],
+        "account_hub_key string, account_key string, effective_start_date timestamp_ntz, "
+        "effective_end_date timestamp_ntz")
+    fact = spark.createDataFrame(
+        [("f0", "h1", dt.datetime(2023, 12, 31)),     # before the first load: no version
+         ("f1", "h1", dt.datetime(2024, 1, 15)),
+         ("f2", "h1", dt.datetime(2024, 2, 1)),       # boundary belongs to the newer version
+         ("f3", "h1", dt.datetime(2030, 1, 1)),
+         ("f4", "h2", dt.datetime(2024, 1, 15))],     # unknown key
+        "f string, account_hub_key string, t timestamp_ntz")
+    got = {r.f: r.account_key for r in
+           gold.join_point_in_time(fact, dim, "account_hub_key", "t", ["account_key"]).collect()}
+    assert got == {"f1": "v1", "f2": "v2", "f3": "v2"}
