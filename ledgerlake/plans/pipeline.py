@@ -190,10 +190,25 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], out: str,
                                     {n: tables[f"hub_{n}"] for n in ENTITIES}), "silver", "quarantine")
 
     cat = chk.catalogue()
+    # Assertions gate the next layer only with fail_on_error; otherwise they run
+    # alongside it (like tests that do not block downstream models).
+    background = ThreadPoolExecutor(max_workers=1)
+    pending = []
+
+    def evaluate(step, checks, cross):
+        snapshot = dict(tables)
+
+        def run():
+            with result.timed(step):
+                _evaluate(spark, checks, snapshot, params, cross, fail_on_error, result, workers)
+        if fail_on_error:
+            run()
+        else:
+            pending.append(background.submit(run))
+
     if run_checks:
-        with result.timed("checks_silver"):
-            _evaluate(spark, cat["bronze"] + cat["hubs"] + cat["links"] + cat["satellites"], tables,
-                      params, list(chk.CROSS_ENTITY), fail_on_error, result, workers)
+        evaluate("checks_silver", cat["bronze"] + cat["hubs"] + cat["links"] + cat["satellites"],
+                 list(chk.CROSS_ENTITY))
 
     # gold: full refresh
     gold_builders = {
@@ -220,9 +235,7 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], out: str,
                               workers):
         tables[name] = df
     if run_checks:
-        with result.timed("checks_gold"):
-            _evaluate(spark, cat["dimensions"] + cat["facts"], tables, params, [], fail_on_error, result,
-                      workers)
+        evaluate("checks_gold", cat["dimensions"] + cat["facts"], [])
 
     # reporting: full refresh
     def write_report(name, build):
@@ -231,6 +244,9 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], out: str,
         return name
 
     _parallel([(n, lambda n=n, b=b: write_report(n, b)) for n, b in REPORT_BUILDERS.items()], workers)
+    for f in pending:
+        f.result()
+    background.shutdown()
     result.tables = {name: store.table_path(name) for name in
                      list(tables) + ["quarantine"] + list(REPORT_BUILDERS)}
     return result
