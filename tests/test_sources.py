@@ -49,3 +49,15 @@ def test_batches_are_idempotent(spark, scratch):
     write_batch(spark.range(5), path, t2)          # retry of batch two
     assert read_batches(spark, path).count() == 8
     assert read_batches(spark, path, before=t2).count() == 3
+
+
+def test_declared_driver_schemas_match_the_files(spark):
+    from pyspark.sql.types import _parse_datatype_string
+
+    from ledgerlake.sources.driver_tables import DRIVER_SCHEMAS
+    for sf in [SF_SMALL, "/root/testdata/sf0.01"]:
+        for name, ddl in DRIVER_SCHEMAS.items():
+            inferred = spark.read.parquet(f"{sf}/{name}.parquet").schema
+            declared = _parse_datatype_string(ddl)
+            assert [(f.name, f.dataType) for f in inferred.fields] == \
+                [(f.name, f.dataType) for f in declared.fields], name
