@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 from ledgerlake.llm.bpe import op6_byte_bpe
+from ledgerlake.llm.fingerprint import op7_multiset_fingerprint
+from ledgerlake.llm.ngram_join import op8_ngram_jaccard
+from ledgerlake.llm.pii import op1_contextual_pii
 
 QUERIES = {
+    "op1_contextual_pii": op1_contextual_pii,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_multiset_fingerprint": op7_multiset_fingerprint,
+    "op8_ngram_jaccard": op8_ngram_jaccard,
 }
 
 ORACLE_SQL: dict[str, str] = {}
