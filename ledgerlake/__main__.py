@@ -16,7 +16,7 @@ import datetime as dt
 import json
 import sys
 
-from ledgerlake.params import DEFAULT_AS_OF, DEFAULT_LOAD_TS, DEFAULT_SOURCE, RunParams
+from ledgerlake.params import DEFAULT_SOURCE, RunParams
 from ledgerlake.plans.pipeline import CheckFailure, run_pipeline
 from ledgerlake.session import get_session
 from ledgerlake.sources.driver_tables import banking_sources
@@ -37,32 +37,36 @@ def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="ledgerlake", description=__doc__.splitlines()[0])
     ap.add_argument("--sources", required=True)
     ap.add_argument("--out", required=True)
-    ap.add_argument("--load-ts", default=DEFAULT_LOAD_TS.isoformat())
-    ap.add_argument("--as-of", default=DEFAULT_AS_OF.isoformat())
+    ap.add_argument("--load-ts", default=None, help="load time (ISO, UTC); default: now")
+    ap.add_argument("--as-of", default=None, help="report date; default: today (UTC)")
+    ap.add_argument("--run-id", default=None, help="repeat a failed run: its id, with its --load-ts and --as-of")
     ap.add_argument("--source-tag", default=DEFAULT_SOURCE)
     ap.add_argument("--database", default=None, help="catalog database: bucketed silver tables")
     ap.add_argument("--buckets", type=int, default=0)
     ap.add_argument("--hot-key-rows", type=int, default=None)
     ap.add_argument("--workers", type=int, default=8)
     ap.add_argument("--no-checks", action="store_true")
-    ap.add_argument("--fail-on-error", action="store_true")
+    ap.add_argument("--report-only", action="store_true", help="failed assertions do not stop the run")
     ap.add_argument("--master", default=None, help="only for local runs; spark-submit sets it")
     a = ap.parse_args(argv)
     spark = get_session(a.master)
-    params = RunParams(load_ts=dt.datetime.fromisoformat(a.load_ts), as_of=dt.date.fromisoformat(a.as_of),
-                       source_tag=a.source_tag)
+    given = {"load_ts": a.load_ts and dt.datetime.fromisoformat(a.load_ts),
+             "as_of": a.as_of and dt.date.fromisoformat(a.as_of), "run_id": a.run_id}
+    params = RunParams(source_tag=a.source_tag, **{k: v for k, v in given.items() if v})
+    run = {"run_id": params.run_id, "load_ts": params.load_ts.isoformat(), "as_of": params.as_of.isoformat()}
+    print(json.dumps({"status": "started", **run}), flush=True)
     try:
         result = run_pipeline(spark, _sources(spark, a.sources), a.out, params,
-                              run_checks=not a.no_checks, fail_on_error=a.fail_on_error,
+                              run_checks=not a.no_checks, fail_on_error=not a.report_only,
                               workers=a.workers, database=a.database, buckets=a.buckets,
                               hot_key_rows=a.hot_key_rows)
     except CheckFailure as e:
-        print(json.dumps({"status": "failed", "error": str(e)}))
+        print(json.dumps({"status": "failed", **run, "error": str(e)}))
         return 1
     summary = {}
     for r in result.check_results:
         summary[r["status"]] = summary.get(r["status"], 0) + 1
-    print(json.dumps({"status": "ok", "tables": result.tables, "seconds": result.seconds,
+    print(json.dumps({"status": "ok", **run, "tables": result.tables, "seconds": result.seconds,
                       "assertions": summary}, default=str))
     return 0
 

@@ -83,13 +83,14 @@ def stage_sat(bronze_df: DataFrame, entity: Entity, params: RunParams) -> DataFr
 
 
 def dedupe_versions(staged: DataFrame, entity: Entity) -> DataFrame:
-    """Distinct versions of one batch (one row per (hk, hash_diff) for any
-    real data).  ``distinct`` over all columns is a grouping-only hash
-    aggregate (copies of a row combine map-side) and deterministic under
-    task retries.  If two different attribute tuples ever share a hash_diff
-    (the undelimited hash makes ('ab','c') and ('a','bc') collide), both are
-    kept rather than one dropped at random."""
-    return staged.select(*sat_columns(entity)).distinct()
+    """One row per (hk, hash_diff) of a batch.  Copies of a row combine
+    map-side.  Two attribute tuples that share a hash_diff (the undelimited
+    hash makes ('ab','c') and ('a','bc') collide) are one version; the
+    smallest tuple is kept, so a retry keeps the same one."""
+    rest = [c for c in sat_columns(entity) if c not in (entity.hk, "hash_diff")]
+    return (staged.groupBy(entity.hk, "hash_diff").agg(F.min(F.struct(*rest)).alias("_v"))
+            .select(*[F.col(c) if c in (entity.hk, "hash_diff") else F.col("_v")[c].alias(c)
+                      for c in sat_columns(entity)]))
 
 
 def latest_hash(existing: DataFrame, hk: str) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerlake.operators import gold
 from ledgerlake.operators.bronze import bronze
 from ledgerlake.operators.vault import load_hub, load_link, load_sat, quarantine
-from ledgerlake.params import RunParams
+from ledgerlake.params import DRIVER_RUN, RunParams
 from ledgerlake.plans.entities import ENTITIES, LINKS
 from ledgerlake.sources.driver_tables import banking_sources
 
@@ -29,7 +29,7 @@ class Lakehouse:
         self.spark = spark
         self.sf_dir = sf_dir
         self.sources = sources
-        self.params = params or RunParams()
+        self.params = params or DRIVER_RUN
         self._hubs: dict[str, DataFrame] = {}
         self._links: dict[str, DataFrame] = {}
         self._sats: dict[str, DataFrame] = {}

@@ -206,12 +206,14 @@ def _staged_sat_sql(entity: str, bronze: str, load: str = LOAD) -> str:
     key = KEY_OF[entity]
     names = [a for a, _ in attrs]
     cleaned = ", ".join(f"{expr} AS {a}" for a, expr in attrs)
+    order = ", ".join(f"{n} NULLS FIRST" for n in names)
     return f"""
-    SELECT DISTINCT {hk(key)} AS hk_{entity}, {', '.join(names)},
+    SELECT {hk(key)} AS hk_{entity}, {', '.join(names)},
            md5(concat({', '.join(names)})) AS hash_diff,
            ({valid.format(now=load)}) AS _is_valid,
            {load} AS load_dts, _source AS rec_src
-    FROM (SELECT {key}, {cleaned}, _source FROM {bronze})"""
+    FROM (SELECT {key}, {cleaned}, _source FROM {bronze})
+    QUALIFY row_number() OVER (PARTITION BY {hk(key)}, md5(concat({', '.join(names)})) ORDER BY {order}) = 1"""
 
 
 for _e, _s in SOURCE_OF.items():

@@ -8,9 +8,13 @@ not leave the cluster idle while a large one finishes its last tasks.
 Writing every model cuts the lineage between layers: a downstream job starts
 from files, a lost executor re-reads a file instead of recomputing upstream
 joins, and no layer is computed twice.  Silver tables are append-only: each
-run writes its own ``batch=<load_ts>`` directory (overwrite), so a retried run
-replaces exactly what it wrote before, and "existing rows" are always the
-earlier batches.  One run at a time writes a given output folder.
+run writes its own batch, named by load time and run id, so a retried run
+replaces exactly what it wrote before, and "existing rows" are the batches of
+all other runs.  A run that is not newer than what is stored is refused.  One
+run at a time writes a given output folder.
+
+Assertions gate the next layer: a layer's error-severity assertions are
+evaluated before anything that depends on it is stored.
 """
 
 from __future__ import annotations
@@ -25,23 +29,13 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerlake.operators import checks as chk
 from ledgerlake.operators import gold, reports
 from ledgerlake.operators.bronze import bronze
-from ledgerlake.operators.vault import current_hashes, load_hub, load_link, load_sat, quarantine
+from ledgerlake.operators.vault import quarantine
 from ledgerlake.params import RunParams
-from ledgerlake.plans.entities import ENTITIES, LINKS
+from ledgerlake.plans.entities import ENTITIES
+from ledgerlake.plans.loading import check_order, load_jobs
 from ledgerlake.sources.readers import check_sources
 from ledgerlake.sources.sinks import TableStore
 
-# Bucket key of each silver table in catalog mode: the key its consumers join
-# on (links are joined on the hub they describe, not on their own key).
-SILVER_BUCKET_KEYS = {
-    **{f"hub_{e}": f"hk_{e}" for e in ENTITIES},
-    **{f"sat_{e}": f"hk_{e}" for e in ENTITIES},
-    "link_customer_account": "hk_account",
-    "link_account_card": "hk_card",
-    "link_customer_loan": "hk_loan",
-    "link_account_transaction": "hk_transaction",
-    "link_merchant_transaction": "hk_transaction",
-}
 # Gold dimensions are joined by reports on their durable hub key.
 GOLD_BUCKET_KEYS = {f"dim_{e}": f"{e}_hub_key" for e in ["customer", "account", "card", "merchant", "branch"]}
 
@@ -116,18 +110,19 @@ def _evaluate(spark, checks, tables, params, cross, fail_on_error: bool, result:
     result.check_results.extend(batch)
     failed = [d["test_id"] for d in batch if d["status"] == "fail"]
     if failed and fail_on_error:
-        raise CheckFailure(f"{len(failed)} assertion(s) failed: {failed[:10]}")
+        raise CheckFailure(f"{len(failed)} assertion(s) failed: {failed}")
 
 
 def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], out: str,
                  params: RunParams | None = None, run_checks: bool = True,
-                 fail_on_error: bool = False, workers: int = 8,
+                 fail_on_error: bool = True, workers: int = 8,
                  database: str | None = None, buckets: int = 0,
                  hot_key_rows: int | None = None) -> RunResult:
     """One scheduled run (the reference's daily DAG, without the scheduler).
 
     ``fail_on_error`` stops the run at the first layer whose error-severity
-    assertions fail (warn-severity ones only report).  ``workers`` is the
+    assertions fail, before a later layer is stored (warn-severity ones only
+    report); without it all assertions only report.  ``workers`` is the
     number of models of one layer submitted at the same time.  With
     ``database`` the models are catalog tables and silver is bucketed by join
     key (``buckets``, default the shuffle partition count), see
@@ -139,7 +134,38 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], out: str,
     result = RunResult()
     check_sources(sources)
     store = TableStore(spark, out, database, buckets)
+    check_order(store, params, sources)
     tables: dict[str, DataFrame] = {}
+    cat = chk.catalogue()
+    # With fail_on_error assertions gate the next layer; otherwise they run
+    # alongside it (like tests that do not block downstream models).
+    background = ThreadPoolExecutor(max_workers=1)
+    pending = []
+
+    def evaluate(step, checks, cross):
+        snapshot = dict(tables)
+
+        def run():
+            with result.timed(step):
+                _evaluate(spark, checks, snapshot, params, cross, fail_on_error, result, workers)
+        if fail_on_error:
+            run()
+        else:
+            pending.append(background.submit(run))
+
+    try:
+        _run_layers(spark, sources, store, params, result, tables, cat, evaluate if run_checks else None,
+                    workers, hot_key_rows)
+        for f in pending:
+            f.result()
+    finally:
+        background.shutdown(cancel_futures=True)
+    result.tables = {name: store.table_path(name) for name in
+                     list(tables) + ["quarantine"] + list(REPORT_BUILDERS)}
+    return result
+
+
+def _run_layers(spark, sources, store, params, result, tables, cat, evaluate, workers, hot_key_rows) -> None:
 
     # bronze: full refresh
     def write_bronze(table, df):
@@ -150,65 +176,23 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], out: str,
                               workers):
         tables[name] = df
 
+    if evaluate:
+        evaluate("checks_bronze", cat["bronze"], [])
+
     # silver: append-only batches
-    def append(name, builder):
-        existing = store.existing("silver", name, params.load_ts, SILVER_BUCKET_KEYS.get(name))
-        with result.timed(name):
-            return name, store.append_batch(builder(existing), "silver", name, params.load_ts,
-                                            SILVER_BUCKET_KEYS.get(name))
-
-    def append_sat(e):
-        """Satellite batch plus the snapshot of current hashes it leaves behind;
-        the previous snapshot (not the history) drives change detection."""
-        name, snap = f"sat_{e.name}", f"sat_{e.name}__current"
-        previous = store.latest_batch("silver", snap, params.load_ts, e.hk)
-        if previous is None:       # first run, or history written without snapshots
-            previous = store.existing("silver", name, params.load_ts, e.hk)
-            previous = None if previous is None else current_hashes(None, previous, e.hk)
+    def timed_job(name, job):
         with result.timed(name):
-            new = load_sat(tables[f"bronze_{e.source}"], e, params, previous)
-            stored = store.append_batch(new, "silver", name, params.load_ts, e.hk)
-            new_rows = store.batch("silver", name, params.load_ts)
-            store.append_batch(current_hashes(previous, new_rows, e.hk), "silver", snap,
-                               params.load_ts, e.hk)
-        return name, stored
-
-    jobs = []
-    for e in ENTITIES.values():
-        b = tables[f"bronze_{e.source}"]
-        jobs.append((f"hub_{e.name}", lambda b=b, e=e: append(
-            f"hub_{e.name}", lambda ex: load_hub(b, e, params, ex))))
-        jobs.append((f"sat_{e.name}", lambda e=e: append_sat(e)))
-    for l in LINKS.values():
-        b = tables[f"bronze_{l.source}"]
-        jobs.append((f"link_{l.name}", lambda b=b, l=l: append(
-            f"link_{l.name}", lambda ex: load_link(b, l, params, ex))))
-    for name, df in _parallel(jobs, workers):
+            return name, job()
+
+    jobs = load_jobs(store, {t: tables[f"bronze_{t}"] for t in sources}, params)
+    for name, df in _parallel([(n, lambda n=n, j=j: timed_job(n, j)) for n, j in jobs], workers):
         tables[name] = df
     with result.timed("quarantine"):
         store.write_full(quarantine({n: tables[f"sat_{n}"] for n in ENTITIES},
                                     {n: tables[f"hub_{n}"] for n in ENTITIES}), "silver", "quarantine")
 
-    cat = chk.catalogue()
-    # Assertions gate the next layer only with fail_on_error; otherwise they run
-    # alongside it (like tests that do not block downstream models).
-    background = ThreadPoolExecutor(max_workers=1)
-    pending = []
-
-    def evaluate(step, checks, cross):
-        snapshot = dict(tables)
-
-        def run():
-            with result.timed(step):
-                _evaluate(spark, checks, snapshot, params, cross, fail_on_error, result, workers)
-        if fail_on_error:
-            run()
-        else:
-            pending.append(background.submit(run))
-
-    if run_checks:
-        evaluate("checks_silver", cat["bronze"] + cat["hubs"] + cat["links"] + cat["satellites"],
-                 list(chk.CROSS_ENTITY))
+    if evaluate:
+        evaluate("checks_silver", cat["hubs"] + cat["links"] + cat["satellites"], list(chk.CROSS_ENTITY))
 
     # gold: full refresh
     gold_builders = {
@@ -234,7 +218,7 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], out: str,
     for name, df in _parallel([(n, lambda n=n, b=b: write_gold(n, b)) for n, b in gold_builders.items()],
                               workers):
         tables[name] = df
-    if run_checks:
+    if evaluate:
         evaluate("checks_gold", cat["dimensions"] + cat["facts"], [])
 
     # reporting: full refresh
@@ -244,9 +228,3 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], out: str,
         return name
 
     _parallel([(n, lambda n=n, b=b: write_report(n, b)) for n, b in REPORT_BUILDERS.items()], workers)
-    for f in pending:
-        f.result()
-    background.shutdown()
-    result.tables = {name: store.table_path(name) for name in
-                     list(tables) + ["quarantine"] + list(REPORT_BUILDERS)}
-    return result

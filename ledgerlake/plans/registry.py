@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerlake.operators import charts as ch
 from ledgerlake.operators import checks as chk
 from ledgerlake.operators import gold, profile, reports
-from ledgerlake.params import RunParams
+from ledgerlake.params import DRIVER_RUN
 from ledgerlake.plans import oracle, oracle_checks
 from ledgerlake.plans.entities import ENTITIES, LINKS
 from ledgerlake.plans.incremental import account_history
@@ -259,6 +259,6 @@ def spark_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     builder = QUERIES[name]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return builder(Lakehouse.from_driver(spark, sf_dir, RunParams()))
+        return builder(Lakehouse.from_driver(spark, sf_dir, DRIVER_RUN))
     run.__name__ = name
     return run

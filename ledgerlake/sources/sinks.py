@@ -1,19 +1,20 @@
 """Sinks: layer routing (S7), full-refresh (S4) and batch-append (S5) writes.
 
-Incremental tables are stored as one directory per batch
-(``<table>/batch=<load_ts>/``) written with ``overwrite``.  A retried batch
-therefore replaces its own directory and never duplicates rows; "existing"
-rows for a batch are exactly the earlier batch directories.
+Incremental tables are stored as one directory per batch, named by load time
+and run id (``<table>/batch=<load time>-<run id>/``).  Only the same run writes
+the same directory, so a retried batch replaces its own rows and never another
+run's; "existing" rows for a batch are all batches of other runs.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.params import RunParams
+
 LAYERS = ("bronze", "silver", "gold", "reporting")
 
 
@@ -23,58 +24,70 @@ def table_path(base: str, layer: str, name: str) -> str:
     return f"{base.rstrip('/')}/{layer}/{name}"
 
 
-def batch_tag(load_ts: dt.datetime) -> str:
-    return load_ts.strftime("%Y%m%dT%H%M%S%f")
+class StaleBatch(RuntimeError):
+    """A batch is not newer than what other runs have stored."""
+
+
+def batch_tag(run: RunParams) -> str:
+    """Sorts by load time; unique per run."""
+    return f"{run.load_ts.strftime('%Y%m%dT%H%M%S%f')}-{run.run_id}"
+
+
+def _load_time(tag: str) -> str:
+    return tag.split("-", 1)[0]
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def write_full(df: DataFrame, path: str) -> None:
-    """Full refresh: replace the table."""
-    df.write.mode("overwrite").parquet(path)
+    """Full refresh: the new rows are written beside the table and take its
+    place only when complete, so a failed job leaves the old table."""
+    spark = df.sparkSession
+    df.write.mode("overwrite").parquet(f"{path}__new")
+    new, fs = _file_system(spark, f"{path}__new")
+    old, _ = _file_system(spark, path)
+    fs.delete(old, True)
+    if not fs.rename(new, old):
+        raise RuntimeError(f"could not move {path}__new to {path}")
 
 
-def write_batch(df: DataFrame, path: str, load_ts: dt.datetime) -> None:
-    """Idempotent append: (re)write this batch's own directory only."""
-    df.write.mode("overwrite").parquet(f"{path}/batch={batch_tag(load_ts)}")
+def write_batch(df: DataFrame, path: str, run: RunParams) -> None:
+    """Idempotent append: (re)write this run's own directory only."""
+    df.write.mode("overwrite").parquet(f"{path}/batch={batch_tag(run)}")
 
 
-def _list_batches(spark: SparkSession, path: str) -> list[str]:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(conf)
+def batch_tags(spark: SparkSession, path: str, column: str = "batch") -> list[str]:
+    """Tags of the batches stored at ``path``, oldest first."""
+    p, fs = _file_system(spark, path)
     if not fs.exists(p):
         return []
     names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
-    return sorted(n for n in names if n.startswith("batch="))
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{column}="))
 
 
-def read_batches(spark: SparkSession, path: str, before: dt.datetime | None = None,
+def read_batches(spark: SparkSession, path: str, other_than: RunParams | None = None,
                  schema=None) -> DataFrame | None:
-    """Union of stored batches (optionally only those before ``before``).
+    """Union of stored batches (optionally only those of other runs).
     Returns None when nothing is stored yet (first run)."""
-    batches = _list_batches(spark, path)
-    if before is not None:
-        limit = batch_tag(before)
-        batches = [b for b in batches if b.split("=", 1)[1] < limit]
-    if not batches:
+    tags = batch_tags(spark, path)
+    if other_than is not None:
+        tags = [t for t in tags if t != batch_tag(other_than)]
+    if not tags:
         return None
-    paths = [f"{path.rstrip('/')}/{b}" for b in batches]
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(*paths)
+    return reader.parquet(*[f"{path.rstrip('/')}/batch={t}" for t in tags])
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    if path.startswith("/") and os.path.exists(path):
-        return True
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    p, fs = _file_system(spark, path)
+    return fs.exists(p)
 
 
 def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    p, fs = _file_system(spark, path)
     if fs.exists(p):
         fs.delete(p, True)
 
@@ -83,7 +96,7 @@ class TableStore:
     """Where a pipeline run keeps its models.
 
     * path mode (``database=None``): plain parquet folders; silver batches are
-      ``batch=<load_ts>`` sub-folders (see the functions above).
+      ``batch=<load time>-<run id>`` sub-folders (see the functions above).
     * catalog mode: tables registered in ``database`` (external, at the same
       paths), silver tables **bucketed by their join key** and partitioned by
       ``_batch``.  Readers then know how the data is partitioned: joins and
@@ -127,35 +140,49 @@ class TableStore:
         w.saveAsTable(self._fq(layer, name))
         return self.spark.table(self._fq(layer, name))
 
-    def existing(self, layer: str, name: str, load_ts: dt.datetime,
+    def tags(self, layer: str, name: str) -> list[str]:
+        """Tags of the stored batches, oldest first (one entry per batch)."""
+        return batch_tags(self.spark, table_path(self.base, layer, name),
+                          "_batch" if self.database else "batch")
+
+    def check_newer(self, name: str, run: RunParams) -> None:
+        """Refuse a batch that another run's stored batch of a silver table is
+        as new as: satellites compare with the latest stored version."""
+        others = [t for t in self.tags("silver", name) if t != batch_tag(run)]
+        if others and _load_time(max(others)) >= _load_time(batch_tag(run)):
+            raise StaleBatch(f"{name}: batch {max(others)} is stored already; load time "
+                             f"{run.load_ts.isoformat()} (run {run.run_id}) is not newer")
+
+    def existing(self, layer: str, name: str, run: RunParams,
                  key: str | None = None) -> DataFrame | None:
-        """Rows stored by earlier batches (None on the first run)."""
+        """Rows stored by all other runs (None on the first run)."""
         path = table_path(self.base, layer, name)
         if not self.database:
-            return read_batches(self.spark, path, before=load_ts)
+            return read_batches(self.spark, path, other_than=run)
         if not self._exists(layer, name):
             if not exists(self.spark, path):
                 return None
             self._attach(layer, name, path, key)
         return (self.spark.table(self._fq(layer, name))
-                .filter(F.col("_batch") < batch_tag(load_ts)).drop("_batch"))
+                .filter(F.col("_batch") != batch_tag(run)).drop("_batch"))
 
-    def append_batch(self, df: DataFrame, layer: str, name: str, load_ts: dt.datetime,
+    def append_batch(self, df: DataFrame, layer: str, name: str, run: RunParams,
                      key: str | None = None) -> DataFrame:
         path = table_path(self.base, layer, name)
         if not self.database:
-            write_batch(df, path, load_ts)
+            write_batch(df, path, run)
             return read_batches(self.spark, path)
-        tagged = df.withColumn("_batch", F.lit(batch_tag(load_ts)))
+        if key:
+            # rows meet their bucket before the write: one file per bucket, not one per task and bucket
+            df = df.repartition(self.buckets, key)
+        tagged = df.withColumn("_batch", F.lit(batch_tag(run)))
         if not self._exists(layer, name) and exists(self.spark, path):
             self._attach(layer, name, path, key)
         if self._exists(layer, name):
             # a retried batch first removes what its earlier attempt stored, then
             # appends (an overwrite may not read its own target; the loaders read
-            # the earlier batches of this table)
-            tag = batch_tag(load_ts)
-            self.spark.sql(f"ALTER TABLE {self._fq(layer, name)} DROP IF EXISTS PARTITION (_batch='{tag}')")
-            _delete(self.spark, f"{path}/_batch={tag}")
+            # the other batches of this table)
+            self.drop_batch(layer, name, batch_tag(run))
             cols = [f.name for f in self.spark.table(self._fq(layer, name)).schema.fields]
             tagged.select(*cols).write.insertInto(self._fq(layer, name), overwrite=False)
         else:
@@ -166,35 +193,22 @@ class TableStore:
             w.saveAsTable(self._fq(layer, name))
         return self.spark.table(self._fq(layer, name)).drop("_batch")
 
-    def batch(self, layer: str, name: str, load_ts: dt.datetime) -> DataFrame:
-        """The rows of one stored batch (one folder / one pruned partition)."""
+    def drop_batch(self, layer: str, name: str, tag: str) -> None:
         path = table_path(self.base, layer, name)
-        if not self.database:
-            return self.spark.read.parquet(f"{path}/batch={batch_tag(load_ts)}")
-        return (self.spark.table(self._fq(layer, name))
-                .filter(F.col("_batch") == batch_tag(load_ts)).drop("_batch"))
+        if self.database:
+            self.spark.sql(f"ALTER TABLE {self._fq(layer, name)} DROP IF EXISTS PARTITION (_batch='{tag}')")
+            _delete(self.spark, f"{path}/_batch={tag}")
+        else:
+            _delete(self.spark, f"{path}/batch={tag}")
 
-    def latest_batch(self, layer: str, name: str, before: dt.datetime,
-                     key: str | None = None) -> DataFrame | None:
-        """Only the newest batch stored before ``before`` (for tables whose
-        every batch is a complete snapshot)."""
+    def batch(self, layer: str, name: str, tag: str, key: str | None = None) -> DataFrame:
+        """The rows of one stored batch (one folder / one pruned partition)."""
         path = table_path(self.base, layer, name)
-        limit = batch_tag(before)
         if not self.database:
-            tags = [b.split("=", 1)[1] for b in _list_batches(self.spark, path)]
-            tags = [t for t in tags if t < limit]
-            return self.spark.read.parquet(f"{path}/batch={max(tags)}") if tags else None
+            return self.spark.read.parquet(f"{path}/batch={tag}")
         if not self._exists(layer, name):
-            if not exists(self.spark, path):
-                return None
             self._attach(layer, name, path, key)
-        parts = [r[0].split("=", 1)[1] for r in
-                 self.spark.sql(f"SHOW PARTITIONS {self._fq(layer, name)}").collect()]
-        tags = [t for t in parts if t < limit]          # one row per stored batch: bounded
-        if not tags:
-            return None
-        return (self.spark.table(self._fq(layer, name))
-                .filter(F.col("_batch") == max(tags)).drop("_batch"))
+        return self.spark.table(self._fq(layer, name)).filter(F.col("_batch") == tag).drop("_batch")
 
     def _attach(self, layer: str, name: str, path: str, key: str | None) -> None:
         """Register batches already stored at ``path`` (a catalog that forgot

@@ -6,32 +6,41 @@ one vault batch: bronze audit columns, then hub / link / satellite appends
 against what earlier batches stored.
 
 Exactly-once: the load time of an epoch is recorded in the output folder the
-first time the epoch runs and read back on a retry, and every epoch writes
-its own ``batch=<load_ts>`` directory with overwrite, so a replayed epoch
-rewrites the same rows instead of adding them twice.
+first time the epoch runs and read back on a retry; it is later than every
+stored batch of the satellites it feeds, whatever the clock says.  The epoch's
+run id is ``<source>-<epoch>``, so a replayed epoch rewrites its own batches
+and two epochs never share one.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from typing import Callable
+from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.operators.bronze import bronze
-from ledgerlake.operators.vault import load_hub, load_link, load_sat
-from ledgerlake.params import RunParams
-from ledgerlake.plans.entities import ENTITIES, LINKS
-from ledgerlake.plans.pipeline import SILVER_BUCKET_KEYS
+from ledgerlake.params import RunParams, utc_now
+from ledgerlake.plans.entities import ENTITIES
+from ledgerlake.plans.loading import load_jobs
 from ledgerlake.sources.sinks import TableStore, exists
 
 
-def _epoch_load_ts(spark: SparkSession, out: str, source: str, epoch_id: int,
+def _newest(store: TableStore, source: str) -> dt.datetime | None:
+    """Load time of the newest stored satellite batch fed by ``source``."""
+    tags = [t for e in ENTITIES.values() if e.source == source for t in store.tags("silver", f"sat_{e.name}")]
+    return dt.datetime.strptime(max(tags).split("-", 1)[0], "%Y%m%dT%H%M%S%f") if tags else None
+
+
+def _epoch_load_ts(spark: SparkSession, store: TableStore, source: str, epoch_id: int,
                    clock: Callable[[], dt.datetime]) -> dt.datetime:
-    path = f"{out.rstrip('/')}/_epochs/{source}/epoch={epoch_id}"
-    if exists(spark, path):
+    path = f"{store.base}/_epochs/{source}/epoch={epoch_id}"
+    if exists(spark, f"{path}/_SUCCESS"):
         return dt.datetime.fromisoformat(spark.read.schema("load_ts string").json(path).first()["load_ts"])
-    ts = clock()
+    ts, newest = clock(), _newest(store, source)
+    if newest is not None and ts <= newest:
+        ts = newest + dt.timedelta(microseconds=1)
     spark.createDataFrame([(ts.isoformat(),)], "load_ts string").coalesce(1).write.mode("overwrite").json(path)
     return ts
 
@@ -44,22 +53,14 @@ def vault_batch_writer(out: str, source: str, base: RunParams | None = None,
     like the pipeline stores them (folders, or bucketed catalog tables with
     ``database``)."""
     base = base or RunParams()
-    clock = clock or (lambda: dt.datetime.utcnow().replace(microsecond=0))
-    entities = [e for e in ENTITIES.values() if e.source == source]
-    links = [l for l in LINKS.values() if l.source == source]
+    clock = clock or utc_now
 
     def write(batch_df: DataFrame, epoch_id: int) -> None:
         spark = batch_df.sparkSession
         store = TableStore(spark, out, database, buckets)
-        load_ts = _epoch_load_ts(spark, out, source, epoch_id, clock)
-        params = base.with_load_ts(load_ts)
-        b = bronze(batch_df, source, params)
-        jobs = [(f"hub_{e.name}", lambda ex, e=e: load_hub(b, e, params, ex)) for e in entities]
-        jobs += [(f"sat_{e.name}", lambda ex, e=e: load_sat(b, e, params, ex)) for e in entities]
-        jobs += [(f"link_{l.name}", lambda ex, l=l: load_link(b, l, params, ex)) for l in links]
-        for name, build in jobs:
-            key = SILVER_BUCKET_KEYS.get(name)
-            existing = store.existing("silver", name, load_ts, key)
-            store.append_batch(build(existing), "silver", name, load_ts, key)
+        run = replace(base, load_ts=_epoch_load_ts(spark, store, source, epoch_id, clock),
+                      run_id=f"{source}-{epoch_id}")
+        for _, job in load_jobs(store, {source: bronze(batch_df, source, run)}, run):
+            job()
 
     return write

@@ -10,7 +10,7 @@ from ledgerlake.operators import gold, reports
 from ledgerlake.operators.bronze import bronze
 from ledgerlake.operators.ranking import exact_percentile, global_rank
 from ledgerlake.operators.vault import load_hub, load_link, load_sat
-from ledgerlake.params import RunParams
+from ledgerlake.params import DRIVER_RUN
 from ledgerlake.plans.entities import ENTITIES, LINKS
 from ledgerlake.sources.schemas import SOURCE_SCHEMAS
 
@@ -75,7 +75,7 @@ def test_customer_kpis_without_customers(spark):
     fab = _fab(spark, [])
     loans = spark.createDataFrame([(D("5.00"),)], "loan_amount decimal(14,2)")
     tx = spark.createDataFrame([(D("7.00"),)], "amount_usd decimal(14,2)")
-    r = reports.customer_kpis(dim, fab, loans, tx, RunParams()).collect()
+    r = reports.customer_kpis(dim, fab, loans, tx, DRIVER_RUN).collect()
     assert len(r) == 1
     r = r[0]
     assert (r.total_customers, r.total_accounts, r.total_deposits_usd, r.pct_customers_with_multiple_accounts) \
@@ -95,7 +95,7 @@ def test_balance_summary_ranks_customer_without_account_last(spark):
 
 def test_median_even_count(spark):
     fab = _fab(spark, [("h1", "1.00"), ("h2", "2.00")])
-    r = reports.customer_balance_kpis(fab, RunParams()).first()
+    r = reports.customer_balance_kpis(fab, DRIVER_RUN).first()
     assert r.median_balance_usd == 1.5 and r.customers_with_balance_rows == 2 and r.avg_balance_usd == 1.5
 
 

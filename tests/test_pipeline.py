@@ -3,10 +3,13 @@ and the streaming adapter."""
 
 import datetime as dt
 import os
+from decimal import Decimal as D
+
+import pytest
 
 from pyspark.sql import functions as F
 
-from ledgerlake.params import RunParams, SECOND_LOAD_TS
+from ledgerlake.params import DRIVER_RUN, RunParams, SECOND_LOAD_TS
 from ledgerlake.plans.pipeline import run_pipeline
 from ledgerlake.sources.driver_tables import account_batches, banking_sources
 from ledgerlake.streaming import vault_batch_writer
@@ -17,7 +20,7 @@ from conftest import SF_SMALL
 def test_pipeline_full_then_incremental_and_retry(spark, scratch):
     out = os.path.join(scratch, "lake")
     src = banking_sources(spark, SF_SMALL)
-    first = run_pipeline(spark, src, out, RunParams())
+    first = run_pipeline(spark, src, out, DRIVER_RUN, fail_on_error=False)
     assert len(first.check_results) == 166
     status = {r["test_id"]: r["status"] for r in first.check_results}
     # the planted bad rows make the satellite rule tests fail, as in the reference's data
@@ -74,7 +77,7 @@ def test_pipeline_catalog_mode_buckets_silver(spark, scratch):
     out = os.path.join(scratch, "lake")
     src = banking_sources(spark, SF_SMALL)
     db = "ll_test_" + os.path.basename(scratch).replace("-", "_")
-    run = run_pipeline(spark, src, out, RunParams(), run_checks=False, database=db, buckets=4)
+    run = run_pipeline(spark, src, out, DRIVER_RUN, run_checks=False, database=db, buckets=4)
     hub = spark.table(f"{db}.silver__hub_account").drop("_batch")
     sat = spark.table(f"{db}.silver__sat_account").drop("_batch")
     link = spark.table(f"{db}.silver__link_customer_account").drop("_batch")
@@ -136,7 +139,7 @@ def test_pipeline_satellite_snapshots_match_history_semantics(spark, scratch):
     b1, b2 = account_batches(spark, SF_SMALL)
     for db in [None, "ll_snap_" + os.path.basename(scratch).replace("-", "_")]:
         out = os.path.join(scratch, f"lake_{db}")
-        run_pipeline(spark, {**src, "accounts": b1}, out, RunParams(), run_checks=False, database=db,
+        run_pipeline(spark, {**src, "accounts": b1}, out, DRIVER_RUN, run_checks=False, database=db,
                      buckets=4)
         later = RunParams(load_ts=SECOND_LOAD_TS)
         run_pipeline(spark, {**src, "accounts": b2}, out, later, run_checks=False, database=db, buckets=4)
@@ -147,3 +150,103 @@ def test_pipeline_satellite_snapshots_match_history_semantics(spark, scratch):
         cols = ["hk_account", "hash_diff", "load_dts"]
         assert sat.count() == want.count()
         assert sat.select(*cols).exceptAll(want.select(*cols)).count() == 0
+
+
+def three(spark, balances):
+    from ledgerlake.sources.schemas import SOURCE_SCHEMAS
+
+    rows = [(f"A{k}", "C1", "Savings", b, dt.date(2020, 1, 1)) for k, b in enumerate(balances)]
+    return spark.createDataFrame(rows, SOURCE_SCHEMAS["accounts"])
+
+
+def stored(spark, out, name, db):
+    return (spark.read.parquet(os.path.join(out, "silver", name, "*")) if db is None
+            else spark.table(f"{db}.silver__{name}"))
+
+
+def lakes(scratch, label):
+    return [(os.path.join(scratch, f"{label}_{db}"), db) for db in
+            (None, f"ll_{label}_" + os.path.basename(scratch).replace("-", "_"))]
+
+
+ONE, TWO = [D("1.00")] * 3, [D("2.00")] * 3
+
+
+def test_two_epochs_of_one_second_are_both_kept(spark, scratch):
+    for out, db in lakes(scratch, "second"):
+        writer = vault_batch_writer(out, "accounts", clock=lambda: dt.datetime(2024, 1, 1), database=db, buckets=2)
+        a = three(spark, ONE)
+        writer(a.where("account_id = 'A0'"), 0)
+        writer(a.where("account_id = 'A1'"), 1)
+        writer(a.where("account_id = 'A1'"), 1)                # replay
+        assert stored(spark, out, "hub_account", db).count() == 2
+
+
+def test_default_load_time_keeps_history(spark, scratch):
+    src = dict(banking_sources(spark, SF_SMALL).items())
+    for out, db in lakes(scratch, "default"):
+        for balances in (ONE, TWO):
+            run_pipeline(spark, {**src, "accounts": three(spark, balances)}, out, run_checks=False, database=db,
+                         buckets=2)
+        assert stored(spark, out, "sat_account", db).count() == 6
+
+
+def test_older_load_time_is_refused(spark, scratch):
+    from ledgerlake.plans.loading import load_jobs
+    from ledgerlake.operators.bronze import bronze
+    from ledgerlake.sources.sinks import StaleBatch, TableStore
+
+    for out, db in lakes(scratch, "order"):
+        store = TableStore(spark, out, db, 2)
+        late, early = RunParams(load_ts=dt.datetime(2024, 1, 2)), RunParams(load_ts=dt.datetime(2024, 1, 1))
+        for run in (late, early):
+            b = bronze(three(spark, ONE[:1]), "accounts", run)
+            jobs = dict(load_jobs(store, {"accounts": b}, run))
+            jobs["hub_account"]()
+            jobs["link_customer_account"]()
+            if run is late:
+                jobs["sat_account"]()
+        assert stored(spark, out, "hub_account", db).count() == 1
+        assert stored(spark, out, "link_customer_account", db).count() == 1
+        with pytest.raises(StaleBatch):
+            jobs["sat_account"]()
+        with pytest.raises(StaleBatch):        # same load time, another run
+            dict(load_jobs(store, {"accounts": b}, RunParams(load_ts=late.load_ts)))["sat_account"]()
+
+
+def test_stream_and_pipeline_share_one_store(spark, scratch):
+    src = dict(banking_sources(spark, SF_SMALL).items())
+    for out, db in lakes(scratch, "shared"):
+        load = lambda rows, day: run_pipeline(
+            spark, {**src, "accounts": three(spark, rows)}, out, RunParams(load_ts=dt.datetime(2024, 1, day)),
+            run_checks=False, database=db, buckets=2)
+        load(ONE, 1)
+        vault_batch_writer(out, "accounts", clock=lambda: dt.datetime(2024, 1, 2), database=db, buckets=2)(
+            three(spark, TWO), 0)
+        load(TWO, 3)
+        assert stored(spark, out, "sat_account", db).count() == 6
+        load(TWO, 4)
+        snap = os.path.join(out, "silver", "sat_account__current")
+        assert len([d for d in os.listdir(snap) if "batch=" in d]) == 2        # superseded snapshots go
+
+
+def test_bronze_assertions_stop_before_silver(spark, scratch):
+    from ledgerlake.plans.pipeline import CheckFailure
+
+    out = os.path.join(scratch, "gate")
+    src = dict(banking_sources(spark, SF_SMALL).items())
+    twice = src["accounts"].limit(1).unionAll(src["accounts"])
+    with pytest.raises(CheckFailure, match="unique__bronze_accounts__account_id"):
+        run_pipeline(spark, {**src, "accounts": twice}, out, DRIVER_RUN)
+    assert os.path.exists(os.path.join(out, "bronze", "accounts"))
+    assert not os.path.exists(os.path.join(out, "silver"))
+
+
+def test_bucketed_batches_write_one_file_per_bucket(spark, scratch):
+    out, db = lakes(scratch, "files")[1]
+    src = banking_sources(spark, SF_SMALL)
+    run_pipeline(spark, src, out, DRIVER_RUN, run_checks=False, database=db, buckets=4)
+    for name in ("sat_transaction", "link_account_transaction", "hub_account"):
+        folder = os.path.join(out, "silver", name)
+        batch = os.path.join(folder, next(d for d in os.listdir(folder) if d.startswith("_batch=")))
+        assert len([f for f in os.listdir(batch) if f.endswith(".parquet")]) <= 4

@@ -8,6 +8,7 @@ import pytest
 from ledgerlake.sources.driver_tables import banking_sources
 from ledgerlake.sources.readers import check_sources, read_csv_inferred, read_source
 from ledgerlake.sources.schemas import SOURCE_SCHEMAS
+from ledgerlake.params import RunParams
 from ledgerlake.sources.sinks import read_batches, table_path, write_batch
 
 from conftest import SF_SMALL
@@ -42,13 +43,13 @@ def test_check_sources_rejects_missing_and_empty(spark):
 
 def test_batches_are_idempotent(spark, scratch):
     path = table_path(scratch, "silver", "t")
-    t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
+    t1, t2 = RunParams(load_ts=dt.datetime(2024, 1, 1)), RunParams(load_ts=dt.datetime(2024, 2, 1))
     assert read_batches(spark, path) is None
     write_batch(spark.range(3), path, t1)
     write_batch(spark.range(5), path, t2)
     write_batch(spark.range(5), path, t2)          # retry of batch two
     assert read_batches(spark, path).count() == 8
-    assert read_batches(spark, path, before=t2).count() == 3
+    assert read_batches(spark, path, other_than=t2).count() == 3
 
 
 def test_declared_driver_schemas_match_the_files(spark):

@@ -124,5 +124,18 @@ def test_dedupe_versions_is_deterministic_on_hash_collisions(spark):
                                          "load_dts timestamp_ntz, rec_src string")
     for df in [staged, staged.repartition(3), staged.orderBy(F.desc("account_type"))]:
         out = sorted((r.account_type, str(r.balance_usd)) for r in dedupe_versions(df, ENTITIES["account"]).collect())
-        # copies collapse; two different tuples sharing a hash_diff are both kept
-        assert out == [("Checking", "2.00"), ("Savings", "1.00")]
+        # one version per (hk, hash_diff): the smallest tuple stands for both
+        assert out == [("Checking", "2.00")]
+
+
+def test_sat_colliding_hash_is_one_version(spark):
+    """('12', '34') and ('123', '4') have one undelimited hash: one row, in a batch and across batches."""
+    schema = SOURCE_SCHEMAS["merchants"]
+
+    def batch(rows, params, stored=None):
+        return load_sat(bronze(spark.createDataFrame(rows, schema), "merchants", params), ENTITIES["merchant"],
+                        params, stored)
+
+    both = batch([("M1", "123", "4"), ("M1", "12", "34")], T1)
+    assert [(r.merchant_name, r.city) for r in both.collect()] == [("12", "34")]
+    assert batch([("M1", "123", "4")], T2, both).count() == 0
