@@ -59,6 +59,20 @@ def map_rows(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]], sc
     return df.mapInArrow(run, want)
 
 
+#: Most slots of ``possibly_in``; what is broadcast has this many rows at any scale.
+SLOTS = 1 << 20
+
+
+def possibly_in(rows: DataFrame, ids: DataFrame, key: str, absent: bool = False) -> DataFrame:
+    """The rows whose key shares a hash slot with one of ``ids`` (or, ``absent``, with none).
+
+    Thins out rows before an exact join; at most ``SLOTS`` integers are broadcast.
+    """
+    slot = F.xxhash64(key).bitwiseAND(F.lit(SLOTS - 1)).alias("slot__")
+    slots = F.broadcast(ids.select(slot).distinct())
+    return rows.select("*", slot).join(slots, "slot__", "left_anti" if absent else "left_semi").drop("slot__")
+
+
 def crc_mod(k: int, col: str = "doc_id") -> Column:
     """``crc32`` of the id's decimal text, modulo ``k`` (fold assignment)."""
     return F.crc32(F.col(col).cast("string")) % F.lit(k)

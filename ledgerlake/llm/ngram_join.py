@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import Memo, scratch, table, text_of
+from ledgerlake.llm.common import Memo, possibly_in, scratch, table, text_of
 from ledgerlake.llm.components import components
 
 WORDS = 5
@@ -47,7 +47,6 @@ HOT = 4.0
 MAX_LIGHT, HEAVY_ROW_COST = 10, 5
 #: Leaders that later rounds take from each list, growing by this factor.
 LEADERS = 64
-FILTER_BITS = 20
 NO_ID = -(2**63)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -75,6 +74,22 @@ def shingle_hashes(text: str, memo: Memo) -> np.ndarray:
     return np.unique(out)
 
 
+def parity_bits(s: np.ndarray) -> bytes:
+    """Parity of the set's members in each of 2n to 4n hash slots: a lower bound for set differences."""
+    width = max(6, int(2 * max(1, len(s)) - 1).bit_length())
+    slots = np.bincount((s >> np.uint64(64 - width)).astype(np.int64), minlength=1 << width)
+    return np.packbits((slots & 1).astype(np.uint8)).tobytes()
+
+
+def may_link(a: int, bits_a: bytes, b: int, bits_b: bytes) -> bool:
+    """False if the parities already differ in more places than linked sets of these sizes can."""
+    x, y = np.unpackbits(np.frombuffer(bits_a, np.uint8)), np.unpackbits(np.frombuffer(bits_b, np.uint8))
+    while len(x) != len(y):
+        x, y = (x, y) if len(x) > len(y) else (y, x)
+        x = x[0::2] ^ x[1::2]
+    return int(np.count_nonzero(x != y)) <= a + b - 2 * needed(a, b)
+
+
 def needed(a: int, b: int) -> int:
     """Least overlap of linked sets of sizes a and b."""
     return -(-PERCENT * (a + b) // (100 + PERCENT))
@@ -106,10 +121,10 @@ def _arrow(df: DataFrame, run, schema: str) -> DataFrame:
 
 
 def _scan(docs: DataFrame) -> DataFrame:
-    """(node, n, d1, d2) per row, and rows (bucket, n) of the frequency counters with a null d1."""
+    """(node, n, d1, d2, parity bits) per row, and rows (bucket, n) of the frequency counters with a null d1."""
     memo = Memo(_word_hash)
     schema = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()),
-                        ("row", pa.bool_())])
+                        ("bits", pa.binary()), ("row", pa.bool_())])
 
     def run(batches):
         counts = np.zeros(COUNTERS, np.int64)
@@ -124,14 +139,15 @@ def _scan(docs: DataFrame) -> DataFrame:
                     [part.column(0), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([(d >> 64) - (1 << 63) for d in digests], pa.int64()),
                      pa.array([(d & ((1 << 64) - 1)) - (1 << 63) for d in digests], pa.int64()),
+                     pa.array([parity_bits(s) for s in sets], pa.binary()),
                      pa.array([True] * len(sets), pa.bool_())], schema=schema)
         some = np.flatnonzero(counts)
         none = pa.nulls(len(some), pa.int64())
         yield pa.RecordBatch.from_arrays(
             [pa.array(some, pa.int64()), pa.array(counts[some], pa.int64()), none, none,
-             pa.array(np.zeros(len(some), bool))], schema=schema)
+             pa.nulls(len(some), pa.binary()), pa.array(np.zeros(len(some), bool))], schema=schema)
 
-    return _arrow(docs, run, "node long, n long, d1 long, d2 long, row boolean")
+    return _arrow(docs, run, "node long, n long, d1 long, d2 long, bits binary, row boolean")
 
 
 def _signatures(docs: DataFrame, counts: np.ndarray, x: int) -> DataFrame:
@@ -221,28 +237,35 @@ def _possible(n1, p1, n2, p2):
 
 def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """node, shingles (sorted 64-bit hashes as bytes) of the given nodes."""
-    spark = docs.sparkSession
-    slot = F.xxhash64("node").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
-    bits = np.zeros(1 << FILTER_BITS, bool)                  # thins out what is shuffled; the join below is exact
-    bits[[r.slot for r in nodes.select(slot.cast("int").alias("slot")).distinct().collect()]] = True
-    shared = spark.sparkContext.broadcast(np.packbits(bits))
     memo = Memo(_word_hash)
     schema = pa.schema([("node", pa.int64()), ("shingles", pa.binary())])
 
     def run(batches):
-        wanted = np.unpackbits(shared.value).view(bool)
         for batch in batches:
             memo.trim()
-            keep = wanted[batch.column(2).to_numpy(zero_copy_only=False)]
-            part = batch.filter(pa.array(keep))
-            for at in range(0, part.num_rows, 256):
-                some = part.slice(at, 256)
+            for at in range(0, batch.num_rows, 256):
+                some = batch.slice(at, 256)
                 yield pa.RecordBatch.from_arrays(
                     [some.column(0), pa.array([shingle_hashes(t, memo).tobytes()
                                                for t in some.column(1).to_pylist()], pa.binary())], schema=schema)
 
-    sets = _arrow(docs.withColumn("slot", slot.cast("int")), run, "node long, shingles binary")
-    return sets.join(nodes, "node", "left_semi")
+    return _arrow(possibly_in(docs, nodes, "node").join(nodes, "node", "left_semi"), run, "node long, shingles binary")
+
+
+def _screen(scanned: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs that their parity bits do not rule out (exact: no link is lost)."""
+    side = lambda c: scanned.where("row").select(F.col("node").alias(c), F.struct("n", "bits").alias(f"s{c}"))
+    both = pairs.join(side("v"), "v").join(side("u"), "u").select("u", "v", "su.n", "su.bits", F.col("sv.n").alias("m"),
+                                                                  F.col("sv.bits").alias("other"))
+
+    def run(batches):
+        for batch in batches:
+            rows = [batch.column(k).to_pylist() for k in (2, 3, 4, 5)]
+            keep = pa.array([may_link(*r) for r in zip(*rows, strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)],
+                                             schema=pa.schema([("u", pa.int64()), ("v", pa.int64())]))
+
+    return _arrow(both, run, "u long, v long").distinct()
 
 
 def _verify(spark: SparkSession, docs: DataFrame, pairs: DataFrame, label: str) -> DataFrame:
@@ -310,8 +333,9 @@ def near_groups(documents: DataFrame) -> DataFrame:
     member = rows.join(classes.select("d1", "d2", "class_id"), ["d1", "d2"], "left")
     member = scratch(spark, member.select("node", "n", F.when(F.col("n") > 0, F.col("class_id"))
                                           .otherwise(F.col("node")).alias("class_id")), "ngram-members")
-    copies = member.where("node <> class_id").select("node")
-    heads = docs.join(copies, "node", "left_anti")
+    copies = scratch(spark, member.where("node <> class_id").select("node").distinct(), "ngram-copies")
+    heads = possibly_in(docs, copies, "node", absent=True).unionAll(
+        possibly_in(docs, copies, "node").join(copies, "node", "left_anti"))
 
     signatures = scratch(spark, _signatures(heads, counts, x), "ngram-signatures")
     links = _light_links(signatures.where("kind = 1")) if x else None
@@ -319,7 +343,7 @@ def near_groups(documents: DataFrame) -> DataFrame:
     pairs = (lists.where(F.col("node") != F.col("leader.node"))
              .where(_possible(F.col("n"), F.col("pos"), F.col("leader.n"), F.col("leader.pos")))
              .select(F.col("leader.node").alias("u"), F.col("node").alias("v")).distinct())
-    verified = _verify(spark, docs, scratch(spark, pairs, "ngram-pairs"), "ngram-1")
+    verified = _verify(spark, docs, scratch(spark, _screen(scanned, pairs), "ngram-pairs"), "ngram-1")
     links = scratch(spark, verified if links is None else verified.unionAll(links), "ngram-links")
     low = 1
     while True:
@@ -338,7 +362,7 @@ def near_groups(documents: DataFrame) -> DataFrame:
                  .where((F.col("a.rank") < F.col("b.rank")) & (F.col("a.part") != F.col("b.part")))
                  .where(_possible(F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos")))
                  .select(F.least("a.node", "b.node").alias("u"), F.greatest("a.node", "b.node").alias("v")).distinct())
-        pairs = scratch(spark, pairs, "ngram-pairs")
+        pairs = scratch(spark, _screen(scanned, pairs), "ngram-pairs")
         low = high
         if not pairs.isEmpty():
             links = scratch(spark, links.unionAll(_verify(spark, docs, pairs, f"ngram-{low}")), "ngram-links")
