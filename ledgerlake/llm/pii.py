@@ -161,7 +161,7 @@ def _scan(cols: dict[str, list]) -> dict[str, list]:
 
 def _pattern_totals(docs: DataFrame, candidates: DataFrame) -> DataFrame:
     """pattern, total: how often each candidate pattern occurs before any token of the corpus."""
-    slot = F.shiftrightunsigned(F.col("pattern") * F.lit(0x5851F42D4C957F2D), 64 - FILTER_BITS)
+    slot = F.shiftrightunsigned("pattern", 64 - FILTER_BITS)         # a pattern is a mixed hash
     taken = candidates.select(slot.cast("int").alias("slot")).distinct().collect()  # at most 2**FILTER_BITS
     bits = np.zeros(1 << FILTER_BITS, bool)
     bits[[r.slot for r in taken]] = True
@@ -180,8 +180,7 @@ def _pattern_totals(docs: DataFrame, candidates: DataFrame) -> DataFrame:
             h = np.concatenate([h, np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))])
             with np.errstate(over="ignore"):
                 p = pattern_hash(h[:-2], h[1:-1])
-                where = (p * np.uint64(0x5851F42D4C957F2D)) >> np.uint64(64 - FILTER_BITS)
-            hits.append(p[flags[where.astype(np.int64)]])
+            hits.append(p[flags[(p >> np.uint64(64 - FILTER_BITS)).astype(np.int64)]])
         values, n = np.unique(np.concatenate(hits), return_counts=True) if hits else ([], [])
         return {"pattern": np.asarray(values, np.uint64).astype(np.int64), "n": n}
 
