@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Metric:
-    agg: str        # "max" | "sum" | "count" | "sum_exact" (2-decimal values) | "min"
+    agg: str        # "max" | "sum" | "count" | "sum_money" (decimal) | "sum_exact" (2-decimal percentages) | "min"
     column: str
     alias: str
 
@@ -42,6 +42,8 @@ def _metric(m: Metric) -> Column:
         return F.count(c).alias(m.alias)
     if m.agg == "sum":
         return F.sum(c).cast("long").alias(m.alias)
+    if m.agg == "sum_money":
+        return F.sum(c).cast("decimal(38,2)").alias(m.alias)
     if m.agg == "sum_exact":
         return F.sum(c.cast("decimal(38,2)")).cast("double").alias(m.alias)
     raise ValueError(m.agg)
@@ -66,19 +68,19 @@ CHARTS: dict[str, Chart] = {c.id: c for c in [
     Chart("c07", "% Customers with Multiple Accounts", "customer_kpis",
           (_m("max", "pct_customers_with_multiple_accounts"),)),
     Chart("c08", "Total Deposits by Account Type", "account_type_deposits",
-          (_m("sum_exact", "total_balance_usd"),), ("account_type",), ("account_type",)),
+          (_m("sum_money", "total_balance_usd"),), ("account_type",), ("account_type",)),
     Chart("c09", "Account Opening Trend by Cohort", "account_opening_cohort_trend",
-          (_m("sum_exact", "total_balance_usd"),), ("open_month", "account_type"),
+          (_m("sum_money", "total_balance_usd"),), ("open_month", "account_type"),
           ("open_month", "account_type")),
     Chart("c10", "Average Balance per Customer", "customer_balance_kpis",
           (_m("max", "avg_balance_usd"),)),
     Chart("c11", "Median Balance per Customer", "customer_balance_kpis",
           (_m("max", "median_balance_usd"),)),
     Chart("c12", "Deposit Concentration", "customer_balance_summary",
-          (_m("sum_exact", "total_balance_usd"), _m("min", "balance_rank")),
+          (_m("sum_money", "total_balance_usd"), _m("min", "balance_rank")),
           ("customer_id",), ("balance_rank",)),
     Chart("c13", "Loan Originations Trend", "loan_monthly_trend",
-          (_m("sum_exact", "total_loan_amount_usd"),), ("origination_month",), ("origination_month",)),
+          (_m("sum_money", "total_loan_amount_usd"),), ("origination_month",), ("origination_month",)),
     Chart("c14", "Interest Rate vs Credit Tier", "interest_rate_by_credit_tier",
           (_m("max", "avg_interest_rate"),), ("credit_tier", "credit_tier_sort_order"),
           ("credit_tier_sort_order",)),
@@ -95,10 +97,10 @@ CHARTS: dict[str, Chart] = {c.id: c for c in [
           (_m("max", "cards_expiring_count"),), ("bucket_days",), ("bucket_days",),
           "bucket_days in (30, 60, 90)"),
     Chart("c19", "Transaction Volume and Count by Month", "transaction_monthly_summary",
-          (_m("sum_exact", "total_transaction_volume_usd"), _m("sum", "transaction_count")),
+          (_m("sum_money", "total_transaction_volume_usd"), _m("sum", "transaction_count")),
           ("transaction_month",), ("transaction_month",)),
     Chart("c20", "Top Merchants by Volume", "top_merchants",
-          (_m("sum_exact", "total_transaction_volume_usd"),), ("merchant_name",),
+          (_m("sum_money", "total_transaction_volume_usd"),), ("merchant_name",),
           ("total_transaction_volume_usd",)),
     Chart("c21", "Average Transaction Size by Account Type", "avg_transaction_by_account_type",
           (_m("max", "avg_transaction_amount_usd"),), ("account_type",), ("account_type",)),

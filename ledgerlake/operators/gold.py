@@ -244,5 +244,5 @@ def spend_by_city_quarter(fact_tx: DataFrame, dim_cust: DataFrame, calendar: Dat
     c = dim_cust.filter("is_current").select("customer_hub_key", "city")
     j = per_customer.join(c, "customer_hub_key")
     return (j.groupBy("city", "year", "quarter")
-            .agg(F.sum("_spend").cast("double").alias("total_spend"))
+            .agg(F.sum("_spend").cast("decimal(38,2)").alias("total_spend"))
             .orderBy("year", "quarter", F.col("city").asc_nulls_last()))

@@ -85,11 +85,12 @@ def column_summaries(sources: dict[str, DataFrame], exact: bool = True) -> DataF
 
 
 def value_counts(sources: dict[str, DataFrame]) -> DataFrame:
-    """Category counts (NULL dropped)."""
-    return _union([sources[t].filter(F.col(c).isNotNull()).groupBy(F.col(c).alias("value"))
+    """Category counts (NULL dropped), most frequent first."""
+    counts = _union([sources[t].filter(F.col(c).isNotNull()).groupBy(F.col(c).alias("value"))
                    .agg(F.count(F.lit(1)).alias("value_count"))
                    .select(F.lit(f"{t}.{c}").alias("column_name"), "value", "value_count")
                    for t, c in VALUE_COUNTS])
+    return counts.orderBy("column_name", F.col("value_count").desc(), "value")
 
 
 def describe(df: DataFrame, value: Column, label: str, tiebreak: list[Column]) -> DataFrame:
@@ -186,18 +187,31 @@ def coverage(sources: dict[str, DataFrame]) -> DataFrame:
                    for name, p, pk, c, fk in spec])
 
 
+# Columns that the suggested tables declare NOT NULL besides keys and references
+REQUIRED = {
+    "customers": ("first_name", "last_name", "email", "city", "credit_score", "created_at"),
+    "accounts": ("account_type", "balance_usd", "open_date"),
+    "cards": ("card_type", "expiration_date"),
+    "loans": ("loan_amount", "interest_rate", "start_date"),
+    "branches": ("branch_name", "manager_name"),
+    "merchants": ("merchant_name", "city"),
+}
+
+
 def suggested_constraints() -> list[Check]:
-    """The notebook's suggested constraints as assertions on the sources."""
+    """The 42 suggested constraints as assertions on the sources."""
     checks = []
     for t, key in PROFILED_TABLES.items():
         checks += [Check("unique", t, key), Check("not_null", t, key)]
+        checks += [Check("not_null", t, c) for c in REQUIRED[t]]
     for _, child, fk, parent, pk in RELATIONS:
         checks += [Check("not_null", child, fk), Check("relationships", child, fk, (parent, pk))]
-    checks += [Check("in_range", "customers", "credit_score", (300, 850)),
+    checks += [Check("accepted_values", "accounts", "account_type", ("Checking", "Savings", "Business")),
+               Check("accepted_values", "cards", "card_type", ("Debit", "Credit")),
+               Check("in_range", "customers", "credit_score", (300, 850)),
                Check("in_range", "accounts", "balance_usd", (0,)),
                Check("in_range", "loans", "loan_amount", (0,)),
-               Check("in_range", "loans", "interest_rate", (0, 100)),
-               Check("not_null", "branches", "branch_name")]
+               Check("in_range", "loans", "interest_rate", (0, 100))]
     return checks
 
 

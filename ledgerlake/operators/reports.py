@@ -1,7 +1,7 @@
 """Reporting models R1-R18: flat, pre-aggregated tables behind the charts.
 
 Result types: counts are bigint; money totals are exact decimal sums
-delivered as double; averages are ``double(sum) / count``; percentages are
+exact decimals with cents; averages are ``double(sum) / count``; percentages are
 rounded half-up to two places with integer arithmetic, so every engine gets
 the same digits.
 
@@ -23,10 +23,13 @@ from ledgerlake.params import RunParams
 
 # ---- result-type helpers -----------------------------------------------------
 
+MONEY = "decimal(38,2)"
+
+
 def money_total(col: str | Column) -> Column:
-    """``coalesce(sum(x), 0)`` as double (exact decimal sum, one final rounding)."""
+    """``coalesce(sum(x), 0)`` as an exact decimal with cents."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.coalesce(F.sum(c), F.lit(0)).cast("double")
+    return F.coalesce(F.sum(c), F.lit(0)).cast(MONEY)
 
 
 def mean(sum_col: Column, count_col: Column) -> Column:
@@ -38,19 +41,12 @@ def money_avg(col: str) -> Column:
     return mean(F.sum(col), F.count(col))
 
 
-def int_div(x: Column, y: Column) -> Column:
-    """Exact integer division of non-negative longs (``x div y``): the
-    remainder is removed first, so the division is exact and ``round``
-    absorbs any floating-point error of the conversion."""
-    return F.round((x - F.pmod(x, y)) / y).cast("long")
-
-
 def pct(part: Column, whole: Column) -> Column:
     """``round(part / nullif(whole, 0) * 100, 2)`` for non-negative counts,
     exact half-up rounding: ``(20000 * part + whole) div (2 * whole) / 100``."""
     part_l, whole_l = part.cast("long"), whole.cast("long")
     return F.when(whole_l == 0, F.lit(None).cast("double")).otherwise(
-        int_div(part_l * 20000 + whole_l, whole_l * 2).cast("double") / 100.0)
+        F.call_function("div", part_l * 20000 + whole_l, whole_l * 2).cast("double") / 100.0)
 
 
 def _current(dim: DataFrame) -> DataFrame:
@@ -140,7 +136,7 @@ def customer_balance_summary(dim_customer: DataFrame, fab: DataFrame) -> DataFra
                          out="balance_rank")
     return ranked.select(
         "customer_hub_key", "customer_id", "first_name", "last_name", "city", "credit_tier",
-        "account_count", F.col("_total").cast("double").alias("total_balance_usd"),
+        "account_count", F.col("_total").cast(MONEY).alias("total_balance_usd"),
         "balance_rank")
 
 
@@ -284,7 +280,7 @@ def top_merchants(fact_tx: DataFrame, dim_merchant: DataFrame) -> DataFrame:
                          out="volume_rank")
     return ranked.select("merchant_hub_key", "merchant_id", "merchant_name", "city",
                          "transaction_count",
-                         F.col("_vol").cast("double").alias("total_transaction_volume_usd"),
+                         F.col("_vol").cast(MONEY).alias("total_transaction_volume_usd"),
                          "volume_rank")
 
 
@@ -305,3 +301,33 @@ def signups_by_month(dim_customer: DataFrame) -> DataFrame:
     """Customer versions (all, not only current) by created month."""
     return (dim_customer.groupBy(month_start("created_date").alias("signup_month"))
             .agg(F.count(F.lit(1)).alias("customer_count")))
+
+
+# report -> builder over (models by name, run parameters)
+BUILDERS = {
+    "customer_kpis": lambda t, p: customer_kpis(t["dim_customer"], t["fact_account_balance"],
+                                                        t["fact_loans"], t["fact_transactions"], p),
+    "monthly_customer_growth": lambda t, p: monthly_customer_growth(t["dim_customer"]),
+    "yearly_account_openings_by_type": lambda t, p: yearly_account_openings_by_type(t["dim_account"]),
+    "account_type_deposits": lambda t, p: account_type_deposits(t["fact_account_balance"], t["dim_account"]),
+    "account_opening_cohort_trend": lambda t, p: account_opening_cohort_trend(
+        t["fact_account_balance"], t["dim_account"]),
+    "customer_balance_summary": lambda t, p: customer_balance_summary(t["dim_customer"],
+                                                                              t["fact_account_balance"]),
+    "customer_balance_kpis": lambda t, p: customer_balance_kpis(t["fact_account_balance"], p),
+    "loan_monthly_trend": lambda t, p: loan_monthly_trend(t["fact_loans"]),
+    "interest_rate_by_credit_tier": lambda t, p: interest_rate_by_credit_tier(t["fact_loans"],
+                                                                                      t["dim_customer"]),
+    "loan_penetration_by_credit_tier": lambda t, p: loan_penetration_by_credit_tier(
+        t["dim_customer"], t["fact_loans"]),
+    "customer_credit_mix_monthly": lambda t, p: customer_credit_mix_monthly(t["dim_customer"]),
+    "card_portfolio_summary": lambda t, p: card_portfolio_summary(t["dim_card"], t["dim_account"]),
+    "dim_card_enriched": lambda t, p: dim_card_enriched(t["dim_card"], t["dim_account"],
+                                                                t["dim_customer"], p),
+    "card_expiry_buckets": lambda t, p: card_expiry_buckets(t["dim_card"], p),
+    "transaction_monthly_summary": lambda t, p: transaction_monthly_summary(t["fact_transactions"]),
+    "top_merchants": lambda t, p: top_merchants(t["fact_transactions"], t["dim_merchant"]),
+    "avg_transaction_by_account_type": lambda t, p: avg_transaction_by_account_type(
+        t["fact_transactions"], t["dim_account"]),
+    "signups_by_month": lambda t, p: signups_by_month(t["dim_customer"]),
+}

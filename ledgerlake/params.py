@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 # Fixed values used by the driver-table runs (FIXTURES.md §3).
 DEFAULT_LOAD_TS = dt.datetime(2024, 1, 1, 0, 0, 0)
 SECOND_LOAD_TS = dt.datetime(2024, 2, 1, 0, 0, 0)
+THIRD_LOAD_TS = dt.datetime(2024, 3, 1, 0, 0, 0)
+# Two load times inside the range of the transactions' dates.
+EVENT_LOADS = (dt.datetime(2017, 1, 1), dt.datetime(2019, 1, 1))
 DEFAULT_AS_OF = dt.date(2021, 8, 1)
 DEFAULT_SOURCE = "driver_parquet"
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from ledgerlake.operators import gold
 from ledgerlake.operators.bronze import bronze
 from ledgerlake.operators.vault import load_hub, load_link, load_sat
-from ledgerlake.params import SECOND_LOAD_TS
+from ledgerlake.params import SECOND_LOAD_TS, THIRD_LOAD_TS
 from ledgerlake.plans.entities import ENTITIES, LINKS
 from ledgerlake.sources.driver_tables import account_batches
 
@@ -42,14 +42,19 @@ def load_batches(batches: list[DataFrame], params_list, entity="account", link="
     return hub, link_df, sat
 
 
-def account_history(lh) -> AccountHistory:
-    cached = getattr(lh, "_account_history", None)
-    if cached is not None:
-        return cached
-    sf_dir = lh.sf_dir
-    batches = account_batches(lh.spark, sf_dir)
-    params = [lh.params, lh.params.with_load_ts(SECOND_LOAD_TS)]
-    hub, link, sat = load_batches(batches, params)
-    dim = gold.dim_account(sat, hub, link)
-    lh._account_history = AccountHistory(hub, link, sat, dim)
-    return lh._account_history
+def account_history(lh, loads=None) -> AccountHistory:
+    """The two account batches loaded at ``loads`` (default: the run's load time and the second one)."""
+    loads = loads or (lh.params.load_ts, SECOND_LOAD_TS)
+    cached = lh.__dict__.setdefault("_account_history", {})
+    if loads not in cached:
+        batches = account_batches(lh.spark, lh.sf_dir)
+        hub, link, sat = load_batches(batches, [lh.params.with_load_ts(t) for t in loads])
+        cached[loads] = AccountHistory(hub, link, sat, gold.dim_account(sat, hub, link))
+    return cached[loads]
+
+
+def three_batches(lh) -> DataFrame:
+    """The account satellite after a third batch that equals the first (A -> B -> A)."""
+    first, _ = account_batches(lh.spark, lh.sf_dir)
+    e, params, sat = ENTITIES["account"], lh.params.with_load_ts(THIRD_LOAD_TS), account_history(lh).sat
+    return sat.unionByName(load_sat(bronze(first, e.source, params), e, params, sat))

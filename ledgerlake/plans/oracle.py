@@ -1,21 +1,23 @@
-"""Reference SQL (DuckDB dialect) for every registered query.
+"""SQL (DuckDB dialect) for every registered query.
 
-Each model is one named CTE written directly in SQL, as the reference writes
-its models; a query's SQL is the CTEs it needs (found by name) followed by a
+Each model is one named CTE written from the operator's definition; a query's SQL is the CTEs it needs (found by name) followed by a
 final SELECT.  The views ``region nation customer supplier orders lineitem``
-are the driver's parquet tables.  This is the independent half of the
-correctness gate: none of it is derived from the Spark code.
+are the driver's parquet tables.  The models here, the profiles and the
+constraint list are written by hand; the SQL of the charts and of the other
+assertions is generated from the same catalogues as the Spark side (they
+state data, not logic), so a missing catalogue entry shows only in the tests
+that compare the catalogues' sizes.
 """
 
 from __future__ import annotations
 
 import re
 
-from ledgerlake.plans.entities import ENTITIES
-from ledgerlake.params import DEFAULT_AS_OF, DEFAULT_LOAD_TS, DEFAULT_SOURCE, SECOND_LOAD_TS, sql_date, sql_ts
+from ledgerlake.params import DEFAULT_AS_OF, DEFAULT_LOAD_TS, DEFAULT_SOURCE, EVENT_LOADS, SECOND_LOAD_TS, THIRD_LOAD_TS, sql_date, sql_ts
 
 LOAD = sql_ts(DEFAULT_LOAD_TS)
 LOAD2 = sql_ts(SECOND_LOAD_TS)
+LOAD3 = sql_ts(THIRD_LOAD_TS)
 AS_OF = sql_date(DEFAULT_AS_OF)
 SRC = f"'{DEFAULT_SOURCE}'"
 
@@ -34,7 +36,7 @@ def shift(ts: str) -> str:
 
 
 def money_total(x: str) -> str:
-    return f"CAST(coalesce(sum({x}), 0) AS DOUBLE)"
+    return f"CAST(coalesce(sum({x}), 0) AS DECIMAL(38,2))"
 
 
 def money_avg(x: str) -> str:
@@ -219,14 +221,22 @@ def _staged_sat_sql(entity: str, bronze: str, load: str = LOAD) -> str:
 for _e, _s in SOURCE_OF.items():
     CTES[f"sat_{_e}"] = _staged_sat_sql(_e, f"bronze_{_s}")
 
-# the reason texts are fixed values, kept once in the entity catalogue
-QUARANTINE_PARTS = {e: ENTITIES[e].reason for e in SOURCE_OF}
+# fixed values: the reason texts
+QUARANTINE_REASON = {
+    "customer": "failed customer validation: email format, credit_score range (300-850), or created_at in the future",
+    "account": "failed account validation: balance_usd negative or account_type not recognized",
+    "card": "failed card validation: card_type not recognized",
+    "merchant": "failed merchant validation: merchant_name is null or empty",
+    "branch": "failed branch validation: branch_name is null or empty",
+    "loan": "failed loan validation: loan_amount not positive or interest_rate outside 0-100",
+    "transaction": "failed transaction validation: amount_usd not positive or transaction_date in the future",
+}
 
 CTES["quarantine"] = "\n    UNION ALL\n".join(
-    f"""    SELECT '{e}' AS source_table, h.{KEY_OF[e]} AS source_business_key, s.hk_{e} AS hash_key,
-           '{reason}' AS rejection_reason, s.load_dts
-    FROM sat_{e} s JOIN hub_{e} h ON h.hk_{e} = s.hk_{e} WHERE s._is_valid = false"""
-    for e, reason in QUARANTINE_PARTS.items())
+    f"""    SELECT '{e}' AS source_table, {KEY_OF[e]} AS source_business_key, hk_{e} AS hash_key,
+           '{reason}' AS rejection_reason, bad.load_dts
+    FROM hub_{e} INNER JOIN (SELECT hk_{e}, load_dts FROM sat_{e} WHERE NOT _is_valid) AS bad USING (hk_{e})"""
+    for e, reason in QUARANTINE_REASON.items())
 
 # incremental: two batches of accounts
 CTES["hub_account_b1"] = _hub_sql("account", "bronze_accounts_b1")
@@ -255,6 +265,16 @@ CTES["sat_account_incremental"] = f"""
     WHERE le.existing_hash_diff IS NULL OR le.existing_hash_diff <> d.hash_diff"""
 
 
+# a third batch with batch one's accounts again: A -> B -> A stores three versions
+CTES["sat_account_b3"] = _staged_sat_sql("account", "bronze_accounts_b1", LOAD3)
+CTES["sat_account_three_batches"] = f"""
+    SELECT {sat_cols('account')} FROM sat_account_incremental
+    UNION ALL
+    SELECT {sat_cols('account')} FROM sat_account_b3 AS third
+    WHERE hash_diff IS DISTINCT FROM (
+        SELECT arg_max(stored.hash_diff, (stored.load_dts, stored.hash_diff)) FROM sat_account_incremental AS stored
+        WHERE stored.hk_account = third.hk_account)"""
+
 # ---------------------------------------------------------------------------
 # gold
 # ---------------------------------------------------------------------------
@@ -290,6 +310,11 @@ def _dim_account_sql(sat: str, hub: str, link: str) -> str:
 CTES["dim_account"] = _dim_account_sql("sat_account", "hub_account", "link_customer_account")
 CTES["dim_account_history"] = _dim_account_sql("sat_account_incremental", "hub_account_incremental",
                                                "link_customer_account_incremental")
+# the same two batches loaded while the transactions happened (2017 and 2019)
+_L1, _L2 = (sql_ts(t) for t in EVENT_LOADS)
+CTES["event_sat"] = f"""
+    SELECT * REPLACE (CASE load_dts WHEN {LOAD} THEN {_L1} ELSE {_L2} END AS load_dts) FROM sat_account_incremental"""
+CTES["event_dim_account"] = _dim_account_sql("event_sat", "hub_account_incremental", "link_customer_account_incremental")
 CTES["dim_card"] = f"""
     SELECT md5(concat(hk_card, CAST(load_dts AS VARCHAR))) AS card_key,
            hk_card AS card_hub_key, card_id, hk_account AS account_hub_key, card_type, expiration_date,
@@ -326,15 +351,17 @@ CTES["dim_date"] = """
            date_day = last_day(date_day) AS is_month_end
     FROM (SELECT CAST(d AS DATE) AS date_day
           FROM generate_series(DATE '2015-01-01', DATE '2030-01-01', INTERVAL 1 DAY) t(d))"""
+CTES["transaction_parties"] = """
+    SELECT hk_transaction, hk_account, hk_merchant
+    FROM link_account_transaction INNER JOIN link_merchant_transaction USING (hk_transaction)"""
 CTES["fact_transactions"] = f"""
-    SELECT s.hk_transaction AS transaction_hub_key, lat.hk_account AS account_hub_key,
-           lmt.hk_merchant AS merchant_hub_key, lca.hk_customer AS customer_hub_key,
-           {datekey('s.transaction_date')} AS date_key, s.transaction_date, s.amount_usd,
-           s.rec_src AS record_source, s.load_dts AS load_date
-    FROM sat_transaction s
-    JOIN link_account_transaction lat ON lat.hk_transaction = s.hk_transaction
-    JOIN link_merchant_transaction lmt ON lmt.hk_transaction = s.hk_transaction
-    JOIN link_customer_account lca ON lca.hk_account = lat.hk_account"""
+    SELECT hk_transaction AS transaction_hub_key, hk_account AS account_hub_key, hk_merchant AS merchant_hub_key,
+           hk_customer AS customer_hub_key, {datekey('version.transaction_date')} AS date_key,
+           version.transaction_date, version.amount_usd, version.rec_src AS record_source,
+           version.load_dts AS load_date
+    FROM (SELECT hk_account, hk_customer FROM link_customer_account) AS holder
+    INNER JOIN transaction_parties USING (hk_account)
+    INNER JOIN sat_transaction AS version USING (hk_transaction)"""
 CTES["fact_loans"] = f"""
     SELECT s.hk_loan AS loan_hub_key, l.hk_customer AS customer_hub_key, {datekey('s.start_date')} AS date_key,
            s.start_date, s.loan_amount, s.interest_rate, s.rec_src AS record_source, s.load_dts AS load_date
@@ -359,20 +386,19 @@ CTES["customer_balances"] = """
     SELECT customer_hub_key, sum(balance_usd) AS total_balance_usd, count(*) AS account_count
     FROM fact_account_balance GROUP BY 1"""
 
+CTES["holdings"] = """
+    SELECT customer_hub_key, total_balance_usd, account_count
+    FROM customer_balances SEMI JOIN cur_customers USING (customer_hub_key)"""
 CTES["customer_kpis"] = f"""
-    SELECT count(*) AS total_customers,
-           CAST(coalesce(sum(cb.account_count), 0) AS BIGINT) AS total_accounts,
-           {money_total('cb.total_balance_usd')} AS total_deposits_usd,
-           CAST(coalesce(sum(CASE WHEN cb.account_count > 1 THEN 1 ELSE 0 END), 0) AS BIGINT) AS customers_with_multiple_accounts,
-           coalesce({pct('coalesce(sum(CASE WHEN cb.account_count > 1 THEN 1 ELSE 0 END), 0)', 'count(*)')}, 0.0)
-             AS pct_customers_with_multiple_accounts,
-           max(lt.total_loan_book_usd) AS total_loan_book_usd,
-           max(tt.total_transaction_volume_usd) AS total_transaction_volume_usd,
+    SELECT n AS total_customers, CAST(accounts AS BIGINT) AS total_accounts, deposits AS total_deposits_usd,
+           several AS customers_with_multiple_accounts,
+           coalesce({pct('several', 'n')}, 0.0) AS pct_customers_with_multiple_accounts,
+           (SELECT {money_total('loan_amount')} FROM fact_loans) AS total_loan_book_usd,
+           (SELECT {money_total('amount_usd')} FROM fact_transactions) AS total_transaction_volume_usd,
            {AS_OF} AS snapshot_date
-    FROM cur_customers cc
-    LEFT JOIN customer_balances cb ON cb.customer_hub_key = cc.customer_hub_key
-    CROSS JOIN (SELECT {money_total('loan_amount')} AS total_loan_book_usd FROM fact_loans) lt
-    CROSS JOIN (SELECT {money_total('amount_usd')} AS total_transaction_volume_usd FROM fact_transactions) tt"""
+    FROM (SELECT (SELECT count(*) FROM cur_customers) AS n, coalesce(sum(account_count), 0) AS accounts,
+                 {money_total('total_balance_usd')} AS deposits,
+                 count(*) FILTER (WHERE account_count >= 2) AS several FROM holdings)"""
 CTES["monthly_customer_growth"] = """
     SELECT acquisition_month, count(*) AS new_customers FROM cur_customers GROUP BY 1"""
 CTES["yearly_account_openings_by_type"] = """
@@ -389,11 +415,14 @@ CTES["account_opening_cohort_trend"] = f"""
     FROM fact_account_balance fab JOIN cur_accounts ca ON ca.account_hub_key = fab.account_hub_key
     GROUP BY 1, 2"""
 CTES["customer_balance_summary"] = """
-    SELECT cc.customer_hub_key, cc.customer_id, cc.first_name, cc.last_name, cc.city, cc.credit_tier,
-           CAST(coalesce(cb.account_count, 0) AS BIGINT) AS account_count,
-           CAST(coalesce(cb.total_balance_usd, 0) AS DOUBLE) AS total_balance_usd,
-           rank() OVER (ORDER BY coalesce(cb.total_balance_usd, 0) DESC, cc.customer_id) AS balance_rank
-    FROM cur_customers cc LEFT JOIN customer_balances cb ON cb.customer_hub_key = cc.customer_hub_key"""
+    SELECT *, row_number() OVER (ORDER BY total_balance_usd DESC, customer_id) AS balance_rank
+    FROM (SELECT customer_hub_key, customer_id, first_name, last_name, city, credit_tier,
+                 count(account_hub_key) AS account_count,
+                 CAST(coalesce(sum(balance_usd), 0) AS DECIMAL(38,2)) AS total_balance_usd
+          FROM (SELECT * FROM dim_customer WHERE is_current)
+          LEFT JOIN (SELECT customer_hub_key, account_hub_key, balance_usd FROM fact_account_balance)
+            USING (customer_hub_key)
+          GROUP BY ALL)"""
 CTES["customer_balance_kpis"] = f"""
     SELECT count(*) AS customers_with_balance_rows, {money_avg('total_balance_usd')} AS avg_balance_usd,
            coalesce(percentile_cont(0.5) WITHIN GROUP (ORDER BY CAST(total_balance_usd AS DOUBLE)), 0.0)
@@ -411,14 +440,11 @@ CTES["interest_rate_by_credit_tier"] = f"""
     FROM fact_loans fl JOIN cur_customers cc ON cc.customer_hub_key = fl.customer_hub_key
     GROUP BY 1, 2"""
 CTES["loan_penetration_by_credit_tier"] = f"""
-    SELECT credit_tier, credit_tier_sort_order, total_customers, customers_with_loans,
-           {pct('customers_with_loans', 'total_customers')} AS loan_penetration_pct
-    FROM (SELECT cc.credit_tier, {TIER_ORDER.replace('credit_tier', 'cc.credit_tier')} AS credit_tier_sort_order,
-                 count(*) AS total_customers,
-                 CAST(sum(CASE WHEN lc.customer_hub_key IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS customers_with_loans
-          FROM cur_customers cc
-          LEFT JOIN (SELECT DISTINCT customer_hub_key FROM fact_loans) lc ON lc.customer_hub_key = cc.customer_hub_key
-          GROUP BY 1, 2)"""
+    SELECT *, {pct('customers_with_loans', 'total_customers')} AS loan_penetration_pct
+    FROM (SELECT credit_tier, {TIER_ORDER} AS credit_tier_sort_order, count(*) AS total_customers,
+                 count(*) FILTER (WHERE customer_hub_key IN (
+                     SELECT customer_hub_key FROM fact_loans WHERE customer_hub_key IS NOT NULL)) AS customers_with_loans
+          FROM dim_customer WHERE is_current GROUP BY ALL)"""
 CTES["customer_credit_mix_monthly"] = f"""
     SELECT acquisition_month, credit_tier, {TIER_ORDER} AS credit_tier_sort_order, customer_count,
            {pct('customer_count', 'sum(customer_count) OVER (PARTITION BY acquisition_month)')} AS pct_of_month_total
@@ -427,33 +453,35 @@ CTES["card_portfolio_summary"] = """
     SELECT ca.account_type, cc.card_type, count(*) AS card_count
     FROM cur_cards cc JOIN cur_accounts ca ON ca.account_hub_key = cc.account_hub_key GROUP BY 1, 2"""
 CTES["dim_card_enriched"] = f"""
-    SELECT cc.card_hub_key, cc.card_id, cc.account_hub_key, ca.account_id, ca.account_type, ca.customer_hub_key,
-           cu.customer_id, cu.credit_tier, cu.city AS customer_city, cc.card_type,
-           CAST(cc.expiration_date AS DATE) AS expiration_date,
-           CAST(CAST(cc.expiration_date AS DATE) - {AS_OF} AS INTEGER) AS days_to_expiration,
-           coalesce(CAST(cc.expiration_date AS DATE) <= {AS_OF} + 30, false) AS expires_within_30_days,
-           coalesce(CAST(cc.expiration_date AS DATE) <= {AS_OF} + 60, false) AS expires_within_60_days,
-           coalesce(CAST(cc.expiration_date AS DATE) <= {AS_OF} + 90, false) AS expires_within_90_days,
+    SELECT card_hub_key, card_id, account_hub_key, account_id, account_type, customer_hub_key, customer_id,
+           credit_tier, owner.city AS customer_city, card_type, expiration_date, days_to_expiration,
+           {', '.join(f'coalesce(days_to_expiration <= {d}, false) AS expires_within_{d}_days' for d in (30, 60, 90))},
            {AS_OF} AS snapshot_date
-    FROM cur_cards cc JOIN cur_accounts ca ON ca.account_hub_key = cc.account_hub_key
-    LEFT JOIN cur_customers cu ON cu.customer_hub_key = ca.customer_hub_key"""
+    FROM (SELECT *, CAST(date_diff('day', {AS_OF}, expiration_date) AS INTEGER) AS days_to_expiration
+          FROM dim_card WHERE is_current)
+    INNER JOIN (SELECT account_hub_key, account_id, account_type, customer_hub_key FROM dim_account WHERE is_current)
+      USING (account_hub_key)
+    LEFT JOIN (SELECT customer_hub_key, customer_id, credit_tier, city FROM dim_customer WHERE is_current) AS owner
+      USING (customer_hub_key)"""
 CTES["card_expiry_buckets"] = f"""
-    SELECT bd.bucket_days, concat('<= ', bd.bucket_days, ' days') AS bucket_label,
-           count(cc.card_id) AS cards_expiring_count, {AS_OF} AS snapshot_date
-    FROM (SELECT 30 AS bucket_days UNION ALL SELECT 60 UNION ALL SELECT 90) bd
-    LEFT JOIN cur_cards cc ON CAST(cc.expiration_date AS DATE) <= {AS_OF} + bd.bucket_days
-    GROUP BY 1, 2, 4"""
+    SELECT days AS bucket_days, format('<= {{}} days', days) AS bucket_label,
+           (SELECT count(card_id) FROM dim_card
+            WHERE is_current AND date_diff('day', {AS_OF}, expiration_date) <= days) AS cards_expiring_count,
+           {AS_OF} AS snapshot_date
+    FROM (SELECT unnest([30, 60, 90]) AS days)"""
 CTES["transaction_monthly_summary"] = f"""
     SELECT {month('transaction_date')} AS transaction_month, count(*) AS transaction_count,
            {money_total('amount_usd')} AS total_transaction_volume_usd,
            {money_avg('amount_usd')} AS avg_transaction_amount_usd
     FROM fact_transactions GROUP BY 1"""
 CTES["top_merchants"] = f"""
-    SELECT cm.merchant_hub_key, cm.merchant_id, cm.merchant_name, cm.city, count(*) AS transaction_count,
-           {money_total('ft.amount_usd')} AS total_transaction_volume_usd,
-           rank() OVER (ORDER BY coalesce(sum(ft.amount_usd), 0) DESC, cm.merchant_id) AS volume_rank
-    FROM fact_transactions ft JOIN cur_merchants cm ON cm.merchant_hub_key = ft.merchant_hub_key
-    GROUP BY 1, 2, 3, 4"""
+    SELECT merchant_hub_key, merchant_id, merchant_name, city, transaction_count, total_transaction_volume_usd,
+           row_number() OVER (ORDER BY total_transaction_volume_usd DESC, merchant_id) AS volume_rank
+    FROM (SELECT merchant_hub_key, count(*) AS transaction_count,
+                 {money_total('amount_usd')} AS total_transaction_volume_usd
+          FROM fact_transactions GROUP BY merchant_hub_key)
+    INNER JOIN (SELECT merchant_hub_key, merchant_id, merchant_name, city FROM dim_merchant WHERE is_current)
+      USING (merchant_hub_key)"""
 CTES["avg_transaction_by_account_type"] = f"""
     SELECT ca.account_type, count(*) AS transaction_count,
            {money_total('ft.amount_usd')} AS total_transaction_volume_usd,

@@ -57,35 +57,6 @@ class RunResult:
         self.seconds[step] = round(time.perf_counter() - t0, 3)
 
 
-REPORT_BUILDERS = {
-    "customer_kpis": lambda t, p: reports.customer_kpis(t["dim_customer"], t["fact_account_balance"],
-                                                        t["fact_loans"], t["fact_transactions"], p),
-    "monthly_customer_growth": lambda t, p: reports.monthly_customer_growth(t["dim_customer"]),
-    "yearly_account_openings_by_type": lambda t, p: reports.yearly_account_openings_by_type(t["dim_account"]),
-    "account_type_deposits": lambda t, p: reports.account_type_deposits(t["fact_account_balance"], t["dim_account"]),
-    "account_opening_cohort_trend": lambda t, p: reports.account_opening_cohort_trend(
-        t["fact_account_balance"], t["dim_account"]),
-    "customer_balance_summary": lambda t, p: reports.customer_balance_summary(t["dim_customer"],
-                                                                              t["fact_account_balance"]),
-    "customer_balance_kpis": lambda t, p: reports.customer_balance_kpis(t["fact_account_balance"], p),
-    "loan_monthly_trend": lambda t, p: reports.loan_monthly_trend(t["fact_loans"]),
-    "interest_rate_by_credit_tier": lambda t, p: reports.interest_rate_by_credit_tier(t["fact_loans"],
-                                                                                      t["dim_customer"]),
-    "loan_penetration_by_credit_tier": lambda t, p: reports.loan_penetration_by_credit_tier(
-        t["dim_customer"], t["fact_loans"]),
-    "customer_credit_mix_monthly": lambda t, p: reports.customer_credit_mix_monthly(t["dim_customer"]),
-    "card_portfolio_summary": lambda t, p: reports.card_portfolio_summary(t["dim_card"], t["dim_account"]),
-    "dim_card_enriched": lambda t, p: reports.dim_card_enriched(t["dim_card"], t["dim_account"],
-                                                                t["dim_customer"], p),
-    "card_expiry_buckets": lambda t, p: reports.card_expiry_buckets(t["dim_card"], p),
-    "transaction_monthly_summary": lambda t, p: reports.transaction_monthly_summary(t["fact_transactions"]),
-    "top_merchants": lambda t, p: reports.top_merchants(t["fact_transactions"], t["dim_merchant"]),
-    "avg_transaction_by_account_type": lambda t, p: reports.avg_transaction_by_account_type(
-        t["fact_transactions"], t["dim_account"]),
-    "signups_by_month": lambda t, p: reports.signups_by_month(t["dim_customer"]),
-}
-
-
 def _parallel(jobs: list, workers: int) -> list:
     """Run ``(name, fn)`` jobs from driver threads; results in input order."""
     if workers <= 1:
@@ -161,7 +132,7 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], out: str,
     finally:
         background.shutdown(cancel_futures=True)
     result.tables = {name: store.table_path(name) for name in
-                     list(tables) + ["quarantine"] + list(REPORT_BUILDERS)}
+                     list(tables) + ["quarantine"] + list(reports.BUILDERS)}
     return result
 
 
@@ -227,4 +198,4 @@ def _run_layers(spark, sources, store, params, result, tables, cat, evaluate, wo
             store.write_full(build(tables, params), "reporting", name)
         return name
 
-    _parallel([(n, lambda n=n, b=b: write_report(n, b)) for n, b in REPORT_BUILDERS.items()], workers)
+    _parallel([(n, lambda n=n, b=b: write_report(n, b)) for n, b in reports.BUILDERS.items()], workers)

@@ -3,50 +3,39 @@ reference SQL.  All queries read the driver tables of ``sf_dir`` in full."""
 
 from __future__ import annotations
 
-from typing import Callable
+import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlake.operators import charts as ch
 from ledgerlake.operators import checks as chk
 from ledgerlake.operators import gold, profile, reports
-from ledgerlake.params import DRIVER_RUN
+from ledgerlake.params import DRIVER_RUN, EVENT_LOADS, ts_literal
 from ledgerlake.plans import oracle, oracle_checks
 from ledgerlake.plans.entities import ENTITIES, LINKS
-from ledgerlake.plans.incremental import account_history
+from ledgerlake.plans.incremental import account_history, three_batches
 from ledgerlake.plans.layers import Lakehouse
 from ledgerlake.session import ensure_checkpoint_dir
+from ledgerlake.sources.driver_tables import account_batches
 from ledgerlake.sources.schemas import SOURCE_SCHEMAS
 
 Builder = Callable[[Lakehouse], DataFrame]
 
+class _Models:
+    """Model name -> lazily built table, for the shared report builders."""
+
+    def __init__(self, lh: Lakehouse):
+        self.lh = lh
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self.lh.table(name)
+
+
 REPORTS: dict[str, Builder] = {
-    "customer_kpis": lambda lh: reports.customer_kpis(lh.dim_customer, lh.fact_account_balance,
-                                                      lh.fact_loans, lh.fact_transactions, lh.params),
-    "monthly_customer_growth": lambda lh: reports.monthly_customer_growth(lh.dim_customer),
-    "yearly_account_openings_by_type": lambda lh: reports.yearly_account_openings_by_type(lh.dim_account),
-    "account_type_deposits": lambda lh: reports.account_type_deposits(lh.fact_account_balance, lh.dim_account),
-    "account_opening_cohort_trend": lambda lh: reports.account_opening_cohort_trend(
-        lh.fact_account_balance, lh.dim_account),
-    "customer_balance_summary": lambda lh: reports.customer_balance_summary(lh.dim_customer,
-                                                                            lh.fact_account_balance),
-    "customer_balance_kpis": lambda lh: reports.customer_balance_kpis(lh.fact_account_balance, lh.params),
-    "loan_monthly_trend": lambda lh: reports.loan_monthly_trend(lh.fact_loans),
-    "interest_rate_by_credit_tier": lambda lh: reports.interest_rate_by_credit_tier(lh.fact_loans,
-                                                                                    lh.dim_customer),
-    "loan_penetration_by_credit_tier": lambda lh: reports.loan_penetration_by_credit_tier(
-        lh.dim_customer, lh.fact_loans),
-    "customer_credit_mix_monthly": lambda lh: reports.customer_credit_mix_monthly(lh.dim_customer),
-    "card_portfolio_summary": lambda lh: reports.card_portfolio_summary(lh.dim_card, lh.dim_account),
-    "dim_card_enriched": lambda lh: reports.dim_card_enriched(lh.dim_card, lh.dim_account,
-                                                              lh.dim_customer, lh.params),
-    "card_expiry_buckets": lambda lh: reports.card_expiry_buckets(lh.dim_card, lh.params),
-    "transaction_monthly_summary": lambda lh: reports.transaction_monthly_summary(lh.fact_transactions),
-    "top_merchants": lambda lh: reports.top_merchants(lh.fact_transactions, lh.dim_merchant),
-    "avg_transaction_by_account_type": lambda lh: reports.avg_transaction_by_account_type(
-        lh.fact_transactions, lh.dim_account),
-    "signups_by_month": lambda lh: reports.signups_by_month(lh.dim_customer),
-}
+    name: (lambda build: lambda lh: build(_Models(lh), lh.params))(build)
+    for name, build in reports.BUILDERS.items()}
 
 
 def _registry() -> tuple[dict[str, Builder], dict[str, str]]:
@@ -73,6 +62,10 @@ def _registry() -> tuple[dict[str, Builder], dict[str, str]]:
     sql["hub_account_incremental"] = oracle.table("hub_account_incremental")
     q["sat_account_incremental"] = lambda lh: account_history(lh).sat
     sql["sat_account_incremental"] = oracle.table("sat_account_incremental")
+    q["link_customer_account_incremental"] = lambda lh: account_history(lh).link
+    sql["link_customer_account_incremental"] = oracle.table("link_customer_account_incremental")
+    q["sat_account_three_batches"] = three_batches
+    sql["sat_account_three_batches"] = oracle.table("sat_account_three_batches")
     q["dim_account_history"] = lambda lh: account_history(lh).dim
     sql["dim_account_history"] = oracle.table("dim_account_history")
 
@@ -98,15 +91,15 @@ def _registry() -> tuple[dict[str, Builder], dict[str, str]]:
     SELECT f.customer_hub_key, f.transaction_hub_key, f.amount_usd, c.customer_id, c.city, c.credit_tier
     FROM fact_transactions f JOIN dim_customer c ON c.customer_hub_key = f.customer_hub_key AND c.is_current""")
 
+    # the account history was loaded while the transactions happened, so both versions are met
     q["join_point_in_time"] = lambda lh: gold.join_point_in_time(
-        lh.fact_transactions.select("transaction_hub_key", "account_hub_key", "load_date", "amount_usd"),
-        account_history(lh).dim, "account_hub_key", "load_date", ["account_key", "account_type"])
+        lh.fact_transactions.select("transaction_hub_key", "account_hub_key", "transaction_date", "amount_usd"),
+        account_history(lh, EVENT_LOADS).dim, "account_hub_key", "transaction_date", ["account_key", "account_type"])
     sql["join_point_in_time"] = oracle.build("""
-    SELECT f.transaction_hub_key, f.account_hub_key, f.load_date, f.amount_usd, d.effective_start_date,
-           d.effective_end_date, d.account_key, d.account_type
-    FROM fact_transactions f JOIN dim_account_history d
-      ON d.account_hub_key = f.account_hub_key AND f.load_date >= d.effective_start_date
-     AND f.load_date < d.effective_end_date""")
+    SELECT transaction_hub_key, f.account_hub_key, transaction_date, amount_usd, effective_start_date,
+           effective_end_date, account_key, account_type
+    FROM fact_transactions f ASOF JOIN event_dim_account d
+      ON d.account_hub_key = f.account_hub_key AND f.transaction_date >= d.effective_start_date""")
 
     q["join_fact_calendar"] = lambda lh: gold.join_calendar(
         lh.fact_transactions.select("transaction_hub_key", "date_key", "amount_usd"), lh.dim_date)
@@ -118,7 +111,7 @@ def _registry() -> tuple[dict[str, Builder], dict[str, str]]:
     q["spend_by_city_quarter"] = lambda lh: gold.spend_by_city_quarter(
         lh.fact_transactions, lh.dim_customer, lh.dim_date)
     sql["spend_by_city_quarter"] = oracle.build("""
-    SELECT c.city, d.year, d.quarter, CAST(sum(f.amount_usd) AS DOUBLE) AS total_spend
+    SELECT c.city, d.year, d.quarter, CAST(sum(f.amount_usd) AS DECIMAL(38,2)) AS total_spend
     FROM fact_transactions f JOIN dim_customer c ON c.customer_hub_key = f.customer_hub_key AND c.is_current
     JOIN dim_date d ON d.date_key = f.date_key
     GROUP BY c.city, d.year, d.quarter ORDER BY d.year, d.quarter, c.city""")
@@ -148,6 +141,11 @@ def _registry() -> tuple[dict[str, Builder], dict[str, str]]:
         q[name] = (lambda c: lambda lh: chk.failing_rows(c, LakeTables(lh), lh.params.load_ts_col))(check)
         sql[name] = oracle.build(oracle_checks.failing_sql(check))
 
+    for name, (check, tables, now, text) in FAILING_CHECKS.items():
+        q[f"check_hits_{name}"] = (lambda c, t, n: lambda lh: chk.failing_rows(
+            c, t(lh), lh.params.load_ts_col if n is None else ts_literal(n)))(check, tables, now)
+        sql[f"check_hits_{name}"] = oracle.build(text)
+
     # profiling of the sources
     src_cols = {t: [(f.name, f.dataType.simpleString()) for f in SOURCE_SCHEMAS[t].fields]
                 for t in profile.PROFILED_TABLES}
@@ -165,7 +163,7 @@ def _registry() -> tuple[dict[str, Builder], dict[str, str]]:
         q[f"profile_{name}"] = (lambda f: lambda lh: f(lh.sources))(fn)
         sql[f"profile_{name}"] = oracle.build(oracle_checks.PROFILE_SQL[name])
     q["profile_constraints"] = lambda lh: profile.constraint_report(lh.sources, lh.params.load_ts_col)
-    sql["profile_constraints"] = oracle_checks.run_checks_sql(profile.suggested_constraints())
+    sql["profile_constraints"] = oracle_checks.run_checks_sql(oracle_checks.CONSTRAINTS)
     return q, sql
 
 
@@ -236,10 +234,49 @@ FAILING_ROW_CHECKS = [
 ]
 
 
+def _line_ids(lh: Lakehouse) -> dict[str, DataFrame]:
+    """Order lines under (order, line number), which is not a key of the driver's table."""
+    lines = lh.spark.read.parquet(f"{lh.sf_dir}/lineitem.parquet")
+    return {"lines": lines.select(F.concat_ws("-", F.col("l_orderkey").cast("string"),
+                                              F.col("l_linenumber").cast("string")).alias("line_id"))}
+
+
+def _two_loads(lh: Lakehouse) -> dict[str, DataFrame]:
+    first, second = account_batches(lh.spark, lh.sf_dir)
+    return {"accounts_b1": first, "accounts_b2": second}
+
+
+def _all_current(lh: Lakehouse) -> dict[str, DataFrame]:
+    return {"versions": account_history(lh).dim.withColumn("is_current", F.lit(True))}
+
+
+# Assertion kinds on tables in which they find something: (assertion, tables, "now", SQL).
+FAILING_CHECKS = {
+    "unique": (chk.Check("unique", "lines", "line_id"), _line_ids, None, """
+    SELECT l_orderkey || '-' || l_linenumber AS line_id, count(*) AS n_records
+    FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) >= 2"""),
+    "relationships": (chk.Check("relationships", "accounts_b2", "account_id", ("accounts_b1", "account_id")),
+                      _two_loads, None, """
+    SELECT account_id FROM accounts_b2 ANTI JOIN accounts_b1 USING (account_id)"""),
+    "not_null": (chk.Check("not_null", "customers", "credit_score"), lambda lh: lh.sources, None,
+                 "SELECT * FROM customers WHERE credit_score IS NULL"),
+    "not_in_future": (chk.Check("not_in_future", "transactions", "transaction_date"), lambda lh: lh.sources,
+                      dt.datetime(2018, 1, 1),
+                      "SELECT * FROM transactions WHERE transaction_date > TIMESTAMP '2018-01-01 00:00:00'"),
+    "positive_value": (chk.Check("positive_value", "accounts", "balance_usd"), lambda lh: lh.sources, None,
+                       "SELECT * FROM accounts WHERE NOT balance_usd > 0"),
+    "single_current_version": (chk.Check("single_current_version", "versions", "account_hub_key"), _all_current, None,
+                               """SELECT hk_account AS account_hub_key FROM sat_account_incremental
+                               GROUP BY hk_account HAVING count(*) >= 2"""),
+}
+
+
 def chart_sql(spec: ch.Chart) -> str:
     def m(x: ch.Metric) -> str:
         if x.agg == "sum":
             return f"CAST(sum({x.column}) AS BIGINT) AS {x.alias}"
+        if x.agg == "sum_money":
+            return f"CAST(sum({x.column}) AS DECIMAL(38,2)) AS {x.alias}"
         if x.agg == "sum_exact":
             return f"CAST(sum(CAST({x.column} AS DECIMAL(38,2))) AS DOUBLE) AS {x.alias}"
         return f"{x.agg}({x.column}) AS {x.alias}"
