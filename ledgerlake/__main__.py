@@ -43,7 +43,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--source-tag", default=DEFAULT_SOURCE)
     ap.add_argument("--database", default=None, help="catalog database: bucketed silver tables")
     ap.add_argument("--buckets", type=int, default=0)
-    ap.add_argument("--hot-key-rows", type=int, default=None)
+    ap.add_argument("--hot-key-share", type=float, default=None)
     ap.add_argument("--workers", type=int, default=8)
     ap.add_argument("--no-checks", action="store_true")
     ap.add_argument("--report-only", action="store_true", help="failed assertions do not stop the run")
@@ -59,7 +59,7 @@ def main(argv: list[str] | None = None) -> int:
         result = run_pipeline(spark, _sources(spark, a.sources), a.out, params,
                               run_checks=not a.no_checks, fail_on_error=not a.report_only,
                               workers=a.workers, database=a.database, buckets=a.buckets,
-                              hot_key_rows=a.hot_key_rows)
+                              hot_key_share=a.hot_key_share)
     except CheckFailure as e:
         print(json.dumps({"status": "failed", **run, "error": str(e)}))
         return 1

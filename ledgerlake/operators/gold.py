@@ -134,14 +134,14 @@ def dim_date(spark: SparkSession, start: dt.date = CALENDAR_START,
 def fact_transactions(sat: DataFrame, link_account_transaction: DataFrame,
                       link_merchant_transaction: DataFrame,
                       link_customer_account: DataFrame, latest_only: bool = False,
-                      hot_account_rows: int | None = None) -> DataFrame:
+                      hot_share: float | None = None) -> DataFrame:
     """All transaction versions with account, merchant and customer keys
     (``latest_only``: one row per transaction, its latest version).
 
     The two links on ``hk_transaction`` join on the same partitioning as the
     satellite; the customer lookup re-keys on ``hk_account``, where a hot
     account is split by AQE's skew-join handling, or explicitly by salting
-    accounts with more than ``hot_account_rows`` transactions.
+    accounts with more than ``hot_share`` of the transactions.
     """
     if latest_only:
         sat = latest_versions(sat, "hk_transaction")
@@ -150,9 +150,9 @@ def fact_transactions(sat: DataFrame, link_account_transaction: DataFrame,
     lmt = link_merchant_transaction.select("hk_transaction", "hk_merchant")
     lca = link_customer_account.select("hk_account", "hk_customer")
     j = s.join(lat, "hk_transaction").join(lmt, "hk_transaction")
-    if hot_account_rows:
+    if hot_share:
         # one transaction per link row: the link has the fact's account distribution
-        j = salted_join(j, lca, "hk_account", hot_account_rows, hot_from=lat)
+        j = salted_join(j, lca, "hk_account", hot_share, hot_from=lat)
     else:
         j = j.join(lca, "hk_account")
     return j.select(
@@ -204,23 +204,21 @@ def fact_account_balance(sat: DataFrame, link_customer_account: DataFrame) -> Da
 
 # ---- documented consumer joins (J1-J4) -------------------------------------
 
-def join_current(fact: DataFrame, dim: DataFrame, hub_key: str) -> DataFrame:
-    """Fact -> current dimension row on the durable hub key."""
+def join_current(fact: DataFrame, dim: DataFrame, hub_key: str, hot_share: float | None = None) -> DataFrame:
+    """Fact -> current dimension row on the durable hub key (hot keys split with ``hot_share``)."""
     d = dim.filter(F.col("is_current"))
-    return fact.join(d, on=hub_key, how="inner")
+    return salted_join(fact, d, hub_key, hot_share) if hot_share else fact.join(d, on=hub_key, how="inner")
 
 
 def join_point_in_time(fact: DataFrame, dim: DataFrame, hub_key: str, time_col: str,
-                       dim_cols: list[str]) -> DataFrame:
+                       dim_cols: list[str], hot_share: float | None = None) -> DataFrame:
     """Fact -> the dimension version valid at the fact's time
     (``start <= t < end``).  The equality on the hub key drives a shuffled
-    join; the range is a residual condition evaluated within each key."""
-    d = dim.select(F.col(hub_key).alias("_dk"), "effective_start_date", "effective_end_date",
-                   *dim_cols)
-    cond = ((fact[hub_key] == d["_dk"])
-            & (fact[time_col] >= d["effective_start_date"])
-            & (fact[time_col] < d["effective_end_date"]))
-    return fact.join(d, cond, "inner").drop("_dk")
+    join, with ``hot_share`` a salted one; the range is a condition within each key."""
+    d = dim.select(hub_key, "effective_start_date", "effective_end_date", *dim_cols)
+    j = salted_join(fact, d, hub_key, hot_share) if hot_share else fact.join(d, hub_key)
+    return j.filter((F.col(time_col) >= F.col("effective_start_date"))
+                    & (F.col(time_col) < F.col("effective_end_date")))
 
 
 def join_calendar(fact: DataFrame, calendar: DataFrame) -> DataFrame:

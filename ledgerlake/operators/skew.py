@@ -8,8 +8,8 @@ over ``salts`` sub-keys on the big side, and the small side's rows for those
 keys are replicated once per sub-key.  Keys that are not hot keep one sub-key,
 so the small side grows only by (hot keys x salts) rows.
 
-The hot-key list comes from a partial aggregate on the big side and holds at
-most ``rows / threshold`` keys, which bounds the broadcast.  Salts are a hash
+A key is hot when it holds more than ``share`` of all rows, so the broadcast
+list has fewer than ``1 / share`` keys at any scale.  Salts are a hash
 of the row's own columns, not ``rand()``, so a retried task assigns the same
 salt.
 """
@@ -20,13 +20,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def hot_keys(df: DataFrame, key: str, threshold: int) -> DataFrame:
-    """Keys with more than ``threshold`` rows (at most ``count / threshold`` of them)."""
-    return (df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-            .filter(F.col("_rows") > threshold).select(key))
+#: A key with more than this share of the rows is hot; at most 1 / HOT_SHARE keys are.
+HOT_SHARE = 0.001
 
 
-def salted_join(big: DataFrame, small: DataFrame, key: str, threshold: int,
+def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
+    """Keys with more than ``share`` of the rows (fewer than ``1 / share`` of them)."""
+    rows = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    total = rows.agg(F.sum("_rows").alias("_total"))
+    return (rows.crossJoin(F.broadcast(total))               # one row
+            .filter(F.col("_rows") > F.col("_total") * F.lit(share)).select(key))
+
+
+def salted_join(big: DataFrame, small: DataFrame, key: str, share: float = HOT_SHARE,
                 salts: int = 32, how: str = "inner", hot_from: DataFrame | None = None) -> DataFrame:
     """``big.join(small, key, how)`` with hot keys of ``big`` split ``salts`` ways.
 
@@ -38,7 +44,7 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, threshold: int,
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
     source = big if hot_from is None else hot_from
-    hot = F.broadcast(hot_keys(source, key, threshold).withColumn("_hot", F.lit(True)))
+    hot = F.broadcast(hot_keys(source, key, share).withColumn("_hot", F.lit(True)))
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(salts))
     b = (big.join(hot, key, "left")
          .withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0)).cast("int"))

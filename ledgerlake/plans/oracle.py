@@ -89,7 +89,7 @@ CTES: dict[str, str] = {
            CAST(CASE WHEN c.c_custkey % 53 = 0 THEN NULL WHEN c.c_custkey % 101 = 0 THEN 900
                      ELSE 300 + (c.c_custkey * 37) % 551 END AS INTEGER) AS credit_score,
            CAST(DATE '2015-01-01' + CAST((c.c_custkey * 13) % 3000 AS INTEGER) AS TIMESTAMP) AS created_at
-    FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey""",
+    FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey""",
     "accounts": _accounts_sql(),
     "accounts_b1": _accounts_sql("WHERE o_orderkey % 7 <> 0"),
     "accounts_b2": _accounts_sql("", "+ CASE WHEN o_orderkey % 10 = 0 THEN 100 ELSE 0 END"),
@@ -110,12 +110,12 @@ CTES: dict[str, str] = {
     SELECT 'M' || CAST(s.s_suppkey AS VARCHAR) AS merchant_id,
            CASE WHEN s.s_suppkey % 50 = 7 THEN '' ELSE s.s_name END AS merchant_name,
            n.n_name AS city
-    FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey""",
+    FROM supplier s LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey""",
     "branches": """
     SELECT 'B' || CAST(n.n_nationkey AS VARCHAR) AS branch_id, n.n_name AS branch_name,
            'manager ' || CAST(n.n_nationkey AS VARCHAR) AS manager_name, n.n_name AS city,
            r.r_name AS country
-    FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey""",
+    FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""",
     "transactions": f"""
     SELECT concat_ws('-', 'T' || CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR),
                      CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR),

@@ -88,7 +88,7 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], out: str,
                  params: RunParams | None = None, run_checks: bool = True,
                  fail_on_error: bool = True, workers: int = 8,
                  database: str | None = None, buckets: int = 0,
-                 hot_key_rows: int | None = None) -> RunResult:
+                 hot_key_share: float | None = None) -> RunResult:
     """One scheduled run (the reference's daily DAG, without the scheduler).
 
     ``fail_on_error`` stops the run at the first layer whose error-severity
@@ -97,8 +97,8 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], out: str,
     number of models of one layer submitted at the same time.  With
     ``database`` the models are catalog tables and silver is bucketed by join
     key (``buckets``, default the shuffle partition count), see
-    :class:`~ledgerlake.sources.sinks.TableStore`.  ``hot_key_rows`` splits
-    accounts with more transactions than that in the fact build explicitly
+    :class:`~ledgerlake.sources.sinks.TableStore`.  ``hot_key_share`` splits
+    accounts with more than that share of the transactions in the fact build explicitly
     (see :mod:`ledgerlake.operators.skew`); by default AQE splits them.
     """
     params = params or RunParams()
@@ -126,7 +126,7 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], out: str,
 
     try:
         _run_layers(spark, sources, store, params, result, tables, cat, evaluate if run_checks else None,
-                    workers, hot_key_rows)
+                    workers, hot_key_share)
         for f in pending:
             f.result()
     finally:
@@ -136,7 +136,7 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], out: str,
     return result
 
 
-def _run_layers(spark, sources, store, params, result, tables, cat, evaluate, workers, hot_key_rows) -> None:
+def _run_layers(spark, sources, store, params, result, tables, cat, evaluate, workers, hot_key_share) -> None:
 
     # bronze: full refresh
     def write_bronze(table, df):
@@ -177,7 +177,7 @@ def _run_layers(spark, sources, store, params, result, tables, cat, evaluate, wo
         "fact_transactions": lambda: gold.fact_transactions(
             tables["sat_transaction"], tables["link_account_transaction"],
             tables["link_merchant_transaction"], tables["link_customer_account"],
-            hot_account_rows=hot_key_rows),
+            hot_share=hot_key_share),
         "fact_loans": lambda: gold.fact_loans(tables["sat_loan"], tables["link_customer_loan"]),
         "fact_account_balance": lambda: gold.fact_account_balance(tables["sat_account"],
                                                                   tables["link_customer_account"]),

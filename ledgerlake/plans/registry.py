@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ledgerlake.operators import charts as ch
 from ledgerlake.operators import checks as chk
 from ledgerlake.operators import gold, profile, reports
+from ledgerlake.operators.skew import HOT_SHARE
 from ledgerlake.params import DRIVER_RUN, EVENT_LOADS, ts_literal
 from ledgerlake.plans import oracle, oracle_checks
 from ledgerlake.plans.entities import ENTITIES, LINKS
@@ -75,11 +76,10 @@ def _registry() -> tuple[dict[str, Builder], dict[str, str]]:
         q[name] = (lambda n: lambda lh: getattr(lh, n))(name)
         sql[name] = oracle.table(name)
 
-    # the same fact with hot accounts split explicitly (threshold low enough that
-    # the driver data has hot keys, so the salted path is exercised)
+    # the same fact, and the two joins on a possibly hot key, with hot keys split explicitly
     q["fact_transactions_salted"] = lambda lh: gold.fact_transactions(
         lh.sat("transaction"), lh.link("account_transaction"), lh.link("merchant_transaction"),
-        lh.link("customer_account"), hot_account_rows=4)
+        lh.link("customer_account"), hot_share=HOT_SHARE)
     sql["fact_transactions_salted"] = oracle.table("fact_transactions")
 
     # documented joins
@@ -101,6 +101,17 @@ def _registry() -> tuple[dict[str, Builder], dict[str, str]]:
     FROM fact_transactions f ASOF JOIN event_dim_account d
       ON d.account_hub_key = f.account_hub_key AND f.transaction_date >= d.effective_start_date""")
 
+    q["join_point_in_time_salted"] = lambda lh: gold.join_point_in_time(
+        lh.fact_transactions.select("transaction_hub_key", "account_hub_key", "transaction_date", "amount_usd"),
+        account_history(lh, EVENT_LOADS).dim, "account_hub_key", "transaction_date", ["account_key", "account_type"],
+        hot_share=HOT_SHARE)
+    sql["join_point_in_time_salted"] = sql["join_point_in_time"]
+    q["join_current_customer_salted"] = lambda lh: gold.join_current(
+        lh.fact_transactions.select("transaction_hub_key", "customer_hub_key", "amount_usd"),
+        lh.dim_customer.select("customer_hub_key", "customer_id", "city", "credit_tier", "is_current"),
+        "customer_hub_key", hot_share=HOT_SHARE).drop("is_current")
+    sql["join_current_customer_salted"] = sql["join_current_customer"]
+
     q["join_fact_calendar"] = lambda lh: gold.join_calendar(
         lh.fact_transactions.select("transaction_hub_key", "date_key", "amount_usd"), lh.dim_date)
     sql["join_fact_calendar"] = oracle.build("""

@@ -74,7 +74,7 @@ def customers(read) -> DataFrame:
     n = read("nation").select("n_nationkey", "n_name")
     k = F.col("c_custkey")
     local = F.lower(F.replace(F.col("c_name"), F.lit("#"), F.lit(".")))
-    df = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "inner").select(
+    df = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "left").select(
         F.concat(F.lit("C"), k.cast("string")).alias("customer_id"),
         F.split_part(F.col("c_name"), F.lit("#"), F.lit(1)).alias("first_name"),
         F.split_part(F.col("c_name"), F.lit("#"), F.lit(2)).alias("last_name"),
@@ -150,7 +150,7 @@ def merchants(read) -> DataFrame:
     s = read("supplier").select("s_suppkey", "s_name", "s_nationkey")
     n = read("nation").select("n_nationkey", "n_name")
     k = F.col("s_suppkey")
-    df = s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey, "inner").select(
+    df = s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey, "left").select(
         F.concat(F.lit("M"), k.cast("string")).alias("merchant_id"),
         F.when(k % 50 == 7, F.lit("")).otherwise(F.col("s_name")).alias("merchant_name"),
         F.col("n_name").alias("city"),
@@ -161,7 +161,7 @@ def merchants(read) -> DataFrame:
 def branches(read) -> DataFrame:
     n = read("nation").select("n_nationkey", "n_name", "n_regionkey")
     r = read("region").select("r_regionkey", "r_name")
-    df = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "inner").select(
+    df = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "left").select(
         F.concat(F.lit("B"), F.col("n_nationkey").cast("string")).alias("branch_id"),
         F.col("n_name").alias("branch_name"),
         F.concat(F.lit(MANAGER_PREFIX), F.col("n_nationkey").cast("string")).alias("manager_name"),

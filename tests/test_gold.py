@@ -149,10 +149,10 @@ def test_salted_join_equals_plain_join_with_a_hot_key(spark):
                                 [("tn", None, 0)], "t string, k string, v int")
     small = spark.createDataFrame([("hot", "c1"), ("hot", "c2")] +
                                   [(f"k{i}", f"c{i}") for i in range(0, 3000, 3)], "k string, c string")
-    assert [r.k for r in hot_keys(big, "k", 100).collect()] == ["hot"]
+    assert [r.k for r in hot_keys(big, "k", 0.03).collect()] == ["hot"]
     for how in ["inner", "left"]:
         want = big.join(small, "k", how)
-        got = salted_join(big, small, "k", threshold=100, salts=8, how=how)
+        got = salted_join(big, small, "k", share=0.03, salts=8, how=how)
         assert got.count() == want.count()
         assert got.exceptAll(want.select(*got.columns)).count() == 0
 

@@ -62,3 +62,22 @@ def test_declared_driver_schemas_match_the_files(spark):
             declared = _parse_datatype_string(ddl)
             assert [(f.name, f.dataType) for f in inferred.fields] == \
                 [(f.name, f.dataType) for f in declared.fields], name
+
+
+def test_jdbc_reads_are_split_or_asked_for(spark):
+    from ledgerlake.sources.readers import hash_predicates, jdbc_options, read_jdbc
+
+    parts = hash_predicates("customer_id", 3)
+    assert parts[0].endswith("= 0 OR customer_id IS NULL") and parts[2] == "mod(abs(hashtext(customer_id::text)), 3) = 2"
+    opts = jdbc_options("loans", "jdbc:x", {"user": "u"}, "start_date", "2015-01-01", "2022-01-01", 8)
+    assert opts["numPartitions"] == "8" and opts["partitionColumn"] == "start_date" and opts["user"] == "u"
+    with pytest.raises(ValueError, match="single_task"):
+        read_jdbc(spark, "loans", "jdbc:x", {})
+
+
+def test_hot_key_list_does_not_grow_with_the_data(spark):
+    from ledgerlake.operators.skew import HOT_SHARE, hot_keys
+
+    for rows in (2_000, 200_000):
+        df = spark.range(rows).selectExpr("case when id % 3 = 0 then 'hot' else cast(id % 1000 as string) end as k")
+        assert 1 <= hot_keys(df, "k").count() <= 1 / HOT_SHARE
