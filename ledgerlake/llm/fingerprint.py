@@ -69,7 +69,7 @@ def vector(text: Column) -> Column:
 
 
 def combine(a: Column, b: Column, sign: int = 1) -> Column:
-    """Lanes of the union (``sign=1``) or difference (``sign=-1``) of two multisets."""
+    """Lanes of the union (``sign=1``) or difference (``sign=-1``) of two multisets (columns of lanes)."""
     def lane(x: Column, y: Column, k: Column) -> Column:
         whole = (x + sign * y).bitwiseAND(F.lit(M32))
         low = (x.bitwiseAND(F.lit(M16)) + sign * y.bitwiseAND(F.lit(M16))).bitwiseAND(F.lit(M16))

@@ -45,8 +45,8 @@ COUNTERS = 1 << 16
 HOT = 4.0
 #: Largest boundary considered; a heavy row counts as this many light rows (list scan, verification).
 MAX_LIGHT, HEAVY_ROW_COST = 10, 5
-#: Leaders that later rounds take from each list, growing by this factor.
-LEADERS = 64
+#: Leaders of each list up to the second round, and the growth of that number from round to round.
+LEADERS, GROWTH = 64, 16
 NO_ID = -(2**63)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -74,20 +74,30 @@ def shingle_hashes(text: str, memo: Memo) -> np.ndarray:
     return np.unique(out)
 
 
-def parity_bits(s: np.ndarray) -> bytes:
-    """Parity of the set's members in each of 2n to 4n hash slots: a lower bound for set differences."""
-    width = max(6, int(2 * max(1, len(s)) - 1).bit_length())
-    slots = np.bincount((s >> np.uint64(64 - width)).astype(np.int64), minlength=1 << width)
-    return np.packbits((slots & 1).astype(np.uint8)).tobytes()
+def parity_words(s: np.ndarray) -> np.ndarray:
+    """Parity of the set's members in each of 2n to 4n hash slots, 64 slots a word.
 
+    Sets differ in at least as many members as their parities do in slots.
+    The wider of two words folds to the other's width by xor of its halves.
+    """
+    slots = 1 << max(6, int(2 * max(1, len(s)) - 1).bit_length())
+    odd = np.bincount((s & np.uint64(slots - 1)).astype(np.int64), minlength=slots) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
+def may_link(n1, bits1, n2, bits2):
+    """Column: the parities do not rule the link out (sizes of linked sets fold at most once)."""
+    def half(x):
+        k = (F.size(x) / 2).cast("int")
+        return F.zip_with(F.slice(x, F.lit(1), k), F.slice(x, k + 1, k), lambda p, q: p.bitwiseXOR(q))
+
+    def differ(x, y):
+        return F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, c: t + c)
 
-def may_link(a: int, bits_a: bytes, b: int, bits_b: bytes) -> bool:
-    """False if the parities already differ in more places than linked sets of these sizes can."""
-    x, y = np.unpackbits(np.frombuffer(bits_a, np.uint8)), np.unpackbits(np.frombuffer(bits_b, np.uint8))
-    while len(x) != len(y):
-        x, y = (x, y) if len(x) > len(y) else (y, x)
-        x = x[0::2] ^ x[1::2]
-    return int(np.count_nonzero(x != y)) <= a + b - 2 * needed(a, b)
+    places = (F.when(F.size(bits1) == F.size(bits2), differ(bits1, bits2))
+              .when(F.size(bits1) > F.size(bits2), differ(half(bits1), bits2)).otherwise(differ(bits1, half(bits2))))
+    overlap = F.ceil(PERCENT * (n1 + n2) / (100 + PERCENT))
+    return places <= n1 + n2 - 2 * overlap
 
 
 def needed(a: int, b: int) -> int:
@@ -124,7 +134,7 @@ def _scan(docs: DataFrame) -> DataFrame:
     """(node, n, d1, d2, parity bits) per row, and rows (bucket, n) of the frequency counters with a null d1."""
     memo = Memo(_word_hash)
     schema = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()),
-                        ("bits", pa.binary()), ("row", pa.bool_())])
+                        ("bits", pa.list_(pa.int64())), ("row", pa.bool_())])
 
     def run(batches):
         counts = np.zeros(COUNTERS, np.int64)
@@ -139,15 +149,15 @@ def _scan(docs: DataFrame) -> DataFrame:
                     [part.column(0), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([(d >> 64) - (1 << 63) for d in digests], pa.int64()),
                      pa.array([(d & ((1 << 64) - 1)) - (1 << 63) for d in digests], pa.int64()),
-                     pa.array([parity_bits(s) for s in sets], pa.binary()),
+                     pa.array([parity_words(s) for s in sets], pa.list_(pa.int64())),
                      pa.array([True] * len(sets), pa.bool_())], schema=schema)
         some = np.flatnonzero(counts)
         none = pa.nulls(len(some), pa.int64())
         yield pa.RecordBatch.from_arrays(
             [pa.array(some, pa.int64()), pa.array(counts[some], pa.int64()), none, none,
-             pa.nulls(len(some), pa.binary()), pa.array(np.zeros(len(some), bool))], schema=schema)
+             pa.nulls(len(some), pa.list_(pa.int64())), pa.array(np.zeros(len(some), bool))], schema=schema)
 
-    return _arrow(docs, run, "node long, n long, d1 long, d2 long, bits binary, row boolean")
+    return _arrow(docs, run, "node long, n long, d1 long, d2 long, bits array<long>, row boolean")
 
 
 def _signatures(docs: DataFrame, counts: np.ndarray, x: int) -> DataFrame:
@@ -252,20 +262,11 @@ def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return _arrow(possibly_in(docs, nodes, "node").join(nodes, "node", "left_semi"), run, "node long, shingles binary")
 
 
-def _screen(scanned: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs that their parity bits do not rule out (exact: no link is lost)."""
-    side = lambda c: scanned.where("row").select(F.col("node").alias(c), F.struct("n", "bits").alias(f"s{c}"))
-    both = pairs.join(side("v"), "v").join(side("u"), "u").select("u", "v", "su.n", "su.bits", F.col("sv.n").alias("m"),
-                                                                  F.col("sv.bits").alias("other"))
-
-    def run(batches):
-        for batch in batches:
-            rows = [batch.column(k).to_pylist() for k in (2, 3, 4, 5)]
-            keep = pa.array([may_link(*r) for r in zip(*rows, strict=True)], pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)],
-                                             schema=pa.schema([("u", pa.int64()), ("v", pa.int64())]))
-
-    return _arrow(both, run, "u long, v long").distinct()
+def _screen(bits: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs that their parities do not rule out (exact: no link is lost)."""
+    side = lambda c: bits.select(F.col("node").alias(c), F.struct("n", "bits").alias(f"s{c}"))
+    both = pairs.join(side("v"), "v").join(side("u"), "u")
+    return both.where(may_link(F.col("su.n"), F.col("su.bits"), F.col("sv.n"), F.col("sv.bits"))).select("u", "v").distinct()
 
 
 def _verify(spark: SparkSession, docs: DataFrame, pairs: DataFrame, label: str) -> DataFrame:
@@ -340,32 +341,37 @@ def near_groups(documents: DataFrame) -> DataFrame:
     signatures = scratch(spark, _signatures(heads, counts, x), "ngram-signatures")
     links = _light_links(signatures.where("kind = 1")) if x else None
     lists = scratch(spark, _lists(signatures), "ngram-lists")
+    bits = scanned.where("row").select("node", "n", "bits").dropDuplicates(["node", "bits"])
     pairs = (lists.where(F.col("node") != F.col("leader.node"))
              .where(_possible(F.col("n"), F.col("pos"), F.col("leader.n"), F.col("leader.pos")))
              .select(F.col("leader.node").alias("u"), F.col("node").alias("v")).distinct())
-    verified = _verify(spark, docs, scratch(spark, _screen(scanned, pairs), "ngram-pairs"), "ngram-1")
+    verified = _verify(spark, docs, scratch(spark, _screen(bits, pairs), "ngram-pairs"), "ngram-1")
     links = scratch(spark, verified if links is None else verified.unionAll(links), "ngram-links")
-    low = 1
+    done, high = 1, LEADERS                                  # the first leader has met every member
+    parts = scratch(spark, components(spark, links), "ngram-parts")
     while True:
-        parts = scratch(spark, components(spark, links), "ngram-parts")
-        placed = lists.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node"))
+        placed = (lists.where(F.col("size") > done + 1).join(parts, "node", "left")
+                  .withColumn("part", F.coalesce("component", "node")))
         open_lists = (placed.groupBy("token").agg(F.min("part").alias("p"), F.max("part").alias("q"))
                       .where("p <> q").select("token"))
         rank = F.row_number().over(Window.partitionBy("token").orderBy("pos", "node"))
-        ranked = scratch(spark, placed.where(F.col("size") > low).join(open_lists, "token", "left_semi")
-                         .select("token", "node", "n", "pos", "size", "part", rank.alias("rank")), "ngram-open")
+        ranked = scratch(spark, placed.join(open_lists, "token", "left_semi")
+                         .select("token", "node", "pos", "part", rank.alias("rank"))
+                         .join(bits, "node"), "ngram-open")
         if ranked.isEmpty():
             break
-        high = LEADERS if low == 1 else 4 * low
-        a, b = ranked.where(F.col("rank").between(low + 1, high)).alias("a"), ranked.alias("b")
-        pairs = (a.join(b, F.col("a.token") == F.col("b.token"))
-                 .where((F.col("a.rank") < F.col("b.rank")) & (F.col("a.part") != F.col("b.part")))
-                 .where(_possible(F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos")))
+        a, b = ranked.where(F.col("rank").between(done + 1, high)).alias("a"), ranked.alias("b")
+        pairs = (a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.rank") < F.col("b.rank"))
+                        & (F.col("a.part") != F.col("b.part"))
+                        & _possible(F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos"))
+                        & may_link(F.col("a.n"), F.col("a.bits"), F.col("b.n"), F.col("b.bits")))
                  .select(F.least("a.node", "b.node").alias("u"), F.greatest("a.node", "b.node").alias("v")).distinct())
-        pairs = scratch(spark, _screen(scanned, pairs), "ngram-pairs")
-        low = high
-        if not pairs.isEmpty():
-            links = scratch(spark, links.unionAll(_verify(spark, docs, pairs, f"ngram-{low}")), "ngram-links")
+        found = _verify(spark, docs, scratch(spark, pairs, "ngram-pairs"), f"ngram-{high}")
+        done, high = high, high * GROWTH
+        if not found.isEmpty():
+            links = scratch(spark, links.unionAll(found), "ngram-links")
+            stars = parts.where("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))
+            parts = scratch(spark, components(spark, stars.unionAll(found)), "ngram-parts")
     degree = (links.select(F.explode(F.array("u", "v")).alias("class_id")).groupBy("class_id")
               .agg(F.count("*").alias("n_links")))
     return (member.join(parts.withColumnRenamed("node", "class_id"), "class_id", "left").join(degree, "class_id", "left")
