@@ -3,10 +3,12 @@
 The benchmark's items become inverted indexes with BM25 weights, each item's
 weights divided by its own total, so a passage that holds the item's words
 scores up to 1.  Every text is cut into overlapping passages that are longer
-than any item of the index; each passage is a query.  Upper bounds per block
-of items, summed over a passage, discard nearly all passages at once; the rest
-run block-max WAND for all items above ``MIN_SCORE``.  Every retrieved item is
-verified by the word trigrams of its question and its answer (last sentence).
+than any item of the index; each passage is a query.  The root test of WAND
+runs for all passages of a slice at once: the sum of the terms' block maxima,
+with the frequent terms (never enough by themselves) taken as a constant per
+block of items.  Passages with a block that can still reach ``MIN_SCORE`` run
+block-max WAND for all items above it.  Every retrieved item is verified by
+the word trigrams of its question and its answer (last sentence).
 
 Item texts are read to the driver in shards of at most ``SHARD_CHARS``
 characters, one scan of the documents per shard, so what is broadcast has a
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import Memo, table, text_of
+from ledgerlake.llm.common import Memo, scratch, table, text_of
 
 K1, B = 1.2, 0.75
 MIN_SCORE = 0.5
@@ -36,8 +38,11 @@ MIN_SCORE = 0.5
 MIN_OVERLAP = 0.5
 NGRAM = 3
 BLOCK = 16
-#: Groups of item blocks whose bounds are summed for whole passages.
-BOUND_GROUPS = 16
+#: Blocks of items whose bounds are summed for all passages of a slice.
+BOUND_BLOCKS = 256
+#: Least distance of two passages' starts, in words, and words handled at once.
+STRIDE = 32
+SLICE_WORDS = 200_000
 SHARD_CHARS = 16_000_000
 SHORTEST = 64
 _WORD = re.compile(r"\w+")
@@ -65,7 +70,8 @@ class ItemIndex:
     """BM25 postings of a shard of items with per-block maxima."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        items = [(i, t) for i, t in items if _WORD.search(t)]
+        # items of similar length are neighbours: their weights, and so the block maxima, are alike
+        items = sorted(((i, t) for i, t in items if _WORD.search(t)), key=lambda x: len(_WORD.findall(x[1])))
         self.ids = [i for i, _ in items]
         words = [_WORD.findall(t.lower()) for _, t in items]
         self.terms: dict[str, int] = {}
@@ -97,11 +103,51 @@ class ItemIndex:
         self.weights = {t: [w for _, w in p] for t, p in postings.items()}
         self.block_max = {t: [max(w[k:k + BLOCK]) for k in range(0, len(w), BLOCK)] for t, w in self.weights.items()}
         self.bound = {t: max(w) for t, w in self.weights.items()}
-        group = -(-max(1, n) // BOUND_GROUPS)
-        self.group_bound = np.zeros((len(self.terms) + 1, BOUND_GROUPS))
-        for t, p in postings.items():
-            for k, w in p:
-                self.group_bound[t, k // group] = max(self.group_bound[t, k // group], w)
+        self._bounds(n, postings)
+
+    def _bounds(self, n: int, postings: dict[int, list[tuple[int, float]]]) -> None:
+        """Block maxima of the rare terms by term (start, count, block, weight), and what
+        all frequent terms together can add to a block."""
+        per = -(-max(1, n) // BOUND_BLOCKS)
+        self.blocks = -(-max(1, n) // per)
+        self.constant = np.zeros(self.blocks)
+        self.count = np.zeros(len(self.terms) + 1, np.int64)
+        block, weight = [], []
+        for t in range(1, len(self.terms) + 1):
+            best: dict[int, float] = {}
+            for k, w in postings[t]:
+                best[k // per] = max(best.get(k // per, 0.0), w)
+            if len(best) > max(8, self.blocks // 16):
+                for g, w in best.items():
+                    self.constant[g] += w
+            else:
+                self.count[t] = len(best)
+                block += best.keys()
+                weight += best.values()
+        self.start = np.concatenate([[0], np.cumsum(self.count)[:-1]])
+        self.block, self.weight = np.array(block, np.int64), np.array(weight)
+
+    def open_passages(self, words: np.ndarray, stride: int, width: int) -> np.ndarray:
+        """Numbers of the passages (``width`` strides long, one per stride) that may hold an item."""
+        n = -(-len(words) // stride)
+        sums = self._sums(words, np.arange(len(words)) // stride, n)
+        total = np.concatenate([np.zeros((1, self.blocks)), np.cumsum(sums, axis=0)])
+        end = np.minimum(np.arange(n) + width, n)
+        return np.flatnonzero(((total[end] - total[:n]) >= MIN_SCORE - 1e-9 - self.constant).any(axis=1))
+
+    def may_hold(self, terms: np.ndarray) -> bool:
+        """The same test with each distinct term counted once."""
+        return bool((self._sums(terms, np.zeros(len(terms), np.int64), 1)[0]
+                     >= MIN_SCORE - 1e-9 - self.constant).any())
+
+    def _sums(self, words: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+        """Sums of the rare terms' block maxima by row (``at``) and block."""
+        count = self.count[words]
+        row = np.repeat(at, count)
+        first = np.repeat(self.start[words] - np.concatenate([[0], np.cumsum(count)[:-1]]), count)
+        entry = first + np.arange(len(first))
+        return np.bincount(row * self.blocks + self.block[entry], weights=self.weight[entry],
+                           minlength=n * self.blocks).reshape(n, self.blocks)
 
     def retrieve(self, terms: list[int], least: float) -> list[tuple[int, float]]:
         """(item, score) of all items with a score of ``least`` or more, by block-max WAND."""
@@ -162,17 +208,34 @@ class ItemIndex:
         return share(question), share(answer), share(both)
 
 
-def _passages(sizes: list[int], half: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Document number, start and end of each passage in the joined word sequence."""
-    doc, start, end, at = [], [], [], 0
-    for k, n in enumerate(sizes):
-        for s in range(0, max(1, n - half), half):
-            doc.append(k), start.append(at + s), end.append(at + min(n, s + 2 * half))
-        at += n
-    return np.array(doc), np.array(start), np.array(end)
-
-
-def search(docs: DataFrame, index: ItemIndex, half: int) -> DataFrame:
+def hits(index: ItemIndex, words: np.ndarray) -> dict[int, list]:
+    """item -> [score, overlaps (question, answer, both), passages] of one text's verified items."""
+    stride = max(STRIDE, index.longest // 4)
+    width = -(-index.longest // stride) + 1
+    out: dict[int, list] = {}
+    for at in range(0, len(words), SLICE_WORDS - SLICE_WORDS % stride):
+        limit = SLICE_WORDS - SLICE_WORDS % stride           # starts in this part; passages may reach beyond it
+        part = words[at:at + limit + width * stride]
+        for k in index.open_passages(part, stride, width):
+            if k * stride >= limit:
+                break
+            passage = part[k * stride:(k + width) * stride]
+            terms = np.unique(passage)
+            if not index.may_hold(terms):
+                continue
+            passage = passage.tolist()
+            found = index.retrieve(terms[terms > 0].tolist(), MIN_SCORE)
+            grams = set().union(*(_grams(passage, n) for n in range(1, NGRAM + 1))) if found else None
+            for item, score in found:
+                q, a, both = index.verify(item, grams)
+                if min(q, a) >= MIN_OVERLAP or both >= MIN_OVERLAP:
+                    hit = out.setdefault(item, [score, q, a, both, 0])
+                    hit[:4] = max(hit[:4], [score, q, a, both], key=lambda h: (h[3], h[0]))
+                    hit[4] += 1
+    return out
+
+
+def search(docs: DataFrame, index: ItemIndex) -> DataFrame:
     """Verified hits of one shard's items; one row per document and item."""
     shared = docs.sparkSession.sparkContext.broadcast(index)         # built from at most SHARD_CHARS characters
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()),
@@ -185,38 +248,20 @@ def search(docs: DataFrame, index: ItemIndex, half: int) -> DataFrame:
         memo = Memo(lambda token: tuple(get(w, 0) for w in _WORD.findall(token.lower())))
         for batch in batches:
             memo.trim()
-            for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
-                ids = part.column(0).to_pylist()
-                words = [np.fromiter(chain.from_iterable(map(memo.__getitem__, t.split())), np.int32)
-                         for t in part.column(1).to_pylist()]
-                flat = np.concatenate(words)
-                doc, start, end = _passages([len(w) for w in words], half)
-                sums = np.concatenate([np.zeros((1, BOUND_GROUPS)), np.cumsum(index.group_bound[flat], axis=0)])
-                open_ = np.flatnonzero(((sums[end] - sums[start]) >= MIN_SCORE - 1e-9).any(axis=1))
-                best: dict[tuple[int, int], list] = {}
-                for k in open_:
-                    passage = flat[start[k]:end[k]].tolist()
-                    found = index.retrieve(sorted(set(passage) - {0}), MIN_SCORE)
-                    grams = set().union(*(_grams(passage, n) for n in range(1, NGRAM + 1))) if found else None
-                    for item, score in found:
-                        q, a, both = index.verify(item, grams)
-                        if (min(q, a) >= MIN_OVERLAP) or both >= MIN_OVERLAP:
-                            hit = best.setdefault((doc[k], item), [score, q, a, both, 0])
-                            hit[:4] = max(hit[:4], [score, q, a, both], key=lambda h: (h[3], h[0]))
-                            hit[4] += 1
-                rows = [(ids[d], index.ids[i], *h) for (d, i), h in best.items()]
-                if rows:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)],
-                        schema=schema)
+            rows = []
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                words = np.fromiter(chain.from_iterable(map(memo.__getitem__, text.as_py().split())), np.int32)
+                if len(words):
+                    rows += [(doc_id, index.ids[i], *h) for i, h in hits(index, words).items()]
+            if rows:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
     return docs.select("doc_id", text_of().alias("text")).mapInArrow(run, RESULT)
 
 
 def shards(benchmark: DataFrame):
-    """(items, half passage length) of bounded shards; items of similar length share one."""
-    spark = benchmark.sparkSession
+    """Items of bounded shards; items of similar length share one, so their passages are not too long."""
     items = benchmark.where("text is not null").select(
         "item_id", "text", F.size(F.split("text", "\\s+")).alias("words"), F.char_length("text").alias("chars"))
     items = items.withColumn("half", F.greatest(F.lit(SHORTEST), F.pow(
@@ -225,19 +270,15 @@ def shards(benchmark: DataFrame):
     items = items.withColumn("shard", F.floor(running / SHARD_CHARS))
     for r in items.groupBy("half", "shard").count().orderBy("half", "shard").collect():
         rows = items.where((F.col("half") == r.half) & (F.col("shard") == r.shard)).select("item_id", "text").collect()
-        yield [(x.item_id, x.text) for x in rows], r.half
-    spark.catalog.clearCache()
+        yield [(x.item_id, x.text) for x in rows]
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, score, question_overlap, answer_overlap, overlap, n_passages."""
     out = None
-    for items, half in shards(benchmark):
-        index = ItemIndex(items)
-        while half < index.longest:                          # words of one white-space token count singly
-            half *= 2
-        hits = search(docs, index, half)
-        out = hits if out is None else out.unionAll(hits)
+    for items in shards(benchmark):
+        found = search(docs, ItemIndex(items))
+        out = found if out is None else out.unionAll(found)
     return docs.sparkSession.createDataFrame([], RESULT) if out is None else out
 
 
@@ -247,8 +288,6 @@ def op10_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark item."""
-    from ledgerlake.llm.common import scratch
-
-    hits = contaminated(docs, table(spark, sf_dir, "benchmark"))
-    ids = scratch(spark, hits.select(F.col("doc_id").alias("hit__")).distinct(), "leaked-ids")
+    found = contaminated(docs, table(spark, sf_dir, "benchmark"))
+    ids = scratch(spark, found.select(F.col("doc_id").alias("hit__")).distinct(), "leaked-ids")
     return docs.join(ids, docs["doc_id"].eqNullSafe(ids["hit__"]), "left_anti").select(*docs.columns)
