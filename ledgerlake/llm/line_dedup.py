@@ -32,35 +32,34 @@ ROLL = 2
 PASS_OVER = 4
 MIN_LINES, MIN_WORDS = 2, 20
 NO_ID = -(2**63)
+_FACTORS = [0x9E3779B97F4A7C15 ** (ROLL - 1 - k) for k in range(ROLL - 1)]
 _SENTENCE = re.compile(r"(?<=[.!?]) ")
 
 
-def lines(text: str) -> tuple[list[str], list[int]]:
-    """Lines and line pieces with their starts; the separators ("\\n" or " ") belong to none."""
-    out, starts, at = [], [], 0
-    for line in text.split("\n"):
-        for piece in _SENTENCE.split(line):
-            out.append(piece)
-            starts.append(at)
-            at += len(piece) + 1
-    return out, starts
-
+def chunks(text: str) -> list[tuple[int, int, int]]:
+    """(start, end, lines) of the content-defined chunks, in order.
 
-def chunks(text: str) -> list[tuple[int, int, int, int]]:
-    """(start, end, lines, words) of the content-defined chunks, in order."""
+    Lines are cut after sentence ends; the separators ("\\n" or " ") belong to
+    no piece.  The rolling hash combines the last ``ROLL`` pieces' hashes.
+    """
     if not text:
         return []
-    pieces, starts = lines(text)
-    out, first, rolling = [], 0, [0] * ROLL
-    for k, piece in enumerate(pieces):
-        rolling = [*rolling[1:], xxhash.xxh3_64_intdigest(piece)]
-        mixed = 0
-        for h in rolling:
-            mixed = (mixed * 0x9E3779B97F4A7C15 + h) & 0xFFFFFFFFFFFFFFFF
-        if (mixed >> 40) % PASS_OVER or k == len(pieces) - 1:
-            out.append((starts[first], starts[k] + len(piece), k - first + 1,
-                        sum(len(p.split()) for p in pieces[first:k + 1])))
-            first = k + 1
+    out, start, at, n = [], 0, 0, 0
+    window, digest = [0] * (ROLL - 1), xxhash.xxh3_64_intdigest
+    for line in text.split("\n"):
+        for piece in _SENTENCE.split(line):
+            h = rolling = digest(piece)
+            for k, older in enumerate(window):
+                rolling += older * _FACTORS[k]
+            window = [*window[1:], h]
+            end = at + len(piece)
+            n += 1
+            if (rolling >> 40) % PASS_OVER:
+                out.append((start, end, n))
+                start, n = end + 1, 0
+            at = end + 1
+    if n:
+        out.append((start, at - 1, n))
     return out
 
 
@@ -78,7 +77,8 @@ def _occurrences(docs: DataFrame) -> DataFrame:
                 part = batch.slice(at, 1024)
                 nodes, hashes, places = [], [], []
                 for node, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    found = [(chunk_hash(text, a, b), k) for k, (a, b, _, words) in enumerate(chunks(text)) if words]
+                    found = [(chunk_hash(text, a, b), k) for k, (a, b, _) in enumerate(chunks(text))
+                             if not text[a:b].isspace() and b > a]
                     nodes += [node] * len(found)
                     hashes += [h for h, _ in found]
                     places += [k for _, k in found]
@@ -103,14 +103,14 @@ def _runs(cols: dict[str, list]) -> dict[str, list]:
             copy = h is not None and (first_node < node or h in seen)
             if h is not None and not copy:
                 seen.add(h)
-                a, b, _, words = found[k]
-                _add(out, h, True, node, a, b, words, node, text)
+                _add(out, h, True, node, *found[k][:2], 0, node, text)
             if copy:
                 run.append((k, h, first_node))
             elif run:
-                if sum(found[j][2] for j, _, _ in run) >= MIN_LINES and sum(found[j][3] for j, _, _ in run) >= MIN_WORDS:
-                    for j, hj, fj in run:
-                        _add(out, hj, False, node, *found[j][:2], found[j][3], fj, text)
+                words = [len(text[found[j][0]:found[j][1]].split()) for j, _, _ in run]
+                if sum(found[j][2] for j, _, _ in run) >= MIN_LINES and sum(words) >= MIN_WORDS:
+                    for (j, hj, fj), w in zip(run, words, strict=True):
+                        _add(out, hj, False, node, *found[j][:2], w, fj, text)
                 run = []
     return out
 

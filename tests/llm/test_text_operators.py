@@ -296,7 +296,7 @@ def test_chunks_cover_and_resist_shifts():
     spans = line_dedup.chunks(text)
     assert spans[0][0] == 0 and spans[-1][1] == len(text)
     assert all(text[a[1]] in "\n " and a[1] + 1 == b[0] for a, b in zip(spans, spans[1:], strict=False))
-    bodies = lambda t: {t[a:b] for a, b, _, _ in line_dedup.chunks(t)}
+    bodies = lambda t: {t[a:b] for a, b, _ in line_dedup.chunks(t)}
     moved = "inserted line.\n" + text
     assert len(bodies(text) & bodies(moved)) >= len(spans) - 2
 
