@@ -82,9 +82,42 @@ RULES = {
     "Unlicense": [["unlicense.notice"]],
 }
 
+# fixed values: further sentences of the published notices and titles, looked up in ``license_scan.pieces`` only
+PUBLISHED = {
+    "agpl.free": "this program is free software you can redistribute it and or modify it under the terms of the gnu "
+                 "affero general public license as published by the free software foundation either version 3 of the "
+                 "license or at your option any later version",
+    "agpl.title": "gnu affero general public license version 3 19 november 2007",
+    "lgpl2.free": "this library is free software you can redistribute it and or modify it under the terms of the gnu "
+                  "lesser general public license as published by the free software foundation either version 2 1 of "
+                  "the license or at your option any later version",
+    "lgpl3.free": "this program is free software you can redistribute it and or modify it under the terms of the gnu "
+                  "lesser general public license as published by the free software foundation either version 3 of the "
+                  "license or at your option any later version",
+    "lgpl2.title": "gnu lesser general public license version 2 1 february 1999",
+    "lgpl3.title": "gnu lesser general public license version 3 29 june 2007",
+    "cc_by.title": "creative commons attribution 4 0 international public license",
+    "cc_by_nc.title": "creative commons attribution noncommercial 4 0 international public license",
+    "cc_by_sa.title": "creative commons attribution sharealike 4 0 international public license",
+    "cc_by_sa.long": "this work is licensed under a creative commons attribution sharealike 4 0 international license",
+    "cc0.title": "creative commons legal code cc0 1 0 universal",
+}
+PUBLISHED_RULES = {
+    "AGPL-3.0": [["agpl.free"], ["agpl.title"]],
+    "CC-BY-4.0": [["cc_by.title"]],
+    "CC-BY-NC-4.0": [["cc_by_nc.title"]],
+    "CC-BY-SA-4.0": [["cc_by_sa.title"], ["cc_by_sa.long"]],
+    "CC0-1.0": [["cc0.title"]],
+    "LGPL": [["lgpl2.free"], ["lgpl3.free"], ["lgpl2.title"], ["lgpl3.title"]],
+}
+
 #: Every known sentence holds one of these; other sentences need not be looked up.
 ANCHORS = ("licen", "permi", "rights reserved", "software", "redistribut", "copyright notice", "public domain", "warrant",
            "under cc")
+#: The same for ``PUBLISHED``.
+PUBLISHED_ANCHORS = ("licen", "legal code")
 
 assert all(any(a in s for a in ANCHORS) for s in SENTENCES.values())
 assert all(i in SENTENCES for rules in RULES.values() for rule in rules for i in rule)
+assert all(any(a in s for a in PUBLISHED_ANCHORS) for s in PUBLISHED.values())
+assert all(i in PUBLISHED and n in RULES for n, rules in PUBLISHED_RULES.items() for rule in rules for i in rule)

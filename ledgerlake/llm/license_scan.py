@@ -5,7 +5,12 @@ spaces) and looked up among the known licence sentences.  A document becomes
 the sequence of the identifiers found; a licence is reported when one of its
 rules occurs in the sequence in the rule's order.  A text is cut twice: at
 line ends and sentence ends, and at sentence ends only with line ends as
-spaces (wrapped licence texts).  Every row is processed in place: no shuffle.
+spaces (wrapped licence texts).  These two sequences are reported.  Published
+texts put cuts inside the known sentences and lines without a full stop around
+them, so a licence is also reported when its rule occurs in the text's pieces:
+there a known sentence starts and ends at a cut (line end, sentence end, URL or
+list number) and may span any number of cuts.  Every row is processed in place:
+no shuffle.
 
 Defined results: null, empty and licence-free texts give no row; of a rule's
 sentences other sentences may stand between; a licence is reported once per
@@ -18,11 +23,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import table, text_of
-from ledgerlake.llm.license_rules import ANCHORS, RULES, SENTENCES
+from ledgerlake.llm.license_rules import ANCHORS, PUBLISHED, PUBLISHED_ANCHORS, PUBLISHED_RULES, RULES, SENTENCES
 
 _ENDS = "[.!?:;]+[ \\t\\r\\n]+"
 _LINES = "[\\r\\n]+|" + _ENDS
 _ANCHOR = "|".join(ANCHORS)
+_WANTED = "|".join(dict.fromkeys(ANCHORS + PUBLISHED_ANCHORS)).replace(" ", "[^a-z0-9]+")
+_PIECE_ENDS = ("[\\r\\n]+[^A-Za-z0-9\\r\\n]*[0-9A-Za-z]{1,2}[.)][ \\t]+|[\\r\\n]+|"
+               "[.!?:;]+[\"')\\]]*[ \\t\\r\\n]+|https?://\\S+")
 
 
 def _clean(sentence: Column) -> Column:
@@ -37,25 +45,41 @@ def identifiers(text: Column, cut: str) -> Column:
                                  lambda i: i.isNotNull()), "")
 
 
-def licences(*sequences: Column) -> Column:
-    """Names of the licences of which a rule occurs in one of the sequences, sorted."""
-    def holds(rules: list[list[str]]) -> Column:
+def pieces(text: Column) -> Column:
+    """The normalised text with its cuts, as ``|words|words|``."""
+    marked = F.regexp_replace(F.translate(text, "|", " "), _PIECE_ENDS, "|")
+    words = F.lower(F.regexp_replace(marked, "[^A-Za-z0-9|]+", " "))
+    return F.regexp_replace(F.concat(F.lit("|"), words, F.lit("|")), " ?\\|[ |]*", "|")
+
+
+def _in_pieces(rule: list[str]) -> str:
+    """Regular expression of a rule: its sentences in order, each at its first place (linear time)."""
+    known = SENTENCES | PUBLISHED
+    return "^" + "".join("(?>.*?\\|" + known[i].replace(" ", "[ |]") + "(?=\\|))" for i in rule)
+
+
+def licences(cut: Column, *sequences: Column) -> Column:
+    """Names of the licences of which a rule occurs in the pieces or in one of the sequences, sorted."""
+    def holds(name: str, rules: list[list[str]]) -> Column:
         out = F.lit(False)
+        for rule in rules + PUBLISHED_RULES.get(name, []):
+            out = out | cut.rlike(_in_pieces(rule))
         for rule in rules:
             for s in sequences:
                 out = out | s.like("%" + "%".join(f"<{i}>".replace("_", "\\_") for i in rule) + "%")
         return out
-    return F.array_compact(F.array(*[F.when(holds(rules), F.lit(name)) for name, rules in sorted(RULES.items())]))
+    return F.array_compact(F.array(*[F.when(holds(name, rules), F.lit(name)) for name, rules in sorted(RULES.items())]))
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, identifiers by line, identifiers of the unwrapped text, licences (array)."""
-    wanted = docs.select("doc_id", text_of().alias("text")).where(F.lower("text").rlike(
-        _ANCHOR.replace(" ", "[^a-z0-9]+")))
+    wanted = docs.select("doc_id", text_of().alias("text")).where(F.lower("text").rlike(_WANTED))
     found = wanted.select("doc_id", identifiers(F.col("text"), _LINES).alias("by_line"),
-                          identifiers(F.regexp_replace("text", "[\\r\\n]+", " "), _ENDS).alias("unwrapped"))
-    return (found.where("by_line <> '' or unwrapped <> ''")
-            .select("*", licences(F.col("by_line"), F.col("unwrapped")).alias("licences")))
+                          identifiers(F.regexp_replace("text", "[\\r\\n]+", " "), _ENDS).alias("unwrapped"),
+                          pieces(F.col("text")).alias("pieces"))
+    named = found.select("doc_id", "by_line", "unwrapped",
+                         licences(F.col("pieces"), F.col("by_line"), F.col("unwrapped")).alias("licences"))
+    return named.where("by_line <> '' or unwrapped <> '' or size(licences) > 0")
 
 
 def op5_license_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +89,7 @@ def op5_license_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def oracle_sql() -> str:
-    """The same rows in DuckDB: sentences as rows, joined with the known sentences."""
+    """The rows that the two sequences give, in DuckDB: sentences as rows, joined with the known sentences."""
     known = ", ".join(f"('{s}', '{i}')" for i, s in SENTENCES.items())
     rules = ", ".join(f"('{name}', '%{'%'.join(f'<{i}>' for i in rule)}%')"
                       for name, all_rules in sorted(RULES.items()) for rule in all_rules)

@@ -389,6 +389,115 @@ def test_license_rules_need_their_order(spark):
     assert license_scan.scan(docs_of(spark, [])).count() == 0
 
 
+APACHE = """Copyright 2020 Some One
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+MIT = """MIT License
+
+Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM.
+"""
+BSD = """Copyright (c) 2020, Some One
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD3 = BSD + """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+ISC = """ISC License
+Copyright (c) 2020 Some One
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+"""
+
+
+def gnu(what, name, version, colon, comma):
+    return f"""Copyright (C) 2020 Some One
+
+    This {what} is free software{colon} you can redistribute it and/or modify
+    it under the terms of the GNU {name} as published by
+    the Free Software Foundation{comma} either version {version} of the License, or
+    (at your option) any later version.
+
+    This {what} is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU {name} for more details.
+"""
+
+
+GPL = "General Public License"
+PUBLISHED = [
+    (APACHE, ["Apache-2.0"]), (MIT, ["MIT"]), (MIT.split("\n", 1)[1], ["MIT"]), (BSD, ["BSD-2-Clause"]),
+    (BSD3, ["BSD-2-Clause", "BSD-3-Clause"]), (ISC, ["ISC"]),
+    (gnu("program", GPL, "2", ";", ";"), ["GPL-2.0-or-later"]), (gnu("program", GPL, "3", ":", ","), ["GPL-3.0"]),
+    (gnu("program", "Affero " + GPL, "3", ":", ","), ["AGPL-3.0"]),
+    (gnu("library", "Lesser " + GPL, "2.1", ";", ";"), ["LGPL"]),
+    (gnu("program", "Lesser " + GPL, "3", ":", ","), ["LGPL"]),
+    ("    GNU GENERAL PUBLIC LICENSE\n       Version 3, 29 June 2007\n\n Copyright (C) 2007", ["GPL-3.0"]),
+    ("This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not"
+     "\ndistributed with this file, You can obtain one at\nhttp://mozilla.org/MPL/2.0/.", ["MPL-2.0"]),
+    ("This is free and unencumbered software released into the public domain.\n\nAnyone is free", ["Unlicense"]),
+    ("Creative Commons Legal Code\n\nCC0 1.0 Universal\n\n    CREATIVE COMMONS CORPORATION", ["CC0-1.0"]),
+    ("Creative Commons Attribution 4.0 International Public License\n\nBy exercising", ["CC-BY-4.0"]),
+    ("This work is licensed under a Creative Commons\nAttribution 4.0 International License.", ["CC-BY-4.0"]),
+    ("Creative Commons Attribution-NonCommercial 4.0 International Public\nLicense\n\nBy", ["CC-BY-NC-4.0"]),
+    ("Creative Commons Attribution-ShareAlike 4.0 International Public\nLicense\n\nBy", ["CC-BY-SA-4.0"]),
+    ("Copyright (c) 2020 Some One\nAll rights reserved.\nmore", ["LicenseRef-all-rights-reserved"]),
+]
+
+
+def test_published_licences(spark):
+    from ledgerlake.llm.license_rules import RULES
+
+    assert {n for _, names in PUBLISHED for n in names} == set(RULES)
+    plain = [t for t, _ in PUBLISHED]
+    texts = [*plain, *("intro words\n" + t for t in plain), *("\n".join("# " + x for x in t.split("\n")) for t in plain),
+             *(t.replace("\n", "\r\n") for t in plain)]
+    got = {r.doc_id: r.licences for r in license_scan.scan(docs_of(spark, texts)).collect()}
+    for k in range(len(texts)):
+        assert got.get(k) == PUBLISHED[k % len(plain)][1], texts[k]
+    parts = APACHE.split("\n\n")
+    none = [parts[3] + "\n" + parts[1], MIT.replace("furnished", "given").split("\n", 1)[1], "v. 2.0 of a license|x"]
+    assert not any(r.licences for r in license_scan.scan(docs_of(spark, none)).collect())
+
+
 def test_memo_is_emptied():
     m = Memo(len, limit=3)
     assert [m[x] for x in ("a", "bb", "ccc", "dddd")] == [1, 2, 3, 4]
