@@ -1,25 +1,25 @@
-"""Operator 2: content-defined line chunks.
+"""Operator 2: repeated lines and sentences.
 
 A text is cut into lines, and a line after its sentence ends, so a passage
-inside a paragraph is found too.  A rolling hash over the hashes of the last
-``ROLL`` lines chooses the chunk boundaries: they depend on nearby content
-alone, so an insertion moves no boundary further on.  A chunk that occurs
-before (in a smaller doc_id, or earlier in the same text) is a copy; a run of
-neighbouring copies with at least ``MIN_LINES`` lines and ``MIN_WORDS`` words is
-removed after its bytes were compared with the first occurrence's.
+inside a paragraph is found too.  These pieces are the chunks: a boundary
+depends on the text next to it alone, so neither an insertion nor the
+surroundings of a passage move its boundaries.  A piece that occurs before (in
+a smaller doc_id, or earlier in the same text) is a copy; a run of neighbouring
+copies with at least ``MIN_WORDS`` words, of any number of pieces, is removed
+after the bytes of each were compared with its first occurrence's.
 
 Defined results: the first occurrence stays; null and empty texts have no
-chunk; chunks without words are never copies by themselves; a null doc_id
-counts as smaller than all ids; rows that share a doc_id count as one place,
-so identical repeated rows stay as they are; extra columns are kept by the
-stage; an empty table gives no rows.
+piece; pieces without words are never copies and stay, but do not end a run; a
+run's pieces may have their first occurrences in different places; a null
+doc_id counts as smaller than all ids; rows that share a doc_id count as one
+place, so identical repeated rows stay as they are; extra columns are kept by
+the stage; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import re
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -27,39 +27,25 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import map_rows, scratch, table, text_of
 
-ROLL = 2
-#: A boundary follows a line when the rolling hash's remainder is not zero: one line in four is passed over.
-PASS_OVER = 4
-MIN_LINES, MIN_WORDS = 2, 20
+MIN_WORDS = 20
 NO_ID = -(2**63)
-_FACTORS = [0x9E3779B97F4A7C15 ** (ROLL - 1 - k) for k in range(ROLL - 1)]
 _SENTENCE = re.compile(r"(?<=[.!?]) ")
 
 
-def chunks(text: str) -> list[tuple[int, int, int]]:
-    """(start, end, lines) of the content-defined chunks, in order.
+def chunks(text: str) -> list[tuple[int, int, bool]]:
+    """(start, end, whether it has words) of the pieces, in order.
 
     Lines are cut after sentence ends; the separators ("\\n" or " ") belong to
-    no piece.  The rolling hash combines the last ``ROLL`` pieces' hashes.
+    no piece.
     """
     if not text:
         return []
-    out, start, at, n = [], 0, 0, 0
-    window, digest = [0] * (ROLL - 1), xxhash.xxh3_64_intdigest
+    out, at = [], 0
     for line in text.split("\n"):
         for piece in _SENTENCE.split(line):
-            h = rolling = digest(piece)
-            for k, older in enumerate(window):
-                rolling += older * _FACTORS[k]
-            window = [*window[1:], h]
             end = at + len(piece)
-            n += 1
-            if (rolling >> 40) % PASS_OVER:
-                out.append((start, end, n))
-                start, n = end + 1, 0
+            out.append((at, end, end > at and not piece.isspace()))
             at = end + 1
-    if n:
-        out.append((start, at - 1, n))
     return out
 
 
@@ -68,7 +54,7 @@ def chunk_hash(text: str, start: int, end: int) -> int:
 
 
 def _occurrences(docs: DataFrame) -> DataFrame:
-    """node, h, pos of every chunk with words."""
+    """node, h, pos of every piece with words."""
     schema = pa.schema([("node", pa.int64()), ("h", pa.int64()), ("pos", pa.int32())])
 
     def run(batches):
@@ -77,8 +63,8 @@ def _occurrences(docs: DataFrame) -> DataFrame:
                 part = batch.slice(at, 1024)
                 nodes, hashes, places = [], [], []
                 for node, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    found = [(chunk_hash(text, a, b), k) for k, (a, b, _) in enumerate(chunks(text))
-                             if not text[a:b].isspace() and b > a]
+                    found = [(chunk_hash(text, a, b), k) for k, (a, b, worded) in enumerate(chunks(text))
+                             if worded]
                     nodes += [node] * len(found)
                     hashes += [h for h, _ in found]
                     places += [k for _, k in found]
@@ -89,40 +75,46 @@ def _occurrences(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "node long, h long, pos int")
 
 
+_RUNS = ("h", "first", "node", "start", "end", "words", "first_node", "bytes")
+
+
 def _runs(cols: dict[str, list]) -> dict[str, list]:
     """Texts of the copies that form long enough runs, and of first occurrences."""
-    out = {c: [] for c in ("h", "first", "node", "start", "end", "words", "first_node", "bytes")}
+    out = []
     for node, text, shared in zip(cols["node"], cols["text"], cols["shared"], strict=True):
         place = {(s["pos"], s["h"]): s["first_node"] for s in shared}
         marked = {k for k, _ in place}
-        seen, run, found = set(), [], chunks(text)
-        for k in range(len(found) + 1):
-            h = chunk_hash(text, *found[k][:2]) if k < len(found) and k in marked else None
+        seen, run = set(), []
+        for k, (a, b, worded) in enumerate(chunks(text)):
+            if not worded:
+                continue
+            h = chunk_hash(text, a, b) if k in marked else None
             first_node = place.get((k, h))
-            h = h if first_node is not None else None
-            copy = h is not None and (first_node < node or h in seen)
-            if h is not None and not copy:
+            if first_node is not None and (first_node < node or h in seen):
+                run.append((a, b, h, first_node))
+                continue
+            if first_node is not None:
                 seen.add(h)
-                _add(out, h, True, node, *found[k][:2], 0, node, text)
-            if copy:
-                run.append((k, h, first_node))
-            elif run:
-                words = [len(text[found[j][0]:found[j][1]].split()) for j, _, _ in run]
-                if sum(found[j][2] for j, _, _ in run) >= MIN_LINES and sum(words) >= MIN_WORDS:
-                    for (j, hj, fj), w in zip(run, words, strict=True):
-                        _add(out, hj, False, node, *found[j][:2], w, fj, text)
+                out.append((h, True, node, a, b, 0, node, text[a:b].encode("utf-8", "surrogatepass")))
+            if run:
+                _close(out, run, node, text)
                 run = []
-    return out
+        if run:
+            _close(out, run, node, text)
+    return dict(zip(_RUNS, zip(*out, strict=True), strict=True)) if out else {c: [] for c in _RUNS}
 
 
-def _add(out: dict[str, list], h, first, node, start, end, words, first_node, text) -> None:
-    for c, v in zip(out, (h, first, node, start, end, words, first_node,
-                          text[start:end].encode("utf-8", "surrogatepass")), strict=True):
-        out[c].append(v)
+def _close(out: list[tuple], run: list[tuple], node: int, text: str) -> None:
+    """Adds the run's pieces if they have enough words together."""
+    parts = [text[a:b] for a, b, _, _ in run]
+    words = [len(part.split()) for part in parts]
+    if sum(words) >= MIN_WORDS:
+        out += [(h, False, node, a, b, w, first_node, part.encode("utf-8", "surrogatepass"))
+                for (a, b, h, first_node), w, part in zip(run, words, parts, strict=True)]
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """node, start, end (code points), words, first_node of every chunk to remove."""
+    """node, start, end (code points), words, first_node of every piece to remove."""
     spark = docs.sparkSession
     keyed = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("node"), text_of().alias("text"))
     occurrences = scratch(spark, _occurrences(keyed), "lines-chunks")

@@ -321,6 +321,45 @@ def test_line_dedup_removes_later_copies(spark):
     assert line_dedup.repeated_spans(docs_of(spark, [])).count() == 0
 
 
+def brute_dedup(texts):
+    """Words of the texts (ids in order) without the runs of 20 or more words whose pieces occurred before."""
+    seen, out = set(), []
+    for text in texts:
+        kept, run = [], []
+        for piece in [*re.split(r"\n|(?<=[.!?]) ", text), None]:
+            if piece in seen:
+                run.append(piece)
+            elif piece is None or piece.strip():
+                if sum(len(p.split()) for p in run) < 20:
+                    kept += run
+                run = []
+                kept.append(piece or "")
+            seen.add(piece) if piece and piece.strip() else None
+        out.append(" ".join(kept).split())
+    return out
+
+
+def test_line_dedup_removes_whole_passages(spark):
+    r = random.Random(12)
+    sentence = lambda n: " ".join("".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(n)) + "."
+    texts, passages = [], []
+    for k in range(80):
+        n = 1 + k % 4
+        shared = [sentence(-(-60 // n)) for _ in range(n)]
+        passages.append(shared)
+        for _ in range(2):
+            own = [sentence(r.randrange(3, 15)) for _ in range(8)]
+            mid = r.choice([" ", "\n", "\n\n"]).join(shared)
+            texts.append(" ".join(own[:4]) + r.choice([" ", "\n", "\n\n"]) + mid + r.choice([" ", "\n"]) + " ".join(own[4:]))
+    short = sentence(12)
+    texts += [short + " " + sentence(9), sentence(9) + " " + short]
+    cleaned = {x.doc_id: x.text for x in line_dedup.remove(docs_of(spark, texts)).collect()}
+    assert [cleaned[d].split() for d in range(len(texts))] == brute_dedup(texts)
+    for k, shared in enumerate(passages):
+        assert not any(s in cleaned[2 * k + 1] for s in shared) and cleaned[2 * k] == texts[2 * k]
+    assert short in cleaned[160] and short in cleaned[161]
+
+
 def test_line_dedup_compares_bytes(spark, monkeypatch):
     r = random.Random(8)
     texts = [passage(r, 10), passage(r, 10)]
