@@ -13,6 +13,11 @@ representatives (smallest doc_id).
   intersection, and later leaders only meet members that are still in another
   component.  No link between components is lost, and a list of copies costs
   its length, not its square.
+* The links themselves (``links=True``) are all pairs of representatives that
+  reach the similarity: light pairs from shared subsets, heavy pairs from a join
+  of the lists, each taken once and verified.  Their
+  number can grow with the square of a group of near copies; the components,
+  and the stage, do without them.
 * ``x`` is the size with the lowest total cost (``boundary``).
 
 Defined results: null and empty texts have no shingles and link with nothing;
@@ -225,6 +230,38 @@ def _light_links(rows: DataFrame) -> DataFrame:
             .where("v is not null and u <> v").distinct())
 
 
+#: Sub-lists on either side into which a hot list is dealt for the exact links.
+SALT = 16
+
+
+def _all_light_links(rows: DataFrame) -> DataFrame:
+    """Every pair (u < v) of sets that share a subset."""
+    rows = rows.withColumn("side", F.when(F.col("n") == F.floor(F.col("pos") / 1000), 0).otherwise(1))
+    same = F.col("a.pos") % 1000 == F.floor(F.col("a.pos") / 1000)
+    a, b = rows.alias("a"), rows.alias("b")
+    return (a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.pos") == F.col("b.pos"))
+                   & (F.col("a.node") < F.col("b.node")) & (same | (F.col("a.side") != F.col("b.side"))))
+            .select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct())
+
+
+def _all_pairs(lists: DataFrame, hot: DataFrame, bits: DataFrame) -> DataFrame:
+    """Pairs (u < v) of list members that may link; hot lists meet in SALT x SALT parts."""
+    rows = lists.select("token", "node", "pos").join(bits, "node").join(hot, "token", "left")
+    part = F.pmod(F.xxhash64("node"), F.lit(SALT)).cast("int")
+    parts = F.array(*[F.lit(k) for k in range(SALT)])
+    nowhere = F.array(F.lit(0))
+    is_hot = F.col("hot").isNotNull()
+    a = rows.withColumn("pa", F.when(is_hot, part).otherwise(0)).withColumn(
+        "pb", F.explode(F.when(is_hot, parts).otherwise(nowhere))).alias("a")
+    b = rows.withColumn("pb", F.when(is_hot, part).otherwise(0)).withColumn(
+        "pa", F.explode(F.when(is_hot, parts).otherwise(nowhere))).alias("b")
+    return (a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.pa") == F.col("b.pa"))
+                   & (F.col("a.pb") == F.col("b.pb")) & (F.col("a.node") < F.col("b.node"))
+                   & _possible(F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos"))
+                   & may_link(F.col("a.n"), F.col("a.bits"), F.col("b.n"), F.col("b.bits")))
+            .select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct())
+
+
 def _lists(rows: DataFrame) -> DataFrame:
     """Inverted lists of two or more members, with each list's leader (earliest position, then id)."""
     leader = F.min(F.struct("pos", "node", "n"))
@@ -314,10 +351,10 @@ def one_version(spark: SparkSession, docs: DataFrame, scanned: DataFrame) -> tup
     return docs.join(many, "node", "left_anti").unionAll(chosen.select("node", "text")), rows
 
 
-def near_groups(documents: DataFrame) -> DataFrame:
-    """node (doc_id; ``NO_ID`` for null), n_shingles, class_id (smallest id with an equal set), component_id, n_links.
+def near_groups(documents: DataFrame, links: bool = False) -> DataFrame:
+    """node (doc_id; ``NO_ID`` for null), n_shingles, class_id (smallest id with an equal set), component_id.
 
-    ``n_links`` counts the verified links that hold the component together, not all links.
+    With ``links`` also n_links: to how many other classes the document's class is linked.
     """
     spark = documents.sparkSession
     docs = documents.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("node"), text_of().alias("text"))
@@ -339,16 +376,16 @@ def near_groups(documents: DataFrame) -> DataFrame:
         possibly_in(docs, copies, "node").join(copies, "node", "left_anti"))
 
     signatures = scratch(spark, _signatures(heads, counts, x), "ngram-signatures")
-    links = _light_links(signatures.where("kind = 1")) if x else None
+    light = _light_links(signatures.where("kind = 1")) if x else None
     lists = scratch(spark, _lists(signatures), "ngram-lists")
     bits = scanned.where("row").select("node", "n", "bits").dropDuplicates(["node", "bits"])
     pairs = (lists.where(F.col("node") != F.col("leader.node"))
              .where(_possible(F.col("n"), F.col("pos"), F.col("leader.n"), F.col("leader.pos")))
              .select(F.col("leader.node").alias("u"), F.col("node").alias("v")).distinct())
     verified = _verify(spark, docs, scratch(spark, _screen(bits, pairs), "ngram-pairs"), "ngram-1")
-    links = scratch(spark, verified if links is None else verified.unionAll(links), "ngram-links")
+    first = scratch(spark, verified if light is None else verified.unionAll(light), "ngram-links")
     done, high = 1, LEADERS                                  # the first leader has met every member
-    parts = scratch(spark, components(spark, links), "ngram-parts")
+    parts = scratch(spark, components(spark, first), "ngram-parts")
     while True:
         placed = (lists.where(F.col("size") > done + 1).join(parts, "node", "left")
                   .withColumn("part", F.coalesce("component", "node")))
@@ -369,20 +406,34 @@ def near_groups(documents: DataFrame) -> DataFrame:
         found = _verify(spark, docs, scratch(spark, pairs, "ngram-pairs"), f"ngram-{high}")
         done, high = high, high * GROWTH
         if not found.isEmpty():
-            links = scratch(spark, links.unionAll(found), "ngram-links")
             stars = parts.where("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))
             parts = scratch(spark, components(spark, stars.unionAll(found)), "ngram-parts")
-    degree = (links.select(F.explode(F.array("u", "v")).alias("class_id")).groupBy("class_id")
+    grouped = (member.join(parts.withColumnRenamed("node", "class_id"), "class_id", "left")
+               .select("node", F.col("n").alias("n_shingles"), "class_id",
+                       F.coalesce("component", "class_id").alias("component_id")))
+    if not links:
+        return grouped
+    every = _exact_links(spark, docs, signatures, lists, bits, x)
+    degree = (every.select(F.explode(F.array("u", "v")).alias("class_id")).groupBy("class_id")
               .agg(F.count("*").alias("n_links")))
-    return (member.join(parts.withColumnRenamed("node", "class_id"), "class_id", "left").join(degree, "class_id", "left")
-            .select("node", F.col("n").alias("n_shingles"), "class_id",
-                    F.coalesce("component", "class_id").alias("component_id"),
-                    F.coalesce("n_links", F.lit(0)).alias("n_links")))
+    return grouped.join(degree, "class_id", "left").select(
+        "node", "n_shingles", "class_id", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+def _exact_links(spark: SparkSession, docs: DataFrame, signatures: DataFrame, lists: DataFrame, bits: DataFrame,
+                 x: int) -> DataFrame:
+    """All linked pairs (u < v) of class representatives, each once."""
+    hot = signatures.where("kind = 2").select("token").distinct().withColumn("hot", F.lit(True))
+    pairs = scratch(spark, _all_pairs(lists, hot, bits), "ngram-all-pairs")
+    every = _verify(spark, docs, pairs, "ngram-all")
+    if x:
+        every = every.unionAll(_all_light_links(signatures.where("kind = 1")))
+    return scratch(spark, every.distinct(), "ngram-all-links")
 
 
 def labelled(documents: DataFrame) -> DataFrame:
     """One row per document row: doc_id, n_shingles, class_id, component_id, n_links."""
-    groups = near_groups(documents)
+    groups = near_groups(documents, links=True)
     ids = documents.select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("node"))
     back = lambda c: F.when(F.col(c) != NO_ID, F.col(c)).alias(c)
     return ids.join(groups, "node").select("doc_id", "n_shingles", back("class_id"), back("component_id"), "n_links")

@@ -220,6 +220,27 @@ def test_ngram_components(spark, monkeypatch, leaders):
     assert got == brute_components(dict(enumerate(texts)))
 
 
+def brute_links(texts):
+    """Per document: with how many other shingle sets its set reaches the similarity."""
+    sets = {}
+    for d, t in texts.items():
+        w = (t or "").encode().lower().split()
+        k = min(5, len(w))
+        sets[d] = frozenset(tuple(w[i:i + k]) for i in range(len(w) - k + 1)) if w else frozenset()
+    kinds = set(sets.values()) - {frozenset()}
+    links = {s: sum(100 * len(s & o) >= 75 * len(s | o) for o in kinds) - 1 for s in kinds} | {frozenset(): 0}
+    return {d: links[s] for d, s in sets.items()}
+
+
+@pytest.mark.parametrize("hot", [4.0, 0.0])
+def test_ngram_links_are_all_links(spark, monkeypatch, hot):
+    monkeypatch.setattr(ngram_join, "HOT", hot)
+    family = [" ".join(f"s{k}" for k in range(120)) + f" t{j}" for j in range(100)]
+    texts = family + near_copies(6) + [None, "", "one two", "one two"] + [" ".join(f"q{k}" for k in range(j)) for j in range(1, 16)]
+    got = {r.doc_id: r.n_links for r in ngram_join.labelled(docs_of(spark, texts)).collect()}
+    assert got == brute_links(dict(enumerate(texts))) and got[0] == got[99] == 99
+
+
 def test_ngram_query(spark):
     rows = ngram_join.op8_ngram_jaccard(spark, SMALL).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute_components(small_texts())
