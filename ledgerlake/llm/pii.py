@@ -1,13 +1,15 @@
 """Operator 1: personal data by bootstrapped contextual extraction.
 
 Seeds are the e-mails, IP addresses, cards and phone numbers that match their
-exact rules.  A seed's two preceding words are a lexical pattern.  Spark
+exact rules.  An instance's two preceding words are a lexical pattern.  Spark
 scores the bipartite graph of patterns and instances in a fixed number of
-rounds: a pattern's confidence for a kind is the mass of known instances of
-that kind that follow it over *all* its occurrences in the corpus, an
-instance's confidence is the noisy-or of its patterns.  Identifier-like
-strings that miss the exact rules (a card failing Luhn, a phone without ``+``,
-an address without a dot) become spans when their confidence is high.
+rounds; in each, instances found in earlier rounds count like seeds, so they
+can induce further patterns.  A pattern's confidence for a kind is the mass of
+known instances of that kind that follow it over *all* its occurrences in the
+corpus, an instance's confidence is the noisy-or of its patterns.
+Identifier-like strings that miss the exact rules (a card failing Luhn, a phone
+without ``+``, an address without a dot) become spans when their confidence is
+high.
 
 Defined results: a null text is empty; a document without finds has zero
 counts and the digest of the empty string; repeated rows give repeated,
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 from ledgerlake.llm.common import Memo, map_rows, scratch, table, text_of
 
 KINDS = ("email", "ip", "card", "phone")
-#: Distinct seed values that a pattern needs before it is considered.
+#: Distinct believed values (seeds or found ones) that a pattern needs before it is considered.
 MIN_SEEDS = 3
 #: Confidence from which patterns and instances count.
 MIN_CONFIDENCE = 0.5
@@ -226,13 +228,12 @@ def extract(docs: DataFrame) -> DataFrame:
     flat = (scanned.select("doc_id", "text_key", F.explode("found").alias("f"))
             .select("doc_id", "text_key", "f.*"))
     edges = flat.groupBy("pattern", "kind", "instance", "seed").agg(F.count("*").alias("n"))
-    seeded = (edges.where("seed").groupBy("pattern", "kind").agg(F.count("*").alias("values"))
-              .where(F.col("values") >= MIN_SEEDS).select("pattern", "kind"))
-    seeded = scratch(spark, seeded, "pii-seeded")
-    # a non-seed instance can also link to patterns that only discovered instances share
-    linked = edges.join(seeded.select("pattern").distinct(), "pattern", "left_semi")
-    totals = scratch(spark, _pattern_totals(docs, seeded).join(
-        seeded.select("pattern").distinct(), "pattern", "left_semi"), "pii-totals")
+    # every pattern that a round can admit: found instances count like seeds there
+    able = (edges.groupBy("pattern", "kind").agg(F.count("*").alias("values"))
+            .where(F.col("values") >= MIN_SEEDS).select("pattern").distinct())
+    able = scratch(spark, able, "pii-able")
+    linked = edges.join(able, "pattern", "left_semi")
+    totals = scratch(spark, _pattern_totals(docs, able).join(able, "pattern", "left_semi"), "pii-totals")
     _, instances = score_graph(spark, scratch(spark, linked, "pii-edges"), totals)
     good = instances.where(~F.col("seed") & (F.col("belief") >= MIN_CONFIDENCE)).select("instance", "kind")
     new = (flat.where(~F.col("seed")).join(good, ["instance", "kind"], "left_semi")

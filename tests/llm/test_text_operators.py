@@ -134,6 +134,15 @@ def test_pii_contexts_discover(spark):
     assert pii.extract(docs_of(spark, [])).count() == 0
 
 
+def test_pii_found_instances_induce_patterns(spark):
+    texts = [f"Some words. call me +1 555 010 {1000 + k} now" for k in range(6)]
+    texts += [f"Some words. call me 555-0200-10{k} now" for k in range(3)]
+    texts += [f"Later text. ring us 555-0200-10{k} now" for k in range(3)]
+    texts += ["Last text. ring us 555-0777-321 now", "Not here. see page 555-0888-321 now"]
+    got = {r.doc_id: [tuple(s) for s in r.new] for r in pii.extract(docs_of(spark, texts)).collect()}
+    assert got[12] == [("phone", 19, 31)] and got[13] == [] and all(got[k] for k in range(6, 12))
+
+
 # ---- 7: fingerprints ----------------------------------------------------------------------------
 
 def test_fingerprint_query(spark):
