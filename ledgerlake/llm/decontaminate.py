@@ -12,7 +12,9 @@ the word trigrams of its question and its answer (last sentence).
 
 Item texts are read to the driver in shards of at most ``SHARD_CHARS``
 characters, one scan of the documents per shard, so what is broadcast has a
-fixed bound.  Items of more words are in shards with longer passages.
+fixed bound.  Items of more words are in shards with longer passages.  The BM25
+statistics (items, mean length, document frequencies) are those of the whole
+benchmark, so an item's score does not depend on its shard.
 
 Defined results: null and empty texts have no passage and no hit; items
 without words are skipped; items with equal texts are each reported; repeated
@@ -30,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import Memo, scratch, table, text_of
+from ledgerlake.llm.common import Memo, map_rows, scratch, table, text_of
 
 K1, B = 1.2, 0.75
 MIN_SCORE = 0.5
@@ -67,9 +69,14 @@ def question_and_answer(text: str) -> tuple[list[str], list[str]]:
 
 
 class ItemIndex:
-    """BM25 postings of a shard of items with per-block maxima."""
+    """BM25 postings of a shard of items with per-block maxima.
 
-    def __init__(self, items: list[tuple[int, str]]):
+    ``stats``: number of items with words, their mean length and the document
+    frequencies of the shard's terms, over the whole benchmark; without it the
+    shard is the benchmark.
+    """
+
+    def __init__(self, items: list[tuple[int, str]], stats: tuple[int, float, dict[str, int]] | None = None):
         # items of similar length are neighbours: their weights, and so the block maxima, are alike
         items = sorted(((i, t) for i, t in items if _WORD.search(t)), key=lambda x: len(_WORD.findall(x[1])))
         self.ids = [i for i, _ in items]
@@ -92,9 +99,13 @@ class ItemIndex:
             counts.append(c)
             for t in c:
                 df[t] = df.get(t, 0) + 1
+        spread = n
+        if stats:
+            spread, mean = stats[:2]
+            df = {t: stats[2][w] for w, t in self.terms.items()}
         postings: dict[int, list[tuple[int, float]]] = {}
         for k, (c, ws) in enumerate(zip(counts, words, strict=True)):
-            weight = {t: np.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * f * (K1 + 1)
+            weight = {t: np.log(1 + (spread - df[t] + 0.5) / (df[t] + 0.5)) * f * (K1 + 1)
                       / (f + K1 * (1 - B + B * len(ws) / mean)) for t, f in c.items()}
             total = sum(weight.values())
             for t, w in weight.items():
@@ -260,24 +271,47 @@ def search(docs: DataFrame, index: ItemIndex) -> DataFrame:
     return docs.select("doc_id", text_of().alias("text")).mapInArrow(run, RESULT)
 
 
+def _item_terms(cols: dict[str, list]) -> dict[str, list]:
+    """The distinct terms of each item; its number of words stands with the null term."""
+    out = {c: [] for c in ("half", "shard", "term", "n")}
+    for half, shard, text in zip(cols["half"], cols["shard"], cols["text"], strict=True):
+        words = _WORD.findall(text.lower())
+        terms = [*set(words), None] if words else []
+        out["half"] += [half] * len(terms)
+        out["shard"] += [shard] * len(terms)
+        out["term"] += terms
+        out["n"] += [1] * (len(terms) - 1) + [len(words)] if words else []
+    return out
+
+
 def shards(benchmark: DataFrame):
-    """Items of bounded shards; items of similar length share one, so their passages are not too long."""
+    """(items, statistics of the benchmark for their terms) of bounded shards.
+
+    Items of similar length share a shard, so their passages are not too long.
+    """
+    spark = benchmark.sparkSession
     items = benchmark.where("text is not null").select(
         "item_id", "text", F.size(F.split("text", "\\s+")).alias("words"), F.char_length("text").alias("chars"))
     items = items.withColumn("half", F.greatest(F.lit(SHORTEST), F.pow(
         F.lit(2), F.ceil(F.log2(F.greatest(F.lit(1), F.col("words"))) + 0.001)).cast("int")))
     running = F.sum("chars").over(Window.partitionBy("half").orderBy("item_id", "text"))
     items = items.withColumn("shard", F.floor(running / SHARD_CHARS))
+    terms = scratch(spark, map_rows(items.select("half", "shard", "text"), _item_terms,
+                                    "half int, shard long, term string, n long"), "benchmark-terms")
+    whole = terms.where("term is null").agg(F.count("*").alias("n"), F.avg("n").alias("mean")).first()
+    df = scratch(spark, terms.where("term is not null").groupBy("term").agg(F.count("*").alias("df")), "benchmark-df")
     for r in items.groupBy("half", "shard").count().orderBy("half", "shard").collect():
         rows = items.where((F.col("half") == r.half) & (F.col("shard") == r.shard)).select("item_id", "text").collect()
-        yield [(x.item_id, x.text) for x in rows]
+        own = terms.where((F.col("half") == r.half) & (F.col("shard") == r.shard)).select("term").distinct()
+        counted = df.join(own, "term").collect()             # terms of at most SHARD_CHARS characters
+        yield [(x.item_id, x.text) for x in rows], (whole.n, whole.mean, {x.term: x.df for x in counted})
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, score, question_overlap, answer_overlap, overlap, n_passages."""
     out = None
-    for items in shards(benchmark):
-        found = search(docs, ItemIndex(items))
+    for items, stats in shards(benchmark):
+        found = search(docs, ItemIndex(items, stats))
         out = found if out is None else out.unionAll(found)
     return docs.sparkSession.createDataFrame([], RESULT) if out is None else out
 

@@ -306,6 +306,29 @@ def test_decontamination(spark):
     assert decontaminate.contaminated(docs, bench.where("false")).count() == 0
 
 
+def test_decontamination_scores_by_the_whole_benchmark(spark, monkeypatch):
+    r = random.Random(6)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(6))
+    common = [f"the{k}" for k in range(12)]
+    items = [" ".join(r.sample(common, 8) + [word() for _ in range(14)]) for _ in range(30)]
+    items += [" ".join(r.sample(common, 12) * 2 + [word() for _ in range(70)])]      # alone in its length class
+    docs = [" ".join(t.split()[:-3]) for t in items]
+    n, words = len(items), [t.split() for t in items]
+    mean, df = sum(map(len, words)) / n, Counter(w for ws in words for w in set(ws))
+
+    def score(item, doc):
+        weight = {t: math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * len(item) / mean))
+                  for t, f in Counter(item).items()}
+        return sum(weight[t] for t in set(doc) & set(weight)) / sum(weight.values())
+
+    bench = spark.createDataFrame([*enumerate(items), (90, ""), (91, "?!"), (92, None)], "item_id long, text string")
+    for chars in (decontaminate.SHARD_CHARS, 500):
+        monkeypatch.setattr(decontaminate, "SHARD_CHARS", chars)
+        got = {(h.doc_id, h.item_id): h.score for h in decontaminate.contaminated(docs_of(spark, docs), bench).collect()}
+        assert set(got) == {(k, k) for k in range(n)}
+        assert all(math.isclose(got[k, k], score(words[k], docs[k].split()), abs_tol=1e-9) for k in range(n))
+
+
 def test_decontamination_query_finds_exact_items(spark):
     texts = small_texts()
     items = duckdb.sql(f"SELECT item_id, text FROM '{SMALL}/benchmark.parquet'").fetchall()
