@@ -5,7 +5,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -35,6 +37,25 @@ def scratch(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove the folder of a ``scratch`` table whose last reader has been written."""
+    spark = df.sparkSession
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def slices(batch: pa.RecordBatch, column: int, rows: int = 1024, size: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of at most ``rows`` rows and, unless one row alone is longer, ``size`` bytes of ``column``."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, min(at + rows, int(np.searchsorted(ends, before + size, "right"))))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def map_rows(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]], schema: str | StructType,
              rows: int = 256) -> DataFrame:
     """``mapInArrow`` over slices of at most ``rows`` input rows.

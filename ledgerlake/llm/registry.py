@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import chat, license_scan
+from ledgerlake.llm import chat, license_scan, merkle
 from ledgerlake.llm.bpe import op6_byte_bpe
 from ledgerlake.llm.chat import op4_perspective_rotation
 from ledgerlake.llm.decontaminate import op10_bm25_decontamination
 from ledgerlake.llm.fingerprint import op7_multiset_fingerprint
 from ledgerlake.llm.license_scan import op5_license_sentences
 from ledgerlake.llm.line_dedup import op2_line_chunk_dedup
+from ledgerlake.llm.merkle import op13_merkle_manifest
 from ledgerlake.llm.ngram_join import op8_ngram_jaccard
 from ledgerlake.llm.pii import op1_contextual_pii
 from ledgerlake.llm.quality import op9_quality_random_indexing
@@ -25,10 +26,12 @@ QUERIES = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_quality_random_indexing": op9_quality_random_indexing,
     "op10_bm25_decontamination": op10_bm25_decontamination,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 #: Only where SQL expresses the operator; the others are tested against brute force, round trips or held-out rows.
 ORACLE_SQL: dict[str, str] = {
     "op4_perspective_rotation": chat.ORACLE_SQL,
     "op5_license_sentences": license_scan.oracle_sql(),
+    "op13_merkle_manifest": merkle.ORACLE_SQL,
 }
