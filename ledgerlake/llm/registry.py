@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import chat, license_scan, merkle
+from ledgerlake.llm import chat, license_scan, merkle, setsketch, spelling
 from ledgerlake.llm.bpe import op6_byte_bpe
 from ledgerlake.llm.chat import op4_perspective_rotation
 from ledgerlake.llm.decontaminate import op10_bm25_decontamination
@@ -13,6 +13,8 @@ from ledgerlake.llm.merkle import op13_merkle_manifest
 from ledgerlake.llm.ngram_join import op8_ngram_jaccard
 from ledgerlake.llm.pii import op1_contextual_pii
 from ledgerlake.llm.quality import op9_quality_random_indexing
+from ledgerlake.llm.setsketch import op12_setsketch_dedup
+from ledgerlake.llm.spelling import op11_spelling_variants
 from ledgerlake.llm.toxicity import op3_toxicity_cnn
 
 QUERIES = {
@@ -26,6 +28,8 @@ QUERIES = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_quality_random_indexing": op9_quality_random_indexing,
     "op10_bm25_decontamination": op10_bm25_decontamination,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_setsketch_dedup": op12_setsketch_dedup,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
@@ -33,5 +37,7 @@ QUERIES = {
 ORACLE_SQL: dict[str, str] = {
     "op4_perspective_rotation": chat.ORACLE_SQL,
     "op5_license_sentences": license_scan.oracle_sql(),
+    "op11_spelling_variants": spelling.ORACLE_SQL,
+    "op12_setsketch_dedup": setsketch.ORACLE_SQL,
     "op13_merkle_manifest": merkle.ORACLE_SQL,
 }
