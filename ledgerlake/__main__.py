@@ -17,7 +17,8 @@ import json
 import sys
 
 from ledgerlake.params import DEFAULT_SOURCE, RunParams
-from ledgerlake.plans.pipeline import CheckFailure, run_pipeline
+from ledgerlake.plans.pipeline import run_pipeline
+from ledgerlake.plans.runs import CheckFailure, RunActive
 from ledgerlake.session import get_session
 from ledgerlake.sources.driver_tables import banking_sources
 from ledgerlake.sources.readers import read_source
@@ -45,6 +46,10 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--buckets", type=int, default=0)
     ap.add_argument("--hot-key-share", type=float, default=None)
     ap.add_argument("--workers", type=int, default=8)
+    ap.add_argument("--retries", type=int, default=2, help="further attempts of a failed step")
+    ap.add_argument("--retry-delay", type=float, default=120.0, help="seconds before the first; doubled each time")
+    ap.add_argument("--lease-seconds", type=float, default=600.0,
+                    help="a killed run's hold on the output ends after this time")
     ap.add_argument("--no-checks", action="store_true")
     ap.add_argument("--report-only", action="store_true", help="failed assertions do not stop the run")
     ap.add_argument("--master", default=None, help="only for local runs; spark-submit sets it")
@@ -59,8 +64,9 @@ def main(argv: list[str] | None = None) -> int:
         result = run_pipeline(spark, _sources(spark, a.sources), a.out, params,
                               run_checks=not a.no_checks, fail_on_error=not a.report_only,
                               workers=a.workers, database=a.database, buckets=a.buckets,
-                              hot_key_share=a.hot_key_share)
-    except CheckFailure as e:
+                              hot_key_share=a.hot_key_share, retries=a.retries, retry_delay=a.retry_delay,
+                              lease_seconds=a.lease_seconds)
+    except (CheckFailure, RunActive) as e:
         print(json.dumps({"status": "failed", **run, "error": str(e)}))
         return 1
     summary = {}

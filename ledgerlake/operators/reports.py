@@ -331,3 +331,25 @@ BUILDERS = {
         t["fact_transactions"], t["dim_account"]),
     "signups_by_month": lambda t, p: signups_by_month(t["dim_customer"]),
 }
+
+#: Models that each report reads.
+INPUTS = {
+    "customer_kpis": ("dim_customer", "fact_account_balance", "fact_loans", "fact_transactions"),
+    "monthly_customer_growth": ("dim_customer",),
+    "yearly_account_openings_by_type": ("dim_account",),
+    "account_type_deposits": ("fact_account_balance", "dim_account"),
+    "account_opening_cohort_trend": ("fact_account_balance", "dim_account"),
+    "customer_balance_summary": ("dim_customer", "fact_account_balance"),
+    "customer_balance_kpis": ("fact_account_balance",),
+    "loan_monthly_trend": ("fact_loans",),
+    "interest_rate_by_credit_tier": ("fact_loans", "dim_customer"),
+    "loan_penetration_by_credit_tier": ("dim_customer", "fact_loans"),
+    "customer_credit_mix_monthly": ("dim_customer",),
+    "card_portfolio_summary": ("dim_card", "dim_account"),
+    "dim_card_enriched": ("dim_card", "dim_account", "dim_customer"),
+    "card_expiry_buckets": ("dim_card",),
+    "transaction_monthly_summary": ("fact_transactions",),
+    "top_merchants": ("fact_transactions", "dim_merchant"),
+    "avg_transaction_by_account_type": ("fact_transactions", "dim_account"),
+    "signups_by_month": ("dim_customer",),
+}

@@ -3,19 +3,32 @@
 Incremental tables are stored as one directory per batch, named by load time
 and run id (``<table>/batch=<load time>-<run id>/``).  Only the same run writes
 the same directory, so a retried batch replaces its own rows and never another
-run's; "existing" rows for a batch are all batches of other runs.
+run's; "existing" rows for a batch are all *finished* batches of other runs.  A
+batch is finished once its marker ``<table>/_finished/_<tag>`` exists, which is
+written last: what a killed run left half-written is never read.
+
+Full-refresh tables are published by a switch: every write goes to a version
+folder of its own, and one empty marker file whose name carries the version,
+``<table>/_published/_<number>.<version>``, makes it the current one.  Readers
+resolve the highest number, so they see the old or the new table, never a
+part.  The last ``KEEP`` versions stay for readers that are under way; older
+ones and folders of writes that never came to their marker are removed by the next write.
 """
 
 from __future__ import annotations
 
-import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.params import RunParams
+from ledgerlake.sources import files
+from ledgerlake.sources.files import exists  # noqa: F401  (part of this module's interface)
 
 LAYERS = ("bronze", "silver", "gold", "reporting")
+#: Published versions of a full-refresh table that stay.
+KEEP = 2
 
 
 def table_path(base: str, layer: str, name: str) -> str:
@@ -37,40 +50,88 @@ def _load_time(tag: str) -> str:
     return tag.split("-", 1)[0]
 
 
-def _file_system(spark: SparkSession, path: str):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+# ---- full refresh: version folders and a switch ---------------------------------
+
+def _versions(spark: SparkSession, path: str) -> list[tuple[int, str, str]]:
+    """(number, version, marker name) of the published versions, oldest first."""
+    out = []
+    for name in files.names(spark, f"{path}/_published"):
+        number, _, version = name[1:].partition(".")
+        out.append((int(number), version, name))
+    return sorted(out)
+
+
+def version_path(path: str, version: str) -> str:
+    return f"{path}/version={version}"
+
+
+def current_path(spark: SparkSession, path: str) -> str | None:
+    """Folder of the published version; None before the first."""
+    versions = _versions(spark, path)
+    return version_path(path, versions[-1][1]) if versions else None
+
+
+def switch(spark: SparkSession, path: str, version: str) -> None:
+    """Make a completely written version the current one."""
+    versions = _versions(spark, path)
+    number = versions[-1][0] + 1 if versions else 1
+    files.write_text(spark, f"{path}/_published/_{number:010d}.{version}", "", overwrite=False)
+
+
+def tidy(spark: SparkSession, path: str, keep: int = KEEP) -> None:
+    """Remove superseded versions (marker first) and folders that were never published."""
+    versions = _versions(spark, path)
+    for _, _, marker in versions[:-keep]:
+        files.delete(spark, f"{path}/_published/{marker}")
+    stay = {f"version={version}" for _, version, _ in versions[-keep:]}
+    for name in files.names(spark, path):
+        if name.startswith("version=") and name not in stay:
+            files.delete(spark, f"{path}/{name}")
 
 
 def write_full(df: DataFrame, path: str) -> None:
-    """Full refresh: the new rows are written beside the table and take its
-    place only when complete, so a failed job leaves the old table."""
-    spark = df.sparkSession
-    df.write.mode("overwrite").parquet(f"{path}__new")
-    new, fs = _file_system(spark, f"{path}__new")
-    old, _ = _file_system(spark, path)
-    fs.delete(old, True)
-    if not fs.rename(new, old):
-        raise RuntimeError(f"could not move {path}__new to {path}")
+    """Full refresh of a table with one writer at a time (see the module's text)."""
+    spark, version = df.sparkSession, uuid.uuid4().hex[:12]
+    df.write.parquet(version_path(path, version))
+    switch(spark, path, version)
+    tidy(spark, path)
+
+
+def read_full(spark: SparkSession, path: str) -> DataFrame:
+    """The published version of a full-refresh table."""
+    where = current_path(spark, path)
+    if where is None:
+        raise FileNotFoundError(f"nothing is published at {path}")
+    return spark.read.parquet(where)
+
+
+# ---- batches --------------------------------------------------------------------
+
+def finish_batch(spark: SparkSession, path: str, tag: str) -> None:
+    files.write_text(spark, f"{path}/_finished/_{tag}", "")
+
+
+def reopen_batch(spark: SparkSession, path: str, tag: str) -> None:
+    """Take a batch out of sight before its rows change."""
+    files.delete(spark, f"{path}/_finished/_{tag}")
 
 
 def write_batch(df: DataFrame, path: str, run: RunParams) -> None:
-    """Idempotent append: (re)write this run's own directory only."""
-    df.write.mode("overwrite").parquet(f"{path}/batch={batch_tag(run)}")
+    """Idempotent append: (re)write this run's own directory only, then mark it finished."""
+    spark, tag = df.sparkSession, batch_tag(run)
+    reopen_batch(spark, path, tag)
+    df.write.mode("overwrite").parquet(f"{path}/batch={tag}")
+    finish_batch(spark, path, tag)
 
 
-def batch_tags(spark: SparkSession, path: str, column: str = "batch") -> list[str]:
-    """Tags of the batches stored at ``path``, oldest first."""
-    p, fs = _file_system(spark, path)
-    if not fs.exists(p):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
-    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{column}="))
+def batch_tags(spark: SparkSession, path: str) -> list[str]:
+    """Tags of the finished batches stored at ``path``, oldest first."""
+    return [name[1:] for name in files.names(spark, f"{path}/_finished")]
 
 
 def read_batches(spark: SparkSession, path: str, other_than: RunParams | None = None,
                  schema=None) -> DataFrame | None:
-    """Union of stored batches (optionally only those of other runs).
+    """Union of finished batches (optionally only those of other runs).
     Returns None when nothing is stored yet (first run)."""
     tags = batch_tags(spark, path)
     if other_than is not None:
@@ -81,17 +142,6 @@ def read_batches(spark: SparkSession, path: str, other_than: RunParams | None =
     return reader.parquet(*[f"{path.rstrip('/')}/batch={t}" for t in tags])
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    p, fs = _file_system(spark, path)
-    return fs.exists(p)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    p, fs = _file_system(spark, path)
-    if fs.exists(p):
-        fs.delete(p, True)
-
-
 class TableStore:
     """Where a pipeline run keeps its models.
 
@@ -103,7 +153,9 @@ class TableStore:
       windows on the hash key between hubs, links and satellites, and the
       incremental anti-joins against stored rows, need no exchange on the
       stored side.  A batch first drops its own partition (left by a failed
-      earlier attempt) and then appends, so a retry replaces exactly it.
+      earlier attempt) and then appends, so a retry replaces exactly it;
+      readers take the partitions of finished batches only.  A full-refresh
+      table's location is moved to its new version once that is published.
     """
 
     def __init__(self, spark: SparkSession, base: str, database: str | None = None,
@@ -133,17 +185,49 @@ class TableStore:
         path = table_path(self.base, layer, name)
         if not self.database:
             write_full(df, path)
-            return self.spark.read.parquet(path)
-        w = df.write.format("parquet").option("path", path).mode("overwrite")
+            return read_full(self.spark, path)
+        version = uuid.uuid4().hex[:12]
+        where = version_path(path, version)
         if key:
-            w = w.bucketBy(self.buckets, key).sortBy(key)
-        w.saveAsTable(self._fq(layer, name))
-        return self.spark.table(self._fq(layer, name))
+            # bucketed files come from a table write; its entry goes again, the (external) files stay
+            staged = f"{self._fq(layer, name)}__{version}"
+            (df.write.format("parquet").option("path", where).bucketBy(self.buckets, key).sortBy(key)
+             .saveAsTable(staged))
+            self.spark.sql(f"DROP TABLE {staged}")
+        else:
+            df.write.parquet(where)
+        switch(self.spark, path, version)
+        table = self.published(layer, name, key)
+        tidy(self.spark, path)
+        return table
+
+    def published(self, layer: str, name: str, key: str | None = None) -> DataFrame:
+        """The current version of a full-refresh table; in catalog mode its entry is first
+        brought to that version, should a run have stopped between the two."""
+        path = table_path(self.base, layer, name)
+        if not self.database:
+            return read_full(self.spark, path)
+        where, table = current_path(self.spark, path), self._fq(layer, name)
+        if where is None:
+            raise FileNotFoundError(f"nothing is published at {path}")
+        schema = self.spark.read.parquet(where).schema
+        if self._exists(layer, name) and self.spark.table(table).schema == schema:
+            self.spark.sql(f"ALTER TABLE {table} SET LOCATION '{where}'")
+            self.spark.catalog.refreshTable(table)
+        else:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+            self.spark.sql(f"CREATE TABLE {table} ({_columns(schema)}) USING parquet {self._clustered(key)} "
+                           f"LOCATION '{where}'")
+        return self.spark.table(table)
+
+    def location(self, model: str) -> str:
+        """Folder to read a model from: the published version, or the table's folder of batches."""
+        path = self.table_path(model)
+        return current_path(self.spark, path) or path
 
     def tags(self, layer: str, name: str) -> list[str]:
-        """Tags of the stored batches, oldest first (one entry per batch)."""
-        return batch_tags(self.spark, table_path(self.base, layer, name),
-                          "_batch" if self.database else "batch")
+        """Tags of the finished batches, oldest first (one entry per batch)."""
+        return batch_tags(self.spark, table_path(self.base, layer, name))
 
     def check_newer(self, name: str, run: RunParams) -> None:
         """Refuse a batch that another run's stored batch of a silver table is
@@ -155,51 +239,56 @@ class TableStore:
 
     def existing(self, layer: str, name: str, run: RunParams,
                  key: str | None = None) -> DataFrame | None:
-        """Rows stored by all other runs (None on the first run)."""
+        """Rows of the finished batches of all other runs (None on the first run)."""
+        return self._finished(layer, name, [t for t in self.tags(layer, name) if t != batch_tag(run)], key)
+
+    def stored(self, layer: str, name: str, key: str | None = None) -> DataFrame | None:
+        """Rows of all finished batches."""
+        return self._finished(layer, name, self.tags(layer, name), key)
+
+    def _finished(self, layer: str, name: str, tags: list[str], key: str | None) -> DataFrame | None:
+        if not tags:
+            return None
         path = table_path(self.base, layer, name)
         if not self.database:
-            return read_batches(self.spark, path, other_than=run)
+            return self.spark.read.parquet(*[f"{path}/batch={t}" for t in tags])
         if not self._exists(layer, name):
-            if not exists(self.spark, path):
-                return None
             self._attach(layer, name, path, key)
-        return (self.spark.table(self._fq(layer, name))
-                .filter(F.col("_batch") != batch_tag(run)).drop("_batch"))
+        return self.spark.table(self._fq(layer, name)).filter(F.col("_batch").isin(tags)).drop("_batch")
 
     def append_batch(self, df: DataFrame, layer: str, name: str, run: RunParams,
                      key: str | None = None) -> DataFrame:
-        path = table_path(self.base, layer, name)
+        path, tag = table_path(self.base, layer, name), batch_tag(run)
         if not self.database:
             write_batch(df, path, run)
             return read_batches(self.spark, path)
+        reopen_batch(self.spark, path, tag)
         if key:
             # rows meet their bucket before the write: one file per bucket, not one per task and bucket
             df = df.repartition(self.buckets, key)
-        tagged = df.withColumn("_batch", F.lit(batch_tag(run)))
-        if not self._exists(layer, name) and exists(self.spark, path):
-            self._attach(layer, name, path, key)
-        if self._exists(layer, name):
-            # a retried batch first removes what its earlier attempt stored, then
-            # appends (an overwrite may not read its own target; the loaders read
-            # the other batches of this table)
-            self.drop_batch(layer, name, batch_tag(run))
-            cols = [f.name for f in self.spark.table(self._fq(layer, name)).schema.fields]
-            tagged.select(*cols).write.insertInto(self._fq(layer, name), overwrite=False)
-        else:
-            w = (tagged.write.format("parquet").option("path", path).mode("errorifexists")
-                 .partitionBy("_batch"))
-            if key:
-                w = w.bucketBy(self.buckets, key).sortBy(key)
-            w.saveAsTable(self._fq(layer, name))
-        return self.spark.table(self._fq(layer, name)).drop("_batch")
+        tagged = df.withColumn("_batch", F.lit(tag))
+        table = self._fq(layer, name)
+        if not self._exists(layer, name):
+            if self.tags(layer, name):
+                self._attach(layer, name, path, key)
+            else:
+                self._create(layer, name, path, key, tagged.schema)
+        # a retried batch first removes what its earlier attempt stored, then
+        # appends (an overwrite may not read its own target; the loaders read
+        # the other batches of this table)
+        self.drop_batch(layer, name, tag)
+        tagged.select(*self.spark.table(table).columns).write.insertInto(table, overwrite=False)
+        finish_batch(self.spark, path, tag)
+        return self.stored(layer, name, key)
 
     def drop_batch(self, layer: str, name: str, tag: str) -> None:
         path = table_path(self.base, layer, name)
+        reopen_batch(self.spark, path, tag)
         if self.database:
             self.spark.sql(f"ALTER TABLE {self._fq(layer, name)} DROP IF EXISTS PARTITION (_batch='{tag}')")
-            _delete(self.spark, f"{path}/_batch={tag}")
+            files.delete(self.spark, f"{path}/_batch={tag}")
         else:
-            _delete(self.spark, f"{path}/batch={tag}")
+            files.delete(self.spark, f"{path}/batch={tag}")
 
     def batch(self, layer: str, name: str, tag: str, key: str | None = None) -> DataFrame:
         """The rows of one stored batch (one folder / one pruned partition)."""
@@ -214,9 +303,16 @@ class TableStore:
         """Register batches already stored at ``path`` (a catalog that forgot
         the table) instead of overwriting them.  The schema comes from the
         stored files; the bucket spec from the caller."""
-        schema = self.spark.read.parquet(path).schema
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        clustered = f"CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {self.buckets} BUCKETS" if key else ""
-        self.spark.sql(f"CREATE TABLE {self._fq(layer, name)} ({cols}) USING parquet PARTITIONED BY (_batch) "
-                       f"{clustered} LOCATION '{path}'")
+        self._create(layer, name, path, key, self.spark.read.parquet(path).schema)
         self.spark.sql(f"ALTER TABLE {self._fq(layer, name)} RECOVER PARTITIONS")
+
+    def _create(self, layer: str, name: str, path: str, key: str | None, schema) -> None:
+        self.spark.sql(f"CREATE TABLE {self._fq(layer, name)} ({_columns(schema)}) USING parquet PARTITIONED BY (_batch) "
+                       f"{self._clustered(key)} LOCATION '{path}'")
+
+    def _clustered(self, key: str | None) -> str:
+        return f"CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {self.buckets} BUCKETS" if key else ""
+
+
+def _columns(schema) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)

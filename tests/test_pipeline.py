@@ -230,7 +230,7 @@ def test_stream_and_pipeline_share_one_store(spark, scratch):
         assert len([d for d in os.listdir(snap) if "batch=" in d]) == 2        # superseded snapshots go
 
 
-def test_bronze_assertions_stop_before_silver(spark, scratch):
+def test_bronze_assertions_stop_what_reads_the_table(spark, scratch):
     from ledgerlake.plans.pipeline import CheckFailure
 
     out = os.path.join(scratch, "gate")
@@ -239,7 +239,11 @@ def test_bronze_assertions_stop_before_silver(spark, scratch):
     with pytest.raises(CheckFailure, match="unique__bronze_accounts__account_id"):
         run_pipeline(spark, {**src, "accounts": twice}, out, DRIVER_RUN)
     assert os.path.exists(os.path.join(out, "bronze", "accounts"))
-    assert not os.path.exists(os.path.join(out, "silver"))
+    for name in ("hub_account", "sat_account", "link_customer_account", "quarantine"):
+        assert not os.path.exists(os.path.join(out, "silver", name))
+    assert os.path.exists(os.path.join(out, "silver", "hub_customer"))
+    for name in ("dim_account", "fact_account_balance"):
+        assert not os.path.exists(os.path.join(out, "gold", name))
 
 
 def test_bucketed_batches_write_one_file_per_bucket(spark, scratch):
