@@ -13,18 +13,19 @@ representatives (smallest doc_id).
   intersection, and later leaders only meet members that are still in another
   component.  No link between components is lost, and a list of copies costs
   its length, not its square.
-* The links themselves (``links=True``) are all pairs of representatives that
-  reach the similarity: light pairs from shared subsets, heavy pairs from a join
-  of the lists, each taken once and verified.  Their
-  number can grow with the square of a group of near copies; the components,
-  and the stage, do without them.
+* The links themselves (``links=True``) are counted, not listed, as their
+  number grows with the square of a group of near copies: linked sets are in one
+  component, so a component is cut into blocks of about ``BLOCK`` sets by size,
+  and for each pair of blocks whose sizes can reach the similarity one matrix
+  product gives all exact intersections.  The components, and the stage,
+  do without them.
 * ``x`` is the size with the lowest total cost (``boundary``).
 
 Defined results: null and empty texts have no shingles and link with nothing;
-fewer words than five make one shingle; rows that share a doc_id are one
-document (the version with the smallest set digest counts); a null doc_id
-counts as smaller than all ids; extra columns are ignored; an empty table
-gives no rows.
+fewer words than five make one shingle; rows that share a doc_id stay rows of
+their own, linked by their own texts; a null doc_id counts as smaller than all
+ids; the stage keeps one row of each group, of the smallest doc_id (ties: the
+smallest text hash); extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import Memo, possibly_in, scratch, table, text_of
+from ledgerlake.llm.common import Memo, discard, possibly_in, scratch, slices, table, text_of
 from ledgerlake.llm.components import components
 
 WORDS = 5
@@ -50,8 +51,10 @@ COUNTERS = 1 << 16
 HOT = 4.0
 #: Largest boundary considered; a heavy row counts as this many light rows (list scan, verification).
 MAX_LIGHT, HEAVY_ROW_COST = 10, 5
-#: Leaders of each list up to the second round, and the growth of that number from round to round.
+#: Expected leaders of each list in the second round, and the growth of that number from round to round.
 LEADERS, GROWTH = 64, 16
+#: Weight of a block of sets whose links are counted at a time; a set weighs one, and one more per ``HEAVY`` shingles.
+BLOCK, HEAVY = 256, 2000
 NO_ID = -(2**63)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -145,8 +148,7 @@ def _scan(docs: DataFrame) -> DataFrame:
         counts = np.zeros(COUNTERS, np.int64)
         for batch in batches:
             memo.trim()
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for part in slices(batch, 1, rows=512):
                 sets = [shingle_hashes(t, memo) for t in part.column(1).to_pylist()]
                 digests = [xxhash.xxh3_128_intdigest(s.tobytes()) for s in sets]
                 counts += np.bincount((np.concatenate(sets) >> np.uint64(48)).astype(np.int64), minlength=COUNTERS)
@@ -188,8 +190,7 @@ def _signatures(docs: DataFrame, counts: np.ndarray, x: int) -> DataFrame:
         freq = shared.value
         for batch in batches:
             memo.trim()
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for part in slices(batch, 1, rows=512):
                 tokens, nodes, sizes, pos, kinds, light = [], [], [], [], [], []
                 for node, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                     s = shingle_hashes(text, memo)
@@ -230,38 +231,6 @@ def _light_links(rows: DataFrame) -> DataFrame:
             .where("v is not null and u <> v").distinct())
 
 
-#: Sub-lists on either side into which a hot list is dealt for the exact links.
-SALT = 16
-
-
-def _all_light_links(rows: DataFrame) -> DataFrame:
-    """Every pair (u < v) of sets that share a subset."""
-    rows = rows.withColumn("side", F.when(F.col("n") == F.floor(F.col("pos") / 1000), 0).otherwise(1))
-    same = F.col("a.pos") % 1000 == F.floor(F.col("a.pos") / 1000)
-    a, b = rows.alias("a"), rows.alias("b")
-    return (a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.pos") == F.col("b.pos"))
-                   & (F.col("a.node") < F.col("b.node")) & (same | (F.col("a.side") != F.col("b.side"))))
-            .select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct())
-
-
-def _all_pairs(lists: DataFrame, hot: DataFrame, bits: DataFrame) -> DataFrame:
-    """Pairs (u < v) of list members that may link; hot lists meet in SALT x SALT parts."""
-    rows = lists.select("token", "node", "pos").join(bits, "node").join(hot, "token", "left")
-    part = F.pmod(F.xxhash64("node"), F.lit(SALT)).cast("int")
-    parts = F.array(*[F.lit(k) for k in range(SALT)])
-    nowhere = F.array(F.lit(0))
-    is_hot = F.col("hot").isNotNull()
-    a = rows.withColumn("pa", F.when(is_hot, part).otherwise(0)).withColumn(
-        "pb", F.explode(F.when(is_hot, parts).otherwise(nowhere))).alias("a")
-    b = rows.withColumn("pb", F.when(is_hot, part).otherwise(0)).withColumn(
-        "pa", F.explode(F.when(is_hot, parts).otherwise(nowhere))).alias("b")
-    return (a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.pa") == F.col("b.pa"))
-                   & (F.col("a.pb") == F.col("b.pb")) & (F.col("a.node") < F.col("b.node"))
-                   & _possible(F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos"))
-                   & may_link(F.col("a.n"), F.col("a.bits"), F.col("b.n"), F.col("b.bits")))
-            .select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct())
-
-
 def _lists(rows: DataFrame) -> DataFrame:
     """Inverted lists of two or more members, with each list's leader (earliest position, then id)."""
     leader = F.min(F.struct("pos", "node", "n"))
@@ -290,8 +259,7 @@ def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             memo.trim()
-            for at in range(0, batch.num_rows, 256):
-                some = batch.slice(at, 256)
+            for some in slices(batch, 1, rows=256):
                 yield pa.RecordBatch.from_arrays(
                     [some.column(0), pa.array([shingle_hashes(t, memo).tobytes()
                                                for t in some.column(1).to_pylist()], pa.binary())], schema=schema)
@@ -308,8 +276,8 @@ def _screen(bits: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def _verify(spark: SparkSession, docs: DataFrame, pairs: DataFrame, label: str) -> DataFrame:
     """The pairs (u, v) whose sets reach the similarity."""
-    nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    sets = scratch(spark, _sets_of(docs, scratch(spark, nodes, f"{label}-nodes")), f"{label}-sets")
+    nodes = scratch(spark, pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), f"{label}-nodes")
+    sets = scratch(spark, _sets_of(docs, nodes), f"{label}-sets")
     with_v = pairs.join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("sv")), "v")
     both = with_v.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("su")), "u")
 
@@ -324,46 +292,32 @@ def _verify(spark: SparkSession, docs: DataFrame, pairs: DataFrame, label: str)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(keep, pa.bool_())),
                                               batch.column(1).filter(pa.array(keep, pa.bool_()))], schema=schema)
 
-    return scratch(spark, _arrow(both.select("u", "v", "su", "sv"), run, "u long, v long"), f"{label}-links")
-
-
-def one_version(spark: SparkSession, docs: DataFrame, scanned: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Where rows with different sets share an id, only the smallest digest's row counts."""
-    versions = scanned.groupBy("node").agg(F.min(F.struct("d1", "d2", "n")).alias("m"), F.count("*").alias("c"))
-    many = scratch(spark, versions.where("c > 1").select("node"), "ngram-versions")
-    rows = versions.select("node", "m.*")
-    if many.isEmpty():
-        return docs, rows
-    memo = Memo(_word_hash)
+    links = scratch(spark, _arrow(both.select("u", "v", "su", "sv"), run, "u long, v long"), f"{label}-links")
+    discard(nodes)
+    discard(sets)
+    return links
 
-    def key(batches):
-        schema = pa.schema([("node", pa.int64()), ("text", pa.string()), ("d1", pa.int64()), ("d2", pa.int64())])
-        for batch in batches:
-            d = [xxhash.xxh3_128_intdigest(shingle_hashes(t, memo).tobytes()) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1).cast(pa.string()),
-                 pa.array([(x >> 64) - (1 << 63) for x in d], pa.int64()),
-                 pa.array([(x & ((1 << 64) - 1)) - (1 << 63) for x in d], pa.int64())], schema=schema)
 
-    doubled = _arrow(docs.join(many, "node", "left_semi"), key, "node long, text string, d1 long, d2 long")
-    chosen = (doubled.join(rows.select("node", "d1", "d2"), ["node", "d1", "d2"], "left_semi")
-              .groupBy("node").agg(F.min("text").alias("text")))
-    return docs.join(many, "node", "left_anti").unionAll(chosen.select("node", "text")), rows
+def keyed(documents: DataFrame) -> DataFrame:
+    """The documents with a number per row; written, so the numbers stay what they are."""
+    return scratch(documents.sparkSession, documents.withColumn("row__", F.monotonically_increasing_id()), "ngram-docs")
 
 
-def near_groups(documents: DataFrame, links: bool = False) -> DataFrame:
-    """node (doc_id; ``NO_ID`` for null), n_shingles, class_id (smallest id with an equal set), component_id.
+def near_groups(rows_of: DataFrame, links: bool = False) -> DataFrame:
+    """node, doc, n_shingles, class_id, component_id (nodes) of every row of ``rows_of`` (node, doc, text).
 
-    With ``links`` also n_links: to how many other classes the document's class is linked.
+    A class is the rows with one set, a component what links reach; either is
+    named by its smallest node.  With ``links`` also n_links: to how many other
+    classes the row's class is linked.
     """
-    spark = documents.sparkSession
-    docs = documents.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("node"), text_of().alias("text"))
+    spark = rows_of.sparkSession
+    docs = rows_of.select("node", "text")
     scanned = scratch(spark, _scan(docs), "ngram-scan")
     totals = scanned.where("not row").groupBy("node").agg(F.sum("n").alias("n")).collect()   # COUNTERS rows at most
     counts = np.zeros(COUNTERS, np.int64)
     for r in totals:
         counts[r.node] = r.n
-    docs, rows = one_version(spark, docs, scanned.where("row").select("node", "n", "d1", "d2"))
+    rows = scanned.where("row").select("node", "n", "d1", "d2")
     classes = rows.where("n > 0").groupBy("d1", "d2").agg(F.min("node").alias("class_id"), F.min("n").alias("n"))
     classes = scratch(spark, classes, "ngram-classes")
     small = classes.where(F.col("n") <= 2 * MAX_LIGHT).groupBy("n").count().collect()
@@ -371,72 +325,166 @@ def near_groups(documents: DataFrame, links: bool = False) -> DataFrame:
     member = rows.join(classes.select("d1", "d2", "class_id"), ["d1", "d2"], "left")
     member = scratch(spark, member.select("node", "n", F.when(F.col("n") > 0, F.col("class_id"))
                                           .otherwise(F.col("node")).alias("class_id")), "ngram-members")
-    copies = scratch(spark, member.where("node <> class_id").select("node").distinct(), "ngram-copies")
+    copies = scratch(spark, member.where("node <> class_id").select("node"), "ngram-copies")
     heads = possibly_in(docs, copies, "node", absent=True).unionAll(
         possibly_in(docs, copies, "node").join(copies, "node", "left_anti"))
 
     signatures = scratch(spark, _signatures(heads, counts, x), "ngram-signatures")
     light = _light_links(signatures.where("kind = 1")) if x else None
     lists = scratch(spark, _lists(signatures), "ngram-lists")
-    bits = scanned.where("row").select("node", "n", "bits").dropDuplicates(["node", "bits"])
+    bits = scanned.where("row").select("node", "n", "bits")
     pairs = (lists.where(F.col("node") != F.col("leader.node"))
              .where(_possible(F.col("n"), F.col("pos"), F.col("leader.n"), F.col("leader.pos")))
              .select(F.col("leader.node").alias("u"), F.col("node").alias("v")).distinct())
     verified = _verify(spark, docs, scratch(spark, _screen(bits, pairs), "ngram-pairs"), "ngram-1")
     first = scratch(spark, verified if light is None else verified.unionAll(light), "ngram-links")
-    done, high = 1, LEADERS                                  # the first leader has met every member
+    discard(signatures)
     parts = scratch(spark, components(spark, first), "ngram-parts")
-    while True:
-        placed = (lists.where(F.col("size") > done + 1).join(parts, "node", "left")
-                  .withColumn("part", F.coalesce("component", "node")))
-        open_lists = (placed.groupBy("token").agg(F.min("part").alias("p"), F.max("part").alias("q"))
-                      .where("p <> q").select("token"))
-        rank = F.row_number().over(Window.partitionBy("token").orderBy("pos", "node"))
-        ranked = scratch(spark, placed.join(open_lists, "token", "left_semi")
-                         .select("token", "node", "pos", "part", rank.alias("rank"))
-                         .join(bits, "node"), "ngram-open")
-        if ranked.isEmpty():
-            break
-        a, b = ranked.where(F.col("rank").between(done + 1, high)).alias("a"), ranked.alias("b")
-        pairs = (a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.rank") < F.col("b.rank"))
-                        & (F.col("a.part") != F.col("b.part"))
+    largest = lists.agg(F.max("size")).first()[0] or 0
+    done, high = 0, LEADERS
+    while done < largest and largest > 2:                    # lists of two are settled by their leader
+        # a member's turn: uniform below the list's size, so about as many leaders as turns
+        turn = F.floor((F.pmod(F.xxhash64("node"), F.lit(1 << 52)) / float(1 << 52)) * F.col("size"))
+        placed = (lists.where(F.col("size") > F.lit(max(done, 2))).select("token", "node", "pos", turn.alias("turn"))
+                  .join(parts, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component"))
+        several = (placed.groupBy("token").agg(F.min("part").alias("p"), F.max("part").alias("q"))
+                   .where("p <> q").select("token"))
+        opened = scratch(spark, placed.join(several, "token", "left_semi").join(bits, "node"), "ngram-open")
+        a, b = opened.where(F.col("turn").between(done, high - 1)).alias("a"), opened.alias("b")
+        later = F.struct(F.col("a.turn"), F.col("a.node")) < F.struct(F.col("b.turn"), F.col("b.node"))
+        pairs = (a.join(b, (F.col("a.token") == F.col("b.token")) & later & (F.col("a.part") != F.col("b.part"))
                         & _possible(F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos"))
                         & may_link(F.col("a.n"), F.col("a.bits"), F.col("b.n"), F.col("b.bits")))
                  .select(F.least("a.node", "b.node").alias("u"), F.greatest("a.node", "b.node").alias("v")).distinct())
-        found = _verify(spark, docs, scratch(spark, pairs, "ngram-pairs"), f"ngram-{high}")
+        pairs = scratch(spark, pairs, "ngram-pairs")
+        if not pairs.isEmpty():
+            found = _verify(spark, docs, pairs, f"ngram-{high}")
+            if not found.isEmpty():
+                stars = parts.where("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))
+                parts = scratch(spark, components(spark, stars.unionAll(found)), "ngram-parts")
+        discard(opened)
         done, high = high, high * GROWTH
-        if not found.isEmpty():
-            stars = parts.where("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))
-            parts = scratch(spark, components(spark, stars.unionAll(found)), "ngram-parts")
+    discard(lists)
     grouped = (member.join(parts.withColumnRenamed("node", "class_id"), "class_id", "left")
                .select("node", F.col("n").alias("n_shingles"), "class_id",
-                       F.coalesce("component", "class_id").alias("component_id")))
+                       F.coalesce("component", "class_id").alias("component_id"))
+               .join(rows_of.select("node", "doc"), "node"))
     if not links:
         return grouped
-    every = _exact_links(spark, docs, signatures, lists, bits, x)
-    degree = (every.select(F.explode(F.array("u", "v")).alias("class_id")).groupBy("class_id")
-              .agg(F.count("*").alias("n_links")))
-    return grouped.join(degree, "class_id", "left").select(
-        "node", "n_shingles", "class_id", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    heads_in = parts.join(classes.select(F.col("class_id").alias("node"), "n"), "node")
+    return (grouped.join(_degrees(spark, docs, heads_in).withColumnRenamed("node", "class_id"), "class_id", "left")
+            .withColumn("n_links", F.coalesce("n_links", F.lit(0))))
+
+
+def _degrees(spark: SparkSession, docs: DataFrame, heads: DataFrame) -> DataFrame:
+    """node, n_links of classes (node, component, n) of components with links."""
+    sizes = heads.groupBy("component").agg(F.count("*").alias("c"))
+    heads = scratch(spark, heads.join(sizes, "component"), "ngram-heads")
+    two = heads.where("c = 2").select("node", F.lit(1).cast("long").alias("n_links"))       # linked, or no component
+    many = heads.where("c > 2").select("component", "n", "node")
+    order = ["component", "n", "node"]
+    placed = scratch(spark, many.repartitionByRange(*order).sortWithinPartitions(*order)
+                     .withColumn("row", F.monotonically_increasing_id()), "ngram-placed")
+    placed = placed.withColumn("part", F.shiftright("row", 33)).withColumn("w", 1 + F.floor(F.col("n") / HEAVY))
+    before = Window.partitionBy("component").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (placed.groupBy("component", "part").agg(F.sum("w").alias("w_part"))           # a row per partition and component
+               .select("component", "part", F.coalesce(F.sum("w_part").over(before), F.lit(0)).alias("before")))
+    upto = Window.partitionBy("part", "component").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
+    placed = (placed.withColumn("inside", F.coalesce(F.sum("w").over(upto), F.lit(0)))
+              .join(offsets, ["component", "part"])
+              .select("component", "node", "n", F.floor((F.col("before") + F.col("inside")) / BLOCK).alias("block")))
+    placed = scratch(spark, placed, "ngram-blocks")
+    blocks = placed.groupBy("component", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    a, b = blocks.alias("a"), blocks.alias("b")
+    couples = (a.join(b, (F.col("a.component") == F.col("b.component")) & (F.col("a.block") <= F.col("b.block"))
+                      & (100 * F.col("a.high") >= PERCENT * F.col("b.low")))
+               .select("a.component", F.col("a.block").alias("i"), F.col("b.block").alias("j")))
+    sides = couples.select("component", "i", "j", F.col("i").alias("block"), F.lit(0).alias("side")).unionAll(
+        couples.where("i < j").select("component", "i", "j", F.col("j").alias("block"), F.lit(1).alias("side")))
+    wanted = scratch(spark, placed.select("node"), "ngram-many")
+    sets = scratch(spark, _sets_of(docs, wanted), "ngram-sets").join(placed, "node")
+    key = ["component", "i", "j"]
+    dealt = (sides.join(sets, ["component", "block"]).select(*key, "side", "node", "shingles")
+             .repartition(*key).sortWithinPartitions(*key, "side"))
+    schema = pa.schema([("node", pa.int64()), ("n_links", pa.int64())])
 
-
-def _exact_links(spark: SparkSession, docs: DataFrame, signatures: DataFrame, lists: DataFrame, bits: DataFrame,
-                 x: int) -> DataFrame:
-    """All linked pairs (u < v) of class representatives, each once."""
-    hot = signatures.where("kind = 2").select("token").distinct().withColumn("hot", F.lit(True))
-    pairs = scratch(spark, _all_pairs(lists, hot, bits), "ngram-all-pairs")
-    every = _verify(spark, docs, pairs, "ngram-all")
-    if x:
-        every = every.unionAll(_all_light_links(signatures.where("kind = 1")))
-    return scratch(spark, every.distinct(), "ngram-all-links")
+    def run(batches):
+        last, held = None, ([], [])
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in range(5)]
+            for c, i, j, side, node, s in zip(*columns, batch.column(5), strict=True):
+                if (c, i, j) != last:
+                    if last is not None:
+                        yield _counted(*held, schema)
+                    last, held = (c, i, j), ([], [])
+                held[side].append((node, np.frombuffer(s.as_py(), np.uint64)))
+        if last is not None:
+            yield _counted(*held, schema)
+
+    counted = _arrow(dealt, run, "node long, n_links long").groupBy("node").agg(F.sum("n_links").alias("n_links"))
+    return scratch(spark, counted.unionAll(two), "ngram-degrees")
+
+
+#: Columns of the matrices multiplied at a time.
+WIDE = 4096
+
+
+def shared_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of sets of ``a`` with sets of ``b``."""
+    both = np.intersect1d(np.concatenate(a), np.concatenate(b))
+
+    def places(sets):
+        at = [np.searchsorted(both, s) for s in sets]
+        at = [p[(p < len(both)) & (both[np.minimum(p, len(both) - 1)] == s)] for p, s in zip(at, sets, strict=True)]
+        return np.repeat(np.arange(len(sets)), [len(p) for p in at]), np.concatenate(at)
+
+    out = np.zeros((len(a), len(b)), np.float32)             # counts stay below 2^24 in each product's share
+    if len(both):
+        (ra, ca), (rb, cb) = places(a), places(b)
+        for at in range(0, len(both), WIDE):
+            wide = min(WIDE, len(both) - at)
+            x, y = np.zeros((len(a), wide), np.float32), np.zeros((len(b), wide), np.float32)
+            for m, r, c in ((x, ra, ca), (y, rb, cb)):
+                inside = (c >= at) & (c < at + wide)
+                m[r[inside], c[inside] - at] = 1
+            out += x @ y.T
+    return np.rint(out).astype(np.int64)
+
+
+def _counted(a: list, b: list, schema: pa.Schema) -> pa.RecordBatch:
+    """How many links each set of two blocks (or, without ``b``, of one) has between them."""
+    other = b or a
+    n_a, n_b = np.array([len(s) for _, s in a]), np.array([len(s) for _, s in other])
+    shared = shared_counts([s for _, s in a], [s for _, s in other])
+    linked = 100 * shared >= PERCENT * (n_a[:, None] + n_b[None, :] - shared)
+    nodes, found = [node for node, _ in a], linked.sum(axis=1)
+    if b:
+        nodes, found = nodes + [node for node, _ in b], np.concatenate([found, linked.sum(axis=0)])
+    else:
+        found = found - 1                                    # itself
+    return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(found, pa.int64())], schema=schema)
+
+
+def _nodes(numbered: DataFrame) -> DataFrame:
+    return numbered.select(F.col("row__").alias("node"), F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"),
+                           text_of().alias("text"))
 
 
 def labelled(documents: DataFrame) -> DataFrame:
-    """One row per document row: doc_id, n_shingles, class_id, component_id, n_links."""
-    groups = near_groups(documents, links=True)
-    ids = documents.select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("node"))
-    back = lambda c: F.when(F.col(c) != NO_ID, F.col(c)).alias(c)
-    return ids.join(groups, "node").select("doc_id", "n_shingles", back("class_id"), back("component_id"), "n_links")
+    """One row per document row: doc_id, n_shingles, class_id, component_id (smallest doc_id of either), n_links."""
+    groups = scratch(documents.sparkSession, near_groups(_nodes(keyed(documents.select("doc_id", "text"))), links=True),
+                     "ngram-groups")
+    back = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
+
+    def smallest(key: str, out: str) -> DataFrame:
+        return groups.where("n_shingles > 0").groupBy(key).agg(F.min("doc").alias(out))
+
+    named = groups.join(smallest("class_id", "class_doc"), "class_id", "left").join(
+        smallest("component_id", "component_doc"), "component_id", "left")
+    return (named.withColumn("class_doc", F.coalesce("class_doc", "doc"))
+            .withColumn("component_doc", F.coalesce("component_doc", "doc"))
+            .select(back("doc").alias("doc_id"), "n_shingles", back("class_doc").alias("class_id"),
+                    back("component_doc").alias("component_id"), "n_links"))
 
 
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -444,8 +492,14 @@ def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest id of each near-duplicate group; empty documents stay."""
-    groups = near_groups(docs)
-    gone = groups.where("node <> component_id").select("node")
-    keyed = docs.withColumn("node__", F.coalesce("doc_id", F.lit(NO_ID)))
-    return keyed.join(gone.withColumnRenamed("node", "node__"), "node__", "left_anti").select(*docs.columns)
+    """Keeps one row of each near-duplicate group, of the smallest id; empty documents stay."""
+    numbered = keyed(docs)
+    nodes = _nodes(numbered)
+    groups = scratch(spark, near_groups(nodes).where("n_shingles > 0").select("node", "component_id"), "ngram-groups")
+    place = F.struct("doc", "hash", "node")
+    ranked = groups.join(nodes.select("node", "doc", F.xxhash64("text").alias("hash")), "node")
+    first = ranked.groupBy("component_id").agg(F.min(place)["node"].alias("first"))
+    gone = groups.join(first, "component_id").where("node <> first").select(F.col("node").alias("row__"))
+    gone = scratch(spark, gone, "ngram-gone")
+    return possibly_in(numbered, gone, "row__", absent=True).unionAll(
+        possibly_in(numbered, gone, "row__").join(gone, "row__", "left_anti").select(numbered.columns)).select(*docs.columns)

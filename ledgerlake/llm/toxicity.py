@@ -24,11 +24,12 @@ import re
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import Memo, crc_mod, map_rows, scratch, table, text_of
+from ledgerlake.llm.common import Memo, crc_mod, scratch, slices, table, text_of
 from ledgerlake.llm.labelled import Adam, labelled_ids, log_loss, sigmoid
 
 TRAIN_ROWS = 6000
@@ -48,12 +49,17 @@ def subwords(word: str) -> list[int]:
     return [1 + xxhash.xxh32_intdigest(p) % (BUCKETS - 1) for p in parts]
 
 
+#: Texts above this many characters are split into words piece by piece.
+LONG_TEXT = 1_000_000
+_TOKEN = re.compile(r"\S+")
+
+
 class Lexicon:
     """White-space token -> indices of its words; word 0 is the pad."""
 
     def __init__(self):
         self.words: dict[str, int] = {}
-        self.buckets: list[list[int]] = [[0] * 7]
+        self.buckets: list[list[int]] = [[0] * 7]            # of the words that ``take`` has not taken yet
         self.tokens = Memo(self._token)
 
     def _token(self, token: str) -> tuple[int, ...]:
@@ -61,13 +67,23 @@ class Lexicon:
         for w in _WORD.findall(token.lower()):
             k = self.words.get(w)
             if k is None:
-                k = self.words[w] = len(self.buckets)
+                k = self.words[w] = len(self.words) + 1
                 self.buckets.append(subwords(w))
             out.append(k)
         return tuple(out)
 
     def sequence(self, text: str) -> np.ndarray:
-        return np.fromiter(chain.from_iterable(map(self.tokens.__getitem__, text.split())), np.int32)
+        tokens = text.split() if len(text) <= LONG_TEXT else (m.group() for m in _TOKEN.finditer(text))
+        return np.fromiter(chain.from_iterable(map(self.tokens.__getitem__, tokens)), np.int32)
+
+    def take(self) -> np.ndarray:
+        """Buckets of the words met since the last call, the pad first of all."""
+        new, self.buckets = np.array(self.buckets, np.int32).reshape(-1, 7), []
+        return new
+
+
+#: Words of one stretch of a sequence; longer texts are pooled stretch by stretch.
+STRETCH = 1 << 16
 
 
 def lay_out(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -79,6 +95,12 @@ def lay_out(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return flat, np.stack([start, start + sizes + 1], axis=1)
 
 
+def stretches(sequence: np.ndarray) -> list[tuple[np.ndarray, int]]:
+    """(words, window starts) of pieces that have all windows of the padded sequence between them."""
+    padded, starts = np.concatenate([sequence, np.zeros(3, np.int32)]), len(sequence) + 1
+    return [(padded[at:min(at + STRETCH, starts) + 2], min(STRETCH, starts - at)) for at in range(0, starts, STRETCH)]
+
+
 class TextCnn:
     def __init__(self, seed: int = 7):
         r = np.random.default_rng(seed)
@@ -113,8 +135,7 @@ class TextCnn:
     def logits(self, pooled: np.ndarray) -> np.ndarray:
         return np.maximum(pooled + self.bias, 0) @ self.out + self.shift
 
-    def train(self, lexicon: Lexicon, sequences: list[np.ndarray], y: np.ndarray) -> None:
-        buckets = np.array(lexicon.buckets)
+    def train(self, buckets: np.ndarray, sequences: list[np.ndarray], y: np.ndarray) -> None:
         params = [self.table, *self.kernels, self.bias, self.out, self.shift]
         adam, r = Adam(params, 0.01), np.random.default_rng(1)
         steps = -(-len(y) // BATCH)
@@ -154,8 +175,8 @@ class TextCnn:
         return [grad_table, *kernels, back.sum(0), active.T @ slope + 1e-4 * self.out,
                 np.array([slope.sum()], np.float32)]
 
-    def raw(self, lexicon: Lexicon, sequences: list[np.ndarray]) -> np.ndarray:
-        vectors = self.embed(np.array(lexicon.buckets))
+    def raw(self, buckets: np.ndarray, sequences: list[np.ndarray]) -> np.ndarray:
+        vectors = self.embed(buckets)
         vectors[0] = 0
         flat, spans = lay_out(sequences)
         return self.logits(self.pooled(self.project(vectors), flat, spans))
@@ -203,69 +224,108 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, allowed: Column) -> Text
         if r.n <= left:
             left -= r.n
             taken.append((r.doc_id,))
-    rows = (sample.join(F.broadcast(spark.createDataFrame(taken, "doc_id long")), "doc_id")
-            .select("doc_id", "text", "lang", "y").collect())        # at most TRAIN_CHARS characters
-    rows.sort(key=lambda r: xxhash.xxh32_intdigest(str(r.doc_id)))
-    lexicon = Lexicon()
-    sequences = [lexicon.sequence(r.text) for r in rows]
-    y = np.array([r.y for r in rows], np.float32)
+    chosen = (sample.join(F.broadcast(spark.createDataFrame(taken, "doc_id long")), "doc_id")
+              .select("doc_id", "text", "lang", "y"))                # at most TRAIN_CHARS characters
+    lexicon, rows = Lexicon(), []
+    for r in chosen.coalesce(8).toLocalIterator():                   # a text is let go once it is a sequence
+        rows.append((xxhash.xxh32_intdigest(str(r.doc_id)), r.doc_id, lexicon.sequence(r.text), r.y, r.lang or ""))
+    rows.sort(key=lambda r: r[:2])
+    sequences = [r[2] for r in rows]
+    y = np.array([r[3] for r in rows], np.float32)
     check = np.arange(len(rows)) % 5 == 0
-    model.train(lexicon, [s for s, c in zip(sequences, check, strict=True) if not c], y[~check])
-    z = np.concatenate([model.raw(lexicon, [sequences[k] for k in part])
+    buckets = lexicon.take()
+    model.train(buckets, [s for s, c in zip(sequences, check, strict=True) if not c], y[~check])
+    z = np.concatenate([model.raw(buckets, [sequences[k] for k in part])
                         for part in np.array_split(np.flatnonzero(check), max(1, check.sum() // 200))])
     share = {c: totals[c] / max(1, (y == c).sum()) for c in (0, 1)}
     w = np.array([share[int(v)] for v in y[check]])
-    model.calibrate(z, y[check], w, [r.lang or "" for r, c in zip(rows, check, strict=True) if c])
+    model.calibrate(z, y[check], w, [r[4] for r, c in zip(rows, check, strict=True) if c])
     return model
 
 
 class Scorer:
-    """One worker's lexicon with the responses of the words met so far."""
+    """One worker's lexicon with the responses of the words met so far (about 100 MB at most)."""
 
-    LIMIT = 300_000
+    LIMIT = 100_000
 
     def __init__(self, model: TextCnn):
         self.model = model
         self.reset()
 
     def reset(self) -> None:
-        self.lexicon, self.done = Lexicon(), 0
-        self.responses = [[np.zeros((0, FILTERS), np.float32) for _ in range(w)] for w in WIDTHS]
+        self.lexicon, self.count = Lexicon(), 0
+        self.responses = [[np.zeros((1024, FILTERS), np.float32) for _ in range(w)] for w in WIDTHS]
+
+    def _project(self) -> None:
+        """Responses of the new words; the arrays grow by doubling."""
+        vectors = self.model.embed(self.lexicon.take())
+        if not self.count:
+            vectors[0] = 0
+        upto = self.count + len(vectors)
+        for old, new in zip(self.responses, self.model.project(vectors), strict=True):
+            for j, part in enumerate(new):
+                if upto > len(old[j]):
+                    old[j] = np.concatenate([old[j], np.zeros((max(upto - len(old[j]), len(old[j])), FILTERS), np.float32)])
+                old[j][self.count:upto] = part
+        self.count = upto
 
     def scores(self, texts: list[str]) -> np.ndarray:
         if self.model.constant is not None:
             return np.full(len(texts), self.model.constant)
-        if len(self.lexicon.buckets) > self.LIMIT or len(self.lexicon.tokens) > 2 * self.LIMIT:
+        if self.count > self.LIMIT or len(self.lexicon.tokens) > 2 * self.LIMIT:
             self.reset()
-        sequences = [self.lexicon.sequence(t) for t in texts]
-        if self.done < len(self.lexicon.buckets):
-            vectors = self.model.embed(np.array(self.lexicon.buckets[self.done:]))
-            if not self.done:
-                vectors[0] = 0
-            new = self.model.project(vectors)
-            self.responses = [[np.concatenate([a, b]) for a, b in zip(o, n, strict=True)]
-                              for o, n in zip(self.responses, new, strict=True)]
-            self.done = len(self.lexicon.buckets)
-        flat, spans = lay_out(sequences)
-        z = self.model.logits(self.model.pooled(self.responses, flat, spans))
+        parts, owner = [], []
+        for k, text in enumerate(texts):
+            found = stretches(self.lexicon.sequence(text))
+            parts += found
+            owner += [k] * len(found)
+        if self.lexicon.buckets:
+            self._project()
+        pooled = np.full((len(texts), len(WIDTHS) * FILTERS), -np.inf, np.float32)
+        at = 0
+        while at < len(parts):                               # some STRETCH words at a time
+            to, size = at + 1, len(parts[at][0])
+            while to < len(parts) and size + len(parts[to][0]) <= STRETCH:
+                size += len(parts[to][0])
+                to += 1
+            np.maximum.at(pooled, owner[at:to], self._pooled(parts[at:to]))
+            at = to
+        z = self.model.logits(pooled)
         return sigmoid((self.model.a * z + self.model.b).astype(np.float64))
 
+    def _pooled(self, parts: list[tuple[np.ndarray, int]]) -> np.ndarray:
+        flat = np.concatenate([words for words, _ in parts])
+        start = np.concatenate([[0], np.cumsum([len(words) for words, _ in parts])[:-1]])
+        return self.model.pooled(self.responses, flat, np.stack([start, start + [n for _, n in parts]], axis=1))
+
 
 def score(docs: DataFrame, model: TextCnn) -> DataFrame:
     """doc_id, score, and the decision at the language's threshold, one row per row of ``docs``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)         # BUCKETS x DIM floats
     scorers: list[Scorer] = []
+    schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("threshold", pa.float64()),
+                        ("rejected", pa.bool_())])
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, 1, rows=256, size=SLICE):
+                s, cut = _scored(scorers, shared.value, part.column(1).to_pylist(), part.column(2).to_pylist())
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(s), pa.array(cut), pa.array(s >= cut)],
+                                                 schema=schema)
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"), "lang").mapInArrow(
+        run, "doc_id long, score double, threshold double, rejected boolean")
+
 
-    def run(cols: dict[str, list]) -> dict[str, list]:
-        if not scorers:
-            scorers.append(Scorer(shared.value))
-        model = shared.value
-        s = scorers[0].scores(cols["text"])
-        cut = [model.thresholds.get(x or "", model.thresholds[""]) for x in cols["lang"]]
-        return {"doc_id": cols["doc_id"], "score": s, "threshold": cut, "rejected": s >= np.array(cut)}
+#: Bytes of text that a task turns into Python objects at a time (a longer text comes alone).
+SLICE = 1_000_000
 
-    return map_rows(docs.select("doc_id", text_of().alias("text"), "lang"),
-                    run, "doc_id long, score double, threshold double, rejected boolean", rows=256)
+
+def _scored(scorers: list[Scorer], model: TextCnn, texts: list[str], languages: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    if not scorers:
+        scorers.append(Scorer(model))
+    cut = np.array([model.thresholds.get(x or "", model.thresholds[""]) for x in languages], np.float64)
+    return scorers[0].scores([t or "" for t in texts]).astype(np.float64), cut
 
 
 def held_out() -> Column:
@@ -286,15 +346,12 @@ def stage_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     model = fit(docs, table(spark, sf_dir, "labels"), "toxic", ~held_out())
     shared = spark.sparkContext.broadcast(model)
     scorers: list[Scorer] = []
-    names = docs.columns
-
-    def keep(cols: dict[str, list]) -> dict[str, list]:
-        if not scorers:
-            scorers.append(Scorer(shared.value))
-        model = shared.value
-        s = scorers[0].scores([t or "" for t in cols["text"]])
-        stay = [k for k, (p, lang) in enumerate(zip(s, cols["lang"], strict=True))
-                if p < model.thresholds.get(lang or "", model.thresholds[""])]
-        return {c: [cols[c][k] for k in stay] for c in names}
-
-    return map_rows(docs, keep, docs.schema, rows=256)
+    text, lang = docs.columns.index("text"), docs.columns.index("lang")
+
+    def keep(batches):
+        for batch in batches:
+            for part in slices(batch, text, rows=256, size=SLICE):
+                s, cut = _scored(scorers, shared.value, part.column(text).to_pylist(), part.column(lang).to_pylist())
+                yield part.filter(pa.array(s < cut))
+
+    return docs.mapInArrow(keep, docs.schema)

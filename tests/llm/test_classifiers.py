@@ -212,3 +212,21 @@ def test_stages_take_odd_rows(spark):
         if name != "byte_bpe":
             assert out.columns == docs.columns
             out.collect()
+
+
+def test_scorer_equals_direct_pooling_at_any_stretch(monkeypatch):
+    """Pooling stretch by stretch and word by word as they come gives what one pass over each whole text gives."""
+    r = np.random.default_rng(8)
+    texts = [" ".join(f"w{k}x," for k in r.integers(0, 400, n)) for n in (0, 1, 2, 3, 40, 700, 0, 90)]
+    model = toxicity.TextCnn(seed=3)
+    lexicon = toxicity.Lexicon()
+    sequences = [lexicon.sequence(t) for t in texts]
+    want = toxicity.sigmoid(model.raw(lexicon.take(), sequences).astype(np.float64))
+    for stretch, long in ((1 << 16, 1_000_000), (7, 10), (64, 100)):
+        monkeypatch.setattr(toxicity, "STRETCH", stretch)
+        monkeypatch.setattr(toxicity, "LONG_TEXT", long)
+        scorer = toxicity.Scorer(model)
+        got = np.concatenate([scorer.scores(texts[:3]), scorer.scores(texts[3:])])
+        assert np.abs(got - want).max() < 1e-5
+        scorer.LIMIT = 10                                    # the words met so far are let go
+        assert np.abs(scorer.scores(texts) - want).max() < 1e-5

@@ -266,6 +266,45 @@ def test_ngram_edges(spark):
     assert len({r.n_shingles for r in rows if r.doc_id == 9}) == 1
 
 
+def test_ngram_rows_of_one_id_keep_their_texts(spark):
+    """Different texts under one id are linked, kept and dropped by themselves."""
+    r = random.Random(31)
+    unique = [" ".join(f"{k}u{r.randrange(900)}" for _ in range(40)) for k in range(10)]
+    a = " ".join(f"a{k}" for k in range(50))
+    rows = [(1, a), *((k, t) for k in range(2, 10) for t in (a, unique[k])), (1, unique[0]), (None, unique[1]), (None, unique[1])]
+    docs = spark.createDataFrame([(d, t, "en") for d, t in rows], "doc_id long, text string, node string")
+    kept = sorted((x.doc_id or 0, x.text) for x in ngram_join.stage_ngram_jaccard(spark, docs, "").collect())
+    assert kept == sorted([(1, a), (1, unique[0]), (0, unique[1]), *((k, unique[k]) for k in range(2, 10))])
+    got = sorted((x.doc_id or 0, x.component_id or 0, x.n_shingles) for x in ngram_join.labelled(docs).collect())
+    assert got == sorted((d or 0, 1 if t == a else d or 0, len(t.split()) - 4) for d, t in rows)
+
+
+@pytest.mark.parametrize("block, heavy", [(256, 2000), (8, 2000), (16, 40)])
+def test_ngram_links_in_blocks(spark, monkeypatch, block, heavy):
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "HEAVY", heavy)
+    r = random.Random(33)
+    texts = []
+    for n in (30, 60, 200):
+        base = [f"w{r.randrange(5000)}" for _ in range(n)]
+        for _ in range(30):
+            words = base[:r.randrange(n - n // 5, n + 1)]
+            for _ in range(r.randrange(3)):
+                words[r.randrange(len(words))] = f"v{r.randrange(99)}"
+            texts.append(" ".join(words))
+    got = {x.doc_id: x.n_links for x in ngram_join.labelled(docs_of(spark, texts)).collect()}
+    assert got == brute_links(dict(enumerate(texts)))
+
+
+def test_shared_counts():
+    r = random.Random(34)
+    sets = [[sorted(r.sample(range(9000), r.randrange(1, 6000))) for _ in range(9)] for _ in range(2)]
+    import numpy as np
+    arrays = [[np.array(s, np.uint64) for s in side] for side in sets]
+    want = [[len(set(x) & set(y)) for y in sets[1]] for x in sets[0]]
+    assert ngram_join.shared_counts(*arrays).tolist() == want
+
+
 def test_light_and_heavy_boundary():
     assert ngram_join.boundary({1: 10_000}) >= 1 and ngram_join.boundary({500: 1000}) == 0
     assert list(ngram_join.partners(4)) == [3, 4, 5] and ngram_join.needed(4, 5) == 4
