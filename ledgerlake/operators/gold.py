@@ -18,6 +18,7 @@ from ledgerlake.functions.banking import credit_tier, date_key, month_start, ope
 from ledgerlake.functions.keys import surrogate_key
 from ledgerlake.operators.skew import salted_join
 from ledgerlake.plans.entities import ENTITIES
+from ledgerlake.session import ensure_checkpoint_dir
 
 CALENDAR_START = dt.date(2015, 1, 1)
 CALENDAR_END = dt.date(2030, 1, 1)
@@ -212,13 +213,47 @@ def join_current(fact: DataFrame, dim: DataFrame, hub_key: str, hot_share: float
 
 def join_point_in_time(fact: DataFrame, dim: DataFrame, hub_key: str, time_col: str,
                        dim_cols: list[str], hot_share: float | None = None) -> DataFrame:
-    """Fact -> the dimension version valid at the fact's time
-    (``start <= t < end``).  The equality on the hub key drives a shuffled
-    join, with ``hot_share`` a salted one; the range is a condition within each key."""
+    """Fact -> the dimension version valid at the fact's time (``start <= t < end``).
+
+    Versions and events are one stream, range-partitioned and sorted by key and
+    time, in which an event takes the last version before it; so an event never
+    meets all versions of its key, and a hot key's rows spread over many partitions.  Where a key
+    goes on in the next partition, that one starts with the last version
+    seen before it (one row per partition is carried).  Versions of a key must not overlap, as
+    in an SCD2 dimension.  With ``hot_share`` a join on the key alone, salted,
+    that pairs every version with the event.
+    """
     d = dim.select(hub_key, "effective_start_date", "effective_end_date", *dim_cols)
-    j = salted_join(fact, d, hub_key, hot_share) if hot_share else fact.join(d, hub_key)
-    return j.filter((F.col(time_col) >= F.col("effective_start_date"))
-                    & (F.col(time_col) < F.col("effective_end_date")))
+    if hot_share:
+        return salted_join(fact, d, hub_key, hot_share).filter(
+            (F.col(time_col) >= F.col("effective_start_date")) & (F.col(time_col) < F.col("effective_end_date")))
+    spark = fact.sparkSession
+    ensure_checkpoint_dir(spark)
+    version = F.struct("effective_start_date", "effective_end_date", *dim_cols)
+    rest = [c for c in fact.columns if c != hub_key]
+    event = F.struct(*rest) if rest else F.struct(F.lit(None).alias("_none"))
+    versions = d.select(F.col(hub_key).alias("_key"), F.col("effective_start_date").alias("_at"), F.lit(0).alias("_kind"),
+                        F.xxhash64("effective_end_date").alias("_tie"), version.alias("_version"))
+    events = fact.select(F.col(hub_key).alias("_key"), F.col(time_col).alias("_at"), F.lit(1).alias("_kind"),
+                         F.xxhash64(*rest).alias("_tie"), event.alias("_event"))
+    # a version that ends as it starts is never valid; without it starts are unique within a key
+    versions = versions.where("_version.effective_end_date > _version.effective_start_date")
+    stream = versions.unionByName(events, allowMissingColumns=True).where("_key is not null and _at is not null")
+    # boundaries come from samples, so what was placed is kept: the two uses below must agree
+    placed = (stream.repartitionByRange("_key", "_at", "_kind", "_tie").withColumn("_part", F.spark_partition_id())
+              .checkpoint(eager=True))
+    last = (placed.where("_kind = 0").groupBy("_part")
+            .agg(F.max_by(F.struct("_key", "_version"), F.struct("_key", "_at")).alias("_last")))
+    parts = placed.select("_part").distinct().join(last, "_part", "left")     # one row per partition
+    carried = parts.select("_part", F.last("_last", ignorenulls=True).over(
+        Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)).alias("_carried"))
+    before = Window.partitionBy("_part", "_key").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    met = (placed.withColumn("_version", F.last("_version", ignorenulls=True).over(before))
+           .where("_kind = 1").join(F.broadcast(carried), "_part", "left"))
+    found = F.coalesce(F.col("_version"),
+                       F.when(F.col("_carried._key") == F.col("_key"), F.col("_carried._version")))
+    return (met.withColumn("_version", found).where(F.col("_at") < F.col("_version.effective_end_date"))
+            .select(F.col("_key").alias(hub_key), *[F.col(f"_event.{c}").alias(c) for c in rest], "_version.*"))
 
 
 def join_calendar(fact: DataFrame, calendar: DataFrame) -> DataFrame:

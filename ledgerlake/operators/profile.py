@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.checks import Check, run_checks
-from ledgerlake.operators.ranking import exact_percentiles
+from ledgerlake.operators.ranking import value_quantiles
 from ledgerlake.operators.reports import pct
 
 # The tables, relations and columns the exploratory profile covers.
@@ -93,23 +93,29 @@ def value_counts(sources: dict[str, DataFrame]) -> DataFrame:
     return counts.orderBy("column_name", F.col("value_count").desc(), "value")
 
 
-def describe(df: DataFrame, value: Column, label: str, tiebreak: list[Column]) -> DataFrame:
+def describe(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """P5: count, mean, sample std, min, quartiles (exact, linear
-    interpolation), max of one numeric column."""
-    v = value.cast("double")
-    base = df.agg(F.count(value).alias("count"),
-                  F.try_divide(F.sum(value).cast("double"), F.count(value)).alias("mean"),
-                  F.round(F.stddev_samp(v), 6).alias("std"),
-                  F.min(v).alias("min"), F.max(v).alias("max"))
-    q = exact_percentiles(df, value, QUARTILES, tiebreak)
-    return base.crossJoin(F.broadcast(q)).select(
-        F.lit(label).alias("field"), F.col("count").cast("long").alias("count"), "mean", "std", "min",
-        F.col("p25").alias("p25"), F.col("p50").alias("p50"), F.col("p75").alias("p75"), "max")
+    interpolation), max of numeric columns of one table; one row per label.
+    One aggregate and one set of (value, count) pairs serve all columns."""
+    stats = []
+    for i, c in enumerate(columns.values()):
+        v = c.cast("double")
+        stats += [F.count(c).alias(f"_n{i}"), F.try_divide(F.sum(c).cast("double"), F.count(c)).alias(f"_mean{i}"),
+                  F.round(F.stddev_samp(v), 6).alias(f"_std{i}"), F.min(v).alias(f"_min{i}"), F.max(v).alias(f"_max{i}")]
+    rows = F.array(*[F.struct(F.lit(label).alias("label"), F.col(f"_n{i}").cast("long").alias("count"),
+                              *[F.col(f"_{x}{i}").alias(x) for x in ("mean", "std", "min", "max")])
+                     for i, label in enumerate(columns)])
+    base = df.agg(*stats).select(F.explode(rows).alias("_r")).select("_r.*")
+    q = value_quantiles(df, columns, QUARTILES)
+    return base.join(F.broadcast(q), "label", "left").select(            # a row per column
+        F.col("label").alias("field"), "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def numeric_describe(sources: dict[str, DataFrame]) -> DataFrame:
-    keys = dict(PROFILED_TABLES)
-    return _union([describe(sources[t], F.col(c), label, [F.col(keys[t])]) for label, t, c in NUMERIC])
+    tables: dict[str, dict[str, Column]] = {}
+    for label, t, c in NUMERIC:
+        tables.setdefault(t, {})[label] = F.col(c)
+    return _union([describe(sources[t], columns) for t, columns in tables.items()])
 
 
 def relationship_summary(sources: dict[str, DataFrame]) -> DataFrame:
@@ -138,7 +144,7 @@ def multiplicity(sources: dict[str, DataFrame]) -> DataFrame:
     parts = []
     for label, child, fk in MULTIPLICITY:
         sizes = sources[child].filter(F.col(fk).isNotNull()).groupBy(fk).agg(F.count(F.lit(1)).alias("_n"))
-        parts.append(describe(sizes, F.col("_n"), label, [F.col(fk)]))
+        parts.append(describe(sizes, {label: F.col("_n")}))
     return _union(parts)
 
 

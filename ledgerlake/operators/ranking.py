@@ -86,6 +86,62 @@ def global_rank(df: DataFrame, order: list[Column], out: str = "rank",
     return rows.join(first, cond, "inner").drop("_rn", *[f"_key{i}" for i in range(len(keys))])
 
 
+def value_quantiles(df: DataFrame, values: dict[str, Column], fractions: dict[str, float],
+                    num_partitions: int | None = None) -> DataFrame:
+    """Exact ``percentile_cont`` of several columns at once: one row per label of ``values``.
+
+    Equal values are combined map-side into (label, value, count); only these
+    distinct values are range-partitioned, sorted and kept (checkpointed), never the
+    rows.  Counts per partition (a row per partition and label) tell which
+    partitions hold the wanted positions, and only those cumulate their counts.
+    NULLs are ignored; a label without values has no row.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = _partitions(df, num_partitions)
+    pairs = F.array(*[F.struct(F.lit(label).alias("label"), v.cast("double").alias("value"))
+                      for label, v in values.items()])
+    counts = (df.select(F.explode(pairs).alias("_p")).select("_p.label", "_p.value").where("value is not null")
+              .groupBy("label", "value").agg(F.count(F.lit(1)).alias("n")))
+    placed = (counts.repartitionByRange(n, "label", "value").withColumn("part", F.spark_partition_id())
+              .checkpoint(eager=True))
+    sums = placed.groupBy("label", "part").agg(F.sum("n").alias("n"))
+    by_label = Window.partitionBy("label")
+    spans = sums.select(                                     # a row per partition and label
+        "label", "part", F.sum("n").over(by_label).alias("total"),
+        (F.sum("n").over(by_label.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("before"),
+        "n")
+    wanted = F.array(*[F.struct(F.lit(name).alias("name"), ((F.col("total") - 1) * F.lit(f)).alias("at"))
+                       for name, f in fractions.items()])
+    at = (spans.select("label", "part", "before", "n", F.explode(wanted).alias("w"))
+          .select("label", "part", "before", "n", "w.name", "w.at",
+                  F.explode(F.array_distinct(F.array(F.floor("w.at"), F.ceil("w.at")))).alias("place"))
+          .where((F.col("place") >= F.col("before")) & (F.col("place") < F.col("before") + F.col("n")))
+          .select("label", "part", "before", "name", "at", "place"))
+    inside = placed.join(F.broadcast(at.select("label", "part", "before").distinct()), ["label", "part"])
+    upto = Window.partitionBy("label", "part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    inside = inside.withColumn("upto", F.col("before") + F.sum("n").over(upto))
+    hit = (inside.join(F.broadcast(at.drop("before")), ["label", "part"])
+           .where((F.col("place") >= F.col("upto") - F.col("n")) & (F.col("place") < F.col("upto"))))
+    ends = hit.groupBy("label", "name").agg(
+        F.min("value").alias("low"), F.max("value").alias("high"), F.first("at").alias("at"))
+    share = F.col("at") - F.floor("at")
+    value = F.when(share == 0, F.col("low")).otherwise(F.col("low") + share * (F.col("high") - F.col("low")))
+    return ends.groupBy("label").agg(*[F.max(F.when(F.col("name") == name, value)).alias(name) for name in fractions])
+
+
+def approximate_quantiles(df: DataFrame, values: dict[str, Column], fractions: dict[str, float],
+                          accuracy: int) -> DataFrame:
+    """Like :func:`value_quantiles` from mergeable summaries of bounded size: a result is
+    a value whose rank is off by at most 1 / ``accuracy`` of the rows."""
+    places = list(fractions)
+    one = df.agg(*[F.percentile_approx(v.cast("double"), [fractions[f] for f in places], accuracy).alias(f"_{i}")
+                   for i, v in enumerate(values.values())])
+    rows = F.array(*[F.struct(F.lit(label).alias("label"), *[F.col(f"_{i}")[k].alias(f) for k, f in enumerate(places)])
+                     for i, label in enumerate(values)])
+    return one.select(F.explode(rows).alias("_r")).select("_r.*").where(F.col(places[0]).isNotNull())
+
+
 def exact_percentiles(df: DataFrame, value: Column, fractions: dict[str, float],
                       tiebreak: list[Column], num_partitions: int | None = None) -> DataFrame:
     """Exact ``percentile_cont`` for several fractions from one global numbering.

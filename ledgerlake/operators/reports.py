@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions.banking import (CARD_EXPIRY_BUCKETS, month_start, tier_sort_order,
                                           year_start)
-from ledgerlake.operators.ranking import exact_percentile, global_rank
+from ledgerlake.operators.ranking import approximate_quantiles, global_rank, value_quantiles
 from ledgerlake.params import RunParams
 
 
@@ -140,16 +140,20 @@ def customer_balance_summary(dim_customer: DataFrame, fab: DataFrame) -> DataFra
         "balance_rank")
 
 
-def customer_balance_kpis(fab: DataFrame, params: RunParams) -> DataFrame:
-    """Per-customer totals, then count / mean / exact median / total."""
+def customer_balance_kpis(fab: DataFrame, params: RunParams, accuracy: int | None = None) -> DataFrame:
+    """Per-customer totals, then count / mean / median / total.
+
+    The median is exact, from (value, count) pairs; with ``accuracy`` it comes
+    from a mergeable summary, its rank off by at most 1 / ``accuracy``.
+    """
     cb = fab.groupBy("customer_hub_key").agg(F.sum("balance_usd").alias("total_balance_usd"))
     kpis = cb.agg(
         F.count(F.lit(1)).alias("customers_with_balance_rows"),
         money_avg("total_balance_usd").alias("avg_balance_usd"),
         money_total("total_balance_usd").alias("total_balance_usd"))
-    med = exact_percentile(cb, F.col("total_balance_usd"), 0.5, [F.col("customer_hub_key")],
-                           out="_median")
-    return kpis.crossJoin(F.broadcast(med)).select(
+    values, middle = {"total": F.col("total_balance_usd")}, {"_median": 0.5}
+    med = (approximate_quantiles(cb, values, middle, accuracy) if accuracy else value_quantiles(cb, values, middle))
+    return kpis.join(F.broadcast(med), F.lit(True), "left").select(      # one row, or none without balances
         "customers_with_balance_rows", "avg_balance_usd",
         F.coalesce(F.col("_median"), F.lit(0.0)).alias("median_balance_usd"),
         "total_balance_usd", params.as_of_col.alias("snapshot_date"))

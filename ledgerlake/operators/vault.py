@@ -133,11 +133,37 @@ def current_hashes(previous: DataFrame | None, new_versions: DataFrame, hk: str)
             .select(hk, F.col("_l")["hash_diff"].alias("hash_diff"), F.col("_l")["load_dts"].alias("load_dts")))
 
 
+#: Hash slots of ``suspects``; what is broadcast has this many rows at most.
+SLOTS = 1 << 20
+
+
+def suspects(bronze_df: DataFrame, entity: Entity, params: RunParams) -> DataFrame:
+    """The bronze rows whose key shares a hash slot with the key of an invalid row.
+
+    All rows of a key with an invalid version are among them, so a hub or
+    satellite loaded from them holds exactly the rows of the whole one for
+    such keys.  The validity filter reaches the scan, and the dedupes behind it
+    shuffle few rows; should most slots be taken, they shuffle what they did anyway.
+    """
+    slot = F.xxhash64(F.upper(F.trim(F.col(entity.key).cast("string")))).bitwiseAND(F.lit(SLOTS - 1)).alias("_slot")
+    cleaned = bronze_df.select(F.col(entity.key), *[fn(F.col(name)).alias(name) for name, fn in entity.attrs])
+    bad = cleaned.filter(~entity.valid(F.col, params.load_ts_col)).select(slot).distinct()
+    return bronze_df.withColumn("_slot", slot).join(F.broadcast(bad), "_slot", "left_semi").drop("_slot")
+
+
+def quarantine_of_batch(bronze_tables: dict[str, DataFrame], params: RunParams) -> DataFrame:
+    """Quarantine of a first load straight from bronze (by source table)."""
+    few = {n: suspects(bronze_tables[e.source], e, params) for n, e in ENTITIES.items()}
+    return quarantine({n: load_sat(few[n], e, params) for n, e in ENTITIES.items()},
+                      {n: load_hub(few[n], e, params) for n, e in ENTITIES.items()})
+
+
 def quarantine(sats: dict[str, DataFrame], hubs: dict[str, DataFrame]) -> DataFrame:
     """Invalid satellite versions with their business key, all entities.
 
-    The validity filter runs before the hub join (and is pushed into the
-    scan of a stored satellite), so only rejected rows are shuffled.
+    The validity filter reaches the scan of a stored satellite, so of those
+    only rejected rows are shuffled; over lazily loaded ones it stays above the
+    dedupe (see ``quarantine_of_batch``).
     """
     parts = []
     for name, sat in sats.items():

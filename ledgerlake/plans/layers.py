@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.operators import gold
 from ledgerlake.operators.bronze import bronze
-from ledgerlake.operators.vault import load_hub, load_link, load_sat, quarantine
+from ledgerlake.operators.vault import load_hub, load_link, load_sat, quarantine_of_batch
 from ledgerlake.params import DRIVER_RUN, RunParams
 from ledgerlake.plans.entities import ENTITIES, LINKS
 from ledgerlake.sources.driver_tables import banking_sources
@@ -65,7 +65,7 @@ class Lakehouse:
 
     @cached_property
     def quarantine(self) -> DataFrame:
-        return quarantine({n: self.sat(n) for n in ENTITIES}, {n: self.hub(n) for n in ENTITIES})
+        return quarantine_of_batch({e.source: self.bronze(e.source) for e in ENTITIES.values()}, self.params)
 
     # -- gold -------------------------------------------------------------------
     @cached_property
