@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -94,6 +94,75 @@ def possibly_in(rows: DataFrame, ids: DataFrame, key: str, absent: bool = False)
     return rows.select("*", slot).join(slots, "slot__", "left_anti" if absent else "left_semi").drop("slot__")
 
 
+_LOCAL_BITS = 33                                             # monotonically_increasing_id: partition, then row
+
+
+def placed(spark: SparkSession, rows: DataFrame, keys: list[str], order: list[str], weight: Column, label: str) -> DataFrame:
+    """``rows`` with ``offset``, the sum of ``weight`` before the row among those of its ``keys``, by ``order`` (unique).
+
+    Rows are range-partitioned and sorted, so a key with a third of all rows is
+    spread over many partitions; a sum per partition and key is carried over.
+    """
+    sort = [*keys, *order]
+    rows = scratch(spark, rows.repartitionByRange(*sort).sortWithinPartitions(*sort)
+                   .withColumn("row__", F.monotonically_increasing_id()), label)
+    rows = rows.withColumn("part__", F.shiftright("row__", _LOCAL_BITS)).withColumn("weight__", weight.cast("long"))
+    before = Window.partitionBy(*keys).orderBy("part__").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (rows.groupBy(*keys, "part__").agg(F.sum("weight__").alias("sum__"))
+               .select(*keys, "part__", F.coalesce(F.sum("sum__").over(before), F.lit(0)).alias("before__")))
+    inside = Window.partitionBy("part__", *keys).orderBy("row__").rowsBetween(Window.unboundedPreceding, -1)
+    return (rows.withColumn("inside__", F.coalesce(F.sum("weight__").over(inside), F.lit(0)))
+            .join(offsets, [*keys, "part__"]).withColumn("offset", F.col("before__") + F.col("inside__"))
+            .drop("row__", "part__", "weight__", "inside__", "before__"))
+
+
+def grouped(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, pa.Table]]:
+    """(values of the first ``keys`` columns, rows) of each run of equal ones in a sorted stream of batches."""
+    last, held = None, []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = [batch.column(c).to_pylist() for c in range(keys)]
+        rows = list(zip(*values, strict=True))
+        at = 0
+        for k in range(1, len(rows) + 1):
+            if k == len(rows) or rows[k] != rows[at]:
+                if last is not None and rows[at] != last:
+                    yield last, pa.Table.from_batches(held)
+                    held = []
+                last = rows[at]
+                held.append(batch.slice(at, k - at))
+                at = k
+    if last is not None:
+        yield last, pa.Table.from_batches(held)
+
+
+#: Columns of the matrices multiplied at a time.
+WIDE = 4096
+
+
+def shared_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of sets (sorted distinct integers) of ``a`` with sets of ``b``, by matrix products."""
+    both = np.intersect1d(np.concatenate(a), np.concatenate(b))
+
+    def places(sets):
+        at = [np.searchsorted(both, s) for s in sets]
+        at = [p[(p < len(both)) & (both[np.minimum(p, len(both) - 1)] == s)] for p, s in zip(at, sets, strict=True)]
+        return np.repeat(np.arange(len(sets)), [len(p) for p in at]), np.concatenate(at)
+
+    out = np.zeros((len(a), len(b)), np.int64)
+    if len(both):
+        (ra, ca), (rb, cb) = places(a), places(b)
+        for at in range(0, len(both), WIDE):
+            wide = min(WIDE, len(both) - at)
+            x, y = np.zeros((len(a), wide), np.float32), np.zeros((len(b), wide), np.float32)
+            for m, r, c in ((x, ra, ca), (y, rb, cb)):
+                inside = (c >= at) & (c < at + wide)
+                m[r[inside], c[inside] - at] = 1
+            out += np.rint(x @ y.T).astype(np.int64)         # at most WIDE: exact
+    return out
+
+
 def crc_mod(k: int, col: str = "doc_id") -> Column:
     """``crc32`` of the id's decimal text, modulo ``k`` (fold assignment)."""
     return F.crc32(F.col(col).cast("string")) % F.lit(k)

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import Memo, discard, possibly_in, scratch, slices, table, text_of
+from ledgerlake.llm.common import Memo, discard, placed, possibly_in, scratch, shared_counts, slices, table, text_of
 from ledgerlake.llm.components import components
 
 WORDS = 5
@@ -345,11 +345,11 @@ def near_groups(rows_of: DataFrame, links: bool = False) -> DataFrame:
     while done < largest and largest > 2:                    # lists of two are settled by their leader
         # a member's turn: uniform below the list's size, so about as many leaders as turns
         turn = F.floor((F.pmod(F.xxhash64("node"), F.lit(1 << 52)) / float(1 << 52)) * F.col("size"))
-        placed = (lists.where(F.col("size") > F.lit(max(done, 2))).select("token", "node", "pos", turn.alias("turn"))
+        spots = (lists.where(F.col("size") > F.lit(max(done, 2))).select("token", "node", "pos", turn.alias("turn"))
                   .join(parts, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component"))
-        several = (placed.groupBy("token").agg(F.min("part").alias("p"), F.max("part").alias("q"))
+        several = (spots.groupBy("token").agg(F.min("part").alias("p"), F.max("part").alias("q"))
                    .where("p <> q").select("token"))
-        opened = scratch(spark, placed.join(several, "token", "left_semi").join(bits, "node"), "ngram-open")
+        opened = scratch(spark, spots.join(several, "token", "left_semi").join(bits, "node"), "ngram-open")
         a, b = opened.where(F.col("turn").between(done, high - 1)).alias("a"), opened.alias("b")
         later = F.struct(F.col("a.turn"), F.col("a.node")) < F.struct(F.col("b.turn"), F.col("b.node"))
         pairs = (a.join(b, (F.col("a.token") == F.col("b.token")) & later & (F.col("a.part") != F.col("b.part"))
@@ -382,27 +382,17 @@ def _degrees(spark: SparkSession, docs: DataFrame, heads: DataFrame) -> DataFram
     heads = scratch(spark, heads.join(sizes, "component"), "ngram-heads")
     two = heads.where("c = 2").select("node", F.lit(1).cast("long").alias("n_links"))       # linked, or no component
     many = heads.where("c > 2").select("component", "n", "node")
-    order = ["component", "n", "node"]
-    placed = scratch(spark, many.repartitionByRange(*order).sortWithinPartitions(*order)
-                     .withColumn("row", F.monotonically_increasing_id()), "ngram-placed")
-    placed = placed.withColumn("part", F.shiftright("row", 33)).withColumn("w", 1 + F.floor(F.col("n") / HEAVY))
-    before = Window.partitionBy("component").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (placed.groupBy("component", "part").agg(F.sum("w").alias("w_part"))           # a row per partition and component
-               .select("component", "part", F.coalesce(F.sum("w_part").over(before), F.lit(0)).alias("before")))
-    upto = Window.partitionBy("part", "component").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
-    placed = (placed.withColumn("inside", F.coalesce(F.sum("w").over(upto), F.lit(0)))
-              .join(offsets, ["component", "part"])
-              .select("component", "node", "n", F.floor((F.col("before") + F.col("inside")) / BLOCK).alias("block")))
-    placed = scratch(spark, placed, "ngram-blocks")
-    blocks = placed.groupBy("component", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    at = placed(spark, many, ["component"], ["n", "node"], 1 + F.floor(F.col("n") / HEAVY), "ngram-placed")
+    at = scratch(spark, at.select("component", "node", "n", F.floor(F.col("offset") / BLOCK).alias("block")), "ngram-blocks")
+    blocks = at.groupBy("component", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     a, b = blocks.alias("a"), blocks.alias("b")
     couples = (a.join(b, (F.col("a.component") == F.col("b.component")) & (F.col("a.block") <= F.col("b.block"))
                       & (100 * F.col("a.high") >= PERCENT * F.col("b.low")))
                .select("a.component", F.col("a.block").alias("i"), F.col("b.block").alias("j")))
     sides = couples.select("component", "i", "j", F.col("i").alias("block"), F.lit(0).alias("side")).unionAll(
         couples.where("i < j").select("component", "i", "j", F.col("j").alias("block"), F.lit(1).alias("side")))
-    wanted = scratch(spark, placed.select("node"), "ngram-many")
-    sets = scratch(spark, _sets_of(docs, wanted), "ngram-sets").join(placed, "node")
+    wanted = scratch(spark, at.select("node"), "ngram-many")
+    sets = scratch(spark, _sets_of(docs, wanted), "ngram-sets").join(at, "node")
     key = ["component", "i", "j"]
     dealt = (sides.join(sets, ["component", "block"]).select(*key, "side", "node", "shingles")
              .repartition(*key).sortWithinPartitions(*key, "side"))
@@ -425,32 +415,6 @@ def _degrees(spark: SparkSession, docs: DataFrame, heads: DataFrame) -> DataFram
     return scratch(spark, counted.unionAll(two), "ngram-degrees")
 
 
-#: Columns of the matrices multiplied at a time.
-WIDE = 4096
-
-
-def shared_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
-    """Sizes of all intersections of sets of ``a`` with sets of ``b``."""
-    both = np.intersect1d(np.concatenate(a), np.concatenate(b))
-
-    def places(sets):
-        at = [np.searchsorted(both, s) for s in sets]
-        at = [p[(p < len(both)) & (both[np.minimum(p, len(both) - 1)] == s)] for p, s in zip(at, sets, strict=True)]
-        return np.repeat(np.arange(len(sets)), [len(p) for p in at]), np.concatenate(at)
-
-    out = np.zeros((len(a), len(b)), np.float32)             # counts stay below 2^24 in each product's share
-    if len(both):
-        (ra, ca), (rb, cb) = places(a), places(b)
-        for at in range(0, len(both), WIDE):
-            wide = min(WIDE, len(both) - at)
-            x, y = np.zeros((len(a), wide), np.float32), np.zeros((len(b), wide), np.float32)
-            for m, r, c in ((x, ra, ca), (y, rb, cb)):
-                inside = (c >= at) & (c < at + wide)
-                m[r[inside], c[inside] - at] = 1
-            out += x @ y.T
-    return np.rint(out).astype(np.int64)
-
-
 def _counted(a: list, b: list, schema: pa.Schema) -> pa.RecordBatch:
     """How many links each set of two blocks (or, without ``b``, of one) has between them."""
     other = b or a

@@ -9,15 +9,18 @@ similarity.
 1. Rows with equal sets form one class, which has one sketch.
 2. Four neighbouring registers are a band.  Linked sets (similarity 0.85) share
    none of the ``REGISTERS`` / 4 bands once in about 2e10 pairs.
-3. First every class is compared with the smallest class of its bands only;
-   then, where a band still holds several components, with all
-   other members of another component, some ``LEADERS`` of a band at a time until all had
-   their turn.  So a group of copies costs its length, not its square, and no
-   candidate pair between components is left out.
-4. Of each candidate pair the joint likelihood of the registers, given both set sizes,
-   estimates the similarity; pairs that are ``MARGIN`` below the best
-   log-likelihood at 0.85 (once in 1e9 linked pairs) go no further.
-5. The others are verified on their full sets.  Components of the links follow.
+3. Of a candidate pair the joint likelihood of the registers, given both set
+   sizes, estimates the similarity; pairs that are ``MARGIN`` below the best
+   log-likelihood at 0.85 (once in 1e7 linked pairs) go no further.
+   The others are verified on their full sets.
+4. First every class meets the smallest class of its bands only, so a group of
+   copies costs its length.  Where members of a band are then still in several
+   components, all pairs between components are looked at: a large band is cut into
+   blocks of about ``BLOCK`` members, a task takes two blocks, compares
+   registers, then full sets by a matrix product, and
+   returns a spanning set of the links, never pairs.  No candidate pair
+   between components is left out.
+5. Components of the links follow.
 
 Defined results: null and empty texts and texts without words have no
 shingles and link with nothing; fewer words than three make one shingle; rows
@@ -36,7 +39,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import Memo, discard, possibly_in, scratch, slices, table, text_of
+from ledgerlake.llm.common import (Memo, discard, grouped, placed, possibly_in, scratch, shared_counts, slices, table,
+                                   text_of)
 from ledgerlake.llm.components import components
 
 WORDS = 3
@@ -47,9 +51,9 @@ REGISTERS, BASE, RATE, TOP = 128, 1.001, 20.0, (1 << 16) - 1
 #: Registers of a band: four of 16 bits are one long.
 BAND = 4
 #: Log-likelihood by which 0.85 may fall short of the estimate.
-MARGIN = 20.0
-#: Expected members of a band that are compared with all others in the first full round, and its growth.
-LEADERS, GROWTH = 32, 32
+MARGIN = 14.0
+#: Weight of a block of a band's members; a member weighs one, and one more per ``HEAVY`` shingles.
+BLOCK, HEAVY = 512, 2000
 NO_ID = -(2**63)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MULTIPLIERS = np.random.default_rng(12).integers(0, 1 << 31, REGISTERS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -236,6 +240,119 @@ def _verified(spark: SparkSession, docs: DataFrame, classes: DataFrame, pairs: D
     return links
 
 
+_CELL = ["band", "key", "i", "j"]
+_NODE_ROWS = "band short, key long, i long, j long, side int, node long, part long"
+
+
+def _between(spark: SparkSession, docs: DataFrame, classes: DataFrame, shared: DataFrame, parts: DataFrame) -> DataFrame:
+    """Links (u, v) that join the components which still meet in a band."""
+    group = ["band", "key"]
+    weight = 1 + F.floor(F.col("n") / HEAVY)
+    member = (shared.select(*group, "node", "n").join(parts, "node", "left")
+              .select(*group, "node", "n", F.coalesce("component", "node").alias("part")))
+    several = (member.groupBy(*group).agg(F.min("part").alias("p"), F.max("part").alias("q"), F.sum(weight).alias("weight"))
+               .where("p <> q").select(*group, "weight"))
+    opened = scratch(spark, member.join(several, group), "sketch-open")
+    large = placed(spark, opened.where(F.col("weight") > BLOCK).drop("weight"), group, ["part", "n", "node"], weight,
+                   "sketch-sorted")
+    opened = scratch(spark, opened.where(F.col("weight") <= BLOCK).select(*group, "node", "n", "part", F.lit(0).alias("block"))
+                     .unionAll(large.select(*group, "node", "n", "part", F.floor(F.col("offset") / BLOCK).alias("block")))
+                     .join(classes.select("node", "registers"), "node"), "sketch-blocks")
+    blocks = opened.groupBy(*group, "block").agg(F.min("part").alias("p"), F.max("part").alias("q"),
+                                                 F.min("n").alias("low"), F.max("n").alias("high"))
+    a, b = blocks.alias("a"), blocks.alias("b")
+    cells = (a.join(b, (F.col("a.band") == F.col("b.band")) & (F.col("a.key") == F.col("b.key"))
+                    & (F.col("a.block") <= F.col("b.block"))
+                    & ((F.least("a.p", "b.p") != F.greatest("a.q", "b.q")))
+                    & (100 * F.least("a.high", "b.high") >= PERCENT * F.greatest("a.low", "b.low")))
+             .select("a.band", "a.key", F.col("a.block").alias("i"), F.col("b.block").alias("j")))
+    sides = cells.select("*", F.col("i").alias("block"), F.lit(0).alias("side")).unionAll(
+        cells.where("i < j").select("*", F.col("j").alias("block"), F.lit(1).alias("side")))
+    dealt = (sides.join(opened, [*group, "block"]).select(*_CELL, "side", "node", "part", "n", "registers")
+             .repartition(*_CELL).sortWithinPartitions(*_CELL, "side", "node"))
+
+    def likely(batches):
+        for (band, *_), rows in grouped(batches, 4):
+            keep = _likely_members(rows, band)
+            if keep.any():
+                yield from rows.select(range(7)).filter(pa.array(keep)).to_batches()
+
+    likely_rows = scratch(spark, dealt.mapInArrow(likely, _NODE_ROWS), "sketch-members")
+    discard(opened)
+    nodes = scratch(spark, likely_rows.select("node").distinct(), "sketch-nodes")
+    sets = scratch(spark, _full_sets(docs, classes, nodes), "sketch-sets")
+    told = (likely_rows.join(sets, "node").select(*_CELL, "side", "node", "part", "shingles")
+            .repartition(*_CELL).sortWithinPartitions(*_CELL, "side", "node"))
+    schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+
+    def linked(batches):
+        for _, rows in grouped(batches, 4):
+            found = _spanning_links(rows)
+            if found:
+                u, v = zip(*found, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], schema=schema)
+
+    links = scratch(spark, told.mapInArrow(linked, "u long, v long"), "sketch-links")
+    discard(likely_rows)
+    discard(nodes)
+    discard(sets)
+    return links
+
+
+def _sides(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers of the first and the second block (a block alone meets itself)."""
+    side = rows.column("side").to_numpy()
+    a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    return a, b if len(b) else a
+
+
+def _likely_members(rows: pa.Table, band: int) -> np.ndarray:
+    """Which members have a partner of another component, met in this band first, that may reach the similarity."""
+    registers = np.frombuffer(b"".join(rows.column("registers").to_pylist()), "<u2").reshape(-1, REGISTERS)
+    keys = registers.view("<i8")
+    part, n = rows.column("part").to_numpy(), rows.column("n").to_numpy()
+    a, b = _sides(rows)
+    keep = np.zeros(rows.num_rows, bool)
+    for k in a:
+        x = b[(part[b] != part[k]) & (100 * np.minimum(n[b], n[k]) >= PERCENT * np.maximum(n[b], n[k]))]
+        if a is b:
+            x = x[x > k]
+        x = x[~(keys[x, :band] == keys[k, :band]).any(axis=1)]
+        for at in range(0, len(x), 4096):
+            y = x[at:at + 4096]
+            _, short = similarity(np.broadcast_to(registers[k], (len(y), REGISTERS)), registers[y],
+                                  np.full(len(y), n[k], float), n[y].astype(float))
+            y = y[short <= MARGIN]
+            keep[y] = True
+            keep[k] |= len(y) > 0
+    return keep
+
+
+def _spanning_links(rows: pa.Table) -> list[tuple[int, int]]:
+    """Links between the two blocks' components, as few as join all that are linked."""
+    sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in rows.column("shingles").combine_chunks()]
+    node, part = rows.column("node").to_pylist(), rows.column("part").to_pylist()
+    a, b = _sides(rows)
+    if not len(a):
+        return []
+    n_a, n_b = np.array([len(sets[k]) for k in a]), np.array([len(sets[k]) for k in b])
+    both = shared_counts([sets[k] for k in a], [sets[k] for k in b])
+    top = {p: p for p in part}
+
+    def root(p):
+        while top[p] != p:
+            top[p] = p = top[top[p]]
+        return p
+
+    out = []
+    for x, y in zip(*np.nonzero(100 * both >= PERCENT * (n_a[:, None] + n_b[None, :] - both)), strict=True):
+        p, q = root(part[a[x]]), root(part[b[y]])
+        if p != q:
+            top[p] = q
+            out.append((node[a[x]], node[b[y]]))
+    return out
+
+
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """One row per document row: doc_id, n_shingles, component_id (smallest doc_id reachable)."""
     spark = documents.sparkSession
@@ -256,30 +373,10 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     tested = scratch(spark, first, "sketch-pairs")
     links = _verified(spark, docs, classes, scratch(spark, _likely(classes, tested), "sketch-likely"))
     parts = scratch(spark, components(spark, links), "sketch-parts")
-    largest = groups.agg(F.max("c")).first()[0] or 0
-    done, high = 0, LEADERS
-    while done < largest:
-        # a member's turn: uniform below the band's size, so about as many members as turns
-        turn = F.floor((F.pmod(F.xxhash64("node"), F.lit(1 << 52)) / float(1 << 52)) * F.col("c"))
-        placed = (shared.where(F.col("c") > done).select("band", "key", "node", "n", "c", turn.alias("turn"))
-                  .join(parts, "node", "left").withColumn("part", F.coalesce("component", "node")))
-        several = placed.groupBy("band", "key").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q")
-        opened = scratch(spark, placed.join(several.select("band", "key"), ["band", "key"], "left_semi"), "sketch-open")
-        a, b = opened.where(F.col("turn").between(done, high - 1)).alias("a"), opened.alias("b")
-        later = F.struct(F.col("a.turn"), F.col("a.node")) < F.struct(F.col("b.turn"), F.col("b.node"))
-        pairs = (a.join(b, (F.col("a.band") == F.col("b.band")) & (F.col("a.key") == F.col("b.key")) & later
-                        & (F.col("a.part") != F.col("b.part")) & _sizes_fit(F.col("a.n"), F.col("b.n")))
-                 .select(F.least("a.node", "b.node").alias("u"), F.greatest("a.node", "b.node").alias("v")).distinct()
-                 .join(tested, ["u", "v"], "left_anti"))
-        pairs = scratch(spark, pairs, "sketch-pairs")
-        if not pairs.isEmpty():
-            tested = tested.unionAll(pairs)
-            found = _verified(spark, docs, classes, scratch(spark, _likely(classes, pairs), "sketch-likely"))
-            if not found.isEmpty():
-                stars = parts.where("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))
-                parts = scratch(spark, components(spark, stars.unionAll(found)), "sketch-parts")
-        discard(opened)
-        done, high = high, high * GROWTH
+    found = _between(spark, docs, classes, shared, parts)
+    if not found.isEmpty():
+        stars = parts.where("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))
+        parts = scratch(spark, components(spark, stars.unionAll(found)), "sketch-parts")
     discard(bands)
     discard(shared)
     lowest = (classes.join(parts, "node").groupBy("component").agg(F.min("doc").alias("low")))

@@ -128,3 +128,16 @@ def test_bands_miss_no_planted_pair():
         a, b = (np.unique(np.concatenate([common, r.integers(0, 1 << 63, k, dtype=np.int64).astype(np.uint64)])) for k in (7, 8))
         x, y = (setsketch.sketch(s).reshape(-1, setsketch.BAND) for s in (a, b))
         assert (x == y).all(axis=1).any()
+
+
+@pytest.mark.parametrize("block, heavy", [(512, 2000), (16, 2000), (24, 20)])
+def test_bands_with_several_components_in_blocks(spark, monkeypatch, block, heavy):
+    """Copies around the limit: most bands hold several components, many of them linked by a few members only."""
+    monkeypatch.setattr(setsketch, "BLOCK", block)
+    monkeypatch.setattr(setsketch, "HEAVY", heavy)
+    r = random.Random(8)
+    base = [f"w{r.randrange(5000)}" for _ in range(120)]
+    rows = [(k, t, 0, 0, "", 0) for k, t in enumerate(family(r, base, 150, 9))]
+    want = brute(rows)
+    assert len({c for _, _, c in want}) > 5
+    assert got(setsketch.near_duplicates(spark.createDataFrame(rows, DOCS).repartition(5))) == want
