@@ -382,15 +382,45 @@ def passage(r, n):
     return "\n".join(" ".join("".join(r.choice("abcdefghij") for _ in range(5)) for _ in range(10)) + "." for _ in range(n))
 
 
-def test_chunks_cover_and_resist_shifts():
+def test_pieces_cover_the_text():
     r = random.Random(1)
     text = passage(r, 60)
-    spans = line_dedup.chunks(text)
+    spans = line_dedup.pieces(text)
     assert spans[0][0] == 0 and spans[-1][1] == len(text)
     assert all(text[a[1]] in "\n " and a[1] + 1 == b[0] for a, b in zip(spans, spans[1:], strict=False))
-    bodies = lambda t: {t[a:b] for a, b, _ in line_dedup.chunks(t)}
-    moved = "inserted line.\n" + text
-    assert len(bodies(text) & bodies(moved)) >= len(spans) - 2
+    assert [text[a:b] for a, b, w in spans if w] == line_dedup.worded(text)
+
+
+def test_chunks_resist_shifts_and_meet_in_repeated_passages():
+    """Every passage of MIN_WORDS + STRETCH words has a chunk in common in any surroundings."""
+    r = random.Random(1)
+    line = lambda n: " ".join("".join(r.choice("abcdefghij") for _ in range(5)) for _ in range(n))
+    for trial in range(400):
+        top = r.choice([2, 5, 9, 19, 40])
+        shared, words = [], 0
+        while words < line_dedup.MIN_WORDS + line_dedup.STRETCH:
+            n = r.randrange(1, top + 1)
+            shared.append(line(n))
+            words += n
+        found = []
+        for _ in range(2):
+            texts = [line(r.randrange(1, 20)) for _ in range(r.randrange(8))] + shared + [
+                line(r.randrange(1, 20)) for _ in range(r.randrange(8))]
+            starts, hashes = line_dedup.chunks(texts)
+            found.append(set(hashes.tolist()))
+        assert found[0] & found[1], (trial, [len(x.split()) for x in shared])
+    text = [line(8) for _ in range(300)]
+    moved = [line(8), *text]
+    one, two = set(line_dedup.chunks(text)[1].tolist()), set(line_dedup.chunks(moved)[1].tolist())
+    assert len(one & two) >= len(one) - 3 and len(one) < 0.7 * len(text)
+
+
+def test_rolling_hash_is_that_of_the_chunk_alone():
+    texts = [f"line {k} " + "w " * 9 + "end" for k in range(40)]
+    starts, hashes = line_dedup.chunks(texts)
+    for s, h in zip(starts.tolist(), hashes.tolist(), strict=True):
+        alone = line_dedup.chunks(texts[s:s + 2])
+        assert alone[0].tolist()[0] == 0 and alone[1].tolist()[0] == h
 
 
 def test_line_dedup_removes_later_copies(spark):
@@ -452,13 +482,46 @@ def test_line_dedup_removes_whole_passages(spark):
     assert short in cleaned[160] and short in cleaned[161]
 
 
-def test_line_dedup_compares_bytes(spark, monkeypatch):
+def test_line_dedup_compares_bytes():
+    """A chunk of equal hash and other bytes removes nothing; of a run only what is equal."""
     r = random.Random(8)
-    texts = [passage(r, 10), passage(r, 10)]
-    monkeypatch.setattr(line_dedup, "chunk_hash", lambda text, a, b: 1)          # everything collides
-    out = line_dedup._runs({"node": [1], "text": [texts[1]],
-                            "shared": [[{"pos": k, "h": 1, "first_node": 0} for k in range(20)]]})
-    assert not any(out["first"]) and all(b.decode() not in texts[0] for b in out["bytes"])
+    mine, other = passage(r, 10).split("\n"), passage(r, 10).split("\n")
+    segment = lambda pieces: {"doc": 3, "low": 5, "pieces": pieces, "places": [{"pos": 4, "at": 9}]}
+    assert line_dedup.runs(mine, [segment(other)]) == {}
+    assert line_dedup.runs(mine, [segment(mine)]) == {k: 3 for k in range(10)}
+    assert line_dedup.runs(mine, [segment(other[:3] + mine[3:7] + other[7:])]) == {k: 3 for k in (3, 4, 5, 6)}
+    assert line_dedup.runs(mine, [segment(other[:4] + mine[4:5] + other[5:])]) == {}          # ten words only
+
+
+def test_line_dedup_rows_of_one_id(spark):
+    """Rows that share a doc_id lose nothing to one another's spans; identical rows stay."""
+    r = random.Random(14)
+    shared, own, else_ = passage(r, 8), passage(r, 6), passage(r, 9)
+    rows = [(1, shared), (2, own + "\n" + shared), (2, else_), (2, else_), (None, own)]
+    docs = spark.createDataFrame([(d, t, "x", len(t)) for d, t in rows], "doc_id long, text string, node string, n_chars long")
+    out = sorted((x.doc_id or 0, x.text, x.n_chars) for x in line_dedup.remove(docs).collect())
+    assert [(d, t) for d, t, _ in out] == sorted([(1, shared), (2, ""), (2, else_), (2, else_), (0, own)])
+    assert all(n == len(t) for _, t, n in out)
+
+
+def test_line_dedup_recall_of_short_passages(spark):
+    """Runs of 30 words are always removed, shorter ones of 20 if one of their chunks is chosen."""
+    r = random.Random(15)
+    sentence = lambda n: " ".join("".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(n)) + "."
+    texts, planted = [], []
+    for k in range(300):
+        n = r.randrange(1, 5)
+        shared = [sentence(r.randrange(-(-20 // n), 1 + max(-(-20 // n), 49 // n))) for _ in range(n)]
+        planted.append(shared)
+        for _ in range(2):
+            around = [sentence(r.randrange(3, 15)) for _ in range(12)]
+            texts.append("\n".join(around[:6] + shared + around[6:]))
+    cleaned = {x.doc_id: x.text for x in line_dedup.remove(docs_of(spark, texts)).collect()}
+    whole = [not any(s in cleaned[2 * k + 1] for s in shared) for k, shared in enumerate(planted)]
+    assert sum(whole) >= 0.95 * len(planted)
+    assert all(w for w, shared in zip(whole, planted, strict=True)
+               if sum(len(x.split()) for x in shared) >= line_dedup.MIN_WORDS + line_dedup.STRETCH)
+    assert all(cleaned[2 * k] == texts[2 * k] for k in range(300))
 
 
 # ---- 4 and 5: chat and licences -----------------------------------------------------------------
