@@ -8,6 +8,7 @@ back (:mod:`ledgerlake.plans.pipeline`); here both stay lazy DataFrames.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -17,7 +18,11 @@ from ledgerlake.operators.bronze import bronze
 from ledgerlake.operators.vault import load_hub, load_link, load_sat
 from ledgerlake.params import SECOND_LOAD_TS, THIRD_LOAD_TS
 from ledgerlake.plans.entities import ENTITIES, LINKS
+from ledgerlake.plans.loading import load_jobs
+from ledgerlake.plans.upkeep import keep_dimension
+from ledgerlake.session import ensure_checkpoint_dir
 from ledgerlake.sources.driver_tables import account_batches
+from ledgerlake.sources.sinks import TableStore
 
 
 @dataclass
@@ -58,3 +63,21 @@ def three_batches(lh) -> DataFrame:
     first, _ = account_batches(lh.spark, lh.sf_dir)
     e, params, sat = ENTITIES["account"], lh.params.with_load_ts(THIRD_LOAD_TS), account_history(lh).sat
     return sat.unionByName(load_sat(bronze(first, e.source, params), e, params, sat))
+
+
+#: Parts of the dimension in the registered upkeep query.
+UPKEEP_BUCKETS = 16
+
+
+def account_upkeep(lh) -> DataFrame:
+    """The account dimension after three stored batches, kept up by the keys that each one touches."""
+    store = TableStore(lh.spark, f"{ensure_checkpoint_dir(lh.spark)}/upkeep-{uuid.uuid4().hex}")
+    first, second = account_batches(lh.spark, lh.sf_dir)
+    dim = None
+    for df, load_ts in zip((first, second, first), (lh.params.load_ts, SECOND_LOAD_TS, THIRD_LOAD_TS)):
+        run = lh.params.with_load_ts(load_ts)
+        for _, job in load_jobs(store, {"accounts": bronze(df, "accounts", run)}, run):
+            job()
+        dim = keep_dimension(store, "dim_account", "account_hub_key", ("sat_account", "hub_account", "link_customer_account"),
+                             "hk_account", gold.dim_account, UPKEEP_BUCKETS)
+    return dim

@@ -310,6 +310,8 @@ def _dim_account_sql(sat: str, hub: str, link: str) -> str:
 CTES["dim_account"] = _dim_account_sql("sat_account", "hub_account", "link_customer_account")
 CTES["dim_account_history"] = _dim_account_sql("sat_account_incremental", "hub_account_incremental",
                                                "link_customer_account_incremental")
+CTES["dim_account_upkeep"] = _dim_account_sql("sat_account_three_batches", "hub_account_incremental",
+                                              "link_customer_account_incremental")
 # the same two batches loaded while the transactions happened (2017 and 2019)
 _L1, _L2 = (sql_ts(t) for t in EVENT_LOADS)
 CTES["event_sat"] = f"""

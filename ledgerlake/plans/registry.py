@@ -16,7 +16,7 @@ from ledgerlake.operators.skew import HOT_SHARE
 from ledgerlake.params import DRIVER_RUN, EVENT_LOADS, ts_literal
 from ledgerlake.plans import oracle, oracle_checks
 from ledgerlake.plans.entities import ENTITIES, LINKS
-from ledgerlake.plans.incremental import account_history, three_batches
+from ledgerlake.plans.incremental import account_history, account_upkeep, three_batches
 from ledgerlake.plans.layers import Lakehouse
 from ledgerlake.session import ensure_checkpoint_dir
 from ledgerlake.sources.driver_tables import account_batches
@@ -67,6 +67,8 @@ def _registry() -> tuple[dict[str, Builder], dict[str, str]]:
     sql["link_customer_account_incremental"] = oracle.table("link_customer_account_incremental")
     q["sat_account_three_batches"] = three_batches
     sql["sat_account_three_batches"] = oracle.table("sat_account_three_batches")
+    q["dim_account_upkeep"] = account_upkeep
+    sql["dim_account_upkeep"] = oracle.table("dim_account_upkeep")
     q["dim_account_history"] = lambda lh: account_history(lh).dim
     sql["dim_account_history"] = oracle.table("dim_account_history")
 

@@ -13,13 +13,18 @@ folder of its own, and one empty marker file whose name carries the version,
 resolve the highest number, so they see the old or the new table, never a
 part.  The last ``KEEP`` versions stay for readers that are under way; older
 ones and folders of writes that never came to their marker are removed by the next write.
+
+A table may also be published in parts (buckets of a key): the marker then
+holds which version each bucket is read from, so a refresh writes the buckets
+that change and takes the others from where they are.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.params import RunParams
@@ -71,21 +76,61 @@ def current_path(spark: SparkSession, path: str) -> str | None:
     return version_path(path, versions[-1][1]) if versions else None
 
 
-def switch(spark: SparkSession, path: str, version: str) -> None:
+def _content(spark: SparkSession, path: str, marker: str) -> dict:
+    text = files.read_text(spark, f"{path}/_published/{marker}")
+    return json.loads(text) if text else {}
+
+
+def published_parts(spark: SparkSession, path: str) -> dict:
+    """What the current marker says of a table in parts: ``parts`` (bucket -> version) and whatever else was told."""
+    versions = _versions(spark, path)
+    return _content(spark, path, versions[-1][2]) if versions else {}
+
+
+def part_path(path: str, bucket: str, version: str) -> str:
+    return f"{version_path(path, version)}/bucket={bucket}"
+
+
+def current_paths(spark: SparkSession, path: str) -> list[str]:
+    """Folders that make up the published table."""
+    parts = published_parts(spark, path).get("parts")
+    if parts is not None:
+        return [part_path(path, b, v) for b, v in sorted(parts.items())]
+    where = current_path(spark, path)
+    return [where] if where else []
+
+
+def switch(spark: SparkSession, path: str, version: str, content: dict | None = None) -> None:
     """Make a completely written version the current one."""
     versions = _versions(spark, path)
     number = versions[-1][0] + 1 if versions else 1
-    files.write_text(spark, f"{path}/_published/_{number:010d}.{version}", "", overwrite=False)
+    files.write_text(spark, f"{path}/_published/_{number:010d}.{version}", json.dumps(content) if content else "",
+                     overwrite=False)
 
 
 def tidy(spark: SparkSession, path: str, keep: int = KEEP) -> None:
-    """Remove superseded versions (marker first) and folders that were never published."""
+    """Remove superseded versions (marker first), parts that no version uses, and what was never published."""
     versions = _versions(spark, path)
     for _, _, marker in versions[:-keep]:
         files.delete(spark, f"{path}/_published/{marker}")
-    stay = {f"version={version}" for _, version, _ in versions[-keep:]}
+    stay: dict[str, set[str] | None] = {}                    # version -> buckets in use, None for the whole folder
+    for _, version, marker in versions[-keep:]:
+        parts = _content(spark, path, marker).get("parts")
+        if parts is None:
+            stay[version] = None
+        else:
+            for bucket, source in parts.items():
+                stay.setdefault(source, set()).add(f"bucket={bucket}")
     for name in files.names(spark, path):
-        if name.startswith("version=") and name not in stay:
+        if not name.startswith("version="):
+            continue
+        used = stay.get(name[len("version="):], set())
+        if used is None:
+            continue
+        for part in files.names(spark, f"{path}/{name}") if used else []:
+            if part.startswith("bucket=") and part not in used:
+                files.delete(spark, f"{path}/{name}/{part}")
+        if not used:
             files.delete(spark, f"{path}/{name}")
 
 
@@ -97,12 +142,29 @@ def write_full(df: DataFrame, path: str) -> None:
     tidy(spark, path)
 
 
+def bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def write_parts(df: DataFrame, path: str, key: str, buckets: int, replaced: list[int] | None, more: dict) -> None:
+    """Publish ``df`` as the content of the buckets ``replaced`` (None: of all); the others stay as they are."""
+    spark, version = df.sparkSession, uuid.uuid4().hex[:12]
+    where = version_path(path, version)
+    (df.withColumn("bucket", bucket_of(key, buckets)).repartition(len(replaced) if replaced else buckets, "bucket")
+     .write.partitionBy("bucket").parquet(where))
+    parts = {} if replaced is None else {b: v for b, v in published_parts(spark, path).get("parts", {}).items()
+                                         if int(b) not in replaced}
+    parts |= {n.split("=")[1]: version for n in files.names(spark, where) if n.startswith("bucket=")}
+    switch(spark, path, version, {"parts": parts, "buckets": buckets, **more})
+    tidy(spark, path)
+
+
 def read_full(spark: SparkSession, path: str) -> DataFrame:
     """The published version of a full-refresh table."""
-    where = current_path(spark, path)
-    if where is None:
+    where = current_paths(spark, path)
+    if not where:
         raise FileNotFoundError(f"nothing is published at {path}")
-    return spark.read.parquet(where)
+    return spark.read.parquet(*where)
 
 
 # ---- batches --------------------------------------------------------------------
@@ -223,7 +285,8 @@ class TableStore:
     def location(self, model: str) -> str:
         """Folder to read a model from: the published version, or the table's folder of batches."""
         path = self.table_path(model)
-        return current_path(self.spark, path) or path
+        where = current_paths(self.spark, path)
+        return where[0] if len(where) == 1 else path
 
     def tags(self, layer: str, name: str) -> list[str]:
         """Tags of the finished batches, oldest first (one entry per batch)."""
