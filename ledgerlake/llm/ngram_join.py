@@ -8,11 +8,11 @@ representatives (smallest doc_id).
   ``c(a, b)``, the overlap that the similarity needs.  Sharing one *is* the
   link, so no verification follows.
 * Heavy sets: inverted lists over the ``n - ceil(0.75 n) + 1`` first shingles
-  in a global order, rare before frequent.  Lists are scanned leader by
-  leader: members are paired with the list's leader, verified by exact
-  intersection, and later leaders only meet members that are still in another
-  component.  No link between components is lost, and a list of copies costs
-  its length, not its square.
+  in a global order, rare before frequent.  Members are paired with their
+  list's leader and verified by exact intersection, so a list of copies costs
+  its length.  Where a list's members are then still in several components, all
+  pairs between components are looked at, in cells of two blocks
+  (:mod:`ledgerlake.llm.cells`): no link between components is lost, and no pair is a row.
 * The links themselves (``links=True``) are counted, not listed, as their
   number grows with the square of a group of near copies: linked sets are in one
   component, so a component is cut into blocks of about ``BLOCK`` sets by size,
@@ -39,6 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ledgerlake.llm.cells import links_between, open_members, sides
 from ledgerlake.llm.common import Memo, discard, placed, possibly_in, scratch, shared_counts, slices, table, text_of
 from ledgerlake.llm.components import components
 
@@ -51,10 +52,10 @@ COUNTERS = 1 << 16
 HOT = 4.0
 #: Largest boundary considered; a heavy row counts as this many light rows (list scan, verification).
 MAX_LIGHT, HEAVY_ROW_COST = 10, 5
-#: Expected leaders of each list in the second round, and the growth of that number from round to round.
-LEADERS, GROWTH = 64, 16
-#: Weight of a block of sets whose links are counted at a time; a set weighs one, and one more per ``HEAVY`` shingles.
+#: Weight of a block of sets that are compared at a time; a set weighs one, and one more per ``HEAVY`` shingles.
 BLOCK, HEAVY = 256, 2000
+#: Lists that a member names so that a pair is not looked at in each list that it shares.
+FIRST = 32
 NO_ID = -(2**63)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -83,12 +84,12 @@ def shingle_hashes(text: str, memo: Memo) -> np.ndarray:
 
 
 def parity_words(s: np.ndarray) -> np.ndarray:
-    """Parity of the set's members in each of 2n to 4n hash slots, 64 slots a word.
+    """Parity of the set's members in each of n to 2n hash slots, 64 slots a word.
 
     Sets differ in at least as many members as their parities do in slots.
     The wider of two words folds to the other's width by xor of its halves.
     """
-    slots = 1 << max(6, int(2 * max(1, len(s)) - 1).bit_length())
+    slots = 1 << max(6, int(max(1, len(s)) - 1).bit_length())
     odd = np.bincount((s & np.uint64(slots - 1)).astype(np.int64), minlength=slots) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
 
@@ -340,30 +341,10 @@ def near_groups(rows_of: DataFrame, links: bool = False) -> DataFrame:
     first = scratch(spark, verified if light is None else verified.unionAll(light), "ngram-links")
     discard(signatures)
     parts = scratch(spark, components(spark, first), "ngram-parts")
-    largest = lists.agg(F.max("size")).first()[0] or 0
-    done, high = 0, LEADERS
-    while done < largest and largest > 2:                    # lists of two are settled by their leader
-        # a member's turn: uniform below the list's size, so about as many leaders as turns
-        turn = F.floor((F.pmod(F.xxhash64("node"), F.lit(1 << 52)) / float(1 << 52)) * F.col("size"))
-        spots = (lists.where(F.col("size") > F.lit(max(done, 2))).select("token", "node", "pos", turn.alias("turn"))
-                  .join(parts, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component"))
-        several = (spots.groupBy("token").agg(F.min("part").alias("p"), F.max("part").alias("q"))
-                   .where("p <> q").select("token"))
-        opened = scratch(spark, spots.join(several, "token", "left_semi").join(bits, "node"), "ngram-open")
-        a, b = opened.where(F.col("turn").between(done, high - 1)).alias("a"), opened.alias("b")
-        later = F.struct(F.col("a.turn"), F.col("a.node")) < F.struct(F.col("b.turn"), F.col("b.node"))
-        pairs = (a.join(b, (F.col("a.token") == F.col("b.token")) & later & (F.col("a.part") != F.col("b.part"))
-                        & _possible(F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos"))
-                        & may_link(F.col("a.n"), F.col("a.bits"), F.col("b.n"), F.col("b.bits")))
-                 .select(F.least("a.node", "b.node").alias("u"), F.greatest("a.node", "b.node").alias("v")).distinct())
-        pairs = scratch(spark, pairs, "ngram-pairs")
-        if not pairs.isEmpty():
-            found = _verify(spark, docs, pairs, f"ngram-{high}")
-            if not found.isEmpty():
-                stars = parts.where("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))
-                parts = scratch(spark, components(spark, stars.unionAll(found)), "ngram-parts")
-        discard(opened)
-        done, high = high, high * GROWTH
+    found = _between(spark, docs, lists, bits, parts)
+    if not found.isEmpty():
+        stars = parts.where("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))
+        parts = scratch(spark, components(spark, stars.unionAll(found)), "ngram-parts")
     discard(lists)
     grouped = (member.join(parts.withColumnRenamed("node", "class_id"), "class_id", "left")
                .select("node", F.col("n").alias("n_shingles"), "class_id",
@@ -376,6 +357,64 @@ def near_groups(rows_of: DataFrame, links: bool = False) -> DataFrame:
             .withColumn("n_links", F.coalesce("n_links", F.lit(0))))
 
 
+def _between(spark: SparkSession, docs: DataFrame, lists: DataFrame, bits: DataFrame, parts: DataFrame) -> DataFrame:
+    """Links (u, v) that join the components which still meet in a list (lists of two are settled by their leader)."""
+    opened = scratch(spark, open_members(lists.where("size > 2").select("token", "node", "n", "pos"), ["token"], parts),
+                     "ngram-open")
+    # a pair is looked at in the first list that its members tell to share (at most FIRST of each are told)
+    first = opened.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("token")), 1, FIRST).alias("first"))
+    members = scratch(spark, opened.join(first, "node").join(bits.select("node", "bits"), "node"), "ngram-members")
+    discard(opened)
+    links = links_between(spark, members, ["token"], PERCENT, BLOCK, HEAVY, _likely_members,
+                          lambda nodes: _sets_of(docs, nodes), "ngram-cells")
+    discard(members)
+    return links
+
+
+def _likely_members(name: tuple, rows: pa.Table) -> np.ndarray:
+    """Which members have a partner of another component, met in this list first, that parities and positions allow."""
+    token = name[0]
+    part, n, pos = (rows.column(c).to_numpy() for c in ("part", "n", "pos"))
+    earlier = [np.array([t for t in ts if t < token], np.int64) for ts in rows.column("first").to_pylist()]
+    bits = [np.array(x, np.int64).view(np.uint64) for x in rows.column("bits").to_pylist()]
+    a, b = sides(rows)
+    met = shared_counts([earlier[k] for k in a], [earlier[k] for k in b])
+    keep = np.zeros(rows.num_rows, bool)
+    # parities by width: those of linked sets differ by one halving at most
+    widths = np.array([len(x) for x in bits])
+    folded = {}
+
+    def at_width(w: int) -> tuple[np.ndarray, np.ndarray]:
+        """Members whose parities have ``w`` words, or ``2 w`` and are folded."""
+        if w not in folded:
+            some = np.flatnonzero((widths == w) | (widths == 2 * w))
+            folded[w] = some, np.stack([x if len(x) == w else x[:w] ^ x[w:] for x in (bits[k] for k in some)])
+        return folded[w]
+
+    in_b = np.zeros(rows.num_rows, np.int64) - 1
+    in_b[b] = np.arange(len(b))
+    for x, k in enumerate(a):
+        for w in {int(widths[k]), int(widths[k]) // 2} - {0}:
+            some, words = at_width(w)
+            mine = bits[k] if len(bits[k]) == w else bits[k][:w] ^ bits[k][w:]
+            # of two members, the narrower one's width counts
+            ok = (in_b[some] >= 0) & (part[some] != part[k]) & (np.minimum(widths[some], widths[k]) == w)
+            if a is b:
+                ok &= some > k
+            ok &= 100 * np.minimum(n[some], n[k]) >= PERCENT * np.maximum(n[some], n[k])
+            most = np.minimum(pos[some], pos[k]) + np.minimum(n[some] - pos[some], n[k] - pos[k])
+            ok &= (100 + PERCENT) * most >= PERCENT * (n[some] + n[k])
+            y = np.flatnonzero(ok)
+            y = y[met[x, in_b[some[y]]] == 0]
+            if len(y):
+                both = n[some[y]] + n[k]
+                least = -(-PERCENT * both // (100 + PERCENT))
+                y = y[np.bitwise_count(words[y] ^ mine).sum(axis=1) <= both - 2 * least]
+                keep[some[y]] = True
+                keep[k] |= len(y) > 0
+    return keep
+
+
 def _degrees(spark: SparkSession, docs: DataFrame, heads: DataFrame) -> DataFrame:
     """node, n_links of classes (node, component, n) of components with links."""
     sizes = heads.groupBy("component").agg(F.count("*").alias("c"))

@@ -39,8 +39,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import (Memo, discard, grouped, placed, possibly_in, scratch, shared_counts, slices, table,
-                                   text_of)
+from ledgerlake.llm.cells import links_between, open_members, sides
+from ledgerlake.llm.common import Memo, discard, possibly_in, scratch, slices, table, text_of
 from ledgerlake.llm.components import components
 
 WORDS = 3
@@ -240,78 +240,23 @@ def _verified(spark: SparkSession, docs: DataFrame, classes: DataFrame, pairs: D
     return links
 
 
-_CELL = ["band", "key", "i", "j"]
-_NODE_ROWS = "band short, key long, i long, j long, side int, node long, part long"
-
-
 def _between(spark: SparkSession, docs: DataFrame, classes: DataFrame, shared: DataFrame, parts: DataFrame) -> DataFrame:
     """Links (u, v) that join the components which still meet in a band."""
-    group = ["band", "key"]
-    weight = 1 + F.floor(F.col("n") / HEAVY)
-    member = (shared.select(*group, "node", "n").join(parts, "node", "left")
-              .select(*group, "node", "n", F.coalesce("component", "node").alias("part")))
-    several = (member.groupBy(*group).agg(F.min("part").alias("p"), F.max("part").alias("q"), F.sum(weight).alias("weight"))
-               .where("p <> q").select(*group, "weight"))
-    opened = scratch(spark, member.join(several, group), "sketch-open")
-    large = placed(spark, opened.where(F.col("weight") > BLOCK).drop("weight"), group, ["part", "n", "node"], weight,
-                   "sketch-sorted")
-    opened = scratch(spark, opened.where(F.col("weight") <= BLOCK).select(*group, "node", "n", "part", F.lit(0).alias("block"))
-                     .unionAll(large.select(*group, "node", "n", "part", F.floor(F.col("offset") / BLOCK).alias("block")))
-                     .join(classes.select("node", "registers"), "node"), "sketch-blocks")
-    blocks = opened.groupBy(*group, "block").agg(F.min("part").alias("p"), F.max("part").alias("q"),
-                                                 F.min("n").alias("low"), F.max("n").alias("high"))
-    a, b = blocks.alias("a"), blocks.alias("b")
-    cells = (a.join(b, (F.col("a.band") == F.col("b.band")) & (F.col("a.key") == F.col("b.key"))
-                    & (F.col("a.block") <= F.col("b.block"))
-                    & ((F.least("a.p", "b.p") != F.greatest("a.q", "b.q")))
-                    & (100 * F.least("a.high", "b.high") >= PERCENT * F.greatest("a.low", "b.low")))
-             .select("a.band", "a.key", F.col("a.block").alias("i"), F.col("b.block").alias("j")))
-    sides = cells.select("*", F.col("i").alias("block"), F.lit(0).alias("side")).unionAll(
-        cells.where("i < j").select("*", F.col("j").alias("block"), F.lit(1).alias("side")))
-    dealt = (sides.join(opened, [*group, "block"]).select(*_CELL, "side", "node", "part", "n", "registers")
-             .repartition(*_CELL).sortWithinPartitions(*_CELL, "side", "node"))
-
-    def likely(batches):
-        for (band, *_), rows in grouped(batches, 4):
-            keep = _likely_members(rows, band)
-            if keep.any():
-                yield from rows.select(range(7)).filter(pa.array(keep)).to_batches()
-
-    likely_rows = scratch(spark, dealt.mapInArrow(likely, _NODE_ROWS), "sketch-members")
+    key = ["band", "key"]
+    opened = open_members(shared.select(*key, "node", "n"), key, parts).join(classes.select("node", "registers"), "node")
+    opened = scratch(spark, opened, "sketch-open")
+    links = links_between(spark, opened, key, PERCENT, BLOCK, HEAVY, lambda name, rows: _likely_members(rows, name[0]),
+                          lambda nodes: _full_sets(docs, classes, nodes), "sketch")
     discard(opened)
-    nodes = scratch(spark, likely_rows.select("node").distinct(), "sketch-nodes")
-    sets = scratch(spark, _full_sets(docs, classes, nodes), "sketch-sets")
-    told = (likely_rows.join(sets, "node").select(*_CELL, "side", "node", "part", "shingles")
-            .repartition(*_CELL).sortWithinPartitions(*_CELL, "side", "node"))
-    schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
-
-    def linked(batches):
-        for _, rows in grouped(batches, 4):
-            found = _spanning_links(rows)
-            if found:
-                u, v = zip(*found, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], schema=schema)
-
-    links = scratch(spark, told.mapInArrow(linked, "u long, v long"), "sketch-links")
-    discard(likely_rows)
-    discard(nodes)
-    discard(sets)
     return links
 
 
-def _sides(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Row numbers of the first and the second block (a block alone meets itself)."""
-    side = rows.column("side").to_numpy()
-    a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-    return a, b if len(b) else a
-
-
 def _likely_members(rows: pa.Table, band: int) -> np.ndarray:
     """Which members have a partner of another component, met in this band first, that may reach the similarity."""
     registers = np.frombuffer(b"".join(rows.column("registers").to_pylist()), "<u2").reshape(-1, REGISTERS)
     keys = registers.view("<i8")
     part, n = rows.column("part").to_numpy(), rows.column("n").to_numpy()
-    a, b = _sides(rows)
+    a, b = sides(rows)
     keep = np.zeros(rows.num_rows, bool)
     for k in a:
         x = b[(part[b] != part[k]) & (100 * np.minimum(n[b], n[k]) >= PERCENT * np.maximum(n[b], n[k]))]
@@ -328,31 +273,6 @@ def _likely_members(rows: pa.Table, band: int) -> np.ndarray:
     return keep
 
 
-def _spanning_links(rows: pa.Table) -> list[tuple[int, int]]:
-    """Links between the two blocks' components, as few as join all that are linked."""
-    sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in rows.column("shingles").combine_chunks()]
-    node, part = rows.column("node").to_pylist(), rows.column("part").to_pylist()
-    a, b = _sides(rows)
-    if not len(a):
-        return []
-    n_a, n_b = np.array([len(sets[k]) for k in a]), np.array([len(sets[k]) for k in b])
-    both = shared_counts([sets[k] for k in a], [sets[k] for k in b])
-    top = {p: p for p in part}
-
-    def root(p):
-        while top[p] != p:
-            top[p] = p = top[top[p]]
-        return p
-
-    out = []
-    for x, y in zip(*np.nonzero(100 * both >= PERCENT * (n_a[:, None] + n_b[None, :] - both)), strict=True):
-        p, q = root(part[a[x]]), root(part[b[y]])
-        if p != q:
-            top[p] = q
-            out.append((node[a[x]], node[b[y]]))
-    return out
-
-
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """One row per document row: doc_id, n_shingles, component_id (smallest doc_id reachable)."""
     spark = documents.sparkSession

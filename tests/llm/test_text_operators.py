@@ -220,9 +220,9 @@ def near_copies(seed, groups=6, size=9):
     return out
 
 
-@pytest.mark.parametrize("leaders", [64, 1])
-def test_ngram_components(spark, monkeypatch, leaders):
-    monkeypatch.setattr(ngram_join, "LEADERS", leaders)
+@pytest.mark.parametrize("block", [256, 5])
+def test_ngram_components(spark, monkeypatch, block):
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
     texts = near_copies(5) + [None, "", " \t", "one two", "one two", "One TWO three four five six"] + \
         [" ".join(f"s{k}" for k in range(40)) + f" t{j} u{j}" for j in range(12)]
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.labelled(docs_of(spark, texts)).collect()}
@@ -266,6 +266,21 @@ def test_ngram_edges(spark):
     assert len({r.n_shingles for r in rows if r.doc_id == 9}) == 1
 
 
+def test_ngram_lists_with_several_components(spark):
+    """Copies around the limit: lists hold many components, some linked by few members only."""
+    r = random.Random(41)
+    base = [f"w{r.randrange(5000)}" for _ in range(110)]
+    texts = []
+    for _ in range(130):
+        words = base[:r.randrange(80, 111)]
+        for _ in range(r.randrange(8)):
+            words[r.randrange(len(words))] = f"v{r.randrange(10**6)}"
+        texts.append(" ".join(words))
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in ngram_join.labelled(docs_of(spark, texts)).collect()}
+    want = brute_components(dict(enumerate(texts)))
+    assert got == want and 3 < len({c for _, c in want.values()}) < 100
+
+
 def test_ngram_rows_of_one_id_keep_their_texts(spark):
     """Different texts under one id are linked, kept and dropped by themselves."""
     r = random.Random(31)
