@@ -11,6 +11,7 @@ so hot keys are collapsed map-side.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from functools import reduce
 
@@ -137,6 +138,33 @@ CROSS_ENTITY = {
 }
 
 
+def _early_children(child: DataFrame, link: DataFrame, parent: DataFrame, child_hk: str, parent_hk: str,
+                    child_day: str, parent_day: str) -> DataFrame:
+    """``_n`` rows of children dated before their parent.  Children are counted by (parent key, day) first, so a
+    parent with a third of all children is a row per day and map task before it meets its own row."""
+    c = _latest(child, child_hk).select(child_hk, F.to_date(child_day).alias("_day"))
+    days = (c.join(link.select(child_hk, parent_hk), child_hk).groupBy(parent_hk, "_day")
+            .agg(F.count(F.lit(1)).alias("_n")))
+    p = _latest(parent, parent_hk).select(parent_hk, F.col(parent_day).alias("_since"))
+    return days.join(p, parent_hk).where(F.col("_day") < F.col("_since"))
+
+
+#: What the cross-entity warnings read, and how the runner counts them: (child key, parent key, dates).
+CROSS_KEYS = {
+    "account_opened_before_customer": ("hk_account", "hk_customer", "open_date", "created_at"),
+    "loan_started_before_customer": ("hk_loan", "hk_customer", "start_date", "created_at"),
+    "transaction_before_account_opened": ("hk_transaction", "hk_account", "transaction_date", "open_date"),
+}
+
+
+def cross_columns(name: str) -> dict[str, set[str]]:
+    """Columns that a cross-entity warning reads of each of its tables."""
+    child, link, parent = CROSS_ENTITY[name][1]
+    child_hk, parent_hk, child_day, parent_day = CROSS_KEYS[name]
+    version = {"load_dts", "hash_diff"}
+    return {child: {child_hk, child_day, *version}, link: {child_hk, parent_hk}, parent: {parent_hk, parent_day, *version}}
+
+
 # ---- runner -------------------------------------------------------------------
 
 def _label(check_id: str, kind: str, table: str, column: str | None, severity: str,
@@ -146,6 +174,22 @@ def _label(check_id: str, kind: str, table: str, column: str | None, severity: s
             F.lit(severity).alias("severity"), failures.cast("long").alias("failures")]
 
 
+def needed_columns(checks: list[Check], cross_entity: list[str] | None = None) -> dict[str, set[str]]:
+    """Columns that the assertions read, by table (names in a ``where`` are told by the table's own columns)."""
+    out: dict[str, set[str]] = {}
+    for ch in checks:
+        mine = out.setdefault(ch.table, set())
+        mine |= {ch.column, *re.findall(r"\w+", ch.where or "")}
+        if ch.kind in ("single_current_version", "at_least_one_current"):
+            mine.add("is_current")
+        if ch.kind == "relationships":
+            out.setdefault(ch.args[0], set()).add(ch.args[1])
+    for name in cross_entity or []:
+        for table, columns in cross_columns(name).items():
+            out.setdefault(table, set()).update(columns)
+    return out
+
+
 def check_parts(checks: list[Check], tables: dict[str, DataFrame], now: Column,
                 cross_entity: list[str] | None = None) -> list[DataFrame]:
     """The runner's independent jobs as DataFrames (see :func:`check_jobs`)."""
@@ -181,9 +225,9 @@ def check_jobs(checks: list[Check], tables: dict[str, DataFrame], now: Column,
     for table, group in uniques.items():
         jobs.append(lambda table=table, group=group: _unique_counts(tables[table], group))
     for name in cross_entity or []:
-        fn, inputs = CROSS_ENTITY[name]
-        jobs.append(lambda name=name, fn=fn, inputs=inputs: fn(*[tables[t] for t in inputs]).agg(
-            *_label(name, "singular", inputs[0], None, "warn", F.count(F.lit(1)))))
+        _, inputs = CROSS_ENTITY[name]
+        jobs.append(lambda name=name, inputs=inputs: _early_children(*[tables[t] for t in inputs], *CROSS_KEYS[name]).agg(
+            *_label(name, "singular", inputs[0], None, "warn", F.coalesce(F.sum("_n"), F.lit(0)))))
     return jobs
 
 

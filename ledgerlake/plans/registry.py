@@ -186,16 +186,20 @@ class LakeTables(dict):
     With ``materialize`` each table is checkpointed (reliably, into the
     session's checkpoint folder) the first time it is needed, so the many
     assertions over one table read it instead of re-deriving it, as the
-    pipeline does with its written tables.
+    pipeline does with its written tables; ``columns`` names those that are
+    kept of a table.
     """
 
-    def __init__(self, lh: Lakehouse, materialize: bool = False):
+    def __init__(self, lh: Lakehouse, materialize: bool = False, columns: dict[str, set[str]] | None = None):
         super().__init__()
         self.lh = lh
         self.materialize = materialize
+        self.columns = columns or {}
 
     def __missing__(self, name: str) -> DataFrame:
         df = self.lh.table(name)
+        if name in self.columns:
+            df = df.select(*[c for c in df.columns if c in self.columns[name]])
         if self.materialize:
             ensure_checkpoint_dir(df.sparkSession)
             df = df.checkpoint(eager=True)
@@ -218,10 +222,8 @@ def checks_query(checks: list, cross: list[str] | None = None) -> Builder:
     (concurrently) and every assertion reads the checkpoint, as the pipeline's
     assertions read the written tables."""
     def run(lh: Lakehouse) -> DataFrame:
-        names = [c.table for c in checks] + [c.args[0] for c in checks if c.kind == "relationships"]
-        for name in cross or []:
-            names += list(chk.CROSS_ENTITY[name][1])
-        tables = LakeTables(lh, materialize=True).prefetch(names)
+        needed = chk.needed_columns(checks, cross)
+        tables = LakeTables(lh, materialize=True, columns=needed).prefetch(list(needed))
         return chk.run_checks(checks, tables, lh.params.load_ts_col, cross)
     return run
 
