@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 from ledgerlake.llm.cells import links_between, open_members, sides
 from ledgerlake.llm.common import Memo, discard, placed, possibly_in, scratch, shared_counts, slices, table, text_of
 from ledgerlake.llm.components import components
+from ledgerlake.llm.jaccard_sql import jaccard_sql
 
 WORDS = 5
 #: Similarity as a fraction: 100 * intersection >= 75 * union.
@@ -506,3 +507,17 @@ def stage_ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     gone = scratch(spark, gone, "ngram-gone")
     return possibly_in(numbered, gone, "row__", absent=True).unionAll(
         possibly_in(numbered, gone, "row__").join(gone, "row__", "left_anti").select(numbered.columns)).select(*docs.columns)
+
+
+#: Links from counted common shingles, components from reachability, classes from sorted sets.
+ORACLE_SQL = jaccard_sql(WORDS, PERCENT) + """,
+classes AS (
+  SELECT doc_id, CASE WHEN len(s) = 0 THEN doc_id ELSE min(doc_id) OVER (PARTITION BY list_sort(s)) END AS class_id
+  FROM sets),
+degrees AS (
+  SELECT a.doc_id, count(DISTINCT b.class_id) AS n_links
+  FROM edges JOIN classes a ON a.doc_id = edges.u JOIN classes b ON b.doc_id = edges.v
+  WHERE a.class_id <> b.class_id GROUP BY a.doc_id)
+SELECT reach.doc_id, n_shingles, class_id, component_id, coalesce(n_links, 0) AS n_links
+FROM reach JOIN classes USING (doc_id) LEFT JOIN degrees USING (doc_id)
+"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import chat, license_scan, merkle, setsketch, spelling
+from ledgerlake.llm import chat, license_scan, merkle, ngram_join, setsketch, spelling
 from ledgerlake.llm.bpe import op6_byte_bpe
 from ledgerlake.llm.chat import op4_perspective_rotation
 from ledgerlake.llm.decontaminate import op10_bm25_decontamination
@@ -37,6 +37,7 @@ QUERIES = {
 ORACLE_SQL: dict[str, str] = {
     "op4_perspective_rotation": chat.ORACLE_SQL,
     "op5_license_sentences": license_scan.oracle_sql(),
+    "op8_ngram_jaccard": ngram_join.ORACLE_SQL,
     "op11_spelling_variants": spelling.ORACLE_SQL,
     "op12_setsketch_dedup": setsketch.ORACLE_SQL,
     "op13_merkle_manifest": merkle.ORACLE_SQL,
