@@ -8,7 +8,8 @@ runs for all passages of a slice at once: the sum of the terms' block maxima,
 with the frequent terms (never enough by themselves) taken as a constant per
 block of items.  Passages with a block that can still reach ``MIN_SCORE`` run
 block-max WAND for all items above it.  Every retrieved item is verified by
-the word trigrams of its question and its answer (last sentence).
+the word trigrams of its question and its answer (last sentence): both must be
+in the passage; an item of a single sentence is checked as a whole.
 
 Item texts are read to the driver in shards of at most ``SHARD_CHARS``
 characters, one scan of the documents per shard, so what is broadcast has a
@@ -36,7 +37,7 @@ from ledgerlake.llm.common import Memo, map_rows, scratch, table, text_of
 
 K1, B = 1.2, 0.75
 MIN_SCORE = 0.5
-#: Share of an item's trigrams (question and answer each, or all together) that a passage must hold.
+#: Share of the question's and of the answer's trigrams that a passage must hold.
 MIN_OVERLAP = 0.5
 NGRAM = 3
 BLOCK = 16
@@ -59,12 +60,12 @@ def _grams(words: list, n: int = NGRAM) -> set[tuple]:
 
 
 def question_and_answer(text: str) -> tuple[list[str], list[str]]:
-    """Words before and in the last sentence; of a single sentence the last third is the answer."""
+    """Words before and in the last sentence; an item of a single sentence is both its question and its answer."""
     words = _WORD.findall(text.lower())
     ends = [m.end() for m in _SENTENCE_END.finditer(text.rstrip())]
     answer = _WORD.findall(text[ends[-1]:].lower()) if ends else []
     if not answer or len(answer) >= len(words):
-        answer = words[-max(1, len(words) // 3):]
+        return words, words
     return words[:len(words) - len(answer)], answer
 
 
@@ -88,7 +89,7 @@ class ItemIndex:
         self.parts = []
         for _, t in items:
             q, a = ([self.terms[w] for w in part] for part in question_and_answer(t))
-            self.parts.append((_grams(q), _grams(a), _grams(q + a)))
+            self.parts.append((_grams(q), _grams(a), _grams(q if q == a else q + a)))
         n, mean = len(items), sum(map(len, words)) / max(1, len(words))
         df: dict[int, int] = {}
         counts = []
@@ -239,7 +240,7 @@ def hits(index: ItemIndex, words: np.ndarray) -> dict[int, list]:
             grams = set().union(*(_grams(passage, n) for n in range(1, NGRAM + 1))) if found else None
             for item, score in found:
                 q, a, both = index.verify(item, grams)
-                if min(q, a) >= MIN_OVERLAP or both >= MIN_OVERLAP:
+                if min(q, a) >= MIN_OVERLAP:
                     hit = out.setdefault(item, [score, q, a, both, 0])
                     hit[:4] = max(hit[:4], [score, q, a, both], key=lambda h: (h[3], h[0]))
                     hit[4] += 1

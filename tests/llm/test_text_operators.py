@@ -383,6 +383,31 @@ def test_decontamination_scores_by_the_whole_benchmark(spark, monkeypatch):
         assert all(math.isclose(got[k, k], score(words[k], docs[k].split()), abs_tol=1e-9) for k in range(n))
 
 
+def test_decontamination_needs_question_and_answer(spark):
+    """Retrieval and verification over all passages and items, against brute force; a question alone is no hit."""
+    r = random.Random(17)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(6))
+    pairs = [([word() for _ in range(r.randrange(10, 30))], [word() for _ in range(r.randrange(2, 12))]) for _ in range(25)]
+    single = [[word() for _ in range(18)] for _ in range(5)]
+    items = [" ".join(q) + ". " + " ".join(a) + "." for q, a in pairs] + [" ".join(w) for w in single]
+    noise = lambda: [word() for _ in range(r.randrange(60))]
+    docs = []
+    for q, a in pairs:
+        docs += [noise() + q + noise(), noise() + a, noise() + q + a + noise(), q[:-(len(q) // 4)] + a]
+    docs += [noise() + w + noise() for w in single] + [w[:6] for w in single]
+    grams = lambda w: {tuple(w[k:k + min(3, len(w))]) for k in range(max(1, len(w) - 2))}
+    share = lambda part, text: len(grams(part) & text) / len(grams(part))
+    want = set()
+    for d, words in enumerate(docs):
+        text = {tuple(words[k:k + n]) for n in (1, 2, 3) for k in range(len(words) - n + 1)}
+        want |= {(d, i) for i, (q, a) in enumerate(pairs) if min(share(q, text), share(a, text)) >= 0.5}
+        want |= {(d, 25 + i) for i, w in enumerate(single) if share(w, text) >= 0.5}
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(h.doc_id, h.item_id) for h in decontaminate.contaminated(docs_of(spark, [" ".join(w) for w in docs]), bench)
+           .collect()}
+    assert got == want and len(want) == 55
+
+
 def test_decontamination_query_finds_exact_items(spark):
     texts = small_texts()
     items = duckdb.sql(f"SELECT item_id, text FROM '{SMALL}/benchmark.parquet'").fetchall()
