@@ -193,24 +193,30 @@ def runs(texts: list[str], matches: list[dict]) -> dict[int, int]:
     """
     out: dict[int, int] = {}
     for m in matches:
-        there, low = m["pieces"], m["low"]
-        done: set[tuple[int, int]] = set()                   # (diagonal, piece) seen
-        for place in m["places"]:
-            here, at = place["pos"], place["at"] - low
+        there, low, doc = m["pieces"], m["low"], m["doc"]
+        reached: dict[int, int] = {}                         # distance of the two texts' places -> end of the last run
+        for here, at in sorted((place["pos"], place["at"] - low) for place in m["places"]):
             line = here - at
-            if (line, here) in done:
+            if here < reached.get(line, 0):
                 continue
             if not (at < len(there) and here < len(texts) and texts[here] == there[at]):
                 continue                                     # another text of the same hash
             a, b = here, here + 1
-            while a and a - line > 0 and texts[a - 1] == there[a - 1 - line]:
+            least, most = max(0, line), min(len(texts), len(there) + line)
+            while a > least and texts[a - 1] == there[a - 1 - line]:
                 a -= 1
-            while b < len(texts) and b - line < len(there) and texts[b] == there[b - line]:
+            while b < most and texts[b] == there[b - line]:
                 b += 1
-            done.update((line, k) for k in range(a, b))
-            if sum(len(t.split()) for t in texts[a:b]) >= MIN_WORDS:
+            reached[line] = b
+            words = 0
+            for t in texts[a:b]:
+                words += len(t.split())
+                if words >= MIN_WORDS:
+                    break
+            if words >= MIN_WORDS:
                 for k in range(a, b):
-                    out[k] = min(out.get(k, m["doc"]), m["doc"])
+                    if doc < out.get(k, doc + 1):
+                        out[k] = doc
     return out
 
 
