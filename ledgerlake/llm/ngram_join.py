@@ -40,15 +40,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.cells import links_between, open_members, sides
-from ledgerlake.llm.common import Memo, discard, placed, possibly_in, scratch, shared_counts, slices, table, text_of
+from ledgerlake.llm.common import Memo, discard, grouped, placed, possibly_in, scratch, shared_counts, slices, table, text_of
 from ledgerlake.llm.components import components
 from ledgerlake.llm.jaccard_sql import jaccard_sql
 
 WORDS = 5
 #: Similarity as a fraction: 100 * intersection >= 75 * union.
 PERCENT = 75
-#: Frequency counters of the global order (fixed size at any scale).
-COUNTERS = 1 << 16
+#: Frequency counters of the global order (fixed size at any scale), and how many make one row of them.
+COUNTERS, CHUNK = 1 << 20, 4096
+_SHIFT = np.uint64(64 - 20)
 #: A shingle whose counter holds this many times the mean is dealt on the salted path.
 HOT = 4.0
 #: Largest boundary considered; a heavy row counts as this many light rows (list scan, verification).
@@ -56,7 +57,7 @@ MAX_LIGHT, HEAVY_ROW_COST = 10, 5
 #: Weight of a block of sets that are compared at a time; a set weighs one, and one more per ``HEAVY`` shingles.
 BLOCK, HEAVY = 256, 2000
 #: Lists that a member names so that a pair is not looked at in each list that it shares.
-FIRST = 32
+FIRST, FEW = 32, 64
 NO_ID = -(2**63)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -141,7 +142,7 @@ def _arrow(df: DataFrame, run, schema: str) -> DataFrame:
 
 
 def _scan(docs: DataFrame) -> DataFrame:
-    """(node, n, d1, d2, parity bits) per row, and rows (bucket, n) of the frequency counters with a null d1."""
+    """(node, n, d1, d2, parity bits) per row, and a task's frequency counters (node: chunk, bits: counts; ``row`` false)."""
     memo = Memo(_word_hash)
     schema = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()),
                         ("bits", pa.list_(pa.int64())), ("row", pa.bool_())])
@@ -153,22 +154,40 @@ def _scan(docs: DataFrame) -> DataFrame:
             for part in slices(batch, 1, rows=512):
                 sets = [shingle_hashes(t, memo) for t in part.column(1).to_pylist()]
                 digests = [xxhash.xxh3_128_intdigest(s.tobytes()) for s in sets]
-                counts += np.bincount((np.concatenate(sets) >> np.uint64(48)).astype(np.int64), minlength=COUNTERS)
+                counts += np.bincount((np.concatenate(sets) >> _SHIFT).astype(np.int64), minlength=COUNTERS)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([(d >> 64) - (1 << 63) for d in digests], pa.int64()),
                      pa.array([(d & ((1 << 64) - 1)) - (1 << 63) for d in digests], pa.int64()),
                      pa.array([parity_words(s) for s in sets], pa.list_(pa.int64())),
                      pa.array([True] * len(sets), pa.bool_())], schema=schema)
-        some = np.flatnonzero(counts)
-        none = pa.nulls(len(some), pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(some, pa.int64()), pa.array(counts[some], pa.int64()), none, none,
-             pa.nulls(len(some), pa.list_(pa.int64())), pa.array(np.zeros(len(some), bool))], schema=schema)
+        for k in range(0, COUNTERS if counts.any() else 0, CHUNK):
+            none = pa.nulls(1, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k // CHUNK], pa.int64()), none, none, none,
+                 pa.array([counts[k:k + CHUNK]], pa.list_(pa.int64())), pa.array([False])], schema=schema)
 
     return _arrow(docs, run, "node long, n long, d1 long, d2 long, bits array<long>, row boolean")
 
 
+def _frequencies(scanned: DataFrame) -> np.ndarray:
+    """The tasks' counters added up: ``COUNTERS`` integers."""
+    schema = pa.schema([("node", pa.int64()), ("counts", pa.binary())])
+
+    def run(batches):
+        for (k,), rows in grouped(batches, 1):
+            total = np.zeros(CHUNK, np.int64)
+            for part in rows.column("bits").combine_chunks():
+                total += part.values.to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([total.tobytes()], pa.binary())], schema=schema)
+
+    told = scanned.where("not row").select("node", "bits").repartition("node").sortWithinPartitions("node")
+    out = np.zeros(COUNTERS, np.int64)
+    for r in _arrow(told, run, "node long, counts binary").collect():        # COUNTERS / CHUNK rows
+        out[r.node * CHUNK:(r.node + 1) * CHUNK] = np.frombuffer(r.counts, np.int64)
+    return out
+
+
 def _signatures(docs: DataFrame, counts: np.ndarray, x: int) -> DataFrame:
     """Rows of the lists (kind 0: token, node, n, pos, hot) and of the subsets (kind 1; pos: a * 1000 + b)."""
     spark = docs.sparkSession
@@ -200,7 +219,7 @@ def _signatures(docs: DataFrame, counts: np.ndarray, x: int) -> DataFrame:
                     if 0 < n <= x:
                         light += subsets(s, node)
                     if n >= heavy_from:
-                        f = freq[(s >> np.uint64(48)).astype(np.int64)]
+                        f = freq[(s >> _SHIFT).astype(np.int64)]
                         k = prefix_length(n)
                         order = np.argsort(f, kind="stable")[:k]       # s is sorted: ties in hash order
                         tokens.append(s[order].view(np.int64))
@@ -315,10 +334,7 @@ def near_groups(rows_of: DataFrame, links: bool = False) -> DataFrame:
     spark = rows_of.sparkSession
     docs = rows_of.select("node", "text")
     scanned = scratch(spark, _scan(docs), "ngram-scan")
-    totals = scanned.where("not row").groupBy("node").agg(F.sum("n").alias("n")).collect()   # COUNTERS rows at most
-    counts = np.zeros(COUNTERS, np.int64)
-    for r in totals:
-        counts[r.node] = r.n
+    counts = _frequencies(scanned)
     rows = scanned.where("row").select("node", "n", "d1", "d2")
     classes = rows.where("n > 0").groupBy("d1", "d2").agg(F.min("node").alias("class_id"), F.min("n").alias("n"))
     classes = scratch(spark, classes, "ngram-classes")
@@ -360,11 +376,14 @@ def near_groups(rows_of: DataFrame, links: bool = False) -> DataFrame:
 
 def _between(spark: SparkSession, docs: DataFrame, lists: DataFrame, bits: DataFrame, parts: DataFrame) -> DataFrame:
     """Links (u, v) that join the components which still meet in a list (lists of two are settled by their leader)."""
-    opened = scratch(spark, open_members(lists.where("size > 2").select("token", "node", "n", "pos"), ["token"], parts),
+    opened = scratch(spark, open_members(lists.where("size > 2").select("token", "node", "n", "pos", "size"), ["token"], parts),
                      "ngram-open")
-    # a pair is looked at in the first list that its members tell to share (at most FIRST of each are told)
-    first = opened.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("token")), 1, FIRST).alias("first"))
-    members = scratch(spark, opened.join(first, "node").join(bits.select("node", "bits"), "node"), "ngram-members")
+    # in large lists a pair is looked at once: in the first one that its members tell to share (FIRST of each are told)
+    large = opened.where(F.col("size") > FEW)
+    first = large.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("token")), 1, FIRST).alias("first"))
+    members = (opened.where(F.col("size") <= FEW).withColumn("first", F.lit(None).cast("array<bigint>"))
+               .unionByName(large.join(first, "node")).drop("size"))
+    members = scratch(spark, members.join(bits.select("node", "bits"), "node"), "ngram-members")
     discard(opened)
     links = links_between(spark, members, ["token"], PERCENT, BLOCK, HEAVY, _likely_members,
                           lambda nodes: _sets_of(docs, nodes), "ngram-cells")
@@ -376,10 +395,14 @@ def _likely_members(name: tuple, rows: pa.Table) -> np.ndarray:
     """Which members have a partner of another component, met in this list first, that parities and positions allow."""
     token = name[0]
     part, n, pos = (rows.column(c).to_numpy() for c in ("part", "n", "pos"))
-    earlier = [np.array([t for t in ts if t < token], np.int64) for ts in rows.column("first").to_pylist()]
-    bits = [np.array(x, np.int64).view(np.uint64) for x in rows.column("bits").to_pylist()]
+    packed = rows.column("bits").combine_chunks()
+    words, ends = packed.values.to_numpy().view(np.uint64), packed.offsets.to_numpy()
+    bits = [words[ends[k]:ends[k + 1]] for k in range(rows.num_rows)]
     a, b = sides(rows)
-    met = shared_counts([earlier[k] for k in a], [earlier[k] for k in b])
+    met = None
+    if rows.column("first").null_count < rows.num_rows:
+        earlier = [np.array([t for t in ts or () if t < token], np.int64) for ts in rows.column("first").to_pylist()]
+        met = shared_counts([earlier[k] for k in a], [earlier[k] for k in b])
     keep = np.zeros(rows.num_rows, bool)
     # parities by width: those of linked sets differ by one halving at most
     widths = np.array([len(x) for x in bits])
@@ -396,7 +419,7 @@ def _likely_members(name: tuple, rows: pa.Table) -> np.ndarray:
     in_b[b] = np.arange(len(b))
     for x, k in enumerate(a):
         for w in {int(widths[k]), int(widths[k]) // 2} - {0}:
-            some, words = at_width(w)
+            some, wide = at_width(w)
             mine = bits[k] if len(bits[k]) == w else bits[k][:w] ^ bits[k][w:]
             # of two members, the narrower one's width counts
             ok = (in_b[some] >= 0) & (part[some] != part[k]) & (np.minimum(widths[some], widths[k]) == w)
@@ -406,11 +429,12 @@ def _likely_members(name: tuple, rows: pa.Table) -> np.ndarray:
             most = np.minimum(pos[some], pos[k]) + np.minimum(n[some] - pos[some], n[k] - pos[k])
             ok &= (100 + PERCENT) * most >= PERCENT * (n[some] + n[k])
             y = np.flatnonzero(ok)
-            y = y[met[x, in_b[some[y]]] == 0]
+            if met is not None:
+                y = y[met[x, in_b[some[y]]] == 0]
             if len(y):
                 both = n[some[y]] + n[k]
                 least = -(-PERCENT * both // (100 + PERCENT))
-                y = y[np.bitwise_count(words[y] ^ mine).sum(axis=1) <= both - 2 * least]
+                y = y[np.bitwise_count(wide[y] ^ mine).sum(axis=1) <= both - 2 * least]
                 keep[some[y]] = True
                 keep[k] |= len(y) > 0
     return keep
