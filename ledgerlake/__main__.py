@@ -45,6 +45,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--database", default=None, help="catalog database: bucketed silver tables")
     ap.add_argument("--buckets", type=int, default=0)
     ap.add_argument("--hot-key-share", type=float, default=None)
+    ap.add_argument("--dim-buckets", type=int, default=0, help="keep dimensions in parts, rewrite those of touched keys")
     ap.add_argument("--workers", type=int, default=8)
     ap.add_argument("--retries", type=int, default=2, help="further attempts of a failed step")
     ap.add_argument("--retry-delay", type=float, default=120.0, help="seconds before the first; doubled each time")
@@ -64,7 +65,7 @@ def main(argv: list[str] | None = None) -> int:
         result = run_pipeline(spark, _sources(spark, a.sources), a.out, params,
                               run_checks=not a.no_checks, fail_on_error=not a.report_only,
                               workers=a.workers, database=a.database, buckets=a.buckets,
-                              hot_key_share=a.hot_key_share, retries=a.retries, retry_delay=a.retry_delay,
+                              hot_key_share=a.hot_key_share, retries=a.retries, retry_delay=a.retry_delay, dim_buckets=a.dim_buckets,
                               lease_seconds=a.lease_seconds)
     except (CheckFailure, RunActive) as e:
         print(json.dumps({"status": "failed", **run, "error": str(e)}))

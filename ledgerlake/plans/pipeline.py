@@ -35,6 +35,7 @@ from ledgerlake.params import RunParams
 from ledgerlake.plans.entities import ENTITIES, LINKS
 from ledgerlake.plans.loading import SILVER_BUCKET_KEYS, check_order, load_jobs
 from ledgerlake.plans.runs import FINAL, CheckFailure, Manifest, RunLease, Step, run_steps
+from ledgerlake.plans.upkeep import keep_dimension
 from ledgerlake.sources.readers import check_sources
 from ledgerlake.sources.sinks import StaleBatch, TableStore, batch_tag
 
@@ -82,9 +83,9 @@ class _Run:
     """The steps of one run over one store."""
 
     def __init__(self, spark, sources, store: TableStore, params: RunParams, lease: RunLease, manifest: Manifest,
-                 run_checks: bool, fail_on_error: bool, hot_key_share: float | None):
+                 run_checks: bool, fail_on_error: bool, hot_key_share: float | None, dim_buckets: int):
         self.spark, self.sources, self.store, self.params = spark, sources, store, params
-        self.lease, self.manifest = lease, manifest
+        self.lease, self.manifest, self.dim_buckets = lease, manifest, dim_buckets
         self.run_checks, self.gating, self.hot_key_share = run_checks, run_checks and fail_on_error, hot_key_share
         self.result, self.tables = RunResult(), {}
         self.checks: dict[str, list] = {}
@@ -159,6 +160,11 @@ class _Run:
         out.append(self.full("silver", "quarantine", tuple(both), lambda: quarantine(
             {e: t[f"sat_{e}"] for e in ENTITIES}, {e: t[f"hub_{e}"] for e in ENTITIES})))
         for name, inputs in GOLD_INPUTS.items():
+            if self.dim_buckets and name in GOLD_BUCKET_KEYS:
+                out.append(self.model(name, self.passed(*inputs), lambda name=name, inputs=inputs: keep_dimension(
+                    store, name, GOLD_BUCKET_KEYS[name], inputs, "hk_" + name.removeprefix("dim_"), getattr(gold, name),
+                    self.dim_buckets), lambda name=name: store.published("gold", name)))
+                continue
             out.append(self.full("gold", name, self.passed(*inputs), lambda name=name: gold_model(
                 name, self.spark, t, self.hot_key_share), GOLD_BUCKET_KEYS.get(name)))
         for name, build in reports.BUILDERS.items():
@@ -179,7 +185,7 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], out: str,
                  fail_on_error: bool = True, workers: int = 8,
                  database: str | None = None, buckets: int = 0,
                  hot_key_share: float | None = None, retries: int = 2, retry_delay: float = 120.0,
-                 lease_seconds: float = 600.0) -> RunResult:
+                 lease_seconds: float = 600.0, dim_buckets: int = 0) -> RunResult:
     """One scheduled run (the reference's daily DAG, without the scheduler).
 
     ``fail_on_error``: a model whose error-severity assertions fail holds back
@@ -191,6 +197,9 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], out: str,
     :class:`~ledgerlake.sources.sinks.TableStore`.  ``hot_key_share`` splits
     accounts with more than that share of the transactions in the fact build explicitly
     (see :mod:`ledgerlake.operators.skew`); by default AQE splits them.
+    ``dim_buckets`` keeps the SCD2 dimensions in so many parts and rewrites only
+    those of touched keys (:mod:`ledgerlake.plans.upkeep`; folders, not catalog
+    tables); by default they are rebuilt.
 
     A step that fails is tried ``retries`` times more, after ``retry_delay``
     seconds and then twice as long each time.  A run that was stopped resumes after its finished
@@ -198,13 +207,15 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], out: str,
     lake, RunActive is raised (a killed driver's lease ends after ``lease_seconds``).
     """
     params = params or RunParams()
+    if dim_buckets and database:
+        raise ValueError("dim_buckets needs tables in folders: a catalog table has one location")
     check_sources(sources)
     tag = batch_tag(params)
     with RunLease(spark, out, tag, lease_seconds) as lease:
         store = TableStore(spark, out, database, buckets)
         check_order(store, params, sources)
         run = _Run(spark, sources, store, params, lease, Manifest(spark, out, tag), run_checks, fail_on_error,
-                   hot_key_share)
+                   hot_key_share, dim_buckets)
         outcome = run_steps(run.steps(), workers, retries, retry_delay, final=(*FINAL, StaleBatch))
         errors = [e for e in outcome.failed.values() if not isinstance(e, CheckFailure)]
         if errors:

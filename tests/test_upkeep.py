@@ -109,3 +109,26 @@ def test_merchants_without_a_link(spark, scratch):
         dim = keep_dimension(store, "dim_merchant", "merchant_hub_key", ("sat_merchant", "hub_merchant"), "hk_merchant",
                              gold.dim_merchant, 4)
     assert dim.count() == 10 and dim.where(F.col("is_current")).count() == 9
+
+
+def test_pipeline_keeps_dimensions_by_touched_keys(spark, scratch):
+    import pytest
+
+    from ledgerlake.params import DRIVER_RUN, SECOND_LOAD_TS
+    from ledgerlake.plans.pipeline import run_pipeline
+    from ledgerlake.sources.driver_tables import account_batches, banking_sources
+
+    from conftest import SF_SMALL
+
+    src = dict(banking_sources(spark, SF_SMALL).items())
+    b1, b2 = account_batches(spark, SF_SMALL)
+    run_pipeline(spark, {**src, "accounts": b1}, scratch, DRIVER_RUN, run_checks=False, dim_buckets=4)
+    run_pipeline(spark, {**src, "accounts": b2}, scratch, RunParams(load_ts=SECOND_LOAD_TS), run_checks=False, dim_buckets=4)
+    store = TableStore(spark, scratch)
+    assert same(store.published("gold", "dim_account"), rebuilt(store))
+    merchants = sinks.published_parts(spark, store.table_path("dim_merchant"))
+    assert len(set(merchants["parts"].values())) == 1        # no merchant changed: the first run's files
+    assert same(store.published("gold", "dim_merchant"),
+                gold.dim_merchant(store.stored("silver", "sat_merchant"), store.stored("silver", "hub_merchant")))
+    with pytest.raises(ValueError, match="one location"):
+        run_pipeline(spark, src, scratch, RunParams(), dim_buckets=4, database="d")
