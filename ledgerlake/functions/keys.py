@@ -43,3 +43,24 @@ def surrogate_key(hub_key: ColumnOrName, load_dts: ColumnOrName) -> Column:
     """Dimension version key: md5 of the hub key followed by the load time text
     (``yyyy-MM-dd HH:mm:ss[.ffffff]``)."""
     return F.md5(F.concat_ws("", as_text(hub_key), as_text(load_dts)))
+
+
+#: Zero bytes behind a key that is not a digest, so that its packed form never has a digest's 16 bytes.
+_PLAIN = 17
+
+
+def packed(col: ColumnOrName) -> Column:
+    """A key in the form it is shuffled in: an MD5 digest as its 16 bytes, any other text as
+    its own bytes and a mark.  One to one, so packed keys can be joined and grouped;
+    :func:`unpacked` gives the key back."""
+    c = _c(col)
+    raw = F.unhex(c)
+    digest = (F.length(c) == 32) & (F.lower(c) == c) & raw.isNotNull()
+    return F.when(digest, raw).otherwise(F.concat(F.encode(c, "UTF-8"), F.lit(bytes(_PLAIN))))
+
+
+def unpacked(col: ColumnOrName) -> Column:
+    """The key behind :func:`packed`."""
+    c = _c(col)
+    return (F.when(F.length(c) == 16, F.lower(F.hex(c)))
+            .otherwise(F.decode(F.substring(c, F.lit(1), F.length(c) - _PLAIN), "UTF-8")))

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.banking import EMAIL_PATTERN
+from ledgerlake.functions.keys import packed
 
 ROW_LEVEL = {"not_null", "valid_email", "not_in_future", "positive_value", "in_range",
              "not_empty_string"}
@@ -237,9 +238,10 @@ def _orphan_count(ch: Check, tables: dict[str, DataFrame]) -> DataFrame:
     row per map task), so the anti-join shuffles distinct keys, not rows."""
     parent_table, parent_field = ch.args
     c = ch.column
-    keys = (tables[ch.table].filter(F.col(c).isNotNull()).groupBy(c)
-            .agg(F.count(F.lit(1)).alias("_n")))
-    parent = tables[parent_table].select(F.col(parent_field).alias(c))
+    child, parent = tables[ch.table].select(c), tables[parent_table].select(F.col(parent_field).alias(c))
+    if dict(child.dtypes)[c] == dict(parent.dtypes)[c] == "string":       # shuffled packed
+        child, parent = child.select(packed(c).alias(c)), parent.select(packed(c).alias(c))
+    keys = child.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
     return keys.join(parent, c, "left_anti").agg(
         *_label(ch.id, ch.kind, ch.table, ch.column, ch.severity, F.coalesce(F.sum("_n"), F.lit(0))))
 
@@ -255,7 +257,7 @@ def _row_level_counts(df: DataFrame, group: list[Check], now: Column) -> DataFra
 def _unique_counts(df: DataFrame, group: list[Check]) -> DataFrame:
     """All ``unique`` assertions of one table: one aggregate over exploded
     (column, value) pairs; failures = number of repeated values."""
-    pairs = F.array(*[F.struct(F.lit(i).alias("_i"), F.col(ch.column).cast("string").alias("_v"))
+    pairs = F.array(*[F.struct(F.lit(i).alias("_i"), packed(F.col(ch.column).cast("string")).alias("_v"))
                       for i, ch in enumerate(group)])
     dup_values = (df.select(F.explode(pairs).alias("_p")).select("_p._i", "_p._v")
                   .filter(F.col("_v").isNotNull())

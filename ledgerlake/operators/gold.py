@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.banking import credit_tier, date_key, month_start, open_end_ts
-from ledgerlake.functions.keys import surrogate_key
+from ledgerlake.functions.keys import packed, surrogate_key, unpacked
 from ledgerlake.operators.skew import salted_join
 from ledgerlake.plans.entities import ENTITIES
 from ledgerlake.session import ensure_checkpoint_dir
@@ -135,7 +135,8 @@ def dim_date(spark: SparkSession, start: dt.date = CALENDAR_START,
 def fact_transactions(sat: DataFrame, link_account_transaction: DataFrame,
                       link_merchant_transaction: DataFrame,
                       link_customer_account: DataFrame, latest_only: bool = False,
-                      hot_share: float | None = None) -> DataFrame:
+                      hot_share: float | None = None, hot_from: DataFrame | None = None,
+                      weight: str | None = None) -> DataFrame:
     """All transaction versions with account, merchant and customer keys
     (``latest_only``: one row per transaction, its latest version).
 
@@ -151,16 +152,21 @@ def fact_transactions(sat: DataFrame, link_account_transaction: DataFrame,
     lmt = link_merchant_transaction.select("hk_transaction", "hk_merchant")
     lca = link_customer_account.select("hk_account", "hk_customer")
     j = s.join(lat, "hk_transaction").join(lmt, "hk_transaction")
+    # the lookup re-keys every fact row: its keys travel packed
+    j = j.select(*[packed(c).alias(c) if c.startswith("hk_") else c for c in j.columns])
+    lca = lca.select(*[packed(c).alias(c) for c in lca.columns])
     if hot_share:
         # one transaction per link row: the link has the fact's account distribution
-        j = salted_join(j, lca, "hk_account", hot_share, hot_from=lat)
+        hot = lat if hot_from is None else hot_from
+        hot = hot.select(packed("hk_account").alias("hk_account"), *([weight] if weight else []))
+        j = salted_join(j, lca, "hk_account", hot_share, hot_from=hot, weight=weight)
     else:
         j = j.join(lca, "hk_account")
     return j.select(
-        F.col("hk_transaction").alias("transaction_hub_key"),
-        F.col("hk_account").alias("account_hub_key"),
-        F.col("hk_merchant").alias("merchant_hub_key"),
-        F.col("hk_customer").alias("customer_hub_key"),
+        unpacked("hk_transaction").alias("transaction_hub_key"),
+        unpacked("hk_account").alias("account_hub_key"),
+        unpacked("hk_merchant").alias("merchant_hub_key"),
+        unpacked("hk_customer").alias("customer_hub_key"),
         date_key("transaction_date").alias("date_key"),
         "transaction_date", "amount_usd",
         F.col("rec_src").alias("record_source"),
@@ -205,14 +211,19 @@ def fact_account_balance(sat: DataFrame, link_customer_account: DataFrame) -> Da
 
 # ---- documented consumer joins (J1-J4) -------------------------------------
 
-def join_current(fact: DataFrame, dim: DataFrame, hub_key: str, hot_share: float | None = None) -> DataFrame:
-    """Fact -> current dimension row on the durable hub key (hot keys split with ``hot_share``)."""
+def join_current(fact: DataFrame, dim: DataFrame, hub_key: str, hot_share: float | None = None,
+                 hot_from: DataFrame | None = None, weight: str | None = None) -> DataFrame:
+    """Fact -> current dimension row on the durable hub key (hot keys split with ``hot_share``,
+    found in ``hot_from``)."""
     d = dim.filter(F.col("is_current"))
-    return salted_join(fact, d, hub_key, hot_share) if hot_share else fact.join(d, on=hub_key, how="inner")
+    if hot_share:
+        return salted_join(fact, d, hub_key, hot_share, hot_from=hot_from, weight=weight)
+    return fact.join(d, on=hub_key, how="inner")
 
 
 def join_point_in_time(fact: DataFrame, dim: DataFrame, hub_key: str, time_col: str,
-                       dim_cols: list[str], hot_share: float | None = None) -> DataFrame:
+                       dim_cols: list[str], hot_share: float | None = None,
+                       hot_from: DataFrame | None = None, weight: str | None = None) -> DataFrame:
     """Fact -> the dimension version valid at the fact's time (``start <= t < end``).
 
     Versions and events are one stream, range-partitioned and sorted by key and
@@ -225,13 +236,17 @@ def join_point_in_time(fact: DataFrame, dim: DataFrame, hub_key: str, time_col:
     """
     d = dim.select(hub_key, "effective_start_date", "effective_end_date", *dim_cols)
     if hot_share:
-        return salted_join(fact, d, hub_key, hot_share).filter(
+        return salted_join(fact, d, hub_key, hot_share, hot_from=hot_from, weight=weight).filter(
             (F.col(time_col) >= F.col("effective_start_date")) & (F.col(time_col) < F.col("effective_end_date")))
-    spark = fact.sparkSession
-    ensure_checkpoint_dir(spark)
+    # every row is shuffled twice and stored once: text keys are packed meanwhile
+    types = {**dict(d.dtypes), **dict(fact.dtypes)}
+    short = {c for c in (hub_key, *fact.columns, *dim_cols) if c.endswith("_key") and types[c] == "string"}
+    fact, d = (df.select(*[packed(c).alias(c) if c in short else c for c in df.columns]) for df in (fact, d))
     version = F.struct("effective_start_date", "effective_end_date", *dim_cols)
     rest = [c for c in fact.columns if c != hub_key]
-    event = F.struct(*rest) if rest else F.struct(F.lit(None).alias("_none"))
+    if len(rest) > 1 and types[time_col] == types["effective_start_date"]:
+        rest.remove(time_col)                                # it is the stream's own time
+    event = F.struct(*rest) if rest else F.struct(F.lit(None).cast("boolean").alias("_none"))
     versions = d.select(F.col(hub_key).alias("_key"), F.col("effective_start_date").alias("_at"), F.lit(0).alias("_kind"),
                         F.xxhash64("effective_end_date").alias("_tie"), version.alias("_version"))
     events = fact.select(F.col(hub_key).alias("_key"), F.col(time_col).alias("_at"), F.lit(1).alias("_kind"),
@@ -240,8 +255,9 @@ def join_point_in_time(fact: DataFrame, dim: DataFrame, hub_key: str, time_col:
     versions = versions.where("_version.effective_end_date > _version.effective_start_date")
     stream = versions.unionByName(events, allowMissingColumns=True).where("_key is not null and _at is not null")
     # boundaries come from samples, so what was placed is kept: the two uses below must agree
+    ensure_checkpoint_dir(fact.sparkSession)
     placed = (stream.repartitionByRange("_key", "_at", "_kind", "_tie").withColumn("_part", F.spark_partition_id())
-              .checkpoint(eager=True))
+              .drop("_tie").checkpoint(eager=True))
     last = (placed.where("_kind = 0").groupBy("_part")
             .agg(F.max_by(F.struct("_key", "_version"), F.struct("_key", "_at")).alias("_last")))
     parts = placed.select("_part").distinct().join(last, "_part", "left")     # one row per partition
@@ -252,8 +268,10 @@ def join_point_in_time(fact: DataFrame, dim: DataFrame, hub_key: str, time_col:
            .where("_kind = 1").join(F.broadcast(carried), "_part", "left"))
     found = F.coalesce(F.col("_version"),
                        F.when(F.col("_carried._key") == F.col("_key"), F.col("_carried._version")))
-    return (met.withColumn("_version", found).where(F.col("_at") < F.col("_version.effective_end_date"))
-            .select(F.col("_key").alias(hub_key), *[F.col(f"_event.{c}").alias(c) for c in rest], "_version.*"))
+    own = {hub_key: "_key", **({} if time_col in rest else {time_col: "_at"})}
+    out = (met.withColumn("_version", found).where(F.col("_at") < F.col("_version.effective_end_date"))
+           .select(*[F.col(own.get(c, f"_event.{c}")).alias(c) for c in [hub_key, *fact.drop(hub_key).columns]], "_version.*"))
+    return out.select(*[unpacked(c).alias(c) if c in short else c for c in out.columns])
 
 
 def join_calendar(fact: DataFrame, calendar: DataFrame) -> DataFrame:

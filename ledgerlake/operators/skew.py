@@ -24,27 +24,28 @@ from pyspark.sql import functions as F
 HOT_SHARE = 0.001
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
-    """Keys with more than ``share`` of the rows (fewer than ``1 / share`` of them)."""
-    rows = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, weight: str | None = None) -> DataFrame:
+    """Keys with more than ``share`` of the rows (fewer than ``1 / share`` of them); a row counts ``weight`` times."""
+    rows = df.groupBy(key).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("_rows"))
     total = rows.agg(F.sum("_rows").alias("_total"))
     return (rows.crossJoin(F.broadcast(total))               # one row
             .filter(F.col("_rows") > F.col("_total") * F.lit(share)).select(key))
 
 
 def salted_join(big: DataFrame, small: DataFrame, key: str, share: float = HOT_SHARE,
-                salts: int = 32, how: str = "inner", hot_from: DataFrame | None = None) -> DataFrame:
+                salts: int = 32, how: str = "inner", hot_from: DataFrame | None = None,
+                weight: str | None = None) -> DataFrame:
     """``big.join(small, key, how)`` with hot keys of ``big`` split ``salts`` ways.
 
     ``how`` is ``inner`` or ``left`` (big side preserved); the result equals the
     plain join.  ``hot_from`` is a cheaper table with the same key
     distribution to find hot keys in (e.g. the link that carries the key),
-    instead of a second pass over ``big``'s whole lineage.
+    instead of a second pass over ``big``'s whole lineage; its rows may be counts (``weight``).
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
     source = big if hot_from is None else hot_from
-    hot = F.broadcast(hot_keys(source, key, share).withColumn("_hot", F.lit(True)))
+    hot = F.broadcast(hot_keys(source, key, share, weight).withColumn("_hot", F.lit(True)))
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(salts))
     b = (big.join(hot, key, "left")
          .withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0)).cast("int"))

@@ -12,7 +12,9 @@ append.  The plans are hash-partitioned on the hub key:
   the hk partitioning, so the stored side is shuffled once.
 
 Hot keys are collapsed by the map-side partial aggregate before any shuffle,
-so a key carrying a third of all rows ships one row per map task.
+so a key carrying a third of all rows ships one row per map task.  The ``keyed``
+loads give that up for a single shuffle of narrow rows: there all copies of one
+hub key meet in one task.
 """
 
 from __future__ import annotations
@@ -44,18 +46,44 @@ def load_hub(bronze_df: DataFrame, entity: Entity, params: RunParams,
     return new
 
 
+def _keyed(rows: DataFrame, hk: str, digests: list[str]) -> DataFrame:
+    """``rows`` partitioned by the digest ``hk`` (never NULL); all ``digests`` are shuffled as bytes."""
+    def raw(c):
+        # not nullable, so that joins on the key need not hash it once more to drop NULLs
+        return F.coalesce(F.unhex(c), F.lit(b"")) if c == hk else F.unhex(c)
+    text = [F.lower(F.hex(c)).alias(c) if c in digests else F.col(c) for c in rows.columns]
+    return (rows.select(*[raw(c).alias(c) if c in digests else F.col(c) for c in rows.columns])
+            .repartition(F.lower(F.hex(hk))).select(*text))
+
+
 def load_link(bronze_df: DataFrame, link: Link, params: RunParams,
-              existing: DataFrame | None = None) -> DataFrame:
-    """Distinct relationships by link hash key (md5 of both hub keys)."""
+              existing: DataFrame | None = None, keyed: bool = False) -> DataFrame:
+    """Distinct relationships by link hash key (md5 of both hub keys).
+
+    ``keyed`` gives the link rows that an inner join on the second hub's key
+    can meet (the key is not NULL), partitioned by that key: they are
+    shuffled once for the dedupe and for that join.  As both keys then decide the link
+    key, they are the dedupe's key.
+    """
     a, b = ENTITIES[link.a], ENTITIES[link.b]
-    hashed = bronze_df.select(hash_key(a.key).alias(a.hk), hash_key(b.key).alias(b.hk),
-                              F.col("_source").alias("rec_src"))
+    rows = bronze_df.where(F.col(b.key).isNotNull()) if keyed else bronze_df
+    hashed = rows.select(hash_key(a.key).alias(a.hk), hash_key(b.key).alias(b.hk),
+                         F.col("_source").alias("rec_src"))
+    if keyed:
+        new = (_keyed(hashed, b.hk, [a.hk, b.hk])
+               .groupBy(b.hk, a.hk).agg(F.min("rec_src").alias("rec_src"))
+               .select(link_hash_key(a.hk, b.hk).alias(link.hk), a.hk, b.hk,
+                       params.load_ts_col.alias("load_dts"), "rec_src"))
+        return new if existing is None else new.join(existing.select(link.hk), on=link.hk, how="left_anti")
+    # digests are shuffled as bytes, which are ordered as their text is
+    def text(c):
+        return F.lower(F.hex(c))
     new = (hashed
-           .select(link_hash_key(a.hk, b.hk).alias(link.hk),
-                   F.struct(a.hk, b.hk, "rec_src").alias("_v"))
+           .select(F.unhex(link_hash_key(a.hk, b.hk)).alias(link.hk),
+                   F.struct(F.unhex(a.hk).alias(a.hk), F.unhex(b.hk).alias(b.hk), "rec_src").alias("_v"))
            .groupBy(link.hk)
            .agg(F.min("_v").alias("_v"))
-           .select(link.hk, F.col("_v")[a.hk].alias(a.hk), F.col("_v")[b.hk].alias(b.hk),
+           .select(text(link.hk).alias(link.hk), text(F.col("_v")[a.hk]).alias(a.hk), text(F.col("_v")[b.hk]).alias(b.hk),
                    params.load_ts_col.alias("load_dts"), F.col("_v")["rec_src"].alias("rec_src")))
     if existing is not None:
         new = new.join(existing.select(link.hk), on=link.hk, how="left_anti")
@@ -82,6 +110,18 @@ def stage_sat(bronze_df: DataFrame, entity: Entity, params: RunParams) -> DataFr
         F.col("_source").alias("rec_src"))
 
 
+def stage_keyed_sat(bronze_df: DataFrame, entity: Entity, params: RunParams) -> DataFrame:
+    """The rows of :func:`stage_sat` whose hub key is not NULL, partitioned by it.  Key and
+    attributes are shuffled, the rest is computed behind the shuffle."""
+    now = params.load_ts_col
+    rows = bronze_df.where(F.col(entity.key).isNotNull()).select(
+        hash_key(entity.key).alias(entity.hk), *[fn(F.col(name)).alias(name) for name, fn in entity.attrs],
+        F.col("_source").alias("rec_src"))
+    return _keyed(rows, entity.hk, [entity.hk]).select(
+        entity.hk, *entity.attr_names, hash_diff(*entity.attr_names).alias("hash_diff"),
+        entity.valid(F.col, now).alias("_is_valid"), now.alias("load_dts"), "rec_src")
+
+
 def dedupe_versions(staged: DataFrame, entity: Entity) -> DataFrame:
     """One row per (hk, hash_diff) of a batch.  Copies of a row combine
     map-side.  Two attribute tuples that share a hash_diff (the undelimited
@@ -101,14 +141,17 @@ def latest_hash(existing: DataFrame, hk: str) -> DataFrame:
 
 
 def load_sat(bronze_df: DataFrame, entity: Entity, params: RunParams,
-             existing: DataFrame | None = None) -> DataFrame:
+             existing: DataFrame | None = None, keyed: bool = False) -> DataFrame:
     """New and changed attribute versions of one batch.
 
     Compared with the latest stored version only, so A -> B -> A stores three
     versions.  Invalid rows are stored too (soft fail, ``_is_valid = false``).
+    ``keyed`` gives the versions that an inner join on the hub key can meet (the key
+    is not NULL), partitioned by it: they are shuffled once for dedupe and join.
     """
     hk = entity.hk
-    staged = dedupe_versions(stage_sat(bronze_df, entity, params), entity)
+    stage = stage_keyed_sat if keyed else stage_sat
+    staged = dedupe_versions(stage(bronze_df, entity, params), entity)
     if existing is None:
         return staged.select(*sat_columns(entity))
     latest = latest_hash(existing, hk)

@@ -12,7 +12,9 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ledgerlake.functions.keys import hash_key
 from ledgerlake.operators import gold
 from ledgerlake.operators.bronze import bronze
 from ledgerlake.operators.vault import load_hub, load_link, load_sat, quarantine_of_batch
@@ -63,6 +65,20 @@ class Lakehouse:
             self._sats[entity] = load_sat(self.bronze(e.source), e, self.params)
         return self._sats[entity]
 
+    def keyed_link(self, name: str) -> DataFrame:
+        """The link's rows for an inner join on its second hub's key (:func:`load_link`)."""
+        l = LINKS[name]
+        return load_link(self.bronze(l.source), l, self.params, keyed=True)
+
+    def keyed_sat(self, entity: str) -> DataFrame:
+        """The satellite's rows for an inner join on its hub key (:func:`load_sat`)."""
+        e = ENTITIES[entity]
+        return load_sat(self.bronze(e.source), e, self.params, keyed=True)
+
+    def keyed_table(self, name: str) -> DataFrame:
+        layer, _, rest = name.partition("_")
+        return {"link": self.keyed_link, "sat": self.keyed_sat}[layer](rest)
+
     @cached_property
     def quarantine(self) -> DataFrame:
         return quarantine_of_batch({e.source: self.bronze(e.source) for e in ENTITIES.values()}, self.params)
@@ -70,23 +86,23 @@ class Lakehouse:
     # -- gold -------------------------------------------------------------------
     @cached_property
     def dim_customer(self) -> DataFrame:
-        return gold.dim_customer(self.sat("customer"), self.hub("customer"))
+        return gold.dim_customer(self.keyed_sat("customer"), self.hub("customer"))
 
     @cached_property
     def dim_account(self) -> DataFrame:
-        return gold.dim_account(self.sat("account"), self.hub("account"), self.link("customer_account"))
+        return gold.dim_account(self.keyed_sat("account"), self.hub("account"), self.keyed_link("customer_account"))
 
     @cached_property
     def dim_card(self) -> DataFrame:
-        return gold.dim_card(self.sat("card"), self.hub("card"), self.link("account_card"))
+        return gold.dim_card(self.keyed_sat("card"), self.hub("card"), self.keyed_link("account_card"))
 
     @cached_property
     def dim_merchant(self) -> DataFrame:
-        return gold.dim_merchant(self.sat("merchant"), self.hub("merchant"))
+        return gold.dim_merchant(self.keyed_sat("merchant"), self.hub("merchant"))
 
     @cached_property
     def dim_branch(self) -> DataFrame:
-        return gold.dim_branch(self.sat("branch"), self.hub("branch"))
+        return gold.dim_branch(self.keyed_sat("branch"), self.hub("branch"))
 
     @cached_property
     def dim_date(self) -> DataFrame:
@@ -94,16 +110,34 @@ class Lakehouse:
 
     @cached_property
     def fact_transactions(self) -> DataFrame:
-        return gold.fact_transactions(self.sat("transaction"), self.link("account_transaction"),
-                                      self.link("merchant_transaction"), self.link("customer_account"))
+        return self.transactions_fact()
+
+    def transactions_fact(self, hot_share: float | None = None) -> DataFrame:
+        return gold.fact_transactions(self.keyed_sat("transaction"), self.keyed_link("account_transaction"),
+                                      self.keyed_link("merchant_transaction"), self.keyed_link("customer_account"),
+                                      hot_share=hot_share,
+                                      hot_from=self.account_activity if hot_share else None,
+                                      weight="_rows" if hot_share else None)
+
+    @cached_property
+    def account_activity(self) -> DataFrame:
+        """``_rows`` transactions by ``hk_account``, counted in bronze: shows hot accounts without the fact."""
+        return (self.bronze("transactions").select(hash_key("account_id").alias("hk_account"))
+                .groupBy("hk_account").agg(F.count(F.lit(1)).alias("_rows")))
+
+    @cached_property
+    def customer_activity(self) -> DataFrame:
+        """``_rows`` transactions by ``hk_customer``, likewise."""
+        return (self.account_activity.join(self.keyed_link("customer_account"), "hk_account")
+                .groupBy("hk_customer").agg(F.sum("_rows").alias("_rows")))
 
     @cached_property
     def fact_loans(self) -> DataFrame:
-        return gold.fact_loans(self.sat("loan"), self.link("customer_loan"))
+        return gold.fact_loans(self.keyed_sat("loan"), self.keyed_link("customer_loan"))
 
     @cached_property
     def fact_account_balance(self) -> DataFrame:
-        return gold.fact_account_balance(self.sat("account"), self.link("customer_account"))
+        return gold.fact_account_balance(self.keyed_sat("account"), self.keyed_link("customer_account"))
 
     def table(self, name: str) -> DataFrame:
         """Look a table up by its model name (``hub_customer``, ``dim_card`` ...)."""

@@ -18,7 +18,7 @@ from ledgerlake.plans import oracle, oracle_checks
 from ledgerlake.plans.entities import ENTITIES, LINKS
 from ledgerlake.plans.incremental import account_history, account_upkeep, three_batches
 from ledgerlake.plans.layers import Lakehouse
-from ledgerlake.session import ensure_checkpoint_dir
+from ledgerlake.session import staged
 from ledgerlake.sources.driver_tables import account_batches
 from ledgerlake.sources.schemas import SOURCE_SCHEMAS
 
@@ -79,9 +79,7 @@ def _registry() -> tuple[dict[str, Builder], dict[str, str]]:
         sql[name] = oracle.table(name)
 
     # the same fact, and the two joins on a possibly hot key, with hot keys split explicitly
-    q["fact_transactions_salted"] = lambda lh: gold.fact_transactions(
-        lh.sat("transaction"), lh.link("account_transaction"), lh.link("merchant_transaction"),
-        lh.link("customer_account"), hot_share=HOT_SHARE)
+    q["fact_transactions_salted"] = lambda lh: lh.transactions_fact(hot_share=HOT_SHARE)
     sql["fact_transactions_salted"] = oracle.table("fact_transactions")
 
     # documented joins
@@ -106,12 +104,13 @@ def _registry() -> tuple[dict[str, Builder], dict[str, str]]:
     q["join_point_in_time_salted"] = lambda lh: gold.join_point_in_time(
         lh.fact_transactions.select("transaction_hub_key", "account_hub_key", "transaction_date", "amount_usd"),
         account_history(lh, EVENT_LOADS).dim, "account_hub_key", "transaction_date", ["account_key", "account_type"],
-        hot_share=HOT_SHARE)
+        hot_share=HOT_SHARE, hot_from=lh.account_activity.withColumnRenamed("hk_account", "account_hub_key"), weight="_rows")
     sql["join_point_in_time_salted"] = sql["join_point_in_time"]
     q["join_current_customer_salted"] = lambda lh: gold.join_current(
         lh.fact_transactions.select("transaction_hub_key", "customer_hub_key", "amount_usd"),
         lh.dim_customer.select("customer_hub_key", "customer_id", "city", "credit_tier", "is_current"),
-        "customer_hub_key", hot_share=HOT_SHARE).drop("is_current")
+        "customer_hub_key", hot_share=HOT_SHARE,
+        hot_from=lh.customer_activity.withColumnRenamed("hk_customer", "customer_hub_key"), weight="_rows").drop("is_current")
     sql["join_current_customer_salted"] = sql["join_current_customer"]
 
     q["join_fact_calendar"] = lambda lh: gold.join_calendar(
@@ -183,8 +182,8 @@ def _registry() -> tuple[dict[str, Builder], dict[str, str]]:
 class LakeTables(dict):
     """Mapping from model name to the Lakehouse table, built on first use.
 
-    With ``materialize`` each table is checkpointed (reliably, into the
-    session's checkpoint folder) the first time it is needed, so the many
+    With ``materialize`` each table is written into the session's checkpoint
+    folder the first time it is needed, so the many
     assertions over one table read it instead of re-deriving it, as the
     pipeline does with its written tables; ``columns`` names those that are
     kept of a table.
@@ -201,13 +200,12 @@ class LakeTables(dict):
         if name in self.columns:
             df = df.select(*[c for c in df.columns if c in self.columns[name]])
         if self.materialize:
-            ensure_checkpoint_dir(df.sparkSession)
-            df = df.checkpoint(eager=True)
+            df = staged(df, name)
         self[name] = df
         return df
 
     def prefetch(self, names: list[str], workers: int = 8) -> "LakeTables":
-        """Build (and with ``materialize``, checkpoint) several tables at
+        """Build (and with ``materialize``, write) several tables at
         once from driver threads."""
         from concurrent.futures import ThreadPoolExecutor
         todo = [n for n in dict.fromkeys(names) if n not in self]
@@ -218,10 +216,14 @@ class LakeTables(dict):
 
 
 def checks_query(checks: list, cross: list[str] | None = None) -> Builder:
-    """A layer's assertions over its tables: the tables are checkpointed once
-    (concurrently) and every assertion reads the checkpoint, as the pipeline's
+    """A layer's assertions over its tables: the tables are written once
+    (concurrently) and every assertion reads what was written, as the pipeline's
     assertions read the written tables."""
     def run(lh: Lakehouse) -> DataFrame:
+        if not checks:
+            # each table is read once, by inner joins on its hub key: nothing to write
+            tables = {n: lh.keyed_table(n) for name in cross for n in chk.CROSS_ENTITY[name][1]}
+            return chk.run_checks(checks, tables, lh.params.load_ts_col, cross)
         needed = chk.needed_columns(checks, cross)
         tables = LakeTables(lh, materialize=True, columns=needed).prefetch(list(needed))
         return chk.run_checks(checks, tables, lh.params.load_ts_col, cross)

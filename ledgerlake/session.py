@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job in this package assumes.  AQE re-plans joins at runtime
 # (coalesces tiny partitions, splits skewed partitions of sort-merge joins).
@@ -73,3 +74,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     local_dir = tempfile.mkdtemp(prefix="ledgerlake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local_dir)
     return sc.getCheckpointDir()
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once as compressed Parquet below the shared checkpoint folder and read
+    again: like a reliable checkpoint, which stores its rows uncompressed, it cuts the lineage."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
