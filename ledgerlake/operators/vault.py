@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.keys import hash_diff, hash_key, link_hash_key
+from ledgerlake.functions.keys import hash_diff, hash_key, link_hash_key, packed, unpacked
 from ledgerlake.params import RunParams
 from ledgerlake.plans.entities import ENTITIES, Entity, Link
 
@@ -122,15 +122,17 @@ def stage_keyed_sat(bronze_df: DataFrame, entity: Entity, params: RunParams) ->
         entity.valid(F.col, now).alias("_is_valid"), now.alias("load_dts"), "rec_src")
 
 
-def dedupe_versions(staged: DataFrame, entity: Entity) -> DataFrame:
+def dedupe_versions(staged: DataFrame, entity: Entity, keyed: bool = False) -> DataFrame:
     """One row per (hk, hash_diff) of a batch.  Copies of a row combine
     map-side.  Two attribute tuples that share a hash_diff (the undelimited
     hash makes ('ab','c') and ('a','bc') collide) are one version; the
-    smallest tuple is kept, so a retry keeps the same one."""
+    smallest tuple is kept, so a retry keeps the same one.  Unless the rows are
+    ``keyed`` already, both keys are shuffled packed."""
     rest = [c for c in sat_columns(entity) if c not in (entity.hk, "hash_diff")]
-    return (staged.groupBy(entity.hk, "hash_diff").agg(F.min(F.struct(*rest)).alias("_v"))
-            .select(*[F.col(c) if c in (entity.hk, "hash_diff") else F.col("_v")[c].alias(c)
-                      for c in sat_columns(entity)]))
+    keys = (entity.hk, "hash_diff")
+    into, back = (F.col, F.col) if keyed else (packed, unpacked)
+    return (staged.groupBy(*[into(c).alias(c) for c in keys]).agg(F.min(F.struct(*rest)).alias("_v"))
+            .select(*[back(c).alias(c) if c in keys else F.col("_v")[c].alias(c) for c in sat_columns(entity)]))
 
 
 def latest_hash(existing: DataFrame, hk: str) -> DataFrame:
@@ -151,7 +153,7 @@ def load_sat(bronze_df: DataFrame, entity: Entity, params: RunParams,
     """
     hk = entity.hk
     stage = stage_keyed_sat if keyed else stage_sat
-    staged = dedupe_versions(stage(bronze_df, entity, params), entity)
+    staged = dedupe_versions(stage(bronze_df, entity, params), entity, keyed)
     if existing is None:
         return staged.select(*sat_columns(entity))
     latest = latest_hash(existing, hk)

@@ -34,6 +34,8 @@ from ledgerlake.sources.files import exists  # noqa: F401  (part of this module'
 LAYERS = ("bronze", "silver", "gold", "reporting")
 #: Published versions of a full-refresh table that stay.
 KEEP = 2
+#: Codec of stored tables: it halves MD5 digests in hex, which Spark's default (snappy) leaves as they are.
+COMPRESSION = "zstd"
 
 
 def table_path(base: str, layer: str, name: str) -> str:
@@ -137,7 +139,7 @@ def tidy(spark: SparkSession, path: str, keep: int = KEEP) -> None:
 def write_full(df: DataFrame, path: str) -> None:
     """Full refresh of a table with one writer at a time (see the module's text)."""
     spark, version = df.sparkSession, uuid.uuid4().hex[:12]
-    df.write.parquet(version_path(path, version))
+    df.write.option("compression", COMPRESSION).parquet(version_path(path, version))
     switch(spark, path, version)
     tidy(spark, path)
 
@@ -151,7 +153,7 @@ def write_parts(df: DataFrame, path: str, key: str, buckets: int, replaced: list
     spark, version = df.sparkSession, uuid.uuid4().hex[:12]
     where = version_path(path, version)
     (df.withColumn("bucket", bucket_of(key, buckets)).repartition(len(replaced) if replaced else buckets, "bucket")
-     .write.partitionBy("bucket").parquet(where))
+     .write.option("compression", COMPRESSION).partitionBy("bucket").parquet(where))
     parts = {} if replaced is None else {b: v for b, v in published_parts(spark, path).get("parts", {}).items()
                                          if int(b) not in replaced}
     parts |= {n.split("=")[1]: version for n in files.names(spark, where) if n.startswith("bucket=")}
@@ -182,7 +184,7 @@ def write_batch(df: DataFrame, path: str, run: RunParams) -> None:
     """Idempotent append: (re)write this run's own directory only, then mark it finished."""
     spark, tag = df.sparkSession, batch_tag(run)
     reopen_batch(spark, path, tag)
-    df.write.mode("overwrite").parquet(f"{path}/batch={tag}")
+    df.write.mode("overwrite").option("compression", COMPRESSION).parquet(f"{path}/batch={tag}")
     finish_batch(spark, path, tag)
 
 
