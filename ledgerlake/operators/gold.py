@@ -241,6 +241,8 @@ def join_point_in_time(fact: DataFrame, dim: DataFrame, hub_key: str, time_col:
     # every row is shuffled twice and stored once: text keys are packed meanwhile
     types = {**dict(d.dtypes), **dict(fact.dtypes)}
     short = {c for c in (hub_key, *fact.columns, *dim_cols) if c.endswith("_key") and types[c] == "string"}
+    fact = fact.where(F.col(hub_key).isNotNull() & F.col(time_col).isNotNull())
+    d = d.where(F.col(hub_key).isNotNull() & F.col("effective_start_date").isNotNull())
     fact, d = (df.select(*[packed(c).alias(c) if c in short else c for c in df.columns]) for df in (fact, d))
     version = F.struct("effective_start_date", "effective_end_date", *dim_cols)
     rest = [c for c in fact.columns if c != hub_key]
@@ -253,7 +255,7 @@ def join_point_in_time(fact: DataFrame, dim: DataFrame, hub_key: str, time_col:
                          F.xxhash64(*rest).alias("_tie"), event.alias("_event"))
     # a version that ends as it starts is never valid; without it starts are unique within a key
     versions = versions.where("_version.effective_end_date > _version.effective_start_date")
-    stream = versions.unionByName(events, allowMissingColumns=True).where("_key is not null and _at is not null")
+    stream = versions.unionByName(events, allowMissingColumns=True)
     # boundaries come from samples, so what was placed is kept: the two uses below must agree
     ensure_checkpoint_dir(fact.sparkSession)
     placed = (stream.repartitionByRange("_key", "_at", "_kind", "_tie").withColumn("_part", F.spark_partition_id())
