@@ -15,11 +15,15 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import discard, grouped, placed, scratch, shared_counts
 
+#: Sets that a Python worker gets at a time.
+SETS = 1000
+
 
 def open_members(member: DataFrame, key: list[str], parts: DataFrame) -> DataFrame:
     """The members (key, node, n, ...) of lists that hold several components, with their ``part``."""
@@ -59,32 +63,36 @@ def links_between(spark: SparkSession, opened: DataFrame, key: list[str], percen
     cell = [*key, "i", "j"]
     dealt = (sides.join(opened, [*key, "block"]).select(*cell, "side", "node", "part", "n", *extra)
              .repartition(*cell).sortWithinPartitions(*cell, "side", "node"))
-    kept = [*cell, "side", "node", "part"]
-    width, keys = len(kept), len(key)
+    width, keys = len(cell), len(key)
+    schema = pa.schema([("d1", pa.int64()), ("d2", pa.int64()), ("side", pa.int32()), ("node", pa.int64()), ("part", pa.int64())])
 
     def first_pass(batches):
         for name, rows in grouped(batches, keys + 2):
             keep = likely(name[:keys], rows)
             if keep.any():
-                yield from rows.select(range(width)).filter(pa.array(keep)).to_batches()
-
-    members = scratch(spark, dealt.mapInArrow(first_pass, dealt.select(*kept).schema), f"{label}-members")
+                some = rows.filter(pa.array(keep)).select(range(width, width + 3))
+                digest = xxhash.xxh3_128_intdigest(b"".join(np.ascontiguousarray(c.to_numpy()).tobytes() for c in some.columns[:2]))
+                named = [pa.array(np.full(some.num_rows, d - (1 << 63))) for d in (digest >> 64, digest & ((1 << 64) - 1))]
+                yield pa.RecordBatch.from_arrays([*named, *(c.combine_chunks() for c in some.columns)], schema=schema)
+
+    # the same members often meet in many lists: cells go by what is left of them, so each is looked at once
+    members = scratch(spark, dealt.mapInArrow(first_pass, "d1 long, d2 long, side int, node long, part long").distinct(),
+                      f"{label}-members")
     discard(opened)
     nodes = scratch(spark, members.select("node").distinct(), f"{label}-nodes")
-    sets = scratch(spark, sets_of(nodes), f"{label}-sets")
-    told = (members.join(sets, "node").select(*kept, "shingles").repartition(*cell)
-            .sortWithinPartitions(*cell, "side", "node"))
-    schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+    told = (members.join(sets_of(nodes), "node").select("d1", "d2", "side", "node", "part", "shingles")
+            .repartition("d1", "d2").sortWithinPartitions("d1", "d2", "side", "node"))
+    pair = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
     def second_pass(batches):
-        for _, rows in grouped(batches, keys + 2):
+        for _, rows in grouped(batches, 2):
             found = spanning_links(rows, percent)
             if found:
                 u, v = zip(*found, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], schema=pair)
 
-    links = scratch(spark, told.mapInArrow(second_pass, "u long, v long"), f"{label}-links")
-    for table in (members, nodes, sets):
+    links = scratch(spark, told.mapInArrow(second_pass, "u long, v long"), f"{label}-links", SETS)
+    for table in (members, nodes):
         discard(table)
     return links
 

@@ -26,14 +26,28 @@ def text_of(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 
 
-def scratch(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+#: Spark's settings: a query's shuffle files go when it ends; rows that a Python worker gets at a time.
+_CLEANUP, _BATCH = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def scratch(spark: SparkSession, df: DataFrame, label: str, batch: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet below the shared checkpoint folder and read it back.
 
     Cuts the lineage and, unlike ``checkpoint()``, keeps column pruning; a lost
-    executor re-reads files.
+    executor re-reads files.  The write's shuffle files go with it; else they
+    stay until the driver happens to collect its garbage.  ``batch``: Python
+    workers get so many rows at a time (long texts).
     """
     path = f"{ensure_checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    wanted = {_CLEANUP: "true", **({_BATCH: str(batch)} if batch else {})}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -58,6 +58,8 @@ MAX_LIGHT, HEAVY_ROW_COST = 10, 5
 BLOCK, HEAVY = 256, 2000
 #: Lists that a member names so that a pair is not looked at in each list that it shares.
 FIRST, FEW = 32, 64
+#: Texts that a Python worker gets at a time, and words whose hashes it keeps.
+TEXTS, MEMO = 1000, 100_000
 NO_ID = -(2**63)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -143,7 +145,7 @@ def _arrow(df: DataFrame, run, schema: str) -> DataFrame:
 
 def _scan(docs: DataFrame) -> DataFrame:
     """(node, n, d1, d2, parity bits) per row, and a task's frequency counters (node: chunk, bits: counts; ``row`` false)."""
-    memo = Memo(_word_hash)
+    memo = Memo(_word_hash, MEMO)
     schema = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()),
                         ("bits", pa.list_(pa.int64())), ("row", pa.bool_())])
 
@@ -193,7 +195,7 @@ def _signatures(docs: DataFrame, counts: np.ndarray, x: int) -> DataFrame:
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(counts)            # COUNTERS integers
     hot_from = max(2.0, HOT * counts.sum() / COUNTERS)
-    memo = Memo(_word_hash)
+    memo = Memo(_word_hash, MEMO)
     schema = pa.schema([("token", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("pos", pa.int32()),
                         ("kind", pa.int8())])
     heavy_from = next(n for n in range(1, MAX_LIGHT + 2) if partners(n)[-1] > x)
@@ -274,7 +276,7 @@ def _possible(n1, p1, n2, p2):
 
 def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """node, shingles (sorted 64-bit hashes as bytes) of the given nodes."""
-    memo = Memo(_word_hash)
+    memo = Memo(_word_hash, MEMO)
     schema = pa.schema([("node", pa.int64()), ("shingles", pa.binary())])
 
     def run(batches):
@@ -298,7 +300,7 @@ def _screen(bits: DataFrame, pairs: DataFrame) -> DataFrame:
 def _verify(spark: SparkSession, docs: DataFrame, pairs: DataFrame, label: str) -> DataFrame:
     """The pairs (u, v) whose sets reach the similarity."""
     nodes = scratch(spark, pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), f"{label}-nodes")
-    sets = scratch(spark, _sets_of(docs, nodes), f"{label}-sets")
+    sets = scratch(spark, _sets_of(docs, nodes), f"{label}-sets", TEXTS)
     with_v = pairs.join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("sv")), "v")
     both = with_v.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("su")), "u")
 
@@ -313,7 +315,7 @@ def _verify(spark: SparkSession, docs: DataFrame, pairs: DataFrame, label: str)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(keep, pa.bool_())),
                                               batch.column(1).filter(pa.array(keep, pa.bool_()))], schema=schema)
 
-    links = scratch(spark, _arrow(both.select("u", "v", "su", "sv"), run, "u long, v long"), f"{label}-links")
+    links = scratch(spark, _arrow(both.select("u", "v", "su", "sv"), run, "u long, v long"), f"{label}-links", TEXTS)
     discard(nodes)
     discard(sets)
     return links
@@ -333,7 +335,7 @@ def near_groups(rows_of: DataFrame, links: bool = False) -> DataFrame:
     """
     spark = rows_of.sparkSession
     docs = rows_of.select("node", "text")
-    scanned = scratch(spark, _scan(docs), "ngram-scan")
+    scanned = scratch(spark, _scan(docs), "ngram-scan", TEXTS)
     counts = _frequencies(scanned)
     rows = scanned.where("row").select("node", "n", "d1", "d2")
     classes = rows.where("n > 0").groupBy("d1", "d2").agg(F.min("node").alias("class_id"), F.min("n").alias("n"))
@@ -347,22 +349,23 @@ def near_groups(rows_of: DataFrame, links: bool = False) -> DataFrame:
     heads = possibly_in(docs, copies, "node", absent=True).unionAll(
         possibly_in(docs, copies, "node").join(copies, "node", "left_anti"))
 
-    signatures = scratch(spark, _signatures(heads, counts, x), "ngram-signatures")
+    signatures = scratch(spark, _signatures(heads, counts, x), "ngram-signatures", TEXTS)
     light = _light_links(signatures.where("kind = 1")) if x else None
     lists = scratch(spark, _lists(signatures), "ngram-lists")
     bits = scanned.where("row").select("node", "n", "bits")
     pairs = (lists.where(F.col("node") != F.col("leader.node"))
              .where(_possible(F.col("n"), F.col("pos"), F.col("leader.n"), F.col("leader.pos")))
              .select(F.col("leader.node").alias("u"), F.col("node").alias("v")).distinct())
-    verified = _verify(spark, docs, scratch(spark, _screen(bits, pairs), "ngram-pairs"), "ngram-1")
+    pairs = scratch(spark, _screen(bits, pairs), "ngram-pairs")
+    verified = _verify(spark, docs, pairs, "ngram-1")
     first = scratch(spark, verified if light is None else verified.unionAll(light), "ngram-links")
-    discard(signatures)
+    for told in (signatures, pairs, verified):
+        discard(told)
     parts = scratch(spark, components(spark, first), "ngram-parts")
     found = _between(spark, docs, lists, bits, parts)
     if not found.isEmpty():
         stars = parts.where("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))
         parts = scratch(spark, components(spark, stars.unionAll(found)), "ngram-parts")
-    discard(lists)
     grouped = (member.join(parts.withColumnRenamed("node", "class_id"), "class_id", "left")
                .select("node", F.col("n").alias("n_shingles"), "class_id",
                        F.coalesce("component", "class_id").alias("component_id"))
@@ -378,6 +381,7 @@ def _between(spark: SparkSession, docs: DataFrame, lists: DataFrame, bits: DataF
     """Links (u, v) that join the components which still meet in a list (lists of two are settled by their leader)."""
     opened = scratch(spark, open_members(lists.where("size > 2").select("token", "node", "n", "pos", "size"), ["token"], parts),
                      "ngram-open")
+    discard(lists)
     # in large lists a pair is looked at once: in the first one that its members tell to share (FIRST of each are told)
     large = opened.where(F.col("size") > FEW)
     first = large.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("token")), 1, FIRST).alias("first"))
@@ -456,7 +460,7 @@ def _degrees(spark: SparkSession, docs: DataFrame, heads: DataFrame) -> DataFram
     sides = couples.select("component", "i", "j", F.col("i").alias("block"), F.lit(0).alias("side")).unionAll(
         couples.where("i < j").select("component", "i", "j", F.col("j").alias("block"), F.lit(1).alias("side")))
     wanted = scratch(spark, at.select("node"), "ngram-many")
-    sets = scratch(spark, _sets_of(docs, wanted), "ngram-sets").join(at, "node")
+    sets = _sets_of(docs, wanted).join(at, "node")
     key = ["component", "i", "j"]
     dealt = (sides.join(sets, ["component", "block"]).select(*key, "side", "node", "shingles")
              .repartition(*key).sortWithinPartitions(*key, "side"))
@@ -476,7 +480,7 @@ def _degrees(spark: SparkSession, docs: DataFrame, heads: DataFrame) -> DataFram
             yield _counted(*held, schema)
 
     counted = _arrow(dealt, run, "node long, n_links long").groupBy("node").agg(F.sum("n_links").alias("n_links"))
-    return scratch(spark, counted.unionAll(two), "ngram-degrees")
+    return scratch(spark, counted.unionAll(two), "ngram-degrees", TEXTS)
 
 
 def _counted(a: list, b: list, schema: pa.Schema) -> pa.RecordBatch:
