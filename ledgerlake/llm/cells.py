@@ -47,10 +47,11 @@ def links_between(spark: SparkSession, opened: DataFrame, key: list[str], percen
     total = opened.groupBy(*key).agg(F.sum(weight).alias("total__")).where(F.col("total__") > block).select(*key)
     large = placed(spark, opened.join(total, key, "left_semi"), key, ["part", "n", "node"], weight, f"{label}-sorted")
     columns = [*key, "node", "n", "part", *extra]
-    opened = scratch(spark, opened.join(total, key, "left_anti").select(*columns, F.lit(0).cast("long").alias("block"))
-                     .unionAll(large.select(*columns, F.floor(F.col("offset") / block).alias("block"))), f"{label}-blocks")
-    blocks = opened.groupBy(*key, "block").agg(F.min("part").alias("p"), F.max("part").alias("q"),
-                                               F.min("n").alias("low"), F.max("n").alias("high"))
+    # a list of one block is one cell; only blocks of larger lists are paired
+    alone = opened.join(total, key, "left_anti").select(*columns, F.lit(0).cast("long").alias("i"), F.lit(0).cast("long").alias("j"))
+    blocked = scratch(spark, large.select(*columns, F.floor(F.col("offset") / block).alias("block")), f"{label}-blocks")
+    blocks = blocked.groupBy(*key, "block").agg(F.min("part").alias("p"), F.max("part").alias("q"),
+                                                F.min("n").alias("low"), F.max("n").alias("high"))
     a, b = blocks.alias("a"), blocks.alias("b")
     same = F.lit(True)
     for c in key:
@@ -61,7 +62,9 @@ def links_between(spark: SparkSession, opened: DataFrame, key: list[str], percen
     sides = pairs.select("*", F.col("i").alias("block"), F.lit(0).alias("side")).unionAll(
         pairs.where("i < j").select("*", F.col("j").alias("block"), F.lit(1).alias("side")))
     cell = [*key, "i", "j"]
-    dealt = (sides.join(opened, [*key, "block"]).select(*cell, "side", "node", "part", "n", *extra)
+    rest = ["side", "node", "part", "n", *extra]
+    dealt = (alone.select(*cell, F.lit(0).alias("side"), *rest[1:])
+             .unionAll(sides.join(blocked, [*key, "block"]).select(*cell, *rest))
              .repartition(*cell).sortWithinPartitions(*cell, "side", "node"))
     width, keys = len(cell), len(key)
     schema = pa.schema([("d1", pa.int64()), ("d2", pa.int64()), ("side", pa.int32()), ("node", pa.int64()), ("part", pa.int64())])
@@ -78,7 +81,7 @@ def links_between(spark: SparkSession, opened: DataFrame, key: list[str], percen
     # the same members often meet in many lists: cells go by what is left of them, so each is looked at once
     members = scratch(spark, dealt.mapInArrow(first_pass, "d1 long, d2 long, side int, node long, part long").distinct(),
                       f"{label}-members")
-    discard(opened)
+    discard(blocked)
     nodes = scratch(spark, members.select("node").distinct(), f"{label}-nodes")
     told = (members.join(sets_of(nodes), "node").select("d1", "d2", "side", "node", "part", "shingles")
             .repartition("d1", "d2").sortWithinPartitions("d1", "d2", "side", "node"))

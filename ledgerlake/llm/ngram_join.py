@@ -385,9 +385,10 @@ def _between(spark: SparkSession, docs: DataFrame, lists: DataFrame, bits: DataF
     # in large lists a pair is looked at once: in the first one that its members tell to share (FIRST of each are told)
     large = opened.where(F.col("size") > FEW)
     first = large.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("token")), 1, FIRST).alias("first"))
-    members = (opened.where(F.col("size") <= FEW).withColumn("first", F.lit(None).cast("array<bigint>"))
-               .unionByName(large.join(first, "node")).drop("size"))
-    members = scratch(spark, members.join(bits.select("node", "bits"), "node"), "ngram-members")
+    # what a node tells joins its rows at once: the rows are shuffled before they carry it
+    told = bits.select("node", "bits").join(first, "node", "left")
+    members = opened.join(told, "node").withColumn("first", F.when(F.col("size") > FEW, F.col("first"))).drop("size")
+    members = scratch(spark, members, "ngram-members")
     discard(opened)
     links = links_between(spark, members, ["token"], PERCENT, BLOCK, HEAVY, _likely_members,
                           lambda nodes: _sets_of(docs, nodes), "ngram-cells")
