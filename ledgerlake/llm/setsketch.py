@@ -55,12 +55,18 @@ BAND = 4
 MARGIN = 14.0
 #: Weight of a block of a band's members; a member weighs one, and one more per ``HEAVY`` shingles.
 BLOCK, HEAVY = 512, 2000
+#: Pairs of a cell whose registers are compared at a time.
+PAIRS = 8192
 NO_ID = -(2**63)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MULTIPLIERS = np.random.default_rng(12).integers(0, 1 << 31, REGISTERS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _OFFSETS = np.random.default_rng(13).integers(0, 1 << 32, REGISTERS, dtype=np.uint32)
 
 
+#: k log(k / REGISTERS) of k registers.
+_MOST = np.arange(REGISTERS + 1) * np.log(np.maximum(np.arange(REGISTERS + 1), 1) / REGISTERS)
+
+
 def _word_hash(word: bytes) -> int:
     return xxhash.xxh3_64_intdigest(word)
 
@@ -131,6 +137,29 @@ def similarity(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -
     return best, np.where(best >= at, 0.0, np.where(np.isnan(short), np.inf, short))
 
 
+def may_reach(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """Which pairs ``similarity`` puts at most ``MARGIN`` below, mostly without its search.
+
+    The likelihood has one peak, so a likelier value below the threshold (the share of
+    equal registers is next to the peak) rules a pair out; no likelihood
+    exceeds that of the observed shares, which lets a pair pass.
+    """
+    more, less = (a > b).sum(axis=1), (a < b).sum(axis=1)
+    same = a.shape[1] - more - less
+    u = n_a / (n_a + n_b)
+    v = 1 - u
+    at = np.minimum(PERCENT / 100, np.minimum(u / v, v / u))
+    near = same / a.shape[1]
+    with np.errstate(invalid="ignore"):
+        here = _log_likelihood(at, more, less, same, u, v)
+        out = (near < at) & (_log_likelihood(np.minimum(near, at), more, less, same, u, v) - here > MARGIN)
+    keep = _MOST[more] + _MOST[less] + _MOST[same] - here <= MARGIN
+    open_ = np.flatnonzero(~(out | keep))
+    if len(open_):
+        keep[open_] = similarity(a[open_], b[open_], n_a[open_], n_b[open_])[1] <= MARGIN
+    return keep & ~out
+
+
 def _scan(docs: DataFrame) -> DataFrame:
     """doc, text_hash, n, d1, d2 (digest of the set) and registers of every row."""
     memo = Memo(_word_hash)
@@ -191,8 +220,7 @@ def _likely(classes: DataFrame, pairs: DataFrame) -> DataFrame:
             for at in range(0, batch.num_rows, 4096):
                 part = batch.slice(at, 4096)
                 a, b = (np.frombuffer(b"".join(part.column(c).to_pylist()), "<u2").reshape(-1, REGISTERS) for c in (4, 5))
-                _, short = similarity(a, b, part.column(2).to_numpy().astype(float), part.column(3).to_numpy().astype(float))
-                keep = pa.array(short <= MARGIN)
+                keep = pa.array(may_reach(a, b, *(part.column(c).to_numpy().astype(float) for c in (2, 3))))
                 yield pa.RecordBatch.from_arrays([part.column(0).filter(keep), part.column(1).filter(keep)], schema=schema)
 
     return both.mapInArrow(run, "u long, v long")
@@ -259,18 +287,18 @@ def _likely_members(rows: pa.Table, band: int) -> np.ndarray:
     part, n = rows.column("part").to_numpy(), rows.column("n").to_numpy()
     a, b = sides(rows)
     keep = np.zeros(rows.num_rows, bool)
-    for k in a:
-        x = b[(part[b] != part[k]) & (100 * np.minimum(n[b], n[k]) >= PERCENT * np.maximum(n[b], n[k]))]
+    some = max(1, PAIRS // len(b)) if len(b) else 1
+    for at in range(0, len(a), some):                        # about PAIRS pairs at a time
+        x = a[at:at + some, None]
+        ok = (part[b] != part[x]) & (100 * np.minimum(n[b], n[x]) >= PERCENT * np.maximum(n[b], n[x]))
         if a is b:
-            x = x[x > k]
-        x = x[~(keys[x, :band] == keys[k, :band]).any(axis=1)]
-        for at in range(0, len(x), 4096):
-            y = x[at:at + 4096]
-            _, short = similarity(np.broadcast_to(registers[k], (len(y), REGISTERS)), registers[y],
-                                  np.full(len(y), n[k], float), n[y].astype(float))
-            y = y[short <= MARGIN]
-            keep[y] = True
-            keep[k] |= len(y) > 0
+            ok &= b > x
+        x, y = np.nonzero(ok)
+        x, y = a[at + x], b[y]
+        new = ~(keys[x, :band] == keys[y, :band]).any(axis=1)
+        x, y = x[new], y[new]
+        likely = may_reach(registers[x], registers[y], n[x].astype(float), n[y].astype(float))
+        keep[x[likely]] = keep[y[likely]] = True
     return keep
 
 

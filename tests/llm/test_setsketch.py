@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgerlake.llm import setsketch
@@ -141,3 +142,49 @@ def test_bands_with_several_components_in_blocks(spark, monkeypatch, block, heav
     want = brute(rows)
     assert len({c for _, _, c in want}) > 5
     assert got(setsketch.near_duplicates(spark.createDataFrame(rows, DOCS).repartition(5))) == want
+
+
+def sketched_pairs(count, seed):
+    """Registers and sizes of pairs of random sets of all similarities."""
+    r = np.random.default_rng(seed)
+    sides = ([], [])
+    for _ in range(count):
+        size = int(r.integers(1, 300))
+        common = r.integers(0, 1 << 63, int(size * r.choice([0, 0.5, 0.75, 0.8, 0.85, 0.9, 1]))).astype(np.uint64)
+        for side in sides:
+            own = r.integers(0, 1 << 63, int(r.integers(0, size - len(common) + 1)) + 1).astype(np.uint64)
+            side.append(np.unique(np.concatenate([common, own])))
+    return [np.array([setsketch.sketch(s) for s in side]) for side in sides], [np.array([len(s) for s in side]) * 1.0 for side in sides]
+
+
+def test_pairs_are_ruled_out_as_by_the_search(monkeypatch):
+    (a, b), (n_a, n_b) = sketched_pairs(1500, 10)
+    want = setsketch.similarity(a, b, n_a, n_b)[1] <= setsketch.MARGIN
+    assert 0.1 < want.mean() < 0.9
+    searched, search = [], setsketch.similarity
+    monkeypatch.setattr(setsketch, "similarity", lambda a, *more: searched.append(len(a)) or search(a, *more))
+    assert (setsketch.may_reach(a, b, n_a, n_b) == want).all()
+    assert sum(searched) < 0.25 * len(a)
+
+
+@pytest.mark.parametrize("two_blocks", [False, True])
+def test_members_of_a_cell_are_compared_together(monkeypatch, two_blocks):
+    """One search for all pairs of a cell instead of one per member, with the same members kept."""
+    (a, b), (n_a, n_b) = sketched_pairs(120, 11)
+    registers, n = np.concatenate([a, b]), np.concatenate([n_a, n_b])
+    side = np.repeat([0, 1], 120) if two_blocks else np.zeros(240, int)
+    part = np.arange(240) % 100
+    rows = pa.table({"side": pa.array(side, pa.int32()), "part": part, "n": n.astype(np.int64),
+                     "registers": [x.tobytes() for x in registers]})
+    keys = registers.view("<i8")
+    want = np.zeros(240, bool)
+    for x in range(240):
+        for y in range(x + 1, 240):
+            if (part[x] != part[y] and (side[x] != side[y] or not two_blocks) and 100 * min(n[x], n[y]) >= 85 * max(n[x], n[y])
+                    and not (keys[x, :3] == keys[y, :3]).any()
+                    and setsketch.similarity(registers[x:x + 1], registers[y:y + 1], n[x:x + 1], n[y:y + 1])[1][0] <= setsketch.MARGIN):
+                want[[x, y]] = True
+    calls, search = [], setsketch.similarity
+    monkeypatch.setattr(setsketch, "similarity", lambda *of: calls.append(1) or search(*of))
+    assert (setsketch._likely_members(rows, 3) == want).all() and want.any() and not want.all()
+    assert len(calls) <= 240 * 240 // setsketch.PAIRS + 1
