@@ -16,7 +16,7 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import discard, grouped, placed, scratch, shared_counts
@@ -25,11 +25,23 @@ from ledgerlake.llm.common import discard, grouped, placed, scratch, shared_coun
 SETS = 1000
 
 
-def open_members(member: DataFrame, key: list[str], parts: DataFrame) -> DataFrame:
-    """The members (key, node, n, ...) of lists that hold several components, with their ``part``."""
+def open_members(member: DataFrame, key: list[str], parts: DataFrame, heavy: int) -> DataFrame:
+    """The members (key, node, n, ...) of lists that hold several components, with their ``part`` and their list's weight
+    ``total`` (a member weighs one, and one more per ``heavy`` shingles).
+
+    Of lists with the same members (told by two 64-bit hashes) the first stands for all: their pairs are the same.
+    """
     member = (member.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component"))
-    several = (member.groupBy(*key).agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select(*key))
-    return member.join(several, key, "left_semi")
+    several = (member.groupBy(*key).agg(F.min("part").alias("p"), F.max("part").alias("q"), F.count("*").alias("c"),
+                                        F.sum(weight(heavy)).alias("total"), F.bit_xor(F.xxhash64("node")).alias("h1"),
+                                        F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("h2"))
+               .where("p <> q"))
+    first = several.groupBy("h1", "h2", "c").agg(F.min(F.struct(*key)).alias("at"), F.first("total").alias("total"))
+    return member.join(first.select("at.*", "total"), key)
+
+
+def weight(heavy: int) -> Column:
+    return 1 + F.floor(F.col("n") / heavy)
 
 
 def links_between(spark: SparkSession, opened: DataFrame, key: list[str], percent: int, block: int, heavy: int,
@@ -37,18 +49,19 @@ def links_between(spark: SparkSession, opened: DataFrame, key: list[str], percen
                   label: str) -> DataFrame:
     """u, v: links that join components.
 
-    ``opened``: key, node, n (set size), part and whatever ``likely(key values, members)`` looks at; that tells which
-    members have a likely partner of another part (``sides`` gives the two blocks).  ``sets_of(nodes)`` gives node and
-    shingles (sorted 64-bit integers as bytes).  A block weighs ``block``, a member one, and one more per ``heavy``
-    shingles.
+    ``opened``: key, node, n (set size), part, total (the list's weight, as :func:`open_members` gives it; else it is
+    summed here) and whatever ``likely(key values, members)`` looks at; that tells which members have a likely partner of
+    another part (``sides`` gives the two blocks).  ``sets_of(nodes)`` gives node and shingles (sorted 64-bit integers as
+    bytes).  A block weighs ``block``, a member one, and one more per ``heavy`` shingles.
     """
-    extra = [c for c in opened.columns if c not in (*key, "node", "n", "part")]
-    weight = 1 + F.floor(F.col("n") / heavy)
-    total = opened.groupBy(*key).agg(F.sum(weight).alias("total__")).where(F.col("total__") > block).select(*key)
-    large = placed(spark, opened.join(total, key, "left_semi"), key, ["part", "n", "node"], weight, f"{label}-sorted")
+    if "total" not in opened.columns:
+        opened = opened.join(opened.groupBy(*key).agg(F.sum(weight(heavy)).alias("total")), key)
+    extra = [c for c in opened.columns if c not in (*key, "node", "n", "part", "total")]
+    large = placed(spark, opened.where(F.col("total") > block).drop("total"), key, ["part", "n", "node"], weight(heavy),
+                   f"{label}-sorted")
     columns = [*key, "node", "n", "part", *extra]
     # a list of one block is one cell; only blocks of larger lists are paired
-    alone = opened.join(total, key, "left_anti").select(*columns, F.lit(0).cast("long").alias("i"), F.lit(0).cast("long").alias("j"))
+    alone = opened.where(F.col("total") <= block).select(*columns, F.lit(0).cast("long").alias("i"), F.lit(0).cast("long").alias("j"))
     blocked = scratch(spark, large.select(*columns, F.floor(F.col("offset") / block).alias("block")), f"{label}-blocks")
     blocks = blocked.groupBy(*key, "block").agg(F.min("part").alias("p"), F.max("part").alias("q"),
                                                 F.min("n").alias("low"), F.max("n").alias("high"))

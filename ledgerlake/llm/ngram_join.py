@@ -379,8 +379,8 @@ def near_groups(rows_of: DataFrame, links: bool = False) -> DataFrame:
 
 def _between(spark: SparkSession, docs: DataFrame, lists: DataFrame, bits: DataFrame, parts: DataFrame) -> DataFrame:
     """Links (u, v) that join the components which still meet in a list (lists of two are settled by their leader)."""
-    opened = scratch(spark, open_members(lists.where("size > 2").select("token", "node", "n", "pos", "size"), ["token"], parts),
-                     "ngram-open")
+    opened = scratch(spark, open_members(lists.where("size > 2").select("token", "node", "n", "pos", "size"), ["token"], parts,
+                                         HEAVY), "ngram-open")
     discard(lists)
     # in large lists a pair is looked at once: in the first one that its members tell to share (FIRST of each are told)
     large = opened.where(F.col("size") > FEW)

@@ -272,7 +272,7 @@ def _verified(spark: SparkSession, docs: DataFrame, classes: DataFrame, pairs: D
 def _between(spark: SparkSession, docs: DataFrame, classes: DataFrame, shared: DataFrame, parts: DataFrame) -> DataFrame:
     """Links (u, v) that join the components which still meet in a band."""
     key = ["band", "key"]
-    opened = open_members(shared.select(*key, "node", "n"), key, parts).join(classes.select("node", "registers"), "node")
+    opened = open_members(shared.select(*key, "node", "n"), key, parts, HEAVY).join(classes.select("node", "registers"), "node")
     opened = scratch(spark, opened, "sketch-open")
     links = links_between(spark, opened, key, PERCENT, BLOCK, HEAVY, lambda name, rows: _likely_members(rows, name[0]),
                           lambda nodes: _full_sets(docs, classes, nodes), "sketch")
