@@ -132,6 +132,16 @@ def dim_date(spark: SparkSession, start: dt.date = CALENDAR_START,
         (F.last_day(dd) == dd).alias("is_month_end"))
 
 
+def _packed_keys(df: DataFrame, joined: str) -> DataFrame:
+    """``df`` for an inner join on ``joined``, its hub keys packed where they are text.  Rows that cannot join go
+    first and the packed key is not nullable: a NULL test of it would pack (and hash) the key again, several times."""
+    text = {c for c, t in df.dtypes if c.startswith("hk_") and t == "string"}
+
+    def pack(c):
+        return F.coalesce(packed(c), F.lit(b"")) if c == joined else packed(c)
+    return df.where(F.col(joined).isNotNull()).select(*[pack(c).alias(c) if c in text else c for c in df.columns])
+
+
 def fact_transactions(sat: DataFrame, link_account_transaction: DataFrame,
                       link_merchant_transaction: DataFrame,
                       link_customer_account: DataFrame, latest_only: bool = False,
@@ -143,7 +153,7 @@ def fact_transactions(sat: DataFrame, link_account_transaction: DataFrame,
     The two links on ``hk_transaction`` join on the same partitioning as the
     satellite; the customer lookup re-keys on ``hk_account``, where a hot
     account is split by AQE's skew-join handling, or explicitly by salting
-    accounts with more than ``hot_share`` of the transactions.
+    accounts with more than ``hot_share`` of the transactions.  Hub keys come as text or packed.
     """
     if latest_only:
         sat = latest_versions(sat, "hk_transaction")
@@ -153,12 +163,11 @@ def fact_transactions(sat: DataFrame, link_account_transaction: DataFrame,
     lca = link_customer_account.select("hk_account", "hk_customer")
     j = s.join(lat, "hk_transaction").join(lmt, "hk_transaction")
     # the lookup re-keys every fact row: its keys travel packed
-    j = j.select(*[packed(c).alias(c) if c.startswith("hk_") else c for c in j.columns])
-    lca = lca.select(*[packed(c).alias(c) for c in lca.columns])
+    j, lca = _packed_keys(j, "hk_account"), _packed_keys(lca, "hk_account")
     if hot_share:
         # one transaction per link row: the link has the fact's account distribution
         hot = lat if hot_from is None else hot_from
-        hot = hot.select(packed("hk_account").alias("hk_account"), *([weight] if weight else []))
+        hot = _packed_keys(hot.select("hk_account", *([weight] if weight else [])), "hk_account")
         j = salted_join(j, lca, "hk_account", hot_share, hot_from=hot, weight=weight)
     else:
         j = j.join(lca, "hk_account")

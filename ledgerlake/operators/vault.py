@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.keys import hash_diff, hash_key, link_hash_key, packed, unpacked
@@ -135,6 +135,57 @@ def dedupe_versions(staged: DataFrame, entity: Entity, keyed: bool = False) -> D
             .select(*[back(c).alias(c) if c in keys else F.col("_v")[c].alias(c) for c in sat_columns(entity)]))
 
 
+def _raw(key: str, otherwise: Column) -> Column:
+    """The digest of a business key as bytes; not nullable, so that joins on it need not hash the
+    key once more to drop NULLs."""
+    return F.coalesce(F.unhex(hash_key(key)), otherwise)
+
+
+def packed_link(bronze_df: DataFrame, link: Link) -> DataFrame:
+    """Both hub keys of :func:`load_link`'s rows as bytes, without rows whose second key is NULL."""
+    a, b = ENTITIES[link.a], ENTITIES[link.b]
+    return (bronze_df.where(F.col(b.key).isNotNull())
+            .select(F.unhex(hash_key(a.key)).alias(a.hk), _raw(b.key, F.lit(b"")).alias(b.hk)).distinct())
+
+
+def packed_rows(bronze_df: DataFrame, entity: Entity, joined: list[Entity], others: list[Entity]) -> DataFrame:
+    """What the satellite of ``entity`` and the links that end in its hub are loaded from: cleaned attributes and
+    hub keys as bytes, partitioned by the hub key, which is not NULL.
+
+    :func:`first_rows` of it read all columns, so Spark shuffles the rows once for all of
+    them.  A missing key of a ``joined`` hub is replaced by the row's own key and a mark, which no digest
+    equals: an inner join drops it, and many of them do not meet in one task.
+    """
+    rows = bronze_df.where(F.col(entity.key).isNotNull()).select(
+        _raw(entity.key, F.lit(b"")).alias(entity.hk), *[F.unhex(hash_key(e.key)).alias(e.hk) for e in (*joined, *others)],
+        *[fn(F.col(name)).alias(name) for name, fn in entity.attrs], F.col("_source").alias("rec_src"))
+    missing = F.concat(entity.hk, F.lit(bytes(1)))
+    for e in joined:
+        rows = rows.withColumn(e.hk, F.coalesce(e.hk, missing))
+    return rows.repartition(entity.hk)
+
+
+def first_rows(rows: DataFrame, hk: str, key: str) -> DataFrame:
+    """The first row per ``hk`` and ``key`` of :func:`packed_rows`, in the order of the columns: within a hub key's
+    rows, in order, the one whose ``key`` is not that of the row before.  A filter on ``key`` stays above
+    the window, so that the shuffle below remains the same for all."""
+    order = Window.partitionBy(hk).orderBy(key, *[c for c in rows.columns if c not in (hk, key)])
+    return (rows.withColumn("_rn", F.row_number().over(order)).withColumn("_before", F.lag(key).over(order))
+            .where((F.col("_rn") == 1) | ~F.col("_before").eqNullSafe(F.col(key))).drop("_rn", "_before"))
+
+
+def packed_sat(rows: DataFrame, entity: Entity, params: RunParams) -> DataFrame:
+    """The versions of :func:`load_sat` in :func:`packed_rows`; which of several rows with one
+    hash_diff is kept is decided by their attributes first, as in :func:`dedupe_versions`."""
+    now = params.load_ts_col
+    rest = [c for c in rows.columns if c not in entity.attr_names and c != "rec_src"]
+    kept = first_rows(rows.select(*entity.attr_names, "rec_src", *rest, F.unhex(hash_diff(*entity.attr_names)).alias("hash_diff")),
+                      entity.hk, "hash_diff")
+    return kept.select(
+        entity.hk, *entity.attr_names, F.lower(F.hex("hash_diff")).alias("hash_diff"),
+        entity.valid(F.col, now).alias("_is_valid"), now.alias("load_dts"), "rec_src")
+
+
 def latest_hash(existing: DataFrame, hk: str) -> DataFrame:
     """Latest stored ``hash_diff`` per hub key; ties on ``load_dts`` (two
     versions of one batch) are broken by ``hash_diff``."""

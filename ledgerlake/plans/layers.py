@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from ledgerlake.functions.keys import hash_key
 from ledgerlake.operators import gold
 from ledgerlake.operators.bronze import bronze
-from ledgerlake.operators.vault import load_hub, load_link, load_sat, quarantine_of_batch
+from ledgerlake.operators.vault import (first_rows, load_hub, load_link, load_sat, packed_link, packed_rows,
+                                        packed_sat, quarantine_of_batch)
 from ledgerlake.params import DRIVER_RUN, RunParams
 from ledgerlake.plans.entities import ENTITIES, LINKS
 from ledgerlake.sources.driver_tables import banking_sources
@@ -113,8 +114,11 @@ class Lakehouse:
         return self.transactions_fact()
 
     def transactions_fact(self, hot_share: float | None = None) -> DataFrame:
-        return gold.fact_transactions(self.keyed_sat("transaction"), self.keyed_link("account_transaction"),
-                                      self.keyed_link("merchant_transaction"), self.keyed_link("customer_account"),
+        tx, account, merchant = (ENTITIES[n] for n in ("transaction", "account", "merchant"))
+        rows = packed_rows(self.bronze(tx.source), tx, [account], [merchant])    # one shuffle for all three
+        return gold.fact_transactions(packed_sat(rows, tx, self.params), first_rows(rows, tx.hk, account.hk),
+                                      first_rows(rows, tx.hk, merchant.hk),
+                                      packed_link(self.bronze(account.source), LINKS["customer_account"]),
                                       hot_share=hot_share,
                                       hot_from=self.account_activity if hot_share else None,
                                       weight="_rows" if hot_share else None)

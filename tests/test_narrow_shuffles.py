@@ -12,7 +12,7 @@ from ledgerlake.operators import checks as chk
 from ledgerlake.operators.bronze import bronze
 from ledgerlake.operators.gold import fact_transactions
 from ledgerlake.operators.skew import hot_keys
-from ledgerlake.operators.vault import load_link, load_sat
+from ledgerlake.operators.vault import first_rows, load_link, load_sat
 from ledgerlake.params import DRIVER_RUN
 from ledgerlake.plans.entities import ENTITIES, LINKS
 from ledgerlake.plans.layers import Lakehouse
@@ -108,3 +108,41 @@ def test_hub_keys_of_any_text_survive_the_fact(spark):
     lca = spark.createDataFrame([("a1", "c1")], "hk_account string, hk_customer string")
     row = fact_transactions(sat, lat, lmt, lca).select(F.struct("*").alias("r")).first().r
     assert (row.transaction_hub_key, row.account_hub_key, row.merchant_hub_key, row.customer_hub_key) == ("t1", "a1", None, "c1")
+
+
+def test_fact_reads_its_transactions_once(spark):
+    """Before, satellite and links each read, hashed and shuffled the transactions."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        lake = Lakehouse.from_driver(spark, SF_SMALL)
+        # a consumer's join on a link's key must not change what is shuffled for that link
+        for df in (lake.fact_transactions, lake.table("fact_transactions").join(lake.dim_merchant, "merchant_hub_key"),
+                   lake.fact_transactions.where("account_hub_key is not null").groupBy("account_hub_key").count()):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert len(re.findall(r"FileScan parquet \[l_orderkey", plan)) == 1
+            # joined keys are hashed once per row, not once more per use to drop NULLs
+            assert not re.findall(r"Filter [^\n]*md5", plan.partition("FileScan parquet [l_orderkey")[0])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_fact_of_odd_rows(spark, transactions):
+    """Versions, accounts and merchants of one transaction are all paired; rows without an account are dropped."""
+    accounts = spark.createDataFrame([("A1", "C1"), ("A1", "C1"), (" a2", None), ("A2", "C2"), (None, "C3"), ("", "C4")],
+                                     "account_id string, customer_id string")
+    accounts = accounts.select(*[F.col(f.name) if f.name in accounts.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                                 for f in SOURCE_SCHEMAS["accounts"]])
+    sources = {"transactions": transactions.select(*SOURCE_SCHEMAS["transactions"].names), "accounts": accounts}
+    lake = Lakehouse(spark, sources, DRIVER_RUN)
+    want = fact_transactions(lake.sat("transaction"), lake.link("account_transaction"),
+                             lake.link("merchant_transaction"), lake.link("customer_account"))
+    assert len(rows_of(want)) > 8 and rows_of(lake.fact_transactions) == rows_of(want)
+    assert rows_of(lake.transactions_fact(hot_share=0.001)) == rows_of(want)
+
+
+def test_first_rows_keep_a_null_key(spark):
+    rows = spark.createDataFrame([(1, None, 5), (1, None, 4), (1, "b", 3), (1, "b", 2), (2, "b", 1)], "t int, k string, v int")
+    assert rows_of(first_rows(rows, "t", "k")) == rows_of(
+        spark.createDataFrame([(1, None, 4), (1, "b", 2), (2, "b", 1)], rows.schema))
