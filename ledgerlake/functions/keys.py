@@ -8,7 +8,7 @@ forms are written with ``concat_ws('', ...)``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ColumnOrName = Column | str
@@ -59,6 +59,16 @@ def packed(col: ColumnOrName) -> Column:
     return F.when(digest, raw).otherwise(F.concat(F.encode(c, "UTF-8"), F.lit(bytes(_PLAIN))))
 
 
+def unpacked_keys(df: DataFrame) -> DataFrame:
+    """``df`` with its packed keys (binary columns) as text again."""
+    return df.select(*[unpacked(c).alias(c) if t == "binary" else c for c, t in df.dtypes])
+
+
+def key_text(df: DataFrame, name: str) -> Column:
+    """The key ``name`` of ``df`` as text, whether it is packed or not."""
+    return unpacked(name) if dict(df.dtypes)[name] == "binary" else F.col(name)
+
+
 def unpacked(col: ColumnOrName) -> Column:
     """The key behind :func:`packed`."""
     c = _c(col)

@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.banking import credit_tier, date_key, month_start, open_end_ts
-from ledgerlake.functions.keys import packed, surrogate_key, unpacked
-from ledgerlake.operators.skew import salted_join
+from ledgerlake.functions.keys import key_text, packed, surrogate_key, unpacked, unpacked_keys
+from ledgerlake.operators.skew import copied, salted_join
 from ledgerlake.plans.entities import ENTITIES
 from ledgerlake.session import ensure_checkpoint_dir
 
@@ -72,7 +72,7 @@ def dim_account(sat: DataFrame, hub: DataFrame, link_customer_account: DataFrame
     v = versioned(sat, hub, "account", ["account_type", "open_date"],
                   link_customer_account, "hk_customer", valid_only)
     return v.select(
-        surrogate_key("hk_account", "load_dts").alias("account_key"),
+        surrogate_key(key_text(v, "hk_account"), "load_dts").alias("account_key"),
         F.col("hk_account").alias("account_hub_key"),
         "account_id",
         F.col("hk_customer").alias("customer_hub_key"),
@@ -146,7 +146,7 @@ def fact_transactions(sat: DataFrame, link_account_transaction: DataFrame,
                       link_merchant_transaction: DataFrame,
                       link_customer_account: DataFrame, latest_only: bool = False,
                       hot_share: float | None = None, hot_from: DataFrame | None = None,
-                      weight: str | None = None) -> DataFrame:
+                      weight: str | None = None, dealt_by: DataFrame | None = None) -> DataFrame:
     """All transaction versions with account, merchant and customer keys
     (``latest_only``: one row per transaction, its latest version).
 
@@ -154,6 +154,8 @@ def fact_transactions(sat: DataFrame, link_account_transaction: DataFrame,
     satellite; the customer lookup re-keys on ``hk_account``, where a hot
     account is split by AQE's skew-join handling, or explicitly by salting
     accounts with more than ``hot_share`` of the transactions.  Hub keys come as text or packed.
+    ``dealt_by`` are hot accounts (packed); the fact then keeps its keys packed and stays partitioned by account
+    and sub-key (``_salt``), for a consumer that joins on the account.
     """
     if latest_only:
         sat = latest_versions(sat, "hk_transaction")
@@ -164,22 +166,25 @@ def fact_transactions(sat: DataFrame, link_account_transaction: DataFrame,
     j = s.join(lat, "hk_transaction").join(lmt, "hk_transaction")
     # the lookup re-keys every fact row: its keys travel packed
     j, lca = _packed_keys(j, "hk_account"), _packed_keys(lca, "hk_account")
-    if hot_share:
+    if dealt_by is not None:
+        j = salted_join(j, lca, "hk_account", hot=dealt_by, keep_salt=True)
+    elif hot_share:
         # one transaction per link row: the link has the fact's account distribution
         hot = lat if hot_from is None else hot_from
         hot = _packed_keys(hot.select("hk_account", *([weight] if weight else [])), "hk_account")
         j = salted_join(j, lca, "hk_account", hot_share, hot_from=hot, weight=weight)
     else:
         j = j.join(lca, "hk_account")
+    key = unpacked if dealt_by is None else F.col
     return j.select(
-        unpacked("hk_transaction").alias("transaction_hub_key"),
-        unpacked("hk_account").alias("account_hub_key"),
-        unpacked("hk_merchant").alias("merchant_hub_key"),
-        unpacked("hk_customer").alias("customer_hub_key"),
+        key("hk_transaction").alias("transaction_hub_key"),
+        key("hk_account").alias("account_hub_key"),
+        key("hk_merchant").alias("merchant_hub_key"),
+        key("hk_customer").alias("customer_hub_key"),
         date_key("transaction_date").alias("date_key"),
         "transaction_date", "amount_usd",
         F.col("rec_src").alias("record_source"),
-        F.col("load_dts").alias("load_date"))
+        F.col("load_dts").alias("load_date"), *(["_salt"] if dealt_by is not None else []))
 
 
 def fact_loans(sat: DataFrame, link_customer_loan: DataFrame, latest_only: bool = False) -> DataFrame:
@@ -232,7 +237,8 @@ def join_current(fact: DataFrame, dim: DataFrame, hub_key: str, hot_share: float
 
 def join_point_in_time(fact: DataFrame, dim: DataFrame, hub_key: str, time_col: str,
                        dim_cols: list[str], hot_share: float | None = None,
-                       hot_from: DataFrame | None = None, weight: str | None = None) -> DataFrame:
+                       hot_from: DataFrame | None = None, weight: str | None = None,
+                       dealt_by: DataFrame | None = None) -> DataFrame:
     """Fact -> the dimension version valid at the fact's time (``start <= t < end``).
 
     Versions and events are one stream, range-partitioned and sorted by key and
@@ -242,11 +248,16 @@ def join_point_in_time(fact: DataFrame, dim: DataFrame, hub_key: str, time_col:
     seen before it (one row per partition is carried).  Versions of a key must not overlap, as
     in an SCD2 dimension.  With ``hot_share`` a join on the key alone, salted,
     that pairs every version with the event.
+
+    A fact whose keys are packed and whose rows lie by key and sub-key (``_salt``) of the hot keys ``dealt_by`` is not
+    moved again: versions come to it, a hot key's to each of its sub-keys, and the stream is sorted and swept there.
     """
     d = dim.select(hub_key, "effective_start_date", "effective_end_date", *dim_cols)
     if hot_share:
-        return salted_join(fact, d, hub_key, hot_share, hot_from=hot_from, weight=weight).filter(
-            (F.col(time_col) >= F.col("effective_start_date")) & (F.col(time_col) < F.col("effective_end_date")))
+        return unpacked_keys(salted_join(fact, d, hub_key, hot_share, hot_from=hot_from, weight=weight, hot=dealt_by).filter(
+            (F.col(time_col) >= F.col("effective_start_date")) & (F.col(time_col) < F.col("effective_end_date"))))
+    if dealt_by is not None:
+        return unpacked_keys(_swept(fact, d, hub_key, time_col, dim_cols, dealt_by))
     # every row is shuffled twice and stored once: text keys are packed meanwhile
     types = {**dict(d.dtypes), **dict(fact.dtypes)}
     short = {c for c in (hub_key, *fact.columns, *dim_cols) if c.endswith("_key") and types[c] == "string"}
@@ -285,6 +296,22 @@ def join_point_in_time(fact: DataFrame, dim: DataFrame, hub_key: str, time_col:
     return out.select(*[unpacked(c).alias(c) if c in short else c for c in out.columns])
 
 
+def _swept(fact: DataFrame, d: DataFrame, hub_key: str, time_col: str, dim_cols: list[str], hot: DataFrame) -> DataFrame:
+    """:func:`join_point_in_time` of a fact that lies by key and sub-key."""
+    rest = [c for c in fact.columns if c not in (hub_key, "_salt")]
+    version = F.struct("effective_start_date", "effective_end_date", *dim_cols)
+    versions = copied(d.where("effective_end_date > effective_start_date"), hub_key, hot).select(
+        hub_key, "_salt", F.col("effective_start_date").alias("_at"), F.lit(0).alias("_kind"), version.alias("_version")
+    ).repartition(hub_key, "_salt")                          # as the events are
+    events = fact.where(F.col(time_col).isNotNull()).select(
+        hub_key, "_salt", F.col(time_col).alias("_at"), F.lit(1).alias("_kind"), F.struct(*rest).alias("_event"))
+    before = Window.partitionBy(hub_key, "_salt").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    return (versions.unionByName(events, allowMissingColumns=True)
+            .withColumn("_version", F.last("_version", ignorenulls=True).over(before))
+            .where((F.col("_kind") == 1) & (F.col("_at") < F.col("_version.effective_end_date")))
+            .select(hub_key, "_event.*", "_version.*"))
+
+
 def join_calendar(fact: DataFrame, calendar: DataFrame) -> DataFrame:
     """Fact -> calendar on ``date_key``.  The calendar is bounded (one row
     per day of a fixed 15-year range), so broadcasting it is safe."""

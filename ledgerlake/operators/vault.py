@@ -148,9 +148,18 @@ def packed_link(bronze_df: DataFrame, link: Link) -> DataFrame:
             .select(F.unhex(hash_key(a.key)).alias(a.hk), _raw(b.key, F.lit(b"")).alias(b.hk)).distinct())
 
 
-def packed_rows(bronze_df: DataFrame, entity: Entity, joined: list[Entity], others: list[Entity]) -> DataFrame:
+def _cleaned(name: str, fn) -> Column:
+    """An attribute's cleaned column.  One that is taken as it is gets no alias: Spark drops such an alias in some uses
+    of the rows and keeps it in others, which then do not share their shuffle."""
+    raw = F.col(name)
+    clean = fn(raw)
+    return raw if clean is raw else clean.alias(name)
+
+
+def packed_rows(bronze_df: DataFrame, entity: Entity, joined: list[Entity], others: list[Entity],
+                with_key: bool = False) -> DataFrame:
     """What the satellite of ``entity`` and the links that end in its hub are loaded from: cleaned attributes and
-    hub keys as bytes, partitioned by the hub key, which is not NULL.
+    hub keys as bytes, partitioned by the hub key, which is not NULL (``with_key``: with the business key, for the hub).
 
     :func:`first_rows` of it read all columns, so Spark shuffles the rows once for all of
     them.  A missing key of a ``joined`` hub is replaced by the row's own key and a mark, which no digest
@@ -158,7 +167,7 @@ def packed_rows(bronze_df: DataFrame, entity: Entity, joined: list[Entity], othe
     """
     rows = bronze_df.where(F.col(entity.key).isNotNull()).select(
         _raw(entity.key, F.lit(b"")).alias(entity.hk), *[F.unhex(hash_key(e.key)).alias(e.hk) for e in (*joined, *others)],
-        *[fn(F.col(name)).alias(name) for name, fn in entity.attrs], F.col("_source").alias("rec_src"))
+        *([entity.key] if with_key else []), *[_cleaned(name, fn) for name, fn in entity.attrs], F.col("_source").alias("rec_src"))
     missing = F.concat(entity.hk, F.lit(bytes(1)))
     for e in joined:
         rows = rows.withColumn(e.hk, F.coalesce(e.hk, missing))
@@ -174,16 +183,18 @@ def first_rows(rows: DataFrame, hk: str, key: str) -> DataFrame:
             .where((F.col("_rn") == 1) | ~F.col("_before").eqNullSafe(F.col(key))).drop("_rn", "_before"))
 
 
-def packed_sat(rows: DataFrame, entity: Entity, params: RunParams) -> DataFrame:
+def packed_sat(rows: DataFrame, entity: Entity, params: RunParams, existing: DataFrame | None = None) -> DataFrame:
     """The versions of :func:`load_sat` in :func:`packed_rows`; which of several rows with one
-    hash_diff is kept is decided by their attributes first, as in :func:`dedupe_versions`."""
+    hash_diff is kept is decided by their attributes first, as in :func:`dedupe_versions`.  ``existing`` versions
+    have packed keys too."""
     now = params.load_ts_col
     rest = [c for c in rows.columns if c not in entity.attr_names and c != "rec_src"]
     kept = first_rows(rows.select(*entity.attr_names, "rec_src", *rest, F.unhex(hash_diff(*entity.attr_names)).alias("hash_diff")),
                       entity.hk, "hash_diff")
-    return kept.select(
+    versions = kept.select(
         entity.hk, *entity.attr_names, F.lower(F.hex("hash_diff")).alias("hash_diff"),
         entity.valid(F.col, now).alias("_is_valid"), now.alias("load_dts"), "rec_src")
+    return versions if existing is None else changed(versions, existing, entity)
 
 
 def latest_hash(existing: DataFrame, hk: str) -> DataFrame:
@@ -202,13 +213,16 @@ def load_sat(bronze_df: DataFrame, entity: Entity, params: RunParams,
     ``keyed`` gives the versions that an inner join on the hub key can meet (the key
     is not NULL), partitioned by it: they are shuffled once for dedupe and join.
     """
-    hk = entity.hk
     stage = stage_keyed_sat if keyed else stage_sat
     staged = dedupe_versions(stage(bronze_df, entity, params), entity, keyed)
     if existing is None:
         return staged.select(*sat_columns(entity))
-    latest = latest_hash(existing, hk)
-    joined = staged.join(latest, on=hk, how="left")
+    return changed(staged, existing, entity)
+
+
+def changed(staged: DataFrame, existing: DataFrame, entity: Entity) -> DataFrame:
+    """The ``staged`` versions that differ from the latest of their key in ``existing``."""
+    joined = staged.join(latest_hash(existing, entity.hk), on=entity.hk, how="left")
     return (joined
             .filter(F.col("_existing_hash_diff").isNull()
                     | (F.col("_existing_hash_diff") != F.col("hash_diff")))

@@ -10,12 +10,13 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 
 from ledgerlake.operators import gold
 from ledgerlake.operators.bronze import bronze
-from ledgerlake.operators.vault import load_hub, load_link, load_sat
+from ledgerlake.operators.vault import first_rows, load_hub, load_link, load_sat, packed_rows, packed_sat
 from ledgerlake.params import SECOND_LOAD_TS, THIRD_LOAD_TS
 from ledgerlake.plans.entities import ENTITIES, LINKS
 from ledgerlake.plans.loading import load_jobs
@@ -58,6 +59,26 @@ def account_history(lh, loads=None) -> AccountHistory:
     return cached[loads]
 
 
+def packed_account_history(lh, loads) -> DataFrame:
+    """The dimension of :func:`account_history` for joins on the account: its hub keys are packed, and hub, link and
+    satellite of a batch come from one shuffle by the account.  Rows without an account key, which
+    no inner join meets, are not in it."""
+    e, customer = ENTITIES["account"], ENTITIES["customer"]
+    batches, sat = [], None
+    for df, ts in zip(account_batches(lh.spark, lh.sf_dir), loads):
+        run = lh.params.with_load_ts(ts)
+        rows = packed_rows(bronze(df, e.source, run), e, [], [customer], with_key=True)
+        new = packed_sat(rows, e, run, sat)
+        sat = new if sat is None else sat.unionByName(new)
+        batches.append(rows.withColumn("load_dts", run.load_ts_col))
+    every = reduce(DataFrame.unionByName, batches)
+    # a key is inserted by the first batch that has it
+    first = ["load_dts", e.key, "rec_src"]
+    every = every.select(*first, *[c for c in every.columns if c not in first])
+    hub, link = first_rows(every, e.hk, e.hk), first_rows(every, e.hk, customer.hk)
+    return gold.dim_account(sat, hub, link)
+
+
 def three_batches(lh) -> DataFrame:
     """The account satellite after a third batch that equals the first (A -> B -> A)."""
     first, _ = account_batches(lh.spark, lh.sf_dir)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ledgerlake.functions.keys import hash_key
 from ledgerlake.operators import gold
 from ledgerlake.operators.bronze import bronze
+from ledgerlake.operators.skew import HOT_SHARE, hot_keys
 from ledgerlake.operators.vault import (first_rows, load_hub, load_link, load_sat, packed_link, packed_rows,
                                         packed_sat, quarantine_of_batch)
 from ledgerlake.params import DRIVER_RUN, RunParams
@@ -113,21 +114,30 @@ class Lakehouse:
     def fact_transactions(self) -> DataFrame:
         return self.transactions_fact()
 
-    def transactions_fact(self, hot_share: float | None = None) -> DataFrame:
+    def transactions_fact(self, hot_share: float | None = None, dealt: bool = False) -> DataFrame:
+        """The fact; ``dealt``: packed and partitioned by account and sub-key of :attr:`hot_accounts`."""
         tx, account, merchant = (ENTITIES[n] for n in ("transaction", "account", "merchant"))
         rows = packed_rows(self.bronze(tx.source), tx, [account], [merchant])    # one shuffle for all three
         return gold.fact_transactions(packed_sat(rows, tx, self.params), first_rows(rows, tx.hk, account.hk),
                                       first_rows(rows, tx.hk, merchant.hk),
                                       packed_link(self.bronze(account.source), LINKS["customer_account"]),
-                                      hot_share=hot_share,
-                                      hot_from=self.account_activity if hot_share else None,
-                                      weight="_rows" if hot_share else None)
+                                      hot_share=hot_share, hot_from=self.account_rows if hot_share else None,
+                                      dealt_by=self.hot_accounts if dealt else None)
+
+    @cached_property
+    def account_rows(self) -> DataFrame:
+        """``hk_account`` of each transaction, as in bronze: shows hot accounts without the fact."""
+        return self.bronze("transactions").select(hash_key("account_id").alias("hk_account"))
+
+    @cached_property
+    def hot_accounts(self) -> DataFrame:
+        """Accounts with more than ``HOT_SHARE`` of the transactions, packed."""
+        return hot_keys(self.account_rows.select(F.unhex("hk_account").alias("hk_account")), "hk_account", HOT_SHARE)
 
     @cached_property
     def account_activity(self) -> DataFrame:
-        """``_rows`` transactions by ``hk_account``, counted in bronze: shows hot accounts without the fact."""
-        return (self.bronze("transactions").select(hash_key("account_id").alias("hk_account"))
-                .groupBy("hk_account").agg(F.count(F.lit(1)).alias("_rows")))
+        """``_rows`` transactions by ``hk_account``, counted in bronze."""
+        return self.account_rows.groupBy("hk_account").agg(F.count(F.lit(1)).alias("_rows"))
 
     @cached_property
     def customer_activity(self) -> DataFrame:

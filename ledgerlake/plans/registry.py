@@ -16,7 +16,7 @@ from ledgerlake.operators.skew import HOT_SHARE
 from ledgerlake.params import DRIVER_RUN, EVENT_LOADS, ts_literal
 from ledgerlake.plans import oracle, oracle_checks
 from ledgerlake.plans.entities import ENTITIES, LINKS
-from ledgerlake.plans.incremental import account_history, account_upkeep, three_batches
+from ledgerlake.plans.incremental import account_history, account_upkeep, packed_account_history, three_batches
 from ledgerlake.plans.layers import Lakehouse
 from ledgerlake.session import staged
 from ledgerlake.sources.driver_tables import account_batches
@@ -92,19 +92,21 @@ def _registry() -> tuple[dict[str, Builder], dict[str, str]]:
     FROM fact_transactions f JOIN dim_customer c ON c.customer_hub_key = f.customer_hub_key AND c.is_current""")
 
     # the account history was loaded while the transactions happened, so both versions are met
-    q["join_point_in_time"] = lambda lh: gold.join_point_in_time(
-        lh.fact_transactions.select("transaction_hub_key", "account_hub_key", "transaction_date", "amount_usd"),
-        account_history(lh, EVENT_LOADS).dim, "account_hub_key", "transaction_date", ["account_key", "account_type"])
+    def point_in_time(lh, hot_share=None):
+        hot = lh.hot_accounts.withColumnRenamed("hk_account", "account_hub_key")
+        return gold.join_point_in_time(
+            lh.transactions_fact(dealt=True).select("transaction_hub_key", "account_hub_key", "transaction_date", "amount_usd", "_salt"),
+            packed_account_history(lh, EVENT_LOADS), "account_hub_key", "transaction_date", ["account_key", "account_type"],
+            hot_share=hot_share, dealt_by=hot)
+
+    q["join_point_in_time"] = point_in_time
     sql["join_point_in_time"] = oracle.build("""
     SELECT transaction_hub_key, f.account_hub_key, transaction_date, amount_usd, effective_start_date,
            effective_end_date, account_key, account_type
     FROM fact_transactions f ASOF JOIN event_dim_account d
       ON d.account_hub_key = f.account_hub_key AND f.transaction_date >= d.effective_start_date""")
 
-    q["join_point_in_time_salted"] = lambda lh: gold.join_point_in_time(
-        lh.fact_transactions.select("transaction_hub_key", "account_hub_key", "transaction_date", "amount_usd"),
-        account_history(lh, EVENT_LOADS).dim, "account_hub_key", "transaction_date", ["account_key", "account_type"],
-        hot_share=HOT_SHARE, hot_from=lh.account_activity.withColumnRenamed("hk_account", "account_hub_key"), weight="_rows")
+    q["join_point_in_time_salted"] = lambda lh: point_in_time(lh, hot_share=HOT_SHARE)
     sql["join_point_in_time_salted"] = sql["join_point_in_time"]
     q["join_current_customer_salted"] = lambda lh: gold.join_current(
         lh.fact_transactions.select("transaction_hub_key", "customer_hub_key", "amount_usd"),
