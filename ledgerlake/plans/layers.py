@@ -81,6 +81,13 @@ class Lakehouse:
         layer, _, rest = name.partition("_")
         return {"link": self.keyed_link, "sat": self.keyed_sat}[layer](rest)
 
+    def packed_versions(self, child: str, parent: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Satellite of ``child``, its link to ``parent`` and the satellite of that, for inner joins on their hub keys:
+        keys are packed, each source table is shuffled once by its own key."""
+        c, p = ENTITIES[child], ENTITIES[parent]
+        rows, parents = packed_rows(self.bronze(c.source), c, [p], []), packed_rows(self.bronze(p.source), p, [], [])
+        return packed_sat(rows, c, self.params), first_rows(rows, c.hk, p.hk), packed_sat(parents, p, self.params)
+
     @cached_property
     def quarantine(self) -> DataFrame:
         return quarantine_of_batch({e.source: self.bronze(e.source) for e in ENTITIES.values()}, self.params)

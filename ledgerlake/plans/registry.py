@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.functions.keys import unpacked_keys
 from ledgerlake.operators import charts as ch
 from ledgerlake.operators import checks as chk
 from ledgerlake.operators import gold, profile, reports
@@ -148,7 +149,8 @@ def _registry() -> tuple[dict[str, Builder], dict[str, str]]:
     q["checks_cross_entity"] = checks_query([], cross)
     sql["checks_cross_entity"] = oracle_checks.run_checks_sql([], cross)
     for name, (fn, inputs) in chk.CROSS_ENTITY.items():
-        q[f"check_{name}"] = (lambda f, i: lambda lh: f(*[lh.table(t) for t in i]))(fn, inputs)
+        child, parent = inputs[0].removeprefix("sat_"), inputs[2].removeprefix("sat_")
+        q[f"check_{name}"] = (lambda f, c, p: lambda lh: unpacked_keys(f(*lh.packed_versions(c, p))))(fn, child, parent)
         sql[f"check_{name}"] = oracle.build(oracle_checks.CROSS_SQL[name])
     for check in FAILING_ROW_CHECKS:
         name = f"check_rows_{check.kind}_{check.table}_{check.column}"

@@ -98,3 +98,27 @@ def test_batches_of_the_history_are_shuffled_once(spark, static_plans):
     lake = Lakehouse.from_driver(spark, SF_SMALL)
     plan = static_plans(incremental.packed_account_history(lake, (dt.datetime(2020, 1, 1), dt.datetime(2020, 2, 1))))
     assert len(re.findall(r"FileScan parquet", plan)) == 2
+
+
+def test_cross_entity_rows_of_packed_versions(spark, static_plans):
+    """Before, the transactions' check had 7 exchanges: each dedupe, latest version and join its own, keys as text."""
+    day = dt.datetime(2019, 1, 1)
+    tx = [("T1", "A1", "M1", D("5.00"), day), (" t1", "A1", "M1", D("6.00"), dt.datetime(2022, 1, 1)), ("T2", "A1", "M2", None, day),
+          ("T2", "A2", None, D("7.00"), None), (None, "A1", "M1", D("5.00"), day), ("T3", None, "M1", D("1.00"), day),
+          ("T4", "A2", "M1", D("1.00"), day), ("T4", "A2", "M1", D("1.00"), day), ("T5", "A9", "M1", D("1.00"), day), ("T6", "", "M1", D("1.00"), day)]
+    acc = [("A1", "C1", "Savings", "1.00", dt.date(2020, 1, 1)), ("a1 ", "C1", "Savings", "2.00", dt.date(2021, 1, 1)),
+           ("A2", "C2", None, None, dt.date(2020, 1, 1)), ("A2", None, None, None, dt.date(2020, 1, 1)), (None, "C1", None, None, dt.date(2022, 1, 1)),
+           ("", "C1", "Savings", "1.00", dt.date(2022, 1, 1)), ("A7", "C2", "Savings", "1.00", None)]
+    cust = [(c, "a", "b", "e@x.y", "z", 500, t) for c, t in (("C1", dt.datetime(2020, 6, 1)), ("C1", dt.datetime(2021, 6, 1)),
+                                                            ("c2", dt.datetime(2023, 1, 1)), (None, dt.datetime(2025, 1, 1)))]
+    sources = {"transactions": spark.createDataFrame(tx, SOURCE_SCHEMAS["transactions"]), "accounts": account_rows(spark, acc),
+               "customers": spark.createDataFrame(cust, SOURCE_SCHEMAS["customers"])}
+    lake = Lakehouse(spark, sources, DRIVER_RUN)
+    for name, least in (("transaction_before_account_opened", 3), ("account_opened_before_customer", 1)):
+        check, inputs = chk.CROSS_ENTITY[name]
+        want = check(*[lake.table(t) for t in inputs])
+        got = unpacked_keys(check(*lake.packed_versions(inputs[0][4:], inputs[2][4:])))
+        assert want.count() >= least and rows_of(got) == rows_of(want) and got.dtypes == want.dtypes
+    plan = static_plans(registry.spark_query("check_transaction_before_account_opened")(spark, SF_SMALL))
+    assert len(re.findall(r"FileScan parquet", plan)) == 2
+    assert len(re.findall(r"(?<!, )Exchange hashpartitioning", plan)) == 3
