@@ -59,6 +59,21 @@ def packed(col: ColumnOrName) -> Column:
     return F.when(digest, raw).otherwise(F.concat(F.encode(c, "UTF-8"), F.lit(bytes(_PLAIN))))
 
 
+def is_key(name: str) -> bool:
+    return name.startswith("hk_") or name.endswith("_key") or name == "hash_diff"
+
+
+def packed_keys(df: DataFrame, joined: str | None = None) -> DataFrame:
+    """``df`` with its text keys packed.  With ``joined``, a key that rows without it cannot be joined on: they go first
+    and the packed key is not nullable, as a NULL test of it would pack the key again, several times."""
+    text = {c for c, t in df.dtypes if t == "string" and is_key(c)}
+
+    def pack(c):
+        return F.coalesce(packed(c), F.lit(b"")) if c == joined else packed(c)
+    rows = df if joined is None else df.where(F.col(joined).isNotNull())
+    return rows.select(*[pack(c).alias(c) if c in text else c for c in df.columns])
+
+
 def unpacked_keys(df: DataFrame) -> DataFrame:
     """``df`` with its packed keys (binary columns) as text again."""
     return df.select(*[unpacked(c).alias(c) if t == "binary" else c for c, t in df.dtypes])

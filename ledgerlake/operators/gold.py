@@ -4,7 +4,7 @@ SCD2: satellite versions joined to the hub (and, for accounts / cards, to
 the owning link) and ordered per hub key by ``load_dts`` (ties by
 ``hash_diff``); ``lead(load_dts)`` closes each version.  Satellite, hub, link
 and window all key on the same hash key, so the plan shuffles each input once
-and the window reuses that partitioning.
+and the window reuses that partitioning.  Dimensions of packed keys keep them packed.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.banking import credit_tier, date_key, month_start, open_end_ts
-from ledgerlake.functions.keys import key_text, packed, surrogate_key, unpacked, unpacked_keys
+from ledgerlake.functions.keys import key_text, packed, packed_keys, surrogate_key, unpacked, unpacked_keys
 from ledgerlake.operators.skew import copied, salted_join
 from ledgerlake.plans.entities import ENTITIES
 from ledgerlake.session import ensure_checkpoint_dir
@@ -58,7 +58,7 @@ def dim_customer(sat: DataFrame, hub: DataFrame, valid_only: bool = False) -> Da
     attrs = ["first_name", "last_name", "email", "city", "credit_score", "created_at"]
     v = versioned(sat, hub, "customer", attrs, valid_only=valid_only)
     return v.select(
-        surrogate_key("hk_customer", "load_dts").alias("customer_key"),
+        surrogate_key(key_text(v, "hk_customer"), "load_dts").alias("customer_key"),
         F.col("hk_customer").alias("customer_hub_key"),
         "customer_id", "first_name", "last_name", "email", "city", "credit_score",
         credit_tier("credit_score").alias("credit_tier"),
@@ -84,7 +84,7 @@ def dim_card(sat: DataFrame, hub: DataFrame, link_account_card: DataFrame,
     v = versioned(sat, hub, "card", ["card_type", "expiration_date"],
                   link_account_card, "hk_account", valid_only)
     return v.select(
-        surrogate_key("hk_card", "load_dts").alias("card_key"),
+        surrogate_key(key_text(v, "hk_card"), "load_dts").alias("card_key"),
         F.col("hk_card").alias("card_hub_key"),
         "card_id",
         F.col("hk_account").alias("account_hub_key"),
@@ -94,7 +94,7 @@ def dim_card(sat: DataFrame, hub: DataFrame, link_account_card: DataFrame,
 def dim_merchant(sat: DataFrame, hub: DataFrame, valid_only: bool = False) -> DataFrame:
     v = versioned(sat, hub, "merchant", ["merchant_name", "city"], valid_only=valid_only)
     return v.select(
-        surrogate_key("hk_merchant", "load_dts").alias("merchant_key"),
+        surrogate_key(key_text(v, "hk_merchant"), "load_dts").alias("merchant_key"),
         F.col("hk_merchant").alias("merchant_hub_key"),
         "merchant_id", "merchant_name", "city", *_scd2_tail())
 
@@ -102,7 +102,7 @@ def dim_merchant(sat: DataFrame, hub: DataFrame, valid_only: bool = False) -> Da
 def dim_branch(sat: DataFrame, hub: DataFrame, valid_only: bool = False) -> DataFrame:
     v = versioned(sat, hub, "branch", ["branch_name", "manager_name", "city", "country"], valid_only=valid_only)
     return v.select(
-        surrogate_key("hk_branch", "load_dts").alias("branch_key"),
+        surrogate_key(key_text(v, "hk_branch"), "load_dts").alias("branch_key"),
         F.col("hk_branch").alias("branch_hub_key"),
         "branch_id", "branch_name", "city", "country", "manager_name", *_scd2_tail())
 
@@ -132,16 +132,6 @@ def dim_date(spark: SparkSession, start: dt.date = CALENDAR_START,
         (F.last_day(dd) == dd).alias("is_month_end"))
 
 
-def _packed_keys(df: DataFrame, joined: str) -> DataFrame:
-    """``df`` for an inner join on ``joined``, its hub keys packed where they are text.  Rows that cannot join go
-    first and the packed key is not nullable: a NULL test of it would pack (and hash) the key again, several times."""
-    text = {c for c, t in df.dtypes if c.startswith("hk_") and t == "string"}
-
-    def pack(c):
-        return F.coalesce(packed(c), F.lit(b"")) if c == joined else packed(c)
-    return df.where(F.col(joined).isNotNull()).select(*[pack(c).alias(c) if c in text else c for c in df.columns])
-
-
 def fact_transactions(sat: DataFrame, link_account_transaction: DataFrame,
                       link_merchant_transaction: DataFrame,
                       link_customer_account: DataFrame, latest_only: bool = False,
@@ -165,13 +155,13 @@ def fact_transactions(sat: DataFrame, link_account_transaction: DataFrame,
     lca = link_customer_account.select("hk_account", "hk_customer")
     j = s.join(lat, "hk_transaction").join(lmt, "hk_transaction")
     # the lookup re-keys every fact row: its keys travel packed
-    j, lca = _packed_keys(j, "hk_account"), _packed_keys(lca, "hk_account")
+    j, lca = packed_keys(j, "hk_account"), packed_keys(lca, "hk_account")
     if dealt_by is not None:
         j = salted_join(j, lca, "hk_account", hot=dealt_by, keep_salt=True)
     elif hot_share:
         # one transaction per link row: the link has the fact's account distribution
         hot = lat if hot_from is None else hot_from
-        hot = _packed_keys(hot.select("hk_account", *([weight] if weight else [])), "hk_account")
+        hot = packed_keys(hot.select("hk_account", *([weight] if weight else [])), "hk_account")
         j = salted_join(j, lca, "hk_account", hot_share, hot_from=hot, weight=weight)
     else:
         j = j.join(lca, "hk_account")

@@ -24,26 +24,31 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.keys import hash_diff, hash_key, link_hash_key, packed, unpacked
+from ledgerlake.functions.keys import hash_diff, hash_key, link_hash_key, packed, packed_keys, unpacked, unpacked_keys
 from ledgerlake.params import RunParams
 from ledgerlake.plans.entities import ENTITIES, Entity, Link
 
 
 def load_hub(bronze_df: DataFrame, entity: Entity, params: RunParams,
-             existing: DataFrame | None = None) -> DataFrame:
+             existing: DataFrame | None = None, narrow: bool = False) -> DataFrame:
     """Distinct business keys by hash key.  Raw keys normalising to one hash
     (``' c1 '`` / ``'C1'``) keep the smallest raw key.  A NULL key gives a
-    NULL hash key that never matches a stored row (as in the reference)."""
+    NULL hash key that never matches a stored row (as in the reference).
+
+    ``narrow`` (here and in the other loaders): keys are shuffled packed, on both sides.  Stored rows that are
+    bucketed by the key's text must not be loaded against in this way, as they would be shuffled."""
     hk, key = entity.hk, entity.key
+    hashed = hash_key(key)
     new = (bronze_df
-           .select(hash_key(key).alias(hk), F.struct(F.col(key), F.col("_source")).alias("_k"))
+           .select((F.unhex(hashed) if narrow else hashed).alias(hk), F.struct(F.col(key), F.col("_source")).alias("_k"))
            .groupBy(hk)
            .agg(F.min("_k").alias("_k"))
            .select(hk, F.col("_k")[key].alias(key), params.load_ts_col.alias("load_dts"),
                    F.col("_k")["_source"].alias("rec_src")))
     if existing is not None:
-        new = new.join(existing.select(hk), on=hk, how="left_anti")
-    return new
+        stored = existing.select(hk)
+        new = new.join(packed_keys(stored, hk) if narrow else stored, on=hk, how="left_anti")
+    return unpacked_keys(new) if narrow else new
 
 
 def _keyed(rows: DataFrame, hk: str, digests: list[str]) -> DataFrame:
@@ -82,12 +87,12 @@ def load_link(bronze_df: DataFrame, link: Link, params: RunParams,
            .select(F.unhex(link_hash_key(a.hk, b.hk)).alias(link.hk),
                    F.struct(F.unhex(a.hk).alias(a.hk), F.unhex(b.hk).alias(b.hk), "rec_src").alias("_v"))
            .groupBy(link.hk)
-           .agg(F.min("_v").alias("_v"))
+           .agg(F.min("_v").alias("_v")))
+    if existing is not None:
+        new = new.join(packed_keys(existing.select(link.hk), link.hk), on=link.hk, how="left_anti")
+    return (new
            .select(text(link.hk).alias(link.hk), text(F.col("_v")[a.hk]).alias(a.hk), text(F.col("_v")[b.hk]).alias(b.hk),
                    params.load_ts_col.alias("load_dts"), F.col("_v")["rec_src"].alias("rec_src")))
-    if existing is not None:
-        new = new.join(existing.select(link.hk), on=link.hk, how="left_anti")
-    return new
 
 
 def sat_columns(entity: Entity) -> list[str]:
@@ -205,14 +210,17 @@ def latest_hash(existing: DataFrame, hk: str) -> DataFrame:
 
 
 def load_sat(bronze_df: DataFrame, entity: Entity, params: RunParams,
-             existing: DataFrame | None = None, keyed: bool = False) -> DataFrame:
+             existing: DataFrame | None = None, keyed: bool = False, narrow: bool = False) -> DataFrame:
     """New and changed attribute versions of one batch.
 
     Compared with the latest stored version only, so A -> B -> A stores three
     versions.  Invalid rows are stored too (soft fail, ``_is_valid = false``).
     ``keyed`` gives the versions that an inner join on the hub key can meet (the key
-    is not NULL), partitioned by it: they are shuffled once for dedupe and join.
+    is not NULL), partitioned by it: they are shuffled once for dedupe and join.  So does ``narrow``
+    with all rows of a batch that meets ``existing`` ones.
     """
+    if narrow and existing is not None:
+        return _narrow_sat(bronze_df, entity, params, existing)
     stage = stage_keyed_sat if keyed else stage_sat
     staged = dedupe_versions(stage(bronze_df, entity, params), entity, keyed)
     if existing is None:
@@ -220,6 +228,22 @@ def load_sat(bronze_df: DataFrame, entity: Entity, params: RunParams,
     return changed(staged, existing, entity)
 
 
+def _narrow_sat(bronze_df: DataFrame, entity: Entity, params: RunParams, existing: DataFrame) -> DataFrame:
+    """:func:`load_sat`'s rows; batch and stored hashes are each shuffled once by the packed hub key.  Rows whose key
+    is NULL lie by their hash_diff and a mark, which no digest equals, so they meet no stored key."""
+    hk, now = entity.hk, params.load_ts_col
+    raw = F.unhex(hash_key(entity.key))
+    rows = bronze_df.select(F.col(entity.key), *[fn(F.col(name)).alias(name) for name, fn in entity.attrs],
+                            F.col("_source").alias("rec_src"))
+    other = F.concat(F.unhex(hash_diff(*entity.attr_names)), F.lit(bytes(1)))
+    rows = (rows.select(F.coalesce(raw, other, F.lit(b"")).alias(hk), *entity.attr_names, "rec_src").repartition(hk)
+            .select(hk, *entity.attr_names, F.unhex(hash_diff(*entity.attr_names)).alias("hash_diff"),
+                    entity.valid(F.col, now).alias("_is_valid"), now.alias("load_dts"), "rec_src"))
+    new = changed(dedupe_versions(rows, entity, keyed=True), packed_keys(existing.select(hk, "load_dts", "hash_diff"), hk), entity)
+    key = {hk: F.when(F.length(hk) == 16, F.lower(F.hex(hk))), "hash_diff": F.lower(F.hex("hash_diff"))}
+    return new.select(*[key.get(c, F.col(c)).alias(c) for c in sat_columns(entity)])
+
+
 def changed(staged: DataFrame, existing: DataFrame, entity: Entity) -> DataFrame:
     """The ``staged`` versions that differ from the latest of their key in ``existing``."""
     joined = staged.join(latest_hash(existing, entity.hk), on=entity.hk, how="left")
@@ -229,7 +253,7 @@ def changed(staged: DataFrame, existing: DataFrame, entity: Entity) -> DataFrame
             .select(*sat_columns(entity)))
 
 
-def current_hashes(previous: DataFrame | None, new_versions: DataFrame, hk: str) -> DataFrame:
+def current_hashes(previous: DataFrame | None, new_versions: DataFrame, hk: str, narrow: bool = False) -> DataFrame:
     """One row per hub key with its latest ``hash_diff`` and ``load_dts``,
     after applying a batch's new versions to the previous snapshot.  Feeding
     this snapshot (instead of the whole history) to :func:`load_sat` makes the
@@ -239,6 +263,8 @@ def current_hashes(previous: DataFrame | None, new_versions: DataFrame, hk: str)
     both = new_versions.select(*cols)
     if previous is not None:
         both = previous.select(*cols).unionByName(both)
+    if narrow:
+        return unpacked_keys(current_hashes(None, packed_keys(both), hk))
     return (both.groupBy(hk).agg(F.max(F.struct("load_dts", "hash_diff")).alias("_l"))
             .select(hk, F.col("_l")["hash_diff"].alias("hash_diff"), F.col("_l")["load_dts"].alias("load_dts")))
 

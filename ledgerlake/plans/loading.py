@@ -45,10 +45,10 @@ def _append_sat(store: TableStore, bronze_df: DataFrame, e: Entity, run: RunPara
     elif snapshots and snapshots[-1] == covered[-1]:
         previous = store.batch("silver", snap, snapshots[-1], e.hk)
     else:
-        previous = current_hashes(None, store.existing("silver", name, run, e.hk), e.hk)
-    stored = store.append_batch(load_sat(bronze_df, e, run, previous), "silver", name, run, e.hk)
+        previous = current_hashes(None, store.existing("silver", name, run, e.hk), e.hk, store.narrow)
+    stored = store.append_batch(load_sat(bronze_df, e, run, previous, narrow=store.narrow), "silver", name, run, e.hk)
     new = store.batch("silver", name, own, e.hk)
-    store.append_batch(current_hashes(previous, new, e.hk), "silver", snap, run, e.hk)
+    store.append_batch(current_hashes(previous, new, e.hk, store.narrow), "silver", snap, run, e.hk)
     for old in [t for t in store.tags("silver", snap) if t != own][:-(SNAPSHOTS - 1)]:
         store.drop_batch("silver", snap, old)
     return stored
@@ -70,7 +70,7 @@ def load_jobs(store: TableStore, bronze_tables: dict[str, DataFrame], run: RunPa
         if e.source in bronze_tables:
             b = bronze_tables[e.source]
             jobs.append((f"hub_{e.name}", lambda b=b, e=e: _append(
-                store, f"hub_{e.name}", run, lambda ex: load_hub(b, e, run, ex))))
+                store, f"hub_{e.name}", run, lambda ex: load_hub(b, e, run, ex, store.narrow))))
             jobs.append((f"sat_{e.name}", lambda b=b, e=e: _append_sat(store, b, e, run)))
     for l in LINKS.values():
         if l.source in bronze_tables:

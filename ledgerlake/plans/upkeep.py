@@ -18,7 +18,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.functions.keys import packed_keys
 from ledgerlake.plans.loading import SILVER_BUCKET_KEYS
+from ledgerlake.session import shuffles_freed
 from ledgerlake.sources import sinks
 from ledgerlake.sources.sinks import TableStore
 
@@ -28,7 +30,7 @@ def keep_dimension(store: TableStore, name: str, key: str, inputs: tuple[str, ..
     """Bring the dimension ``name`` (rows of hub key ``key``) up to the stored batches of its silver ``inputs``.
 
     ``build`` makes the dimension from the inputs' rows; ``hk`` is the hub key's
-    name in them.  Returns the published table.
+    name in them; it gets them with their keys packed.  Returns the published table.
     """
     spark, path = store.spark, store.table_path(name)
     tags = {t: store.tags("silver", t) for t in inputs}
@@ -36,20 +38,22 @@ def keep_dimension(store: TableStore, name: str, key: str, inputs: tuple[str, ..
     stored = {t: store.stored("silver", t, SILVER_BUCKET_KEYS[t]) for t in inputs}
     if any(df is None for df in stored.values()):
         raise ValueError(f"{name}: nothing is stored of {[t for t, df in stored.items() if df is None]}")
-    if told.get("buckets") != buckets:                       # first version, or another number of buckets
-        sinks.write_parts(build(*stored.values()), path, key, buckets, None, {"covers": tags})
+    packed = {t: packed_keys(df, hk) for t, df in stored.items()}
+    if (told.get("buckets"), told.get("by")) != (buckets, sinks.BUCKETED_BY):    # first version, or other buckets
+        sinks.write_parts(build(*packed.values()), path, key, buckets, None, {"covers": tags})
         return sinks.read_full(spark, path)
     new = {t: [x for x in tags[t] if x not in told["covers"].get(t, [])] for t in inputs}
     batches = [store.batch("silver", t, tag, SILVER_BUCKET_KEYS[t]).select(hk) for t in inputs for tag in new[t]]
     if not batches:
         return sinks.read_full(spark, path)
-    touched = reduce(DataFrame.unionByName, batches).where(F.col(hk).isNotNull()).distinct()
-    hit = [r.b for r in touched.select(sinks.bucket_of(hk, buckets).alias("b")).distinct().collect()]   # at most ``buckets``
-    rebuilt = build(*[df.join(touched, hk, "left_semi") for df in stored.values()])
+    touched = packed_keys(reduce(DataFrame.unionByName, batches), hk).distinct()
+    with shuffles_freed(spark):
+        hit = [r.b for r in touched.select(sinks.bucket_of(touched, hk, buckets).alias("b")).distinct().collect()]   # at most ``buckets``
+    rebuilt = packed_keys(build(*[df.join(touched, hk, "left_semi") for df in packed.values()]))
     here = [sinks.part_path(path, b, v) for b, v in told["parts"].items() if int(b) in hit]
     rows = rebuilt
     if here:
-        copied = spark.read.parquet(*here).join(touched.withColumnRenamed(hk, key), key, "left_anti")
+        copied = packed_keys(spark.read.parquet(*here), key).join(touched.withColumnRenamed(hk, key), key, "left_anti")
         rows = rebuilt.unionByName(copied)
     if hit:
         sinks.write_parts(rows, path, key, buckets, hit, {"covers": tags})

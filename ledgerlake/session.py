@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,9 +79,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_freeing = {"lock": threading.Lock(), "users": 0, "before": None}
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """What is written or collected inside leaves no shuffle files behind; else they stay until the
+    driver happens to collect its garbage.  Driver threads may be inside at the same time."""
+    with _freeing["lock"]:
+        if not _freeing["users"]:
+            _freeing["before"] = spark.conf.get(_FREE, None)
+            spark.conf.set(_FREE, "true")
+        _freeing["users"] += 1
+    try:
+        yield
+    finally:
+        with _freeing["lock"]:
+            _freeing["users"] -= 1
+            if not _freeing["users"]:
+                before = _freeing["before"]
+                spark.conf.unset(_FREE) if before is None else spark.conf.set(_FREE, before)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once as compressed Parquet below the shared checkpoint folder and read
     again: like a reliable checkpoint, which stores its rows uncompressed, it cuts the lineage."""
     path = f"{ensure_checkpoint_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    with shuffles_freed(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

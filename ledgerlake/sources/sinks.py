@@ -27,7 +27,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.functions.keys import is_key, key_text, packed
 from ledgerlake.params import RunParams
+from ledgerlake.session import shuffles_freed
 from ledgerlake.sources import files
 from ledgerlake.sources.files import exists  # noqa: F401  (part of this module's interface)
 
@@ -38,6 +40,10 @@ KEEP = 2
 COMPRESSION = "zstd"
 
 
+#: How parts' buckets are found; parts of another kind are not added to.
+BUCKETED_BY = "hash of the packed key"
+
+
 def table_path(base: str, layer: str, name: str) -> str:
     if layer not in LAYERS:
         raise ValueError(f"unknown layer {layer!r}")
@@ -139,25 +145,33 @@ def tidy(spark: SparkSession, path: str, keep: int = KEEP) -> None:
 def write_full(df: DataFrame, path: str) -> None:
     """Full refresh of a table with one writer at a time (see the module's text)."""
     spark, version = df.sparkSession, uuid.uuid4().hex[:12]
-    df.write.option("compression", COMPRESSION).parquet(version_path(path, version))
+    with shuffles_freed(spark):
+        df.write.option("compression", COMPRESSION).parquet(version_path(path, version))
     switch(spark, path, version)
     tidy(spark, path)
 
 
-def bucket_of(key: str, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+def bucket_of(df: DataFrame, key: str, buckets: int) -> Column:
+    """Bucket of a key, by the hash of its packed form by which Spark also partitions rows that are joined on it: with
+    a number of partitions that ``buckets`` divides, each holds rows of one bucket."""
+    raw = F.col(key) if dict(df.dtypes)[key] == "binary" else packed(key)
+    return F.pmod(F.hash(raw), F.lit(buckets))
 
 
 def write_parts(df: DataFrame, path: str, key: str, buckets: int, replaced: list[int] | None, more: dict) -> None:
-    """Publish ``df`` as the content of the buckets ``replaced`` (None: of all); the others stay as they are."""
+    """Publish ``df`` as the content of the buckets ``replaced`` (None: of all); the others stay as they are.
+    Keys, which ``df`` may have packed, are stored as text.  Rows are written where they lie, by the key after the
+    joins that made them, and not shuffled once more."""
     spark, version = df.sparkSession, uuid.uuid4().hex[:12]
     where = version_path(path, version)
-    (df.withColumn("bucket", bucket_of(key, buckets)).repartition(len(replaced) if replaced else buckets, "bucket")
-     .write.option("compression", COMPRESSION).partitionBy("bucket").parquet(where))
+    rows = df.withColumn("bucket", bucket_of(df, key, buckets))
+    rows = rows.select(*[key_text(rows, c).alias(c) if is_key(c) else c for c in rows.columns])
+    with shuffles_freed(spark):
+        rows.write.option("compression", COMPRESSION).partitionBy("bucket").parquet(where)
     parts = {} if replaced is None else {b: v for b, v in published_parts(spark, path).get("parts", {}).items()
                                          if int(b) not in replaced}
     parts |= {n.split("=")[1]: version for n in files.names(spark, where) if n.startswith("bucket=")}
-    switch(spark, path, version, {"parts": parts, "buckets": buckets, **more})
+    switch(spark, path, version, {"parts": parts, "buckets": buckets, "by": BUCKETED_BY, **more})
     tidy(spark, path)
 
 
@@ -184,7 +198,8 @@ def write_batch(df: DataFrame, path: str, run: RunParams) -> None:
     """Idempotent append: (re)write this run's own directory only, then mark it finished."""
     spark, tag = df.sparkSession, batch_tag(run)
     reopen_batch(spark, path, tag)
-    df.write.mode("overwrite").option("compression", COMPRESSION).parquet(f"{path}/batch={tag}")
+    with shuffles_freed(spark):
+        df.write.mode("overwrite").option("compression", COMPRESSION).parquet(f"{path}/batch={tag}")
     finish_batch(spark, path, tag)
 
 
@@ -229,6 +244,11 @@ class TableStore:
         if database:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{self.base}/_catalog'")
 
+    @property
+    def narrow(self) -> bool:
+        """Stored rows lie by no key, so loads shuffle them, packed."""
+        return not self.database
+
     def table_path(self, model: str) -> str:
         """Storage folder of a model name (``bronze_<t>``, ``hub_x``, ``dim_x`` ...)."""
         if model.startswith("bronze_"):
