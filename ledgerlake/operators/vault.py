@@ -188,6 +188,12 @@ def first_rows(rows: DataFrame, hk: str, key: str) -> DataFrame:
             .where((F.col("_rn") == 1) | ~F.col("_before").eqNullSafe(F.col(key))).drop("_rn", "_before"))
 
 
+def packed_hub(rows: DataFrame, entity: Entity) -> DataFrame:
+    """The rows of :func:`load_hub` in :func:`packed_rows` with the business key."""
+    first = [entity.key, "rec_src"]
+    return first_rows(rows.select(*first, *[c for c in rows.columns if c not in first]), entity.hk, entity.hk)
+
+
 def packed_sat(rows: DataFrame, entity: Entity, params: RunParams, existing: DataFrame | None = None) -> DataFrame:
     """The versions of :func:`load_sat` in :func:`packed_rows`; which of several rows with one
     hash_diff is kept is decided by their attributes first, as in :func:`dedupe_versions`.  ``existing`` versions

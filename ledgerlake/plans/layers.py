@@ -14,12 +14,12 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.keys import hash_key
+from ledgerlake.functions.keys import hash_key, unpacked_keys
 from ledgerlake.operators import gold
 from ledgerlake.operators.bronze import bronze
 from ledgerlake.operators.skew import HOT_SHARE, hot_keys
-from ledgerlake.operators.vault import (first_rows, load_hub, load_link, load_sat, packed_link, packed_rows,
-                                        packed_sat, quarantine_of_batch)
+from ledgerlake.operators.vault import (first_rows, load_hub, load_link, load_sat, packed_hub, packed_link,
+                                        packed_rows, packed_sat, quarantine_of_batch)
 from ledgerlake.params import DRIVER_RUN, RunParams
 from ledgerlake.plans.entities import ENTITIES, LINKS
 from ledgerlake.sources.driver_tables import banking_sources
@@ -81,6 +81,14 @@ class Lakehouse:
         layer, _, rest = name.partition("_")
         return {"link": self.keyed_link, "sat": self.keyed_sat}[layer](rest)
 
+    def packed_vault(self, entity: str, owner: str | None = None) -> list[DataFrame]:
+        """Satellite and hub of ``entity`` and, with ``owner``, its link to that hub, for inner joins on the hub key:
+        keys are packed, and the source is shuffled once for all of them."""
+        e = ENTITIES[entity]
+        owners = [ENTITIES[owner]] if owner else []
+        rows = packed_rows(self.bronze(e.source), e, [], owners, with_key=True)
+        return [packed_sat(rows, e, self.params), packed_hub(rows, e), *[first_rows(rows, e.hk, o.hk) for o in owners]]
+
     def packed_versions(self, child: str, parent: str) -> tuple[DataFrame, DataFrame, DataFrame]:
         """Satellite of ``child``, its link to ``parent`` and the satellite of that, for inner joins on their hub keys:
         keys are packed, each source table is shuffled once by its own key."""
@@ -95,23 +103,23 @@ class Lakehouse:
     # -- gold -------------------------------------------------------------------
     @cached_property
     def dim_customer(self) -> DataFrame:
-        return gold.dim_customer(self.keyed_sat("customer"), self.hub("customer"))
+        return unpacked_keys(gold.dim_customer(*self.packed_vault("customer")))
 
     @cached_property
     def dim_account(self) -> DataFrame:
-        return gold.dim_account(self.keyed_sat("account"), self.hub("account"), self.keyed_link("customer_account"))
+        return unpacked_keys(gold.dim_account(*self.packed_vault("account", "customer")))
 
     @cached_property
     def dim_card(self) -> DataFrame:
-        return gold.dim_card(self.keyed_sat("card"), self.hub("card"), self.keyed_link("account_card"))
+        return unpacked_keys(gold.dim_card(*self.packed_vault("card", "account")))
 
     @cached_property
     def dim_merchant(self) -> DataFrame:
-        return gold.dim_merchant(self.keyed_sat("merchant"), self.hub("merchant"))
+        return unpacked_keys(gold.dim_merchant(*self.packed_vault("merchant")))
 
     @cached_property
     def dim_branch(self) -> DataFrame:
-        return gold.dim_branch(self.keyed_sat("branch"), self.hub("branch"))
+        return unpacked_keys(gold.dim_branch(*self.packed_vault("branch")))
 
     @cached_property
     def dim_date(self) -> DataFrame:
@@ -154,11 +162,13 @@ class Lakehouse:
 
     @cached_property
     def fact_loans(self) -> DataFrame:
-        return gold.fact_loans(self.keyed_sat("loan"), self.keyed_link("customer_loan"))
+        sat, _, link = self.packed_vault("loan", "customer")
+        return unpacked_keys(gold.fact_loans(sat, link))
 
     @cached_property
     def fact_account_balance(self) -> DataFrame:
-        return gold.fact_account_balance(self.keyed_sat("account"), self.keyed_link("customer_account"))
+        sat, _, link = self.packed_vault("account", "customer")
+        return unpacked_keys(gold.fact_account_balance(sat, link))
 
     def table(self, name: str) -> DataFrame:
         """Look a table up by its model name (``hub_customer``, ``dim_card`` ...)."""

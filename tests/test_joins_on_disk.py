@@ -205,3 +205,41 @@ def test_parts_are_not_shuffled_for_the_write_and_old_buckets_are_rebuilt(spark,
     for part, version in sinks.published_parts(spark, path)["parts"].items():
         rows = spark.read.parquet(sinks.part_path(path, part, version))
         assert {x.b for x in rows.select(sinks.bucket_of(rows, "account_hub_key", 4).alias("b")).distinct().collect()} == {int(part)}
+
+
+def test_dimensions_and_facts_read_their_source_once(spark, static_plans):
+    """Before, satellite, hub and link each read and shuffled it, the hub's keys as text."""
+    lake = Lakehouse.from_driver(spark, SF_SMALL)
+    for df in (lake.dim_account, lake.dim_card, lake.fact_loans, lake.fact_account_balance):
+        plan = static_plans(df)
+        assert len(re.findall(r"FileScan parquet", plan)) == 1
+        assert len(re.findall(r"(?<!, )Exchange hashpartitioning", plan)) == 1
+
+
+def test_dimensions_and_facts_of_odd_rows(spark):
+    """Keys that normalise alike, several versions, owners and NULLs: as built from the stored tables' loads."""
+    day, r = dt.date(2019, 5, 1), random.Random(6)
+
+    def some(*values):
+        return r.choice([*values, None])
+    when = dt.datetime(2020, 1, 1)
+    accounts = [(some("A1", " a1", "A2", ""), some("C1", "C2"), some("Savings", "x"), some("1.00", "2.00"), some(day)) for _ in range(25)]
+    cards = [(some("D1", "d1 ", "D2"), some("A1", "A2"), some("Credit", " Debit"), some(day)) for _ in range(25)]
+    loans = [(some("L1", "L2", " l2"), some("C1", "C2"), some(D("1.00"), D("2.00")), some(D("1.50")), some(day)) for _ in range(25)]
+    people = [(some("C1", "c1", "C2"), some("o'neil"), some("b"), some("E@x.y"), some("z"), some(300), some(when)) for _ in range(25)]
+    shops = [(some("M1", "m1", "M2"), some("shop", ""), some("z")) for _ in range(25)]
+    offices = [(some("B1", "b1", "B2"), some("n"), some("m"), some("z"), some("X")) for _ in range(25)]
+    sources = {"accounts": account_rows(spark, accounts)}
+    for name, rows in (("cards", cards), ("loans", loans), ("customers", people), ("merchants", shops), ("branches", offices)):
+        sources[name] = spark.createDataFrame(rows, SOURCE_SCHEMAS[name])
+    lake = Lakehouse(spark, sources, DRIVER_RUN)
+    for got, build, names in (
+            (lake.dim_account, gold.dim_account, ("sat_account", "hub_account", "link_customer_account")),
+            (lake.dim_card, gold.dim_card, ("sat_card", "hub_card", "link_account_card")),
+            (lake.dim_customer, gold.dim_customer, ("sat_customer", "hub_customer")),
+            (lake.dim_merchant, gold.dim_merchant, ("sat_merchant", "hub_merchant")),
+            (lake.dim_branch, gold.dim_branch, ("sat_branch", "hub_branch")),
+            (lake.fact_loans, gold.fact_loans, ("sat_loan", "link_customer_loan")),
+            (lake.fact_account_balance, gold.fact_account_balance, ("sat_account", "link_customer_account"))):
+        want = build(*[lake.table(n) for n in names])
+        assert want.count() > 2 and rows_of(got) == rows_of(want) and got.dtypes == want.dtypes
