@@ -13,8 +13,8 @@ append.  The plans are hash-partitioned on the hub key:
 
 Hot keys are collapsed by the map-side partial aggregate before any shuffle,
 so a key carrying a third of all rows ships one row per map task.  The ``keyed``
-loads give that up for a single shuffle of narrow rows: there all copies of one
-hub key meet in one task.
+loads, ``packed_rows`` and a ``narrow`` satellite load against stored rows give that up
+for a single shuffle of narrow rows: there all copies of one hub key meet in one task.
 """
 
 from __future__ import annotations
